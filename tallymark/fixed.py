@@ -18,6 +18,9 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
+# The same characters as a class of a Java pattern.
+WHITESPACE_CLASS = r"(?U)[\s\x1c-\x1f]"
+
 # Calculator-style spelling of LaTeX: innermost fractions and roots, then single tokens in order.
 INNER_FRACTION = r"\\frac\{([^{}]+)\}\{([^{}]+)\}"
 INNER_ROOT = r"\\sqrt\{([^{}]+)\}"

@@ -65,9 +65,19 @@ def with_fixtures(sql: str) -> str:
     return f"with problems as ({PROBLEMS_SQL}), completions as ({COMPLETIONS_SQL}) {sql}"
 
 
+def read_spread(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """A table, spread by its key where it comes in fewer pieces than there are cores.
+
+    The test tables are one row group each, which one task would read and process alone.
+    """
+    table = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return table.repartition(cores, key) if table.rdd.getNumPartitions() < cores else table
+
+
 def problems(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``idx, problem, answer, alt_answer, n_images``, one per part."""
-    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    part = read_spread(spark, f"{sf_dir}/part.parquet", "p_partkey")
     return part.selectExpr(*[f"{sql} as {name}" for name, sql in PROBLEM_COLUMNS.items()])
 
 

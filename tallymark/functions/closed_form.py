@@ -145,9 +145,13 @@ def _double(text: Column) -> Column:
 
 
 def _factor_value(factor: Column) -> Column:
+    """Value of a factor. Only digits are ever cast: a failed cast costs more than all the rest."""
+
     def value(factor: Column) -> Column:
-        base = F.when(F.contains(factor, F.lit("sqrt")), _root_value(factor)).otherwise(
-            F.coalesce(_double(F.substring_index(factor, "^", 1)), F.pi())
+        base = (
+            F.when(F.startswith(factor, F.lit("\\pi")), F.pi())
+            .when(F.startswith(factor, F.lit("\\sqrt")), _root_value(factor))
+            .otherwise(_double(F.substring_index(factor, "^", 1)))
         )
         return F.when(F.contains(factor, F.lit("^")), F.pow(base, _double(_exponent(factor)))).otherwise(base)
 
@@ -155,7 +159,8 @@ def _factor_value(factor: Column) -> Column:
 
 
 def _root_value(factor: Column) -> Column:
-    radicand = F.try_divide(_double(_part(factor, 3)), F.coalesce(_double(_part(factor, 4)), F.lit(1.0)))
+    top = _double(_part(factor, 3))
+    radicand = F.when(F.contains(factor, F.lit(":")), F.try_divide(top, _double(_part(factor, 4)))).otherwise(top)
     return F.when(~F.contains(factor, F.lit("[")), F.sqrt(radicand)).otherwise(
         F.pow(radicand, F.try_divide(F.lit(1.0), _double(_part(factor, 2))))
     )
@@ -178,7 +183,10 @@ def _sum_value(text: Column) -> Column:
 
 def _ratio_value(text: Column) -> Column:
     """Value of a text that may as a whole be a fraction of two sums."""
-    parts = F.split(F.regexp_replace(text, _WHOLE_FRACTION, "$11÷$2÷$3"), "÷")
+    # A single fraction without signs is a product and needs no such split.
+    may_be_ratio = text.rlike(r"\\frac.*\\frac") | (F.contains(text, F.lit("\\frac")) & text.rlike(r"[+\-]"))
+    split_up = F.split(F.regexp_replace(text, _WHOLE_FRACTION, "$11÷$2÷$3"), "÷")
+    parts = F.when(may_be_ratio, split_up).otherwise(F.array(text))
 
     def ratio(values: Column) -> Column:
         first, top, low = (F.get(values, F.lit(i)) for i in range(3))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallymark.fixed import EXPR_SPELLING, INNER_FRACTION, INNER_ROOT, WHITESPACE
+from tallymark.fixed import EXPR_SPELLING, INNER_FRACTION, INNER_ROOT, WHITESPACE_CLASS
 from tallymark.functions.text import strip
 
 
@@ -22,7 +22,7 @@ def normalize_latex(text: Column) -> Column:
     """
     bare = strip(F.btrim(text, F.lit("$")))
     plain = F.replace(bare, F.lit("\\displaystyle"), F.lit(""))
-    spaced = F.btrim(F.regexp_replace(plain, f"[{WHITESPACE}]+", " "))
+    spaced = F.btrim(F.regexp_replace(plain, f"{WHITESPACE_CLASS}+", " "))
     return F.replace(spaced, F.lit("\\\\"), F.lit("\\"))
 
 

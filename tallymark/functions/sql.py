@@ -11,6 +11,7 @@ from tallymark.fixed import (
     MARKER_REWARD,
     REASONING_MARKER,
     WHITESPACE,
+    WHITESPACE_CLASS,
 )
 
 
@@ -20,9 +21,9 @@ def _strip(sql: str) -> str:
 
 _BARE = _strip("btrim(s, '$')")
 _PLAIN = rf"replace({_BARE}, r'\displaystyle', '')"
-_SPACED = f"btrim(regexp_replace({_PLAIN}, r'[{WHITESPACE}]+', ' '))"
+_SPACED = f"btrim(regexp_replace({_PLAIN}, r'{WHITESPACE_CLASS}+', ' '))"
 _HAS_ANSWER = f"coalesce(s rlike r'{ANSWER_BLOCK}', false)"
-_UNTAGGED = _strip(f"regexp_replace(s, r'(?iu){IMAGE_TAG}[{WHITESPACE}]*', '')")
+_UNTAGGED = _strip(f"regexp_replace(s, r'(?iu){IMAGE_TAG}{WHITESPACE_CLASS}*', '')")
 
 SQL_FUNCTIONS = {
     "extract_answer": ("s STRING", "STRING", _strip(f"get(regexp_extract_all(s, r'{ANSWER_BLOCK}', 1), 0)")),

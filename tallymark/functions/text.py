@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallymark.fixed import ANSWER_BLOCK, IMAGE_TAG, WHITESPACE
+from tallymark.fixed import ANSWER_BLOCK, IMAGE_TAG, WHITESPACE, WHITESPACE_CLASS
 
 
 def strip(text: Column) -> Column:
@@ -85,7 +85,7 @@ def has_answer(text: Column) -> Column:
 
 def strip_image_tag(text: Column) -> Column:
     """Remove picture placeholders; where nothing else is left, keep the text as it was."""
-    cleaned = strip(F.regexp_replace(text, f"(?iu){IMAGE_TAG}[{WHITESPACE}]*", ""))
+    cleaned = strip(F.regexp_replace(text, f"(?iu){IMAGE_TAG}{WHITESPACE_CLASS}*", ""))
     return F.when(cleaned != "", cleaned).otherwise(strip(text))
 
 

@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The sketch follows this many keys, and at most this many are salted. A key beyond them holds
-# less than a thousandth of the rows, so it is no hot key whatever the size of the table.
-MAX_HOT_KEYS = 1_000
-_SKETCH_ITEMS = 20_000
+# Sketches are merged in this many tasks, so that not all map tasks report to one.
+_SKETCH_TASKS = 64
+_SKETCH_ITEMS = 10_000
+# Keys reported per sketch. A key beyond them holds less than a thousandth of the rows there.
+_SKETCH_KEYS = 1_000
 
 _SALT = "__salt"
 _SALTS = "__salts"
@@ -22,23 +23,26 @@ def shuffle_partitions(df: DataFrame) -> int:
 
 
 def hot_keys(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
-    """Keys with at least two shuffle partitions' worth of rows, and how many parts to split each into.
+    """Keys with more than one shuffle partition's worth of rows, and how many parts to split each into.
 
-    One pass over the key column with a bounded sketch per task; no shuffle by key. At most
-    ``MAX_HOT_KEYS`` rows result, so the result can be broadcast for a table of any size. It
-    only routes rows: an approximate count cannot change the result of a join.
+    One pass over the key column with a bounded sketch per task and no shuffle by key. The result
+    has at most 64,000 rows for a table of any size, and in practice fewer than there are
+    shuffle partitions, so it can be broadcast. It only routes rows: an approximate count cannot
+    change the result of a join.
     """
     partitions = partitions or shuffle_partitions(df)
-    sketch = df.agg(
+    sketches = df.groupBy(F.pmod(F.spark_partition_id(), F.lit(_SKETCH_TASKS)).alias("task")).agg(
         F.count(F.lit(1)).alias("rows"),
-        F.expr(f"approx_top_k(`{key}`, {MAX_HOT_KEYS}, {_SKETCH_ITEMS})").alias("top"),
+        F.expr(f"approx_top_k(`{key}`, {_SKETCH_KEYS}, {_SKETCH_ITEMS})").alias("top"),
     )
-    share = F.col("found.count") * partitions / F.col("rows")
-    return (
-        sketch.select("rows", F.explode("top").alias("found"))
-        .select(F.col("found.item").alias(key), F.ceil(share).cast("int").alias(_SALTS))
-        .filter((F.col(_SALTS) >= 2) & F.col(key).isNotNull())
+    merged = sketches.agg(F.sum("rows").alias("rows"), F.flatten(F.collect_list("top")).alias("top"))
+    counted = (
+        merged.select("rows", F.explode("top").alias("found"))
+        .groupBy(F.col("found.item").alias(key), "rows")
+        .agg(F.sum("found.count").alias("count"))
     )
+    salts = F.ceil(F.col("count") * partitions / F.col("rows")).cast("int")
+    return counted.select(key, salts.alias(_SALTS)).filter((F.col(_SALTS) >= 2) & F.col(key).isNotNull())
 
 
 def _salted(df: DataFrame, key: str, hot: DataFrame, spread: Sequence[str], partitions: int) -> DataFrame:

@@ -14,6 +14,7 @@ from tallymark.fixtures import (
     completions,
     illustrated,
     problems,
+    read_spread,
 )
 from tallymark.functions import (
     DEFAULT_REWARDS,
@@ -79,7 +80,7 @@ from tallymark.streaming import score_stream
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
+    return read_spread(spark, f"{sf_dir}/documents.parquet", "doc_id").select("doc_id", "text", "source")
 
 
 def _digest(name: str, column) -> list:
