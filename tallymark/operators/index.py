@@ -12,7 +12,7 @@ from tallymark.operators.skew import shuffle_partitions
 from tallymark.storage import materialize
 
 _RANGE = "__range"
-_BEFORE = "__before"
+_BEFORE = "__range_before"
 _ONE = "__one"
 
 

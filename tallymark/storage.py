@@ -20,7 +20,6 @@ def shared_folder(spark: SparkSession) -> str:
         if not master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tallymark-")
-        spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/tallymark-{uuid.uuid4().hex}"
 
 
