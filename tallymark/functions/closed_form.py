@@ -50,18 +50,18 @@ def _rewrite(text: Column, *rules: tuple[str, str]) -> Column:
     return text
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with the value computed once."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def _rewrite_if(needle: str, text: Column, *rules: tuple[str, str]) -> Column:
     """Apply the rules only to texts that contain the needle; most answers need few of them."""
-    return _let(text, lambda t: F.when(F.contains(t, F.lit(needle)), _rewrite(t, *rules)).otherwise(t))
+    return let(text, lambda t: F.when(F.contains(t, F.lit(needle)), _rewrite(t, *rules)).otherwise(t))
 
 
-def _spelled(text: Column) -> Column:
-    """One spelling per construct, without whitespace."""
+def _spelled(normalized: Column) -> Column:
+    """One spelling per construct, without whitespace, of a text that was normalised once."""
 
     def again(once: Column) -> Column:
         bare = ~(once.rlike(r"^\$|\$$") | F.contains(once, F.lit("\\\\")) | F.contains(once, F.lit("\\displaystyle")))
@@ -69,7 +69,7 @@ def _spelled(text: Column) -> Column:
 
     words = _rewrite_if(
         "\\",
-        _let(normalize_latex(text), again),
+        let(normalized, again),
         (r"\\(?:left|right)(?![A-Za-z])|\\[,;:!]", " "),
         (r"\\[dt]frac(?![A-Za-z])", r"\\frac"),
         (r"\\(?:cdot|times)(?![A-Za-z])", "*"),
@@ -112,9 +112,9 @@ def _signed_terms(text: Column) -> Column:
 
     def whole(text: Column) -> Column:
         terms = F.regexp_extract_all(text, F.lit(_SIGNED_TERM), F.lit(0))
-        return _let(terms, lambda found: F.when(F.array_join(found, "") == text, found))
+        return let(terms, lambda found: F.when(F.array_join(found, "") == text, found))
 
-    return _let(text, whole)
+    return let(text, whole)
 
 
 def _factors(term: Column) -> Column:
@@ -124,7 +124,7 @@ def _factors(term: Column) -> Column:
         marked = F.when(F.contains(body, F.lit("⁄")), F.regexp_replace(body, _DIVISOR_FACTOR, "⁄$0")).otherwise(body)
         return F.when(body.rlike(_TERM), F.regexp_extract_all(marked, F.lit(rf"⁄*+{_FACTOR}"), F.lit(0)))
 
-    return _let(F.ltrim(term, F.lit("+-")), split_up)
+    return let(F.ltrim(term, F.lit("+-")), split_up)
 
 
 def _sign(term: Column) -> Column:
@@ -155,7 +155,7 @@ def _factor_value(factor: Column) -> Column:
         )
         return F.when(F.contains(factor, F.lit("^")), F.pow(base, _double(_exponent(factor)))).otherwise(base)
 
-    return _let(F.ltrim(factor, F.lit("⁄")), value)
+    return let(F.ltrim(factor, F.lit("⁄")), value)
 
 
 def _root_value(factor: Column) -> Column:
@@ -192,19 +192,24 @@ def _ratio_value(text: Column) -> Column:
         first, top, low = (F.get(values, F.lit(i)) for i in range(3))
         return F.when(F.size(values) == 3, F.try_divide(first * top, low)).otherwise(first)
 
-    return _let(F.transform(parts, _sum_value), ratio)
+    return let(F.transform(parts, _sum_value), ratio)
 
 
-def closed_value(text: Column) -> Column:
-    """DOUBLE value of a closed-form text; NULL outside the grammar or where not finite."""
+def value_of_normalized(normalized: Column) -> Column:
+    """:func:`closed_value` of a text that :func:`normalize_latex` went over already."""
 
     def value(spelled: Column) -> Column:
         number = F.when(spelled.rlike(_PLAIN_NUMBER), _double(spelled)).when(
             spelled.rlike(_ALPHABET), _ratio_value(spelled)
         )
-        return _let(number, lambda v: F.when(F.abs(v) < float("inf"), v))
+        return let(number, lambda v: F.when(F.abs(v) < float("inf"), v))
 
-    return _let(_spelled(text), value)
+    return let(_spelled(normalized), value)
+
+
+def closed_value(text: Column) -> Column:
+    """DOUBLE value of a closed-form text; NULL outside the grammar or where not finite."""
+    return value_of_normalized(normalize_latex(text))
 
 
 # --- exact keys ---------------------------------------------------------------
@@ -271,7 +276,7 @@ def _reduced(sign: Column, raw: Column) -> Column:
         )
 
     known = raw["num"].isNotNull() & (raw["den"] > 0) & raw["pi_power"].isNotNull()
-    return F.when(known, _let(_gcd(raw["num"], raw["den"]), key))
+    return F.when(known, let(_gcd(raw["num"], raw["den"]), key))
 
 
 def closed_form(text: Column) -> Column:
@@ -294,8 +299,10 @@ def closed_form(text: Column) -> Column:
         term = F.get(terms, F.lit(0))
         parts = F.flatten(F.transform(_factors(term), _key_factor))
         raw = F.aggregate(parts, unit, times)
-        return F.when(F.size(terms) == 1, _let(raw, lambda value: _reduced(_sign(term), value)))
+        return F.when(F.size(terms) == 1, let(raw, lambda value: _reduced(_sign(term), value)))
+
+    def of_spelled(spelled: Column) -> Column:
+        signs_out = F.regexp_replace(spelled, r"^([+-]*+)\\frac\{([+-])", r"$1$2\\frac{")
+        return F.when(spelled.rlike(_ALPHABET), let(_signed_terms(_flat(signs_out)), key))
 
-    spelled = _spelled(text)
-    signs_out = _rewrite(spelled, (r"^([+-]*+)\\frac\{([+-])", r"$1$2\\frac{"))
-    return F.when(spelled.rlike(_ALPHABET), _let(_signed_terms(_flat(signs_out)), key))
+    return let(_spelled(normalize_latex(text)), of_spelled)

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tallymark.fixed import TOLERANCE
-from tallymark.functions.closed_form import closed_form, closed_value
+from tallymark.functions.closed_form import closed_form, let, value_of_normalized
 from tallymark.functions.latex import normalize_latex
 
 
@@ -15,7 +15,10 @@ def answer_key(answer: Column) -> Column:
 
     Compute it once per ground truth, before the join with the many completions.
     """
-    return F.struct(normalize_latex(answer).alias("text"), closed_value(answer).alias("value"))
+    return let(
+        normalize_latex(answer),
+        lambda text: F.struct(text.alias("text"), value_of_normalized(text).alias("value")),
+    )
 
 
 def _close(left: Column, right: Column) -> Column:
@@ -37,12 +40,9 @@ def equals_key(answer: Column, key: Column) -> Column:
 
     def compare(text: Column) -> Column:
         by_text = F.lower(text) == F.lower(key["text"])
-        by_value = F.get(
-            F.transform(
-                F.array(closed_value(answer)),
-                lambda value: F.when(value.isNull(), by_text).otherwise(_close(value, key["value"])),
-            ),
-            F.lit(0),
+        by_value = let(
+            value_of_normalized(text),
+            lambda value: F.when(value.isNull(), by_text).otherwise(_close(value, key["value"])),
         )
         return (
             F.when(text == key["text"], F.lit(True))
@@ -51,14 +51,12 @@ def equals_key(answer: Column, key: Column) -> Column:
             .otherwise(by_value)
         )
 
-    return compare(normalize_latex(answer))
+    return let(normalize_latex(answer), compare)
 
 
 def math_equal(left: Column, right: Column) -> Column:
     """Whether two answers are equivalent; NULL where either is NULL."""
-    return F.get(
-        F.transform(F.array(answer_key(right)), lambda key: equals_key(left, key)), F.lit(0)
-    )
+    return let(answer_key(right), lambda key: equals_key(left, key))
 
 
 def same_closed_form(left: Column, right: Column) -> Column:

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tallymark.functions.equivalence import answer_key, equals_key
 from tallymark.functions.text import exact_equal, extract_answer, strip_prompt_prefix
 
+GRADE_FLAGS = ("has_answer", "is_exact", "is_equivalent")
+
 
 def num_samples() -> Column:
     return F.count(F.lit(1))

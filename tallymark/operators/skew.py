@@ -46,8 +46,13 @@ def hot_keys(df: DataFrame, key: str, partitions: int | None = None) -> DataFram
 
 
 def _salted(df: DataFrame, key: str, hot: DataFrame, spread: Sequence[str], partitions: int) -> DataFrame:
-    """Rows of hot keys get one of the key's salts by a hash of ``spread``; rows without key get any salt."""
-    part = F.xxhash64(*spread)
+    """Rows of hot keys get one of the key's salts; rows without key get any salt.
+
+    The salt is a hash of ``spread`` and of the number of the task that reads the row, so that
+    even equal rows are split. A task that runs again has the same number and sends its rows to
+    the same places.
+    """
+    part = F.xxhash64(*spread, F.spark_partition_id())
     salt = (
         F.when(F.col(key).isNull(), F.pmod(part, F.lit(partitions)))
         .when(F.col(_SALTS).isNotNull(), F.pmod(part, F.col(_SALTS)))
@@ -90,10 +95,9 @@ def join_unique(
 ) -> DataFrame:
     """Join many rows per key with at most one row per key.
 
-    ``left`` may hold a third of its rows under one key: such keys are split by a hash of the
-    ``spread`` columns, which together with the key should tell rows apart. The split is a
-    function of the row, so that a task that runs again sends it to the same place. No side is
-    broadcast by hint; Spark does it where the measured size of a side allows.
+    ``left`` may hold a third of its rows under one key: such keys are split by the ``spread``
+    columns, while ``right`` gets a copy of its one row per part. Neither side is broadcast by
+    hint; Spark does it where the known size of a side allows.
     """
     if how not in ("inner", "left"):
         raise ValueError("join_unique takes inner or left")

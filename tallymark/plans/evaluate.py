@@ -10,14 +10,15 @@ from pyspark.sql import functions as F
 from tallymark.fixed import EVAL_SAMPLES
 from tallymark.operators.index import first_rows
 from tallymark.operators.joins import join_predictions
-from tallymark.operators.metrics import eval_report, eval_row, gradable, grade, predicted_answers
+from tallymark.operators.metrics import GRADE_FLAGS, eval_report, gradable, grade, predicted_answers
 from tallymark.operators.samples import sample_number
+from tallymark.schemas import EVAL_ROW
 from tallymark.sources.sinks import report_rows, write_eval_samples, write_report
 
 
 @dataclass(frozen=True)
 class Evaluation:
-    """Summary, graded samples and the pairs that could not be graded."""
+    """Summary, graded samples with their flags, and the pairs that could not be graded."""
 
     model: str
     report: DataFrame
@@ -25,10 +26,14 @@ class Evaluation:
     rejects: DataFrame
 
     def write(self, folder: str) -> str:
-        """Write summary and samples below ``folder`` and return the path of the summary."""
-        path = write_report(self.report.drop("model_name_or_path"), folder, self.model)
-        write_eval_samples(self.samples, f"{folder.rstrip('/')}/samples", self.model.rstrip("/").split("/")[-1])
-        return path
+        """Write samples and summary below ``folder`` and return the path of the summary.
+
+        The summary is taken from the written samples, so that nothing is graded twice.
+        """
+        run = self.model.rstrip("/").split("/")[-1]
+        written = write_eval_samples(self.samples, f"{folder.rstrip('/')}/samples", run)
+        graded = self.samples.sparkSession.read.parquet(written)
+        return write_report(eval_report(graded), folder, self.model)
 
 
 def graded_predictions(dataset: DataFrame, predictions: DataFrame) -> DataFrame:
@@ -55,6 +60,6 @@ def evaluate(
     return Evaluation(
         model=model,
         report=report_rows(eval_report(graded), model),
-        samples=eval_row(graded),
+        samples=graded.select(*EVAL_ROW.names, *GRADE_FLAGS),
         rejects=pairs.filter(~gradable()).select("id", F.lit("no_ground_truth").alias("reason")),
     )

@@ -24,6 +24,7 @@ from tallymark.operators.samples import (
     split_sft,
 )
 from tallymark.sources.sinks import image_manifest, rejects, write_jsonl
+from tallymark.storage import materialize
 
 
 def classify(problems: DataFrame, count: int = SFT_SAMPLES, data_dir: str = "data") -> DataFrame:
@@ -46,6 +47,18 @@ def _with_teacher(samples: DataFrame, teacher: DataFrame | None) -> DataFrame:
     return join_teacher(samples, teacher)
 
 
+_TEXTS = ("idx", "split", "id", "image", "problem", "answer", "reason")
+
+
+def _sft(classified: DataFrame, teacher: DataFrame | None) -> DataFrame:
+    head = accepted(classified).filter(F.col("split") == SFT).select("id", "image", "problem", "answer")
+    return sft_sample(_with_teacher(head, teacher))
+
+
+def _rl(classified: DataFrame) -> DataFrame:
+    return rl_sample(accepted(classified).filter(F.col("split") == RL))
+
+
 def prepare_sft(
     problems: DataFrame, count: int = SFT_SAMPLES, data_dir: str = "data", teacher: DataFrame | None = None
 ) -> DataFrame:
@@ -53,13 +66,12 @@ def prepare_sft(
 
     ``teacher`` has ``id, completion`` of successful calls; other samples get the stand-in.
     """
-    head = accepted(classify(split_sft(problems, count), count, data_dir)).select("id", "image", "problem", "answer")
-    return sft_sample(_with_teacher(head, teacher))
+    return _sft(classify(split_sft(problems, count), count, data_dir), teacher)
 
 
 def prepare_rl(problems: DataFrame, count: int = SFT_SAMPLES, data_dir: str = "data") -> DataFrame:
     """Reinforcement samples of all problems after the first ``count``."""
-    return rl_sample(accepted(classify(split_rl(problems, count), count, data_dir)))
+    return _rl(classify(split_rl(problems, count), count, data_dir))
 
 
 @dataclass(frozen=True)
@@ -85,12 +97,17 @@ class Prepared:
 def prepare_all(
     problems: DataFrame, count: int = SFT_SAMPLES, data_dir: str = "data", teacher: DataFrame | None = None
 ) -> Prepared:
-    """Both splits, the rejected problems, the picture manifest and the counts."""
+    """Both splits, the rejected problems, the picture manifest and the counts.
+
+    Pictures are most of the source. They are read twice: once to tell which problems are
+    accepted, which is written without them for all other tables, and once for the manifest.
+    """
     classified = classify(problems, count, data_dir)
+    texts = materialize(classified.select(*_TEXTS))
     return Prepared(
-        sft=prepare_sft(problems, count, data_dir, teacher),
-        rl=prepare_rl(problems, count, data_dir),
-        rejects=rejects(classified),
+        sft=_sft(texts, teacher),
+        rl=_rl(texts),
+        rejects=rejects(texts),
         images=image_manifest(accepted(classified)),
-        summary=prep_summary(classified),
+        summary=prep_summary(texts),
     )

@@ -500,7 +500,8 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "write_eval_samples",
-    f"select id, completion as prediction, predicted_answer, ground_truth, '{RUN}' as run_name from ({GRADED_SQL})",
+    f"select id, completion as prediction, predicted_answer, ground_truth, {HAS_ANSWER} as has_answer, {IS_EXACT} as is_exact, "
+    f"{IS_EQUIVALENT} as is_equivalent, '{RUN}' as run_name from ({GRADED_SQL})",
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark)

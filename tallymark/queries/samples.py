@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.fixed import SFT_SAMPLES, TEACHER_SYSTEM_PROMPT, TEACHER_USER_PROMPT
-from tallymark.fixtures import PNG_HEAD, TRUTH, completions, illustrated, problems
+from tallymark.fixtures import PNG_HEAD, TRUTH, illustrated, problems
 from tallymark.functions.latex import clean_ground_truth
 from tallymark.operators import (
     chat_rl,
@@ -36,7 +36,7 @@ from tallymark.operators import (
     with_image,
     without_image,
 )
-from tallymark.plans import accepted, prepare_all
+from tallymark.plans import accepted, prepare_all, prepare_sft
 from tallymark.queries.registry import query
 from tallymark.queries.shared import (
     DATA_DIR,
@@ -57,8 +57,6 @@ from tallymark.queries.shared import (
 )
 from tallymark.schemas import RL_SAMPLE
 from tallymark.sources import (
-    image_manifest,
-    rejects,
     scan_images,
     scan_jsonl,
     scan_problems,
@@ -374,19 +372,15 @@ PREPARE_SFT_SQL = (
 )
 
 
-def _prepared(spark: SparkSession, sf_dir: str):
-    teacher = teacher_successes(teacher_answers(spark, sf_dir))
-    return prepare_all(illustrated(spark, sf_dir), data_dir=DATA_DIR, teacher=teacher)
-
-
 @query("prepare_sft", PREPARE_SFT_SQL)
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _prepared(spark, sf_dir).sft
+    teacher = teacher_successes(teacher_answers(spark, sf_dir))
+    return prepare_sft(illustrated(spark, sf_dir), data_dir=DATA_DIR, teacher=teacher)
 
 
 @query("prepare_rl", RL_SAMPLES_SQL)
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _prepared(spark, sf_dir).rl
+    return rl_samples(spark, sf_dir)
 
 
 @query(
@@ -397,7 +391,8 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark)
-    _prepared(spark, sf_dir).write(folder)
+    teacher = teacher_successes(teacher_answers(spark, sf_dir))
+    prepare_all(illustrated(spark, sf_dir), data_dir=DATA_DIR, teacher=teacher).write(folder)
 
     def counted(target: str, rows: DataFrame, key: str) -> DataFrame:
         return rows.agg(

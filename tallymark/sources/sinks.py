@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions.text import report_name
+from tallymark.operators.metrics import GRADE_FLAGS
 from tallymark.operators.samples import first_image
+from tallymark.schemas import EVAL_ROW
 
 
 def write_jsonl(df: DataFrame, path: str, order: Column | str | None = None) -> None:
@@ -31,9 +33,11 @@ def write_report(report: DataFrame, folder: str, model: str) -> str:
     return path
 
 
-def write_eval_samples(rows: DataFrame, path: str, run: str) -> None:
-    """Keep every graded sample as a table of its own, one folder per run."""
-    rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/run_name={run}")
+def write_eval_samples(graded: DataFrame, path: str, run: str) -> str:
+    """Keep every graded sample and its flags in a table with one folder per run; returns that folder."""
+    folder = f"{path.rstrip('/')}/run_name={run}"
+    graded.select(*EVAL_ROW.names, *GRADE_FLAGS).write.mode("overwrite").parquet(folder)
+    return folder
 
 
 def rejects(classified: DataFrame) -> DataFrame:
