@@ -32,4 +32,38 @@ from tallymark.functions.text import (
     text_variant,
 )
 
-__all__ = [name for name in dir() if not name.startswith("_")]
+__all__ = [
+    "ACCURACY",
+    "DEFAULT_REWARDS",
+    "FORMAT",
+    "Reward",
+    "accuracy_reward",
+    "answer_key",
+    "apply_rewards",
+    "clean_ground_truth",
+    "closed_form",
+    "closed_value",
+    "compute_reward",
+    "equals_key",
+    "exact_equal",
+    "extract_answer",
+    "format_reward",
+    "has_answer",
+    "has_marker",
+    "latex_to_expr",
+    "math_equal",
+    "normalize_latex",
+    "register_sql_functions",
+    "report_name",
+    "run_name",
+    "same_closed_form",
+    "strip",
+    "strip_image_tag",
+    "strip_prompt_prefix",
+    "text_chunks",
+    "text_messages",
+    "text_plain",
+    "text_variant",
+    "total_reward",
+    "truth_column",
+]

@@ -45,4 +45,51 @@ from tallymark.operators.samples import (
 )
 from tallymark.operators.skew import exists_join, hot_keys, join_unique
 
-__all__ = [name for name in dir() if not name.startswith("_")]
+__all__ = [
+    "chat_rl",
+    "chat_rows",
+    "chat_sft",
+    "chat_user",
+    "completion_fallback",
+    "completion_source",
+    "eval_report",
+    "eval_row",
+    "exists_join",
+    "field_defaults",
+    "first_image",
+    "first_rows",
+    "format_rate",
+    "gradable",
+    "grade",
+    "group_advantage",
+    "group_statistics",
+    "has_image",
+    "hot_keys",
+    "image_kind",
+    "image_path",
+    "join_predictions",
+    "join_teacher",
+    "join_truth",
+    "join_unique",
+    "mock_completion",
+    "num_samples",
+    "predicted_answers",
+    "prep_summary",
+    "rate",
+    "reject_reason",
+    "require_image",
+    "rl_sample",
+    "rollout_requests",
+    "running_total",
+    "sample_id",
+    "sample_number",
+    "sft_sample",
+    "split_of",
+    "split_rl",
+    "split_sft",
+    "stable_index",
+    "teacher_request",
+    "teacher_request_json",
+    "with_image",
+    "without_image",
+]

@@ -4,4 +4,16 @@ from tallymark.plans.evaluate import Evaluation, evaluate, graded_predictions
 from tallymark.plans.grade import grade_rollouts, score_rollouts
 from tallymark.plans.prepare import Prepared, accepted, classify, prepare_all, prepare_rl, prepare_sft
 
-__all__ = [name for name in dir() if not name.startswith("_")]
+__all__ = [
+    "Evaluation",
+    "Prepared",
+    "accepted",
+    "classify",
+    "evaluate",
+    "grade_rollouts",
+    "graded_predictions",
+    "prepare_all",
+    "prepare_rl",
+    "prepare_sft",
+    "score_rollouts",
+]

@@ -21,4 +21,21 @@ from tallymark.sources.tables import (
     with_positions,
 )
 
-__all__ = [name for name in dir() if not name.startswith("_")]
+__all__ = [
+    "image_manifest",
+    "local_path",
+    "rejects",
+    "report_rows",
+    "scan_images",
+    "scan_jsonl",
+    "scan_problems",
+    "scan_teacher",
+    "split_bad_lines",
+    "teacher_successes",
+    "with_positions",
+    "write_eval_samples",
+    "write_image_manifest",
+    "write_jsonl",
+    "write_rejects",
+    "write_report",
+]
