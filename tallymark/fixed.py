@@ -6,7 +6,10 @@
 REASONING_MARKER = "½"
 
 # Answer block: first opening tag, then the first closing tag after it; any case, across lines.
-ANSWER_BLOCK = r"(?isu)\A(?>.*?<answer>)(.*?)</answer>"
+ANSWER_BLOCK = (
+    r"\A[^<]*+(?:<(?!(?iu:answer)>)[^<]*+)*+<(?iu:answer)>"
+    r"([^<]*+(?:<(?!/(?iu:answer)>)[^<]*+)*+)</(?iu:answer)>"
+)
 
 # Placeholder for the picture in a problem text.
 IMAGE_TAG = "<image>"

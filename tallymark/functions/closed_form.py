@@ -39,6 +39,13 @@ _PRODUCT_FRACTION = rf"\\frac\{{({_BRACED_PRODUCT})\}}\{{({_BRACED_PRODUCT})\}}"
 _PLAIN_NUMBER = r"^[+-]?+(?:\d++(?:\.\d++)?+|\.\d++)$"
 _ALPHABET = r"^(?:\\frac|\\sqrt|\\pi|[0-9.+\-*/:^(){}\[\]])++$"
 
+# The most frequent forms: a number, a square root and pi, each at most once, over a number at most.
+# Groups: sign, start of a fraction, number, radicand, pi, middle of a fraction, divisor.
+_SHORT = (
+    rf"^([+-]?+)(\\frac\{{)?+({_NUMBER})?+(?:\\sqrt\{{({_NUMBER})\}})?+(\\pi)?+(?:(\}}\{{)({_NUMBER})\}})?+$"
+)
+_SHORT_PARTS = "$1|$2|$3|$4|$5|$6|$7"
+
 _MAX_EXPONENT = 64  # of an exact key; values have no such bound
 _GCD_STEPS = 185  # Euclid's worst case below 10**38 takes 183 divisions
 _INTEGER = "decimal(38,0)"
@@ -55,9 +62,13 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _rewrite_where(found: Callable[[Column], Column], text: Column, *rules: tuple[str, str]) -> Column:
+    return let(text, lambda t: F.when(found(t), _rewrite(t, *rules)).otherwise(t))
+
+
 def _rewrite_if(needle: str, text: Column, *rules: tuple[str, str]) -> Column:
     """Apply the rules only to texts that contain the needle; most answers need few of them."""
-    return let(text, lambda t: F.when(F.contains(t, F.lit(needle)), _rewrite(t, *rules)).otherwise(t))
+    return _rewrite_where(lambda t: F.contains(t, F.lit(needle)), text, *rules)
 
 
 def _spelled(normalized: Column) -> Column:
@@ -67,8 +78,8 @@ def _spelled(normalized: Column) -> Column:
         bare = ~(once.rlike(r"^\$|\$$") | F.contains(once, F.lit("\\\\")) | F.contains(once, F.lit("\\displaystyle")))
         return F.when(bare, once).otherwise(normalize_latex(once))
 
-    words = _rewrite_if(
-        "\\",
+    words = _rewrite_where(
+        lambda t: t.rlike(r"\\(?:left|right|[dt]frac|cdot|times|div|[,;:!])"),
         let(normalized, again),
         (r"\\(?:left|right)(?![A-Za-z])|\\[,;:!]", " "),
         (r"\\[dt]frac(?![A-Za-z])", r"\\frac"),
@@ -78,8 +89,8 @@ def _spelled(normalized: Column) -> Column:
     # Digits apart from each other are no number: the question mark is outside the grammar.
     joined = _rewrite_if(" ", words, (r"(?<=[\d.]) ++(?=[\d.])", "?"), (r" ", ""))
     numbers = _rewrite_if(",", joined, (r"(?<=\d),(?=\d{3}(?!\d))", ""))
-    return _rewrite_if(
-        "\\sqrt{",
+    return _rewrite_where(
+        lambda t: F.contains(t, F.lit("\\sqrt{\\frac{")) | F.contains(t, F.lit("/")),
         numbers,
         (rf"\\sqrt\{{\\frac\{{({_NUMBER})\}}\{{({_NUMBER})\}}\}}", r"\\sqrt{$1:$2}"),
         (rf"\\sqrt\{{({_NUMBER})/({_NUMBER})\}}", r"\\sqrt{$1:$2}"),
@@ -195,12 +206,29 @@ def _ratio_value(text: Column) -> Column:
     return let(F.transform(parts, _sum_value), ratio)
 
 
+def _short_value(parts: Column) -> Column:
+    """Value of the parts of a short form."""
+    sign, opened, number, radicand, pi, closed, divisor = (F.get(parts, F.lit(i)) for i in range(7))
+
+    def or_one(text: Column, value: Column) -> Column:
+        return F.when(text == "", 1.0).otherwise(value)
+
+    top = or_one(number, _double(number)) * or_one(radicand, F.sqrt(_double(radicand))) * or_one(pi, F.pi())
+    signed = F.when(sign == "-", -top).otherwise(top)
+    complete = ((opened == "") == (closed == "")) & (F.concat(number, radicand, pi) != "")
+    return F.when(complete, F.try_divide(signed, or_one(divisor, _double(divisor))))
+
+
 def value_of_normalized(normalized: Column) -> Column:
     """:func:`closed_value` of a text that :func:`normalize_latex` went over already."""
 
     def value(spelled: Column) -> Column:
         number = F.when(spelled.rlike(_PLAIN_NUMBER), _double(spelled)).when(
-            spelled.rlike(_ALPHABET), _ratio_value(spelled)
+            spelled.rlike(_ALPHABET),
+            let(
+                F.split(F.regexp_replace(spelled, _SHORT, _SHORT_PARTS), r"\|"),
+                lambda parts: F.when(F.size(parts) == 7, _short_value(parts)).otherwise(_ratio_value(spelled)),
+            ),
         )
         return let(number, lambda v: F.when(F.abs(v) < float("inf"), v))
 

@@ -13,6 +13,9 @@ _SKETCH_ITEMS = 10_000
 # Keys reported per sketch. A key beyond them holds less than a thousandth of the rows there.
 _SKETCH_KEYS = 1_000
 
+# Parts per shuffle partition's worth of rows: small parts spread more evenly over the partitions.
+_PARTS = 4
+
 _SALT = "__salt"
 _SALTS = "__salts"
 _COPIES = "__copies"
@@ -41,8 +44,9 @@ def hot_keys(df: DataFrame, key: str, partitions: int | None = None) -> DataFram
         .groupBy(F.col("found.item").alias(key), "rows")
         .agg(F.sum("found.count").alias("count"))
     )
-    salts = F.ceil(F.col("count") * partitions / F.col("rows")).cast("int")
-    return counted.select(key, salts.alias(_SALTS)).filter((F.col(_SALTS) >= 2) & F.col(key).isNotNull())
+    fill = F.col("count") * partitions / F.col("rows")
+    hot = counted.filter((fill > 1) & F.col(key).isNotNull())
+    return hot.select(key, F.ceil(fill * _PARTS).cast("int").alias(_SALTS))
 
 
 def _salted(df: DataFrame, key: str, hot: DataFrame, spread: Sequence[str], partitions: int) -> DataFrame:

@@ -46,7 +46,7 @@ def rows(df):
 
 
 def test_hot_keys(spark, skewed):
-    assert {row[0]: row[1] for row in hot_keys(skewed, "id").collect()} == {"hot": 4}
+    assert {row[0]: row[1] for row in hot_keys(skewed, "id").collect()} == {"hot": 16}
     assert hot_keys(skewed.filter("gen < 0"), "id").collect() == []
     assert hot_keys(skewed, "gen").collect() == []
 
