@@ -1,7 +1,7 @@
 """Compositions of operators."""
 
 from tallymark.plans.evaluate import Evaluation, evaluate, graded_predictions
-from tallymark.plans.grade import grade_rollouts, score_rollouts
+from tallymark.plans.grade import grade_rollouts, score_rollouts, ungraded
 from tallymark.plans.prepare import Prepared, accepted, classify, prepare_all, prepare_rl, prepare_sft
 
 __all__ = [
@@ -16,4 +16,5 @@ __all__ = [
     "prepare_rl",
     "prepare_sft",
     "score_rollouts",
+    "ungraded",
 ]

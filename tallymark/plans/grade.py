@@ -32,6 +32,11 @@ def score_rollouts(
     return score_parts(join_truth(answers, truths, key, hot), rewards)
 
 
+def ungraded(scored: DataFrame) -> DataFrame:
+    """Scored rows without a total: an answer met no ground truth, or an own reward gave none."""
+    return scored.filter(F.col("total_reward").isNull())
+
+
 def grade_rollouts(
     completions: DataFrame,
     problems: DataFrame,

@@ -322,11 +322,11 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "join_images",
-    f"select {ID_SQL} as id, idx % 5 <> 0 as has_image from problems where n_images > 0",
+    f"select {ID_SQL} as id, answer is not null as has_image from problems where n_images > 0",
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = accepted(classified(spark, sf_dir)).select("idx", "id", "image")
-    existing = rows.filter(F.col("idx") % 5 != 0).select("image")
+    rows = accepted(classified(spark, sf_dir)).select("id", "image", "answer")
+    existing = rows.filter(F.col("answer").isNotNull()).select("image")
     found = with_image(rows, existing).select("id", F.lit(True).alias("has_image"))
     return found.unionByName(without_image(rows, existing).select("id", F.lit(False).alias("has_image")))
 

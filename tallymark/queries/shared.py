@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.fixed import MOCK_COMPLETION, SFT_SAMPLES, WHITESPACE
+from tallymark.fixed import GENERATIONS, MOCK_COMPLETION, SFT_SAMPLES, WHITESPACE
 from tallymark.fixtures import COMPLETION, TRUTH, illustrated, problems
 from tallymark.functions.latex import clean_ground_truth
 from tallymark.operators.joins import rollout_requests
@@ -63,9 +63,9 @@ def truths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return problems(spark, sf_dir).select("idx", clean_ground_truth(F.col("answer")).alias("ground_truth"))
 
 
-def paired(spark: SparkSession, sf_dir: str) -> DataFrame:
+def paired(spark: SparkSession, sf_dir: str, generations: int = GENERATIONS) -> DataFrame:
     """Completions next to their problem's columns, made row by row without a join."""
-    requests = rollout_requests(problems(spark, sf_dir))
+    requests = rollout_requests(problems(spark, sf_dir), generations)
     return requests.select(
         "*", F.expr(COMPLETION).alias("completion"), clean_ground_truth(F.col("answer")).alias("ground_truth")
     )
@@ -95,7 +95,7 @@ def teacher_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One generation per problem of the second split; every other one repeats its prompt."""
     prompt = F.concat(F.lit("user: "), F.col("problem"), F.lit("\nassistant: "))
-    first = split_rl(paired(spark, sf_dir).filter("gen = 0"), SFT_SAMPLES)
+    first = split_rl(paired(spark, sf_dir, generations=1), SFT_SAMPLES)
     repeated = F.concat(prompt, F.col("completion"))
     return first.select(
         sample_id(F.col("idx"), SFT_SAMPLES).alias("id"),

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tallymark.operators.index import running_total
 from tallymark.operators.samples import field_defaults
+from tallymark.operators.skew import join_unique
 from tallymark.schemas import PROBLEM, TEACHER
 from tallymark.storage import materialize
 
@@ -19,6 +20,9 @@ _ROWS = "__rows"
 _BEFORE = "__before"
 _CORRUPT = "__corrupt"
 
+# Up to this many files their offsets, a path and a number each, are broadcast.
+BROADCAST_FILES = 50_000
+
 
 def scan_problems(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Problem tables in Parquet, with every column of the problem schema.
@@ -40,10 +44,12 @@ def with_positions(source: DataFrame, name: str = "idx") -> DataFrame:
         return source.select(F.col("_metadata.row_index").alias(name), "*")
     located = source.select("*", F.col("_metadata.file_path").alias(_FILE), F.col("_metadata.row_index").alias(_ROW))
     files = source.groupBy(F.col("_metadata.file_path").alias(_FILE)).agg(F.count(F.lit(1)).alias(_ROWS))
-    # Written, so that Spark knows the size of this one-row-per-file table when it picks the join.
     offsets = materialize(running_total(files, [_FILE], _ROWS, _BEFORE).select(_FILE, _BEFORE))
-    position = (F.col(_BEFORE) + F.col(_ROW)).alias(name)
-    return located.join(offsets, _FILE).select(position, *source.columns)
+    if len(source.inputFiles()) <= BROADCAST_FILES:
+        placed = located.join(F.broadcast(offsets), _FILE)
+    else:
+        placed = join_unique(located, offsets, _FILE, spread=[_ROW], known_unique=True)
+    return placed.select((F.col(_BEFORE) + F.col(_ROW)).alias(name), *source.columns)
 
 
 def scan_jsonl(

@@ -10,7 +10,7 @@ from pyspark.sql.functions import pandas_udf
 
 from tallymark import evaluate, grade_rollouts, register_sql_functions
 from tallymark.functions import DEFAULT_REWARDS, Reward, apply_rewards
-from tallymark.plans import score_rollouts
+from tallymark.plans import score_rollouts, ungraded
 from tallymark.schemas import COMPLETION, PREDICTION
 from tallymark.storage import materialize, shared_folder
 from tallymark.streaming import score_stream
@@ -68,6 +68,13 @@ def test_joined_and_side_by_side_scores_agree(completions, truths):
     assert sorted(together.collect()) == sorted(apart.collect())
 
 
+def test_answers_without_truth(spark, completions):
+    truths = spark.createDataFrame([("p1", "2"), ("p2", None)], "id string, ground_truth string")
+    graded = grade_rollouts(completions, truths)
+    assert sorted((row.id, row.gen) for row in ungraded(graded).collect()) == [("p2", 0), ("p2", 1)]
+    assert {row.advantage for row in graded.filter("id = 'p2'").collect()} == {None}
+
+
 def dataset(spark):
     rows = [("rl_00000", "5"), ("rl_00002", r"\frac{1}{2}"), ("rl_99999", "7"), ("rl_100000", None), ("rl_100001", "9")]
     return spark.createDataFrame(rows, "id string, ground_truth string")

@@ -134,7 +134,9 @@ def test_running_total(spark):
     assert ours == {i: sum(3 * j for j in range(i)) for i in range(100)}
 
 
-def test_positions_across_files(spark):
+@pytest.mark.parametrize("broadcast_files", [50_000, 1])
+def test_positions_across_files(spark, monkeypatch, broadcast_files):
+    monkeypatch.setattr("tallymark.sources.tables.BROADCAST_FILES", broadcast_files)
     path = shared_folder(spark)
     spark.range(1_000, numPartitions=5).selectExpr("id", "concat('p', id) as problem").sortWithinPartitions("id").write.parquet(path)
     placed = with_positions(spark.read.parquet(path)).orderBy("idx").collect()
