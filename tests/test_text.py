@@ -1,6 +1,7 @@
 """Text columns against plain Python, on fixed and random strings."""
 
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -66,17 +67,19 @@ def tag_twin(text):
     return (out + text[at:]).strip() or text.strip()
 
 
+INNERMOST = re.compile(r"\\frac\{([^{}]+)\}\{([^{}]+)\}|\\sqrt\{([^{}]+)\}")
+
+
 def expr_twin(text):
-    import re
-
-    text, before = normal_twin(text), None
-    while text != before:
-        before = text
-        text = re.sub(r"\\frac\{([^{}]+)\}\{([^{}]+)\}", lambda m: f"(({m[1]})/({m[2]}))", text)
-        text = re.sub(r"\\sqrt\{([^{}]+)\}", lambda m: f"sqrt({m[1]})", text)
-    for old, new in {"{": "(", "}": ")", "^": "**", r"\cdot": "*", r"\times": "*", r"\pi": "pi"}.items():
-        text = text.replace(old, new)
-    return text
+    text = normal_twin(text)
+    while match := INNERMOST.search(text):
+        over, under, root = match.groups()
+        new = f"sqrt({root})" if root is not None else f"(({over})/({under}))"
+        text = text[: match.start()] + new + text[match.end() :]
+    names = {r"\cdot": "*", r"\times": "*", r"\pi": "pi"}
+    for name, new in names.items():
+        text = new.join(text.split(name))
+    return text.translate(str.maketrans({"{": "(", "}": ")", "^": "**"}))
 
 
 def test_whitespace_is_what_python_strips():
