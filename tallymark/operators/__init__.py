@@ -43,7 +43,7 @@ from tallymark.operators.samples import (
     teacher_request,
     teacher_request_json,
 )
-from tallymark.operators.skew import exists_join, hot_keys, join_unique
+from tallymark.operators.skew import exists_join, hot_keys, join_unique, one_per_key
 
 __all__ = [
     "chat_rl",
@@ -73,6 +73,7 @@ __all__ = [
     "join_unique",
     "mock_completion",
     "num_samples",
+    "one_per_key",
     "predicted_answers",
     "prep_summary",
     "rate",

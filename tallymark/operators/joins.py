@@ -9,9 +9,13 @@ from tallymark.fixed import GENERATIONS
 from tallymark.operators.skew import exists_join, join_unique
 
 
-def join_truth(completions: DataFrame, truth: DataFrame, key: str = "id", hot: DataFrame | None = None) -> DataFrame:
+def join_truth(
+    completions: DataFrame, truth: DataFrame, key: str = "id", hot: DataFrame | None = None, known_unique: bool = False
+) -> DataFrame:
     """Completions with their truth; unmatched rows of either side drop out, doubled truths are an error."""
-    return join_unique(completions, truth, key, spread=["gen"], hot=hot, what="ground truth")
+    return join_unique(
+        completions, truth, key, spread=["gen"], hot=hot, known_unique=known_unique, what="ground truth"
+    )
 
 
 def join_predictions(dataset: DataFrame, predictions: DataFrame, key: str = "id") -> DataFrame:

@@ -71,13 +71,9 @@ def _copied(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     return df.join(F.broadcast(hot), key, "left").withColumn(_SALT, F.explode(salts)).drop(_SALTS)
 
 
-def _one_per_key(df: DataFrame, key: str, what: str) -> DataFrame:
-    """The table itself if each key occurs once in it; an error on use if not.
-
-    Grouping by the columns of the join that follows, so that the join needs no second shuffle.
-    """
-    values = [name for name in df.columns if name not in (key, _SALT)]
-    grouped = df.groupBy(key, _SALT).agg(
+def _one_per_group(df: DataFrame, key: str, keys: Sequence[str], what: str) -> DataFrame:
+    values = [name for name in df.columns if name not in keys]
+    grouped = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias(_COPIES), *[F.first(name).alias(name) for name in values]
     )
     message = F.concat(F.lit(f"more than one {what} row for key "), F.col(key).cast("string"))
@@ -87,6 +83,11 @@ def _one_per_key(df: DataFrame, key: str, what: str) -> DataFrame:
     return grouped.withColumns(checked).drop(_COPIES)
 
 
+def one_per_key(df: DataFrame, key: str, what: str = "right-hand") -> DataFrame:
+    """The table itself if each key occurs once in it; an error on use if not."""
+    return _one_per_group(df, key, [key], what)
+
+
 def join_unique(
     left: DataFrame,
     right: DataFrame,
@@ -108,7 +109,8 @@ def join_unique(
     hot = hot_keys(left, key) if hot is None else hot
     right = _copied(right, key, hot)
     if not known_unique:
-        right = _one_per_key(right, key, what)
+        # Grouped by the columns of the join, so that the join needs no second shuffle.
+        right = _one_per_group(right, key, [key, _SALT], what)
     left = _salted(left, key, hot, spread, shuffle_partitions(left))
     return left.join(right, [key, _SALT], how).drop(_SALT)
 

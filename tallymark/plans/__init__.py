@@ -1,7 +1,7 @@
 """Compositions of operators."""
 
 from tallymark.plans.evaluate import Evaluation, evaluate, graded_predictions
-from tallymark.plans.grade import grade_rollouts, score_rollouts, ungraded
+from tallymark.plans.grade import grade_rollouts, reduced_truths, score_reduced, score_rollouts, ungraded
 from tallymark.plans.prepare import Prepared, accepted, classify, prepare_all, prepare_rl, prepare_sft
 
 __all__ = [
@@ -15,6 +15,8 @@ __all__ = [
     "prepare_all",
     "prepare_rl",
     "prepare_sft",
+    "reduced_truths",
+    "score_reduced",
     "score_rollouts",
     "ungraded",
 ]

@@ -55,7 +55,11 @@ def evaluate(
     """
     position = F.col(order) if order else sample_number(F.col("id"))
     examples = dataset.select("id", "ground_truth", position.alias("position"))
-    pairs = graded_predictions(first_rows(examples, max_samples, "position"), predictions)
+    examples = first_rows(examples, max_samples, "position")
+    if max_samples:
+        # Leave out the predictions for all other examples before anything is shuffled.
+        predictions = predictions.join(examples.select("id"), "id", "left_semi")
+    pairs = graded_predictions(examples, predictions)
     graded = grade(pairs.filter(gradable()))
     return Evaluation(
         model=model,

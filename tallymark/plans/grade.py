@@ -15,6 +15,24 @@ from tallymark.operators.skew import hot_keys
 from tallymark.storage import materialize
 
 
+def reduced_truths(problems: DataFrame, rewards: Sequence[Reward] = DEFAULT_REWARDS, key: str = "id") -> DataFrame:
+    """What the rewards need of each problem's ground truth."""
+    return problems.select(key, *truth_parts(rewards, truth_column(problems)))
+
+
+def score_reduced(
+    completions: DataFrame,
+    truths: DataFrame,
+    rewards: Sequence[Reward] = DEFAULT_REWARDS,
+    key: str = "id",
+    hot: DataFrame | None = None,
+    known_unique: bool = False,
+) -> DataFrame:
+    """Rewards per completion from truths that :func:`reduced_truths` gave."""
+    answers = completions.select(key, "gen", *completion_parts(rewards, F.col("completion")))
+    return score_parts(join_truth(answers, truths, key, hot, known_unique), rewards)
+
+
 def score_rollouts(
     completions: DataFrame,
     problems: DataFrame,
@@ -27,9 +45,7 @@ def score_rollouts(
     Each side is first reduced to what the rewards need of it, so that the join moves extracted
     answers and not whole completions, and each truth is parsed once rather than per completion.
     """
-    answers = completions.select(key, "gen", *completion_parts(rewards, F.col("completion")))
-    truths = problems.select(key, *truth_parts(rewards, truth_column(problems)))
-    return score_parts(join_truth(answers, truths, key, hot), rewards)
+    return score_reduced(completions, reduced_truths(problems, rewards, key), rewards, key, hot)
 
 
 def ungraded(scored: DataFrame) -> DataFrame:

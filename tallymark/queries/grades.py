@@ -73,7 +73,7 @@ from tallymark.queries.shared import (
 )
 from tallymark.schemas import COMPLETION
 from tallymark.sources import write_eval_samples, write_report
-from tallymark.storage import shared_folder
+from tallymark.storage import materialize, shared_folder
 from tallymark.streaming import score_stream
 
 # --- payloads ------------------------------------------------------------------
@@ -456,7 +456,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = apply_rewards(paired(spark, sf_dir).select("idx", "gen", "completion", "ground_truth"))
-    rows = group_advantage(scored.select("idx", "gen", "total_reward"), group="idx")
+    rows = group_advantage(materialize(scored.select("idx", "gen", "total_reward")), group="idx")
     return rows.select("idx", "gen", F.round("advantage", 6).alias("advantage"))
 
 

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tallymark.functions.rewards import DEFAULT_REWARDS, Reward
-from tallymark.operators.skew import hot_keys
-from tallymark.plans.grade import score_rollouts
+from tallymark.operators.skew import hot_keys, one_per_key
+from tallymark.plans.grade import reduced_truths, score_reduced
 from tallymark.schemas import COMPLETION
 from tallymark.storage import materialize
 
@@ -34,14 +34,17 @@ def score_stream(
 ) -> StreamingQuery:
     """Score what lies in ``source`` and append it to the Parquet table ``target``, then stop.
 
-    The same expressions as in batch, joined with the static problems. Nothing is kept between
-    batches; the file sink and the checkpoint make each completion count once. ``hot`` (see
+    The same expressions as in batch, joined with the static problems, whose truths are checked and
+    parsed once for all batches. Nothing is kept between batches; the file sink and the
+    checkpoint make each completion count once. ``hot`` (see
     :func:`tallymark.operators.hot_keys`) routes keys with many rows and by default comes from
     the files that are there now.
     """
     if hot is None:
         hot = materialize(hot_keys(spark.read.schema(COMPLETION).json(source).select("id"), "id"))
-    scored = score_rollouts(completion_stream(spark, source, files_per_batch), problems, rewards, "id", hot)
+    truths = materialize(one_per_key(reduced_truths(problems, rewards), "id", "ground truth"))
+    arriving = completion_stream(spark, source, files_per_batch)
+    scored = score_reduced(arriving, truths, rewards, "id", hot, known_unique=True)
     return (
         scored.writeStream.format("parquet")
         .option("path", target)

@@ -82,6 +82,11 @@ def test_report_does_not_shuffle_predictions(spark):
         assert not re.search(r"[\[ ](prediction|generated|completion)#", block)
 
 
+def test_few_samples_need_few_predictions(spark):
+    text = plan(evaluate(rl_samples(spark, SF), predictions(spark, SF), MODEL, 128).report)
+    assert "BroadcastHashJoin LeftSemi BuildRight" in text and "TakeOrderedAndProject" in text
+
+
 def test_columns_and_filters_reach_the_scan(spark):
     text = plan(entry.queries()["split_rl"](spark, SF))
     assert "ReadSchema: struct<p_partkey:bigint,p_name:string>" in text
