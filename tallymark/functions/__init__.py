@@ -18,6 +18,7 @@ from tallymark.functions.rewards import (
 )
 from tallymark.functions.sql import register_sql_functions
 from tallymark.functions.text import (
+    completion_text,
     exact_equal,
     extract_answer,
     has_answer,
@@ -43,6 +44,7 @@ __all__ = [
     "clean_ground_truth",
     "closed_form",
     "closed_value",
+    "completion_text",
     "compute_reward",
     "equals_key",
     "exact_equal",

@@ -22,7 +22,7 @@ from tallymark.fixed import (
     REASONING_MARKER,
 )
 from tallymark.functions.equivalence import answer_key, equals_key, math_equal
-from tallymark.functions.text import extract_answer, has_answer
+from tallymark.functions.text import completion_text, extract_answer, has_answer
 
 
 def _score(points: float, condition: Column) -> Column:
@@ -152,7 +152,7 @@ def apply_rewards(
     completion: str = "completion",
     truth: str | None = None,
 ) -> DataFrame:
-    """Score a table that holds completions together with their truths."""
+    """Score a table that holds completions (of any payload type) together with their truths."""
     truth_side = F.col(truth) if truth else truth_column(df)
-    parts = df.select("*", *completion_parts(rewards, F.col(completion)), *truth_parts(rewards, truth_side))
+    parts = df.select("*", *completion_parts(rewards, completion_text(df, completion)), *truth_parts(rewards, truth_side))
     return score_parts(parts, rewards)

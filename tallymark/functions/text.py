@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallymark.fixed import ANSWER_BLOCK, IMAGE_TAG, WHITESPACE, WHITESPACE_CLASS
 
@@ -69,6 +70,20 @@ def text_variant(payload: Column) -> Column:
     )
 
 
+def completion_text(df: DataFrame, name: str = "completion") -> Column:
+    """Text of a payload column, whatever its type: text, messages, messages of chunks, or VARIANT."""
+    kind, payload = df.schema[name].dataType, F.col(name)
+    if isinstance(kind, T.StringType):
+        return text_plain(payload)
+    if isinstance(kind, T.VariantType):
+        return text_variant(payload)
+    message = kind.elementType if isinstance(kind, T.ArrayType) else None
+    if isinstance(message, T.StructType) and "content" in message.names:
+        of_chunks = isinstance(message["content"].dataType, T.ArrayType)
+        return text_chunks(payload) if of_chunks else text_messages(payload)
+    return payload.cast("string")
+
+
 def extract_answer(text: Column) -> Column:
     """Content of the first answer block: NULL without one, ``''`` for an empty one.
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallymark.fixed import ADVANTAGE_EPS
 from tallymark.functions.rewards import DEFAULT_REWARDS, Reward, completion_parts, score_parts, truth_column, truth_parts
+from tallymark.functions.text import completion_text
 from tallymark.operators.advantage import group_advantage
 from tallymark.operators.joins import join_truth
 from tallymark.operators.skew import hot_keys
@@ -29,7 +30,7 @@ def score_reduced(
     known_unique: bool = False,
 ) -> DataFrame:
     """Rewards per completion from truths that :func:`reduced_truths` gave."""
-    answers = completions.select(key, "gen", *completion_parts(rewards, F.col("completion")))
+    answers = completions.select(key, "gen", *completion_parts(rewards, completion_text(completions)))
     return score_parts(join_truth(answers, truths, key, hot, known_unique), rewards)
 
 
@@ -42,6 +43,8 @@ def score_rollouts(
 ) -> DataFrame:
     """Rewards per completion: ``key, gen``, one column per reward, ``total_reward``.
 
+    Completions may be texts, lists of messages, messages of typed chunks, or VARIANT.
+
     Each side is first reduced to what the rewards need of it, so that the join moves extracted
     answers and not whole completions, and each truth is parsed once rather than per completion.
     """

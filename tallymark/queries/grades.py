@@ -23,6 +23,7 @@ from tallymark.functions import (
     apply_rewards,
     closed_form,
     closed_value,
+    completion_text,
     compute_reward,
     exact_equal,
     extract_answer,
@@ -151,6 +152,20 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _documents(spark, sf_dir).select("doc_id", *_digest("text", text_variant(F.parse_json(payload))))
 
 
+@query("completion_text", f"select idx, gen, {EXTRACTED_SQL} as messages, {EXTRACTED_SQL} as chunks, {EXTRACTED_SQL} as mixed from completions")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.col("completion")
+    rows = completions(spark, sf_dir).select(
+        "idx",
+        "gen",
+        F.array(_message("system", F.lit("")), _message("assistant", text)).alias("messages"),
+        F.array(_message("assistant", F.array(_chunk("image", F.lit("none")), _chunk("text", text)))).alias("chunks"),
+        F.parse_json(F.to_json(F.array(_message("assistant", text)))).alias("mixed"),
+    )
+    texts = {name: extract_answer(completion_text(rows, name)) for name in ("messages", "chunks", "mixed")}
+    return rows.withColumns(texts)
+
+
 # --- text functions ------------------------------------------------------------
 
 

@@ -68,6 +68,15 @@ def test_joined_and_side_by_side_scores_agree(completions, truths):
     assert sorted(together.collect()) == sorted(apart.collect())
 
 
+def test_messages_score_like_texts(completions, truths):
+    spoken = F.array(
+        F.struct(F.lit("user").alias("role"), F.lit("").alias("content")),
+        F.struct(F.lit("assistant").alias("role"), F.col("completion").alias("content")),
+    )
+    by_message = score_rollouts(completions.withColumn("completion", spoken), truths)
+    assert sorted(by_message.collect()) == sorted(score_rollouts(completions, truths).collect())
+
+
 def test_answers_without_truth(spark, completions):
     truths = spark.createDataFrame([("p1", "2"), ("p2", None)], "id string, ground_truth string")
     graded = grade_rollouts(completions, truths)
