@@ -28,7 +28,6 @@ _FACTOR = (
 _LINK = r"·*+\*?+·*+"
 _PRODUCT = rf"·*+{_FACTOR}(?:{_LINK}{_FACTOR})*+·*+"
 _TERM = rf"^·*+{_FACTOR}(?:{_LINK}{_FACTOR}|·*+⁄{_PRODUCT}⁆)*+·*+$"
-_DIVISOR_FACTOR = rf"{_FACTOR}(?=[^⁄⁆]*+⁆)"
 _SIGNED_TERM = r"[+-]*+(?:\{[^{}]*+\}|[^+\-{}])++"
 
 _BRACED = r"[^{}]*+(?:\{[^{}]*+\}[^{}]*+)*+"
@@ -131,9 +130,14 @@ def _signed_terms(text: Column) -> Column:
 def _factors(term: Column) -> Column:
     """Factors of a term, those of its divisors marked by ``⁄``; NULL outside the grammar."""
 
+    def found(text: Column) -> Column:
+        return F.regexp_extract_all(text, F.lit(_FACTOR), F.lit(0))
+
     def split_up(body: Column) -> Column:
-        marked = F.when(F.contains(body, F.lit("⁄")), F.regexp_replace(body, _DIVISOR_FACTOR, "⁄$0")).otherwise(body)
-        return F.when(body.rlike(_TERM), F.regexp_extract_all(marked, F.lit(rf"⁄*+{_FACTOR}"), F.lit(0)))
+        divisors = F.array_join(F.regexp_extract_all(body, F.lit("⁄([^⁆]*+)⁆"), F.lit(1)), "·")
+        marked = F.transform(found(divisors), lambda factor: F.concat(F.lit("⁄"), factor))
+        divided = F.concat(found(F.regexp_replace(body, "⁄[^⁆]*+⁆", "·")), marked)
+        return F.when(body.rlike(_TERM), F.when(F.contains(body, F.lit("⁄")), divided).otherwise(found(body)))
 
     return let(F.ltrim(term, F.lit("+-")), split_up)
 
