@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import decontaminate, secrets
+from tallymark.llm import decontaminate, minhash, packing, secrets, token_output, warc_zip
 from tallymark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,3 +109,40 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     counts = [count(rule.kind).alias(f"n_{rule.kind}") for rule in secrets.RULES]
     return found.select("doc_id", *counts, F.sha2(spans, 256).alias("base_sha256"), spans.alias("spans"))
+
+
+@query("op4_token_output")
+def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = token_output.write_tokens(table(spark, sf_dir, "documents"))
+    return token_output.digest(token_output.read_tokens(spark, folder)).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query("op10_packing")
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query("op1_minhash")
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.classes(table(spark, sf_dir, "documents"))
+
+
+WARC_SQL = r"""
+with p as (select page_id, coalesce(html, '') as t from pages),
+h as (select page_id, t, sha1(t) as hex from p),
+g as (select page_id, t, hex, list_transform(range(8), lambda i: cast('0x' || substr(hex, cast(i * 5 + 1 as int), 5) as bigint)) as v from h),
+s as (
+  select page_id, strlen(t) as payload_bytes, min(page_id) over (partition by hex) as first,
+         array_to_string(list_transform(range(32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast(((v[cast(j // 4 as int) + 1] >> cast(15 - 5 * (j % 4) as int)) & 31) + 1 as int), 1)), '') as payload_digest
+  from g)
+select page_id, cast(payload_bytes as bigint) as payload_bytes, payload_digest,
+       case when page_id = first then 'response' else 'revisit' end as record_type,
+       case when page_id = first then null else first end as refers_to
+from s
+"""
+
+
+@query("op5_warc_zip", WARC_SQL)
+def op5_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = warc_zip.write_archives(table(spark, sf_dir, "pages"))
+    return warc_zip.read_archives(spark, folder)
