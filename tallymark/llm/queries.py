@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import decontaminate, minhash, packing, secrets, token_output, warc_zip
+from tallymark.llm import cover_tree, decontaminate, minhash, packing, secrets, token_output, warc_zip
 from tallymark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -146,3 +146,26 @@ from s
 def op5_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = warc_zip.write_archives(table(spark, sf_dir, "pages"))
     return warc_zip.read_archives(spark, folder)
+
+
+VECTORS_SQL = r"""
+with recursive v as (
+  select vec_id, label, cast(embedding as double[]) as e from embeddings
+  where label is not null and vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links as (
+  select a.vec_id as a, b.vec_id as b from v a join v b on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+  where list_cosine_similarity(a.e, b.e) >= 0.93),
+reach(a, b) as (
+  select vec_id, vec_id from v union select r.a, l.b from reach r join links l on r.b = l.a),
+least as (select a, min(b) as c from reach group by a),
+n as (select a, count(*) as n from links group by a)
+select vec_id, cast(coalesce(n, 0) as bigint) as n_links, coalesce(c, vec_id) as component_id, coalesce(c, vec_id) = vec_id as kept
+from embeddings left join n on n.a = vec_id left join least on least.a = vec_id
+"""
+
+
+@query("op7_cover_tree", VECTORS_SQL)
+def op7_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.similar_vectors(table(spark, sf_dir, "embeddings"))
