@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import cover_tree, decontaminate, minhash, packing, secrets, token_output, warc_zip
+from tallymark.llm import (
+    cover_tree,
+    decontaminate,
+    language,
+    minhash,
+    packing,
+    quality,
+    secrets,
+    token_output,
+    toxicity,
+    warc_zip,
+)
 from tallymark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -169,3 +180,18 @@ from embeddings left join n on n.a = vec_id left join least on least.a = vec_id
 @query("op7_cover_tree", VECTORS_SQL)
 def op7_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cover_tree.similar_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op3_toxicity")
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op6_language")
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identified(table(spark, sf_dir, "documents"))
+
+
+@query("op8_quality")
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
