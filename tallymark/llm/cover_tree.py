@@ -35,6 +35,7 @@ SAMPLE = 8_192
 BLOCK = 1_024
 # Chords are known to about 1e-8: single pairs are decided by their cosine alone.
 _SLACK = 1e-6
+_SAME = 1e-7
 _MATRIX = 1 << 22
 
 
@@ -64,14 +65,16 @@ class CoverTree:
             nodes[at][3] = float(away.max()) if len(members) > 1 else 0.0
             if len(members) > 1:
                 reach = spread[at] / 2
-                while reach > nodes[at][3]:
+                while reach > max(nodes[at][3], _SAME):
                     reach /= 2
                 nodes[at][4] = len(nodes)
                 # The node's own center is its first child's: levels are nested.
                 left, placed, first = members, [], center
                 while len(left):
-                    near = _chords(points[first][None], points[left])[0] <= reach
-                    near |= left == first
+                    # Points that can't be told apart become single children at once.
+                    near = left == first
+                    if nodes[at][3] > _SAME:
+                        near |= _chords(points[first][None], points[left])[0] <= reach
                     group = left[near]
                     nodes.append([begin + sum(map(len, placed)), 0, int(first), 0.0, 0, 0])
                     nodes[-1][1] = nodes[-1][0] + len(group)
@@ -310,7 +313,8 @@ def similar_vectors(embeddings: DataFrame, least: float = LEAST, sample: int = S
     for side in ("1", "2"):
         data = blocks.select(*[F.col(c).alias(c + side) for c in ("block", "ids", "times", "points")])
         pairs = pairs.join(data, "block" + side)
-    spread = pairs.repartition(F.xxhash64("block1", "block2"))
+    partitions = int(embeddings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = pairs.repartition(partitions, "block1", "block2")
     found = materialize(spread.mapInArrow(partial(_compare, least=least), "vec_id long, links long, other long"))
 
     counts = found.groupBy("vec_id").agg(F.sum("links").alias("links"))
