@@ -200,7 +200,8 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     totals = manifest.groupBy("part").agg(F.sum("ids").alias("ids"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("part", F.coalesce(F.sum("ids").over(earlier), F.lit(0)).alias("base"))
-    files = manifest.select("part", "file").repartition("part", "file")
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    files = manifest.select("part", "file").repartition(partitions, "part", "file")
     found = files.mapInArrow(read, "part long, doc_id long, inside long, ids binary")
     joined = found.join(bounded_broadcast(materialize(bases)), "part")
     return joined.select(

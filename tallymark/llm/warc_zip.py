@@ -293,4 +293,6 @@ def read_archives(spark: SparkSession, folder: str, payloads: bool = False) -> D
 
     schema = _RECORDS + (", payload binary" if payloads else "")
     names = [field.split()[0] for field in schema.split(", ")]
-    return spark.read.parquet(f"{folder}/manifest").select("archive").repartition("archive").mapInArrow(read, schema)
+    archives = spark.read.parquet(f"{folder}/manifest").select("archive")
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return archives.repartition(partitions, "archive").mapInArrow(read, schema)
