@@ -139,25 +139,31 @@ def findings(versions: DataFrame, path: str, rules: tuple[Rule, ...] = RULES) ->
     return materialize(each.groupBy("blob").agg(spans.alias("spans")))
 
 
+def _scanned(versions: DataFrame, path: str | None, rules: tuple[Rule, ...], key: str, name: str) -> DataFrame:
+    path = path or shared_folder(versions.sparkSession)
+    update_ledger(versions, path, rules, key)
+    spans = findings(versions, path, rules).select(F.col("blob").alias("__blob"), F.col("spans").alias("__found"))
+    none = F.array().cast("array<struct<start:int,nth:int,kind:string,end:int>>")
+    joined = versions.drop(name).withColumn("__blob", _blob()).join(spans, "__blob", "left").drop("__blob")
+    return joined.withColumn(name, F.coalesce("__found", none)).drop("__found")
+
+
 def scan(versions: DataFrame, path: str | None = None, rules: tuple[Rule, ...] = RULES, key: str = "doc_id") -> DataFrame:
     """``versions`` with the column ``secret_spans``, an array of ``start, nth, kind, end``; empty where nothing is found.
 
-    ``path`` is a ledger of earlier runs, to be continued; by default one is begun.
+    ``path`` is a ledger of earlier runs, to be continued; by default one is begun. A column of that name is replaced.
     """
-    path = path or shared_folder(versions.sparkSession)
-    update_ledger(versions, path, rules, key)
-    spans = findings(versions, path, rules).withColumnRenamed("spans", "secret_spans").withColumnRenamed("blob", "__blob")
-    none = F.array().cast("array<struct<start:int,nth:int,kind:string,end:int>>")
-    joined = versions.withColumn("__blob", _blob()).join(spans, "__blob", "left").drop("__blob")
-    return joined.withColumn("secret_spans", F.coalesce("secret_spans", none))
+    return _scanned(versions, path, rules, key, "secret_spans")
 
 
-def redact(versions: DataFrame, path: str | None = None, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRET]") -> DataFrame:
+def redact(
+    versions: DataFrame, path: str | None = None, rules: tuple[Rule, ...] = RULES, key: str = "doc_id", mark: str = "[SECRET]"
+) -> DataFrame:
     """``versions`` with each run of overlapping spans replaced by ``mark``; texts without any stay as they are, null too."""
-    found = scan(versions, path, rules)
+    found = _scanned(versions, path, rules, key, "__spans")
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     walked = F.aggregate(
-        "secret_spans",
+        "__spans",
         zero,
         lambda a, s: F.struct(
             F.greatest(a["at"], s["end"]).alias("at"),
@@ -170,5 +176,5 @@ def redact(versions: DataFrame, path: str | None = None, rules: tuple[Rule, ...]
         ),
     )
     rest = F.concat(walked["out"], F.substr("text", walked["at"] + 1))
-    text = F.when(F.size("secret_spans") > 0, rest).otherwise(F.col("text"))
-    return found.withColumn("text", text).drop("secret_spans")
+    text = F.when(F.size("__spans") > 0, rest).otherwise(F.col("text"))
+    return found.withColumn("text", text).drop("__spans")
