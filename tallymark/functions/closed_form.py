@@ -1,17 +1,19 @@
 r"""Values of closed-form answers, from built-in expressions only.
 
-The grammar: sums of products of numbers, ``\sqrt{..}``, ``\pi`` and their integer powers, with
-``\frac{..}{..}`` or ``/`` for division. :func:`closed_value` gives the value of all of it;
-:func:`closed_form` gives an exact key for a single product of numbers, square roots and
-``\pi``. Both are NULL for any other text.
-
-Every repeated group in the patterns below is possessive: it never gives characters back, so a
-pattern needs neither a deep stack nor more than linear time on a long text.
+The grammar: sums, products, quotients and powers of numbers, ``\sqrt{..}``, ``\sqrt[n]{..}`` and
+``\pi``, grouped by parentheses, braces and ``\frac{..}{..}`` to any depth. :func:`closed_value`
+gives the value; :func:`closed_form` gives an exact key where no sum of several terms occurs. Both
+are NULL for any other text.
+
+A text is cut into tokens once, and one pass over the tokens computes the result. The pass keeps a
+stack of open groups; a token changes the innermost group only, so that the cost grows with the
+number of tokens times the depth of the nesting.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,24 +21,10 @@ from pyspark.sql import functions as F
 from tallymark.functions.latex import normalize_latex
 
 _NUMBER = r"(?:\d++(?:\.\d++)?+|\.\d++)(?![\d.])"
-# Groups: number, root index, radicand, divisor of the radicand, exponent with and without braces.
-_FACTOR = (
-    rf"(?:({_NUMBER})|\\sqrt(?:\[(\d++)\])?+\{{({_NUMBER})(?::({_NUMBER}))?+\}}|\\pi(?![A-Za-z]))"
-    r"(?:\^\{([+-]?+\d++)\}|\^(\d++))?+"
-)
-# In rewritten text `·` separates factors and `⁄..⁆` holds the factors of a divisor.
-_LINK = r"·*+\*?+·*+"
-_PRODUCT = rf"·*+{_FACTOR}(?:{_LINK}{_FACTOR})*+·*+"
-_TERM = rf"^·*+{_FACTOR}(?:{_LINK}{_FACTOR}|·*+⁄{_PRODUCT}⁆)*+·*+$"
-_SIGNED_TERM = r"[+-]*+(?:\{[^{}]*+\}|[^+\-{}])++"
-
-_BRACED = r"[^{}]*+(?:\{[^{}]*+\}[^{}]*+)*+"
-_BRACED_PRODUCT = r"[^{}+\-]*+(?:\{[^{}]*+\}[^{}+\-]*+)*+"
-_WHOLE_FRACTION = rf"^([+-]*+)\\frac\{{({_BRACED})\}}\{{({_BRACED})\}}$"
-_PRODUCT_FRACTION = rf"\\frac\{{({_BRACED_PRODUCT})\}}\{{({_BRACED_PRODUCT})\}}"
+_TOKEN = rf"{_NUMBER}|\\frac|\\sqrt|\\pi|[+\-*/^(){{}}\[\]]"
 
 _PLAIN_NUMBER = r"^[+-]?+(?:\d++(?:\.\d++)?+|\.\d++)$"
-_ALPHABET = r"^(?:\\frac|\\sqrt|\\pi|[0-9.+\-*/:^(){}\[\]])++$"
+_ALPHABET = r"^(?:\\frac|\\sqrt|\\pi(?![A-Za-z])|[0-9.+\-*/^(){}\[\]])++$"
 
 # The most frequent forms: a number, a square root and pi, each at most once, over a number at most.
 # Groups: sign, start of a fraction, number, radicand, pi, middle of a fraction, divisor.
@@ -45,8 +33,8 @@ _SHORT = (
 )
 _SHORT_PARTS = "$1|$2|$3|$4|$5|$6|$7"
 
-_MAX_EXPONENT = 64  # of an exact key; values have no such bound
 _GCD_STEPS = 185  # Euclid's worst case below 10**38 takes 183 divisions
+_BITS = 31  # of an integer exponent; 38 digits are exceeded long before, but by 1 and pi
 _INTEGER = "decimal(38,0)"
 
 
@@ -85,129 +73,211 @@ def _spelled(normalized: Column) -> Column:
         (r"\\(?:cdot|times)(?![A-Za-z])", "*"),
         (r"\\div(?![A-Za-z])", "/"),
     )
-    # Digits apart from each other are no number: the question mark is outside the grammar.
-    joined = _rewrite_if(" ", words, (r"(?<=[\d.]) ++(?=[\d.])", "?"), (r" ", ""))
-    numbers = _rewrite_if(",", joined, (r"(?<=\d),(?=\d{3}(?!\d))", ""))
-    return _rewrite_where(
-        lambda t: F.contains(t, F.lit("\\sqrt{\\frac{")) | F.contains(t, F.lit("/")),
-        numbers,
-        (rf"\\sqrt\{{\\frac\{{({_NUMBER})\}}\{{({_NUMBER})\}}\}}", r"\\sqrt{$1:$2}"),
-        (rf"\\sqrt\{{({_NUMBER})/({_NUMBER})\}}", r"\\sqrt{$1:$2}"),
+    # Arguments without braces are single digits.
+    argued = _rewrite_where(
+        lambda t: t.rlike(r"\\(?:frac|sqrt) ?+\d"),
+        words,
+        (r"\\frac ?+(\d) ?+(\d)", r"\\frac{$1}{$2}"),
+        (r"\\frac ?+(\d) ?+(?=\{)", r"\\frac{$1}"),
+        (r"\\sqrt ?+(\d)", r"\\sqrt{$1}"),
     )
+    # Digits apart from each other are no number: the question mark is outside the grammar.
+    joined = _rewrite_if(" ", argued, (r"(?<=[\d.]) ++(?=[\d.])", "?"), (r" ", ""))
+    return _rewrite_if(",", joined, (r"(?<=\d),(?=\d{3}(?!\d))", ""))
 
 
-def _flat(text: Column) -> Column:
-    """Rewrite fractions, slashes and parentheses of products to separated factors."""
-    outside = _rewrite_if("(", text, (r"^\(([^()]*+)\)$", "$1"))
-    fractions = _rewrite_if(
-        "\\frac",
-        outside,
-        (r"(?<![^+\-])\\frac\{-", r"-\\frac{"),
-        (_PRODUCT_FRACTION, "·$1⁄$2⁆"),
-        (_PRODUCT_FRACTION, "·$1⁄$2⁆"),
-    )
-    products = _rewrite_if(
-        "(",
-        fractions,
-        (rf"\(·*+({_NUMBER})⁄({_NUMBER})⁆\)\^(?:\{{(\d++)\}}|(\d++))", "·$1^{$3$4}⁄$2^{$3$4}⁆"),
-        (rf"\(({_FACTOR})\)(?=\^)", "·$1"),
-        (r"/\(([^()+\-/]++)\)(?!\^)", "⁄$1⁆"),
-        (r"(?<!\^)\(([^()+\-]++)\)(?!\^)", "·$1·"),
-    )
-    return _rewrite_if("/", products, (rf"/({_FACTOR})", "⁄$1⁆"))
+# --- one pass over the tokens -------------------------------------------------
+#
+# Written as SQL text, in which a lambda of this size costs one call into the JVM and not thousands.
 
 
-def _signed_terms(text: Column) -> Column:
-    """The terms of a sum with their signs; NULL unless they make up the whole text."""
+@dataclass(frozen=True)
+class _Algebra:
+    """What the pass computes with, as SQL of SQL operands. NULL is a result that there is none."""
 
-    def whole(text: Column) -> Column:
-        terms = F.regexp_extract_all(text, F.lit(_SIGNED_TERM), F.lit(0))
-        return let(terms, lambda found: F.when(F.array_join(found, "") == text, found))
+    zero: str
+    one: str
+    pi: str
+    number: Callable[[str], str]
+    plus: Callable[[str, str], str]
+    negative: Callable[[str], str]
+    times: Callable[[str, str], str]
+    over: Callable[[str, str], str]
+    power: Callable[[str, str], str]
+    root: Callable[[str], str]
+    nth_root: Callable[[str, str], str]
 
-    return let(text, whole)
 
+def _case(*branches: tuple[str, str], otherwise: str = "NULL") -> str:
+    return "CASE " + " ".join(f"WHEN {found} THEN {then}" for found, then in branches) + f" ELSE {otherwise} END"
 
-def _factors(term: Column) -> Column:
-    """Factors of a term, those of its divisors marked by ``⁄``; NULL outside the grammar."""
 
-    def found(text: Column) -> Column:
-        return F.regexp_extract_all(text, F.lit(_FACTOR), F.lit(0))
+def _let(name: str, value: str, body: str) -> str:
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
 
-    def split_up(body: Column) -> Column:
-        divisors = F.array_join(F.regexp_extract_all(body, F.lit("⁄([^⁆]*+)⁆"), F.lit(1)), "·")
-        marked = F.transform(found(divisors), lambda factor: F.concat(F.lit("⁄"), factor))
-        divided = F.concat(found(F.regexp_replace(body, "⁄[^⁆]*+⁆", "·")), marked)
-        return F.when(body.rlike(_TERM), F.when(F.contains(body, F.lit("⁄")), divided).otherwise(found(body)))
 
-    return let(F.ltrim(term, F.lit("+-")), split_up)
+# What a group is in the middle of, besides a plain sum.
+_PLAIN, _RAISED, _EXPONENT, _MINUS, _TOP, _LOW, _ROOT, _RADICAND = "''", "'p'", "'^'", "'-'", "'n'", "'d'", "'s'", "'r'"
+# Kinds of groups by the bracket that ends them; `^(` and `^{` are exponents, `n`, `d` and `r` arguments.
+_CLOSED_BY = {")": ("(", "^("), "}": ("{", "^{", "n", "d", "r"), "]": ("[",)}
+_FIELDS = ("kind", "total", "product", "factor", "has", "minus", "divides", "amid", "held")
 
 
-def _sign(term: Column) -> Column:
-    signs = F.regexp_extract(term, r"^[+-]*+", 0)
-    return F.when(F.length(F.replace(signs, F.lit("+"), F.lit(""))) % 2 == 1, -1).otherwise(1)
+def _group(kind: str, algebra: _Algebra) -> str:
+    """A group that was just opened: total, product and factor so far, and how the next part goes on."""
+    values = (kind, algebra.zero, algebra.one, algebra.one, "false", "false", "false", _PLAIN, algebra.one)
+    return "named_struct(" + ", ".join(f"'{name}', {value}" for name, value in zip(_FIELDS, values)) + ")"
 
 
-def _part(factor: Column, group: int) -> Column:
-    return F.regexp_extract(factor, _FACTOR, group)
+def _with(group: str, **changes: str) -> str:
+    return "named_struct(" + ", ".join(f"'{n}', {changes.get(n, f'{group}.{n}')}" for n in _FIELDS) + ")"
 
 
-def _exponent(factor: Column) -> Column:
-    return F.concat(_part(factor, 5), _part(factor, 6))
+def _settled(g: str) -> str:
+    return f"({g}.amid IN ({_PLAIN}, {_RAISED}))"
 
 
-def _double(text: Column) -> Column:
-    return text.try_cast("double")
+def _complete(g: str) -> str:
+    return f"({_settled(g)} AND {g}.has)"
 
 
-def _factor_value(factor: Column) -> Column:
-    """Value of a factor. Only digits are ever cast: a failed cast costs more than all the rest."""
+def _product(g: str, algebra: _Algebra) -> str:
+    product, factor = f"{g}.product", f"{g}.factor"
+    return _case((f"{g}.divides", algebra.over(product, factor)), otherwise=algebra.times(product, factor))
 
-    def value(factor: Column) -> Column:
-        base = (
-            F.when(F.startswith(factor, F.lit("\\pi")), F.pi())
-            .when(F.startswith(factor, F.lit("\\sqrt")), _root_value(factor))
-            .otherwise(_double(F.substring_index(factor, "^", 1)))
-        )
-        return F.when(F.contains(factor, F.lit("^")), F.pow(base, _double(_exponent(factor)))).otherwise(base)
 
-    return let(F.ltrim(factor, F.lit("⁄")), value)
+def _sum(g: str, algebra: _Algebra) -> str:
+    signed = _case((f"{g}.minus", algebra.negative("p")), otherwise="p")
+    return _let("p", _product(g, algebra), _let("q", signed, algebra.plus(f"{g}.total", "q")))
 
 
-def _root_value(factor: Column) -> Column:
-    top = _double(_part(factor, 3))
-    radicand = F.when(F.contains(factor, F.lit(":")), F.try_divide(top, _double(_part(factor, 4)))).otherwise(top)
-    return F.when(~F.contains(factor, F.lit("[")), F.sqrt(radicand)).otherwise(
-        F.pow(radicand, F.try_divide(F.lit(1.0), _double(_part(factor, 2))))
+def _operand(g: str, value: str, algebra: _Algebra) -> str:
+    """The next factor; without an operator before it, it multiplies."""
+    return _with(
+        g,
+        product=_case((f"{g}.has", _product(g, algebra)), otherwise=f"{g}.product"),
+        divides=f"({g}.divides AND NOT {g}.has)",
+        factor=value,
+        has="true",
+        amid=_PLAIN,
     )
 
 
-def _term_value(term: Column) -> Column:
-    def times(value: Column, factor: Column) -> Column:
-        return F.when(F.startswith(factor, F.lit("⁄")), F.try_divide(value, _factor_value(factor))).otherwise(
-            value * _factor_value(factor)
-        )
+def _to_power(g: str, exponent: str, algebra: _Algebra) -> str:
+    return _with(g, factor=algebra.power(f"{g}.factor", exponent), amid=_RAISED)
+
 
-    return _sign(term) * F.aggregate(_factors(term), F.lit(1.0), times)
+def _inside(algebra: _Algebra) -> str:
+    """The group ``g`` after a token ``t`` that neither opens nor closes one; NULL if it can't stand there."""
+    atom = _case(
+        (f"g.amid = {_EXPONENT}", _to_power("g", "v", algebra)),
+        (f"g.amid = {_MINUS}", _let("w", algebra.negative("v"), _to_power("g", "w", algebra))),
+        (_settled("g"), _operand("g", "v", algebra)),
+    )
+    fresh = {"factor": algebra.one, "has": "false", "amid": _PLAIN}
+    ended = _with("g", total=_sum("g", algebra), product=algebra.one, minus="(t = '-')", divides="false", **fresh)
+    sign = _case(
+        (f"g.amid = {_EXPONENT} AND t = '-'", _with("g", amid=_MINUS)),
+        (_complete("g"), ended),
+        (_settled("g"), _with("g", minus="(g.minus <> (t = '-'))")),
+    )
+    linked = _with("g", product=_product("g", algebra), divides="(t = '/')", **fresh)
+    return _case(
+        (r"t RLIKE '^[0-9.]'", _let("v", algebra.number("t"), atom)),
+        (r"t = r'\pi'", _let("v", algebra.pi, atom)),
+        ("t IN ('+', '-')", sign),
+        ("t IN ('*', '/')", _case((_complete("g"), linked))),
+        ("t = '^'", _case((f"g.has AND g.amid = {_PLAIN}", _with("g", amid=_EXPONENT)))),
+        (r"t = r'\frac'", _case((_settled("g"), _with("g", amid=_TOP)))),
+        (r"t = r'\sqrt'", _case((_settled("g"), _with("g", amid=_ROOT)))),
+    )
+
+
+def _opened() -> str:
+    """The kind of group that a bracket ``t`` opens in ``g``; NULL if it can't stand there."""
+    return _case(
+        ("t = '['", _case((f"g.amid = {_ROOT}", "'['"))),
+        (f"g.amid = {_EXPONENT}", "concat('^', t)"),
+        (_settled("g"), "t"),
+        (f"t = '{{' AND g.amid IN ({_TOP}, {_LOW})", "g.amid"),
+        (f"t = '{{' AND g.amid IN ({_ROOT}, {_RADICAND})", "'r'"),
+    )
 
 
-def _sum_value(text: Column) -> Column:
-    return F.aggregate(
-        _signed_terms(_flat(text)), F.lit(0.0), lambda total, term: total + _term_value(term)
+def _closed(algebra: _Algebra) -> str:
+    """The outer group ``o`` after the inner one ``g`` is known to be ``v``."""
+    root = _case((f"o.amid = {_RADICAND}", algebra.nth_root("v", "o.held")), otherwise=algebra.root("v"))
+    return _case(
+        ("g.kind IN ('(', '{')", _operand("o", "v", algebra)),
+        ("startswith(g.kind, '^')", _to_power("o", "v", algebra)),
+        (f"g.kind = {_TOP}", _with("o", held="v", amid=_LOW)),
+        (f"g.kind = {_LOW}", _let("w", algebra.over("o.held", "v"), _operand("o", "w", algebra))),
+        ("g.kind = '['", _with("o", held="v", amid=_RADICAND)),
+        ("g.kind = 'r'", _let("w", root, _operand("o", "w", algebra))),
+    )
+
+
+def _state(top: str, below: str) -> str:
+    return f"named_struct('top', {top}, 'below', {below})"
+
+
+def _pass(algebra: _Algebra) -> tuple[str, str, str]:
+    """Start, step and end of the aggregation over tokens. The state is the innermost group and those around it."""
+    ends = " OR ".join(
+        f"(t = '{bracket}' AND g.kind IN ({', '.join(repr(k) for k in kinds)}))" for bracket, kinds in _CLOSED_BY.items()
+    )
+    outer = _let("o", "element_at(a.below, -1)", _closed(algebra))
+    after = _let("v", _sum("g", algebra), _state(outer, "slice(a.below, 1, size(a.below) - 1)"))
+    closing = _case((f"({ends}) AND {_complete('g')} AND size(a.below) > 0", after))
+    opening = _let("k", _opened(), _case(("k IS NOT NULL", _state(_group("k", algebra), "array_append(a.below, g)"))))
+    staying = _let("n", _inside(algebra), _case(("n IS NOT NULL", _state("n", "a.below"))))
+    step = _case(
+        ("a.top IS NULL", "NULL"),
+        ("t IN (')', '}', ']')", _let("g", "a.top", closing)),
+        ("t IN ('(', '{', '[')", _let("g", "a.top", opening)),
+        otherwise=_let("g", "a.top", staying),
     )
+    root = _group("'('", algebra)
+    done = f"a.top IS NOT NULL AND size(a.below) = 0 AND {_complete('g')}"
+    end = _let("g", "a.top", _case((done, _sum("g", algebra))))
+    return _state(root, f"slice(array({root}), 1, 0)"), f"(a, t) -> {step}", f"a -> {end}"
+
+
+def _evaluate(text: Column, algebra: _Algebra) -> Column:
+    """The result of a spelled text, NULL outside the grammar."""
+    tokens = F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0))
+    start, step, end = map(F.expr, _pass(algebra))
+    # Texts that can't be balanced are told apart before a stack of their brackets is built.
+    opened, closed = (F.length(F.regexp_replace(text, f"[^{kind}]++", "")) for kind in (r"(\[{", r")\]}"))
+    return F.when(
+        opened == closed,
+        let(
+            tokens,
+            lambda t: F.when(F.array_join(t, "") == text, F.call_function("aggregate", t, start, step, end)),
+        ),
+    )
+
+
+# --- values -------------------------------------------------------------------
 
 
-def _ratio_value(text: Column) -> Column:
-    """Value of a text that may as a whole be a fraction of two sums."""
-    # A single fraction without signs is a product and needs no such split.
-    may_be_ratio = text.rlike(r"\\frac.*\\frac") | (F.contains(text, F.lit("\\frac")) & text.rlike(r"[+\-]"))
-    split_up = F.split(F.regexp_replace(text, _WHOLE_FRACTION, "$11÷$2÷$3"), "÷")
-    parts = F.when(may_be_ratio, split_up).otherwise(F.array(text))
+def _double(text: Column) -> Column:
+    return text.try_cast("double")
 
-    def ratio(values: Column) -> Column:
-        first, top, low = (F.get(values, F.lit(i)) for i in range(3))
-        return F.when(F.size(values) == 3, F.try_divide(first * top, low)).otherwise(first)
 
-    return let(F.transform(parts, _sum_value), ratio)
+_VALUES = _Algebra(
+    zero="0D",
+    one="1D",
+    pi="pi()",
+    number=lambda t: f"try_cast({t} AS DOUBLE)",
+    plus=lambda a, b: f"({a} + {b})",
+    negative=lambda a: f"(-{a})",
+    times=lambda a, b: f"({a} * {b})",
+    over=lambda a, b: f"try_divide({a}, {b})",
+    power=lambda a, b: f"pow({a}, {b})",
+    root=lambda a: f"sqrt({a})",
+    nth_root=lambda a, n: f"pow({a}, try_divide(1D, {n}))",
+)
 
 
 def _short_value(parts: Column) -> Column:
@@ -231,7 +301,7 @@ def value_of_normalized(normalized: Column) -> Column:
             spelled.rlike(_ALPHABET),
             let(
                 F.split(F.regexp_replace(spelled, _SHORT, _SHORT_PARTS), r"\|"),
-                lambda parts: F.when(F.size(parts) == 7, _short_value(parts)).otherwise(_ratio_value(spelled)),
+                lambda parts: F.when(F.size(parts) == 7, _short_value(parts)).otherwise(_evaluate(spelled, _VALUES)),
             ),
         )
         return let(number, lambda v: F.when(F.abs(v) < float("inf"), v))
@@ -245,96 +315,123 @@ def closed_value(text: Column) -> Column:
 
 
 # --- exact keys ---------------------------------------------------------------
+#
+# A key is ``sign * sqrt(num/den) * pi**pi_power``; a part beyond 38 digits is NULL.
 
 
-def _integer(text: Column) -> Column:
-    return text.try_cast(_INTEGER)
+def _key(sign: str, num: str, den: str, pi_power: str) -> str:
+    parts = (("sign", sign, "INT"), ("num", num, _INTEGER), ("den", den, _INTEGER), ("pi_power", pi_power, "INT"))
+    return "named_struct(" + ", ".join(f"'{name}', try_cast({value} AS {kind})" for name, value, kind in parts) + ")"
 
 
-def _times(left: Column, right: Column) -> Column:
-    return F.try_multiply(left, right).try_cast(_INTEGER)
+_UNKNOWN = _key("NULL", "NULL", "NULL", "NULL")
 
 
-def _rational(number: Column) -> tuple[Column, Column]:
-    """Digits of a decimal number and the power of ten that divides them."""
-    decimals = F.regexp_extract(number, r"\.(\d++)$", 1)
-    digits = _integer(F.replace(number, F.lit("."), F.lit("")))
-    return digits, _integer(F.concat(F.lit("1"), F.repeat(F.lit("0"), F.length(decimals))))
+def _times(left: str, right: str) -> str:
+    return f"try_cast(try_multiply({left}, {right}) AS {_INTEGER})"
 
 
-def _key_factor(factor: Column) -> Column:
-    """``factor`` as ``sqrt(num/den) * pi**pi_power``, or its inverse for a divisor."""
-    number, scale = _rational(_part(factor, 1))
-    top, top_scale = _rational(_part(factor, 3))
-    low, low_scale = _rational(F.when(_part(factor, 4) == "", "1").otherwise(_part(factor, 4)))
-    is_number = _part(factor, 1) != ""
-    is_root = _part(factor, 3) != ""
-    one = F.lit(1).cast(_INTEGER)
-    num = F.when(is_number, _times(number, number)).when(is_root, _times(top, low_scale)).otherwise(one)
-    den = F.when(is_number, _times(scale, scale)).when(is_root, _times(low, top_scale)).otherwise(one)
-    power = F.when(is_number | is_root, 0).otherwise(1)
-    exponent = F.when(_exponent(factor) == "", 1).otherwise(_exponent(factor).try_cast("int"))
-    divides = F.startswith(factor, F.lit("⁄")) != (exponent < 0)
-    once = F.struct(
-        F.when(divides, den).otherwise(num).alias("num"),
-        F.when(divides, num).otherwise(den).alias("den"),
-        F.when(divides, -power).otherwise(power).alias("pi_power"),
-    )
-    square_root = F.coalesce(_part(factor, 2), F.lit("")).isin("", "2")
-    return F.when(square_root & (F.abs(exponent) <= _MAX_EXPONENT), F.array_repeat(once, F.abs(exponent)))
+def _product_key(a: str, b: str) -> str:
+    powers = f"{a}.pi_power + {b}.pi_power"
+    return _key(f"{a}.sign * {b}.sign", _times(f"{a}.num", f"{b}.num"), _times(f"{a}.den", f"{b}.den"), powers)
 
 
-def _gcd(left: Column, right: Column) -> Column:
-    def step(pair: Column, _: Column) -> Column:
-        return F.when(pair["b"] == 0, pair).otherwise(
-            F.struct(pair["b"].alias("a"), (pair["a"] % pair["b"]).cast(_INTEGER).alias("b"))
-        )
+def _number_key(t: str) -> str:
+    digits = f"try_cast(replace({t}, '.', '') AS {_INTEGER})"
+    scale = rf"try_cast(concat('1', repeat('0', length(regexp_extract({t}, r'\.(\d++)$', 1)))) AS {_INTEGER})"
+    return _let("d", digits, _let("e", scale, _key("1", _times("d", "d"), _times("e", "e"), "0")))
 
-    start = F.struct(left.alias("a"), right.alias("b"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(_GCD_STEPS)), start, step, lambda pair: pair["a"])
 
+def _gcd(a: str, b: str) -> str:
+    step = f"CASE WHEN z.y = 0 THEN z ELSE named_struct('x', z.y, 'y', CAST(z.x % z.y AS {_INTEGER})) END"
+    return f"aggregate(sequence(1, {_GCD_STEPS}), named_struct('x', {a}, 'y', {b}), (z, i) -> {step}, z -> z.x)"
 
-def _reduced(sign: Column, raw: Column) -> Column:
-    def divide(value: Column, divisor: Column) -> Column:
-        return ((value - value % divisor) / divisor).cast(_INTEGER)
 
-    def key(divisor: Column) -> Column:
-        zero = raw["num"] == 0
-        return F.struct(
-            F.when(zero, 0).otherwise(sign).alias("sign"),
-            F.when(zero, 0).otherwise(divide(raw["num"], divisor)).cast(_INTEGER).alias("num"),
-            F.when(zero, 1).otherwise(divide(raw["den"], divisor)).cast(_INTEGER).alias("den"),
-            F.when(zero, 0).otherwise(raw["pi_power"]).alias("pi_power"),
-        )
+def _reduced(k: str) -> str:
+    """A key in lowest terms; NULL if any part of it is."""
 
-    known = raw["num"].isNotNull() & (raw["den"] > 0) & raw["pi_power"].isNotNull()
-    return F.when(known, let(_gcd(raw["num"], raw["den"]), key))
+    def divided(value: str) -> str:
+        return f"CASE WHEN h = 1 THEN {value} ELSE try_cast(try_divide({value}, h) AS {_INTEGER}) END"
 
+    lowest = _case(
+        (f"{k}.num = 0", _key("0", "0", "1", "0")),
+        otherwise=_key(f"{k}.sign", divided(f"{k}.num"), divided(f"{k}.den"), f"{k}.pi_power"),
+    )
+    known = f"{k}.num IS NOT NULL AND {k}.den > 0 AND {k}.pi_power IS NOT NULL AND {k}.sign IS NOT NULL"
+    return _case((known, _let("h", _gcd(f"{k}.num", f"{k}.den"), lowest)))
 
-def closed_form(text: Column) -> Column:
-    r"""Exact key ``sign * sqrt(num/den) * pi**pi_power`` of a single product.
 
-    Equal keys mean equal values. NULL for sums, for other texts, and beyond 38 digits.
-    """
-    unit = F.struct(
-        F.lit(1).cast(_INTEGER).alias("num"), F.lit(1).cast(_INTEGER).alias("den"), F.lit(0).alias("pi_power")
+def _whole_root(square: str) -> str:
+    """The integer whose square it is, else NULL; one step corrects the last digits of the estimate."""
+    guess = f"try_cast(round(sqrt(CAST({square} AS DOUBLE))) AS {_INTEGER})"
+    step = f"try_cast(round(try_divide({square} - {_times('u', 'u')}, 2 * greatest(u, 1))) AS {_INTEGER})"
+    exact = _case((f"{_times('w', 'w')} = {square}", "w"))
+    return _let("u", guess, _let("w", f"try_cast(u + {step} AS {_INTEGER})", exact))
+
+
+def _rational(key: str, name: str, body: str) -> str:
+    """``body`` with ``name`` as ``top, low`` of the key's value without its sign; NULLs where it isn't rational."""
+    lowest = _case((f"{key}.pi_power = 0", _reduced(key)))
+    parts = f"named_struct('top', {_whole_root('m.num')}, 'low', {_whole_root('m.den')})"
+    return _let(name, _let("m", lowest, parts), body)
+
+
+def _power_key(base: str, exponent: str) -> str:
+    """An integer power, by squaring; what isn't needed may overflow."""
+
+    def step(field: str, square: str) -> str:
+        return f"'{field}', CASE WHEN getbit(abs(x), i) = 1 THEN {_times(f'c.{field}', f'c.{square}')} ELSE c.{field} END"
+
+    squares = f"'n', {_times('c.n', 'c.n')}, 'd', {_times('c.d', 'c.d')}"
+    one = f"CAST(1 AS {_INTEGER})"
+    start = f"named_struct('num', {one}, 'den', {one}, 'n', {base}.num, 'd', {base}.den)"
+    raised = (
+        f"aggregate(sequence(0, {_BITS - 1}), {start}, "
+        f"(c, i) -> named_struct({step('num', 'n')}, {step('den', 'd')}, {squares}))"
     )
+    key = _key(
+        f"CASE WHEN x % 2 = 0 THEN abs({base}.sign) ELSE {base}.sign END",
+        "CASE WHEN x < 0 THEN c.den ELSE c.num END",
+        "CASE WHEN x < 0 THEN c.num ELSE c.den END",
+        f"try_multiply(CAST({base}.pi_power AS BIGINT), CAST(x AS BIGINT))",
+    )
+    whole = _rational(exponent, "r", _case(("r.low = 1", f"try_cast(r.top * {exponent}.sign AS INT)")))
+    return _let("x", whole, _let("c", raised, key))
+
+
+def _root_key(value: str) -> str:
+    root = _key("CASE WHEN r.top = 0 THEN 0 ELSE 1 END", "r.top", "r.low", "0")
+    return _case((f"{value}.sign >= 0", _rational(value, "r", root)), otherwise=_UNKNOWN)
+
+
+_KEYS = _Algebra(
+    zero=_key("0", "0", "1", "0"),
+    one=_key("1", "1", "1", "0"),
+    pi=_key("1", "1", "1", "1"),
+    number=_number_key,
+    plus=lambda a, b: _case((f"{a}.sign = 0", b), (f"{b}.num = 0", a), otherwise=_UNKNOWN),
+    negative=lambda a: _key(f"-{a}.sign", f"{a}.num", f"{a}.den", f"{a}.pi_power"),
+    times=_product_key,
+    over=lambda a, b: _let(
+        "y", _key(f"{b}.sign", f"{b}.den", f"CASE WHEN {b}.num <> 0 THEN {b}.num END", f"-{b}.pi_power"), _product_key(a, "y")
+    ),
+    power=_power_key,
+    root=_root_key,
+    nth_root=lambda a, n: _case(
+        (f"{n}.sign = 1 AND {n}.pi_power = 0 AND {n}.num = 4 * {n}.den", _root_key(a)), otherwise=_UNKNOWN
+    ),
+)
 
-    def times(left: Column, right: Column) -> Column:
-        return F.struct(
-            _times(left["num"], right["num"]).alias("num"),
-            _times(left["den"], right["den"]).alias("den"),
-            (left["pi_power"] + right["pi_power"]).alias("pi_power"),
-        )
 
-    def key(terms: Column) -> Column:
-        term = F.get(terms, F.lit(0))
-        parts = F.flatten(F.transform(_factors(term), _key_factor))
-        raw = F.aggregate(parts, unit, times)
-        return F.when(F.size(terms) == 1, let(raw, lambda value: _reduced(_sign(term), value)))
+def closed_form(text: Column) -> Column:
+    r"""Exact key ``sign * sqrt(num/den) * pi**pi_power`` of a text without a sum of several terms.
+
+    Equal keys mean equal values. NULL for sums, for other texts, for roots of anything but a
+    ratio, and beyond 38 digits.
+    """
 
     def of_spelled(spelled: Column) -> Column:
-        signs_out = F.regexp_replace(spelled, r"^([+-]*+)\\frac\{([+-])", r"$1$2\\frac{")
-        return F.when(spelled.rlike(_ALPHABET), let(_signed_terms(_flat(signs_out)), key))
+        lowest = F.call_function("transform", F.array(_evaluate(spelled, _KEYS)), F.expr(f"k -> {_reduced('k')}"))
+        return F.when(spelled.rlike(_ALPHABET), F.get(lowest, F.lit(0)))
 
     return let(_spelled(normalize_latex(text)), of_spelled)

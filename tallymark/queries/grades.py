@@ -323,6 +323,51 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paired(spark, sf_dir).select("idx", "gen", equal.alias("is_equivalent"))
 
 
+def _filled(template: str):
+    """A template with the size of a part in place of N."""
+    first, *rest = [F.lit(piece) for piece in template.split("N")]
+    return F.concat(first, *[part for piece in rest for part in (F.col("p_size").cast("string"), piece)])
+
+
+# Equal texts, and one that is near but differs.
+_SUMS = (
+    (r"N(1+\sqrt{2})", r"N+N\sqrt{2}", r"N+\sqrt{2}+1"),
+    ("2*(N+4)", r"\frac{4*N+16}{2}", "2*N+4"),
+    (r"\frac{N+\sqrt{5}}{2}+3", r"\frac{N+6+\sqrt{5}}{2}", r"\frac{N+3+\sqrt{5}}{2}"),
+    ("(N+1)^2-1", "N^2+2*N", "N^2+2*N+1"),
+)
+_NESTED = (
+    (r"\sqrt{\frac{\sqrt{N}}{2}}", r"(N/4)^{\frac{1}{4}}", r"\sqrt{\frac{N}{2}}+1"),
+    (r"\frac{\frac{\frac{N}{2}}{3}}{4}", r"\frac{N}{24}", r"\frac{N}{25}"),
+    (r"\left(\frac{N}{1+\frac{1}{N}}\right)^{2^1}", r"(\frac{N*N}{N+1})^2", r"\frac{N*N}{N+1}+1"),
+    (r"\sqrt{\pi^2}(N-(1-(2-N)))", r"\pi", r"\pi^2"),
+)
+
+
+def _agreements(spark: SparkSession, sf_dir: str, cases) -> DataFrame:
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_size")
+    rows = part.select(
+        F.col("p_partkey").alias("idx"),
+        F.posexplode(F.array(*[F.struct(*[_filled(t).alias(n) for t, n in zip(case, "abc")]) for case in cases])).alias("nth", "t"),
+    )
+    a, b, c = (F.col(f"t.{name}") for name in "abc")
+    same, swapped = math_equal(a, b).alias("same"), math_equal(b, a).alias("swapped")
+    return rows.select("idx", F.col("nth").cast("long").alias("nth"), same, swapped, math_equal(a, c).alias("near"))
+
+
+_AGREE_SQL = "select p_partkey as idx, unnest(range(4)) as nth, true as same, true as swapped, false as near from part"
+
+
+@query("math_equal_sums", _AGREE_SQL, on_fixtures=False)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _agreements(spark, sf_dir, _SUMS)
+
+
+@query("math_equal_nested", _AGREE_SQL, on_fixtures=False)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _agreements(spark, sf_dir, _NESTED)
+
+
 # --- rewards -------------------------------------------------------------------
 
 ACCURACY_SQL = f"(case when {IS_EQUIVALENT} then 1.0::double else 0.0::double end)"
