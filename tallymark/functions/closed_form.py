@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallymark.functions.latex import normalize_latex
+from tallymark.functions.latex import normalize_sql
 
 _NUMBER = r"(?:\d++(?:\.\d++)?+|\.\d++)(?![\d.])"
 _TOKEN = rf"{_NUMBER}|\\frac|\\sqrt|\\pi|[+\-*/^(){{}}\[\]]"
@@ -38,36 +38,42 @@ _BITS = 31  # of an integer exponent; 38 digits are exceeded long before, but by
 _INTEGER = "decimal(38,0)"
 
 
-def _rewrite(text: Column, *rules: tuple[str, str]) -> Column:
-    for pattern, replacement in rules:
-        text = F.regexp_replace(text, pattern, replacement)
-    return text
-
-
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with the value computed once."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _rewrite_where(found: Callable[[Column], Column], text: Column, *rules: tuple[str, str]) -> Column:
-    return let(text, lambda t: F.when(found(t), _rewrite(t, *rules)).otherwise(t))
+def applied(name: str, sql: str, value: Column) -> Column:
+    """SQL in which ``name`` stands for a column. The text of a lambda of any size is one call into the JVM."""
+    return F.get(F.call_function("transform", F.array(value), F.expr(f"{name} -> {sql}")), F.lit(0))
 
 
-def _rewrite_if(needle: str, text: Column, *rules: tuple[str, str]) -> Column:
-    """Apply the rules only to texts that contain the needle; most answers need few of them."""
-    return _rewrite_where(lambda t: F.contains(t, F.lit(needle)), text, *rules)
+def case(*branches: tuple[str, str], otherwise: str = "NULL") -> str:
+    return "CASE " + " ".join(f"WHEN {found} THEN {then}" for found, then in branches) + f" ELSE {otherwise} END"
 
 
-def _spelled(normalized: Column) -> Column:
-    """One spelling per construct, without whitespace, of a text that was normalised once."""
+def let_sql(name: str, value: str, body: str) -> str:
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
+_case, _let = case, let_sql
+
+
+def _rewrite_where(found: str, text: str, *rules: tuple[str, str]) -> str:
+    """Apply the rules only to texts ``b`` that have what they are for; most answers need few of them."""
+    changed = "b"
+    for pattern, replacement in rules:
+        changed = f"regexp_replace({changed}, r'{pattern}', r'{replacement}')"
+    return _let("b", text, _case((found, changed), otherwise="b"))
 
-    def again(once: Column) -> Column:
-        bare = ~(once.rlike(r"^\$|\$$") | F.contains(once, F.lit("\\\\")) | F.contains(once, F.lit("\\displaystyle")))
-        return F.when(bare, once).otherwise(normalize_latex(once))
 
+def _spelled(normalized: str) -> str:
+    """One spelling per construct, without whitespace, of a text that was normalised once."""
+    bare = r"NOT (b RLIKE r'^\$|\$$' OR contains(b, r'\\') OR contains(b, r'\displaystyle'))"
+    again = _let("b", normalized, _case((bare, "b"), otherwise=normalize_sql("b")))
     words = _rewrite_where(
-        lambda t: t.rlike(r"\\(?:left|right|[dt]frac|cdot|times|div|[,;:!])"),
-        let(normalized, again),
+        r"b RLIKE r'\\(?:left|right|[dt]frac|cdot|times|div|[,;:!])'",
+        again,
         (r"\\(?:left|right)(?![A-Za-z])|\\[,;:!]", " "),
         (r"\\[dt]frac(?![A-Za-z])", r"\\frac"),
         (r"\\(?:cdot|times)(?![A-Za-z])", "*"),
@@ -75,15 +81,15 @@ def _spelled(normalized: Column) -> Column:
     )
     # Arguments without braces are single digits.
     argued = _rewrite_where(
-        lambda t: t.rlike(r"\\(?:frac|sqrt) ?+\d"),
+        r"b RLIKE r'\\(?:frac|sqrt) ?+\d'",
         words,
         (r"\\frac ?+(\d) ?+(\d)", r"\\frac{$1}{$2}"),
         (r"\\frac ?+(\d) ?+(?=\{)", r"\\frac{$1}"),
         (r"\\sqrt ?+(\d)", r"\\sqrt{$1}"),
     )
     # Digits apart from each other are no number: the question mark is outside the grammar.
-    joined = _rewrite_if(" ", argued, (r"(?<=[\d.]) ++(?=[\d.])", "?"), (r" ", ""))
-    return _rewrite_if(",", joined, (r"(?<=\d),(?=\d{3}(?!\d))", ""))
+    joined = _rewrite_where("contains(b, ' ')", argued, (r"(?<=[\d.]) ++(?=[\d.])", "?"), (" ", ""))
+    return _rewrite_where("contains(b, ',')", joined, (r"(?<=\d),(?=\d{3}(?!\d))", ""))
 
 
 # --- one pass over the tokens -------------------------------------------------
@@ -108,14 +114,6 @@ class _Algebra:
     nth_root: Callable[[str, str], str]
 
 
-def _case(*branches: tuple[str, str], otherwise: str = "NULL") -> str:
-    return "CASE " + " ".join(f"WHEN {found} THEN {then}" for found, then in branches) + f" ELSE {otherwise} END"
-
-
-def _let(name: str, value: str, body: str) -> str:
-    return f"get(transform(array({value}), {name} -> {body}), 0)"
-
-
 # What a group is in the middle of, besides a plain sum.
 _PLAIN, _RAISED, _EXPONENT, _MINUS, _TOP, _LOW, _ROOT, _RADICAND = "''", "'p'", "'^'", "'-'", "'n'", "'d'", "'s'", "'r'"
 # Kinds of groups by the bracket that ends them; `^(` and `^{` are exponents, `n`, `d` and `r` arguments.
@@ -243,19 +241,14 @@ def _pass(algebra: _Algebra) -> tuple[str, str, str]:
     return _state(root, f"slice(array({root}), 1, 0)"), f"(a, t) -> {step}", f"a -> {end}"
 
 
-def _evaluate(text: Column, algebra: _Algebra) -> Column:
+def _evaluate(text: str, algebra: _Algebra) -> str:
     """The result of a spelled text, NULL outside the grammar."""
-    tokens = F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0))
-    start, step, end = map(F.expr, _pass(algebra))
+    start, step, end = _pass(algebra)
     # Texts that can't be balanced are told apart before a stack of their brackets is built.
-    opened, closed = (F.length(F.regexp_replace(text, f"[^{kind}]++", "")) for kind in (r"(\[{", r")\]}"))
-    return F.when(
-        opened == closed,
-        let(
-            tokens,
-            lambda t: F.when(F.array_join(t, "") == text, F.call_function("aggregate", t, start, step, end)),
-        ),
-    )
+    opened, closed = (rf"length(regexp_replace({text}, r'[^{kind}]++', ''))" for kind in (r"(\[{", r")\]}"))
+    result = _case((f"array_join(x, '') = {text}", f"aggregate(x, {start}, {step}, {end})"))
+    tokens = f"regexp_extract_all({text}, r'{_TOKEN}', 0)"
+    return _case((f"{opened} = {closed}", _let("x", tokens, result)))
 
 
 # --- values -------------------------------------------------------------------
@@ -280,38 +273,36 @@ _VALUES = _Algebra(
 )
 
 
-def _short_value(parts: Column) -> Column:
-    """Value of the parts of a short form."""
-    sign, opened, number, radicand, pi, closed, divisor = (F.get(parts, F.lit(i)) for i in range(7))
-
-    def or_one(text: Column, value: Column) -> Column:
-        return F.when(text == "", 1.0).otherwise(value)
+def _short_value() -> str:
+    """Value of the parts ``x`` of a short form."""
+    sign, opened, number, radicand, pi, closed, divisor = (f"x[{i}]" for i in range(7))
 
-    top = or_one(number, _double(number)) * or_one(radicand, F.sqrt(_double(radicand))) * or_one(pi, F.pi())
-    signed = F.when(sign == "-", -top).otherwise(top)
-    complete = ((opened == "") == (closed == "")) & (F.concat(number, radicand, pi) != "")
-    return F.when(complete, F.try_divide(signed, or_one(divisor, _double(divisor))))
+    def or_one(text: str, value: str) -> str:
+        return _case((f"{text} = ''", "1D"), otherwise=value)
 
+    def double(text: str) -> str:
+        return f"try_cast({text} AS DOUBLE)"
 
-def value_of_normalized(normalized: Column) -> Column:
-    """:func:`closed_value` of a text that :func:`normalize_latex` went over already."""
+    top = f"{or_one(number, double(number))} * {or_one(radicand, f'sqrt({double(radicand)})')} * {or_one(pi, 'pi()')}"
+    signed = _case((f"{sign} = '-'", f"-({top})"), otherwise=top)
+    complete = f"({opened} = '') = ({closed} = '') AND concat({number}, {radicand}, {pi}) <> ''"
+    return _case((complete, f"try_divide({signed}, {or_one(divisor, double(divisor))})"))
 
-    def value(spelled: Column) -> Column:
-        number = F.when(spelled.rlike(_PLAIN_NUMBER), _double(spelled)).when(
-            spelled.rlike(_ALPHABET),
-            let(
-                F.split(F.regexp_replace(spelled, _SHORT, _SHORT_PARTS), r"\|"),
-                lambda parts: F.when(F.size(parts) == 7, _short_value(parts)).otherwise(_evaluate(spelled, _VALUES)),
-            ),
-        )
-        return let(number, lambda v: F.when(F.abs(v) < float("inf"), v))
 
-    return let(_spelled(normalized), value)
+def value_sql(normalized: str) -> str:
+    """:func:`closed_value` of a text that was normalised already, as SQL."""
+    parts = rf"split(regexp_replace(c, r'{_SHORT}', r'{_SHORT_PARTS}'), r'\|')"
+    number = _case(
+        (f"c RLIKE r'{_PLAIN_NUMBER}'", "try_cast(c AS DOUBLE)"),
+        (f"c RLIKE r'{_ALPHABET}'", _let("x", parts, _case(("size(x) = 7", _short_value()), otherwise=_evaluate("c", _VALUES)))),
+    )
+    finite = _let("d", number, _case(("abs(d) < double('Infinity')", "d")))
+    return _let("c", _spelled(normalized), finite)
 
 
 def closed_value(text: Column) -> Column:
     """DOUBLE value of a closed-form text; NULL outside the grammar or where not finite."""
-    return value_of_normalized(normalize_latex(text))
+    return applied("s", value_sql(normalize_sql("s")), text)
 
 
 # --- exact keys ---------------------------------------------------------------
@@ -430,8 +421,6 @@ def closed_form(text: Column) -> Column:
     ratio, and beyond 38 digits.
     """
 
-    def of_spelled(spelled: Column) -> Column:
-        lowest = F.call_function("transform", F.array(_evaluate(spelled, _KEYS)), F.expr(f"k -> {_reduced('k')}"))
-        return F.when(spelled.rlike(_ALPHABET), F.get(lowest, F.lit(0)))
-
-    return let(_spelled(normalize_latex(text)), of_spelled)
+    lowest = _let("k", _evaluate("c", _KEYS), _reduced("k"))
+    found = _let("c", _spelled(normalize_sql("s")), _case((f"c RLIKE r'{_ALPHABET}'", lowest)))
+    return applied("s", found, text)

@@ -6,8 +6,34 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tallymark.fixed import TOLERANCE
-from tallymark.functions.closed_form import closed_form, let, value_of_normalized
-from tallymark.functions.latex import normalize_latex
+from tallymark.functions.closed_form import applied, case, closed_form, let_sql, value_sql
+from tallymark.functions.latex import normalize_sql
+
+
+def key_sql(answer: str) -> str:
+    """:func:`answer_key` as SQL."""
+    return let_sql("s", normalize_sql(answer), f"named_struct('text', s, 'value', {value_sql('s')})")
+
+
+def equals_key_sql(answer: str, key: str) -> str:
+    """:func:`equals_key` as SQL."""
+    by_text = f"lower(s) = lower({key}.text)"
+    close = f"abs(v - {key}.value) < {TOLERANCE}D * greatest(abs(v), abs({key}.value), 1D)"
+    return let_sql(
+        "s",
+        normalize_sql(answer),
+        case(
+            (f"s = {key}.text", "true"),
+            (f"s IS NULL OR {key}.text IS NULL", "CAST(NULL AS BOOLEAN)"),
+            (f"{key}.value IS NULL", by_text),
+            otherwise=let_sql("v", value_sql("s"), case(("v IS NULL", by_text), otherwise=close)),
+        ),
+    )
+
+
+def math_equal_sql(left: str, right: str) -> str:
+    """:func:`math_equal` as SQL."""
+    return let_sql("key", key_sql(right), equals_key_sql(left, "key"))
 
 
 def answer_key(answer: Column) -> Column:
@@ -15,15 +41,7 @@ def answer_key(answer: Column) -> Column:
 
     Compute it once per ground truth, before the join with the many completions.
     """
-    return let(
-        normalize_latex(answer),
-        lambda text: F.struct(text.alias("text"), value_of_normalized(text).alias("value")),
-    )
-
-
-def _close(left: Column, right: Column) -> Column:
-    scale = F.greatest(F.abs(left), F.abs(right), F.lit(1.0))
-    return F.abs(left - right) < TOLERANCE * scale
+    return applied("a", key_sql("a"), answer)
 
 
 def equals_key(answer: Column, key: Column) -> Column:
@@ -37,26 +55,14 @@ def equals_key(answer: Column, key: Column) -> Column:
        all equal exact forms, since equal forms have the same value up to rounding.
     3. Otherwise the texts are compared without case.
     """
-
-    def compare(text: Column) -> Column:
-        by_text = F.lower(text) == F.lower(key["text"])
-        by_value = let(
-            value_of_normalized(text),
-            lambda value: F.when(value.isNull(), by_text).otherwise(_close(value, key["value"])),
-        )
-        return (
-            F.when(text == key["text"], F.lit(True))
-            .when(text.isNull() | key["text"].isNull(), F.lit(None).cast("boolean"))
-            .when(key["value"].isNull(), by_text)
-            .otherwise(by_value)
-        )
-
-    return let(normalize_latex(answer), compare)
+    both = F.struct(answer.alias("answer"), key.alias("key"))
+    return applied("a", equals_key_sql("a.answer", "a.key"), both)
 
 
 def math_equal(left: Column, right: Column) -> Column:
     """Whether two answers are equivalent; NULL where either is NULL."""
-    return let(answer_key(right), lambda key: equals_key(left, key))
+    both = F.struct(left.alias("answer"), right.alias("truth"))
+    return applied("a", math_equal_sql("a.answer", "a.truth"), both)
 
 
 def same_closed_form(left: Column, right: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallymark.fixed import EXPR_SPELLING, INNER_FRACTION, INNER_ROOT, WHITESPACE_CLASS
+from tallymark.fixed import EXPR_SPELLING, INNER_FRACTION, INNER_ROOT, WHITESPACE, WHITESPACE_CLASS
 from tallymark.functions.text import strip
 
 
@@ -26,6 +26,13 @@ def normalize_latex(text: Column) -> Column:
     return F.replace(spaced, F.lit("\\\\"), F.lit("\\"))
 
 
+def normalize_sql(text: str) -> str:
+    """:func:`normalize_latex` as SQL."""
+    bare = f"btrim(btrim({text}, '$'), r'{WHITESPACE}')"
+    spaced = rf"btrim(regexp_replace(replace({bare}, r'\displaystyle', ''), r'{WHITESPACE_CLASS}+', ' '))"
+    return rf"replace({spaced}, r'\\', r'\')"
+
+
 def latex_to_expr(text: Column) -> Column:
     r"""Fractions, roots, powers and products as calculator text: ``\frac{a}{b}`` to ``((a)/(b))``.
 

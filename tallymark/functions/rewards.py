@@ -21,7 +21,8 @@ from tallymark.fixed import (
     MARKER_REWARD,
     REASONING_MARKER,
 )
-from tallymark.functions.equivalence import answer_key, equals_key, math_equal
+from tallymark.functions.closed_form import applied, case, let_sql
+from tallymark.functions.equivalence import answer_key, equals_key, equals_key_sql, key_sql, math_equal_sql
 from tallymark.functions.text import completion_text, extract_answer, has_answer
 
 
@@ -53,12 +54,22 @@ def answer_reward(extracted: Column, key: Column) -> Column:
     )
 
 
+def accuracy_sql(extracted: str, truth: str) -> str:
+    """:func:`accuracy_reward` of an extracted answer, as SQL; the extraction is bound outside, once."""
+    graded = let_sql("key", key_sql(truth), case(("key.text IS NULL", "CAST(NULL AS DOUBLE)"), (equals_key_sql(extracted, "key"), "1D"), otherwise="0D"))
+    return case((f"{extracted} IS NULL", "0D"), otherwise=graded)
+
+
+def compute_sql(extracted: str, truth: str, format_bonus: float = FORMAT_BONUS, correct_answer_bonus: float = CORRECT_ANSWER_BONUS) -> str:
+    """:func:`compute_reward` of an extracted answer, as SQL."""
+    bonus = case((math_equal_sql(extracted, truth), f"double('{float(correct_answer_bonus)!r}')"), otherwise="0D")
+    return case((f"{extracted} IS NULL", "0D"), (f"{truth} IS NOT NULL", f"double('{float(format_bonus)!r}') + {bonus}"))
+
+
 def accuracy_reward(completion: Column, truth: Column) -> Column:
     """1.0 where the first answer block of the completion holds the truth, else 0.0."""
-    return F.get(
-        F.transform(F.array(answer_key(truth)), lambda key: answer_reward(extract_answer(completion), key)),
-        F.lit(0),
-    )
+    both = F.struct(extract_answer(completion).alias("answer"), truth.alias("truth"))
+    return applied("a", accuracy_sql("a.answer", "a.truth"), both)
 
 
 def format_reward(completion: Column, marker: str = REASONING_MARKER) -> Column:
@@ -75,11 +86,8 @@ def compute_reward(
     correct_answer_bonus: float = CORRECT_ANSWER_BONUS,
 ) -> Column:
     """Bonus for an answer block plus bonus for the right answer in it."""
-    extracted = extract_answer(response)
-    correct = math_equal(extracted, truth)
-    return F.when(extracted.isNull(), F.lit(0.0)).when(
-        truth.isNotNull(), F.lit(0.0) + _score(format_bonus, F.lit(True)) + _score(correct_answer_bonus, correct)
-    )
+    both = F.struct(extract_answer(response).alias("answer"), truth.alias("truth"))
+    return applied("a", compute_sql("a.answer", "a.truth", format_bonus, correct_answer_bonus), both)
 
 
 @dataclass(frozen=True)

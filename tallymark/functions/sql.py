@@ -13,6 +13,10 @@ from tallymark.fixed import (
     WHITESPACE,
     WHITESPACE_CLASS,
 )
+from tallymark.functions.closed_form import let_sql
+from tallymark.functions.equivalence import math_equal_sql
+from tallymark.functions.latex import normalize_sql
+from tallymark.functions.rewards import accuracy_sql, compute_sql
 
 
 def _strip(sql: str) -> str:
@@ -20,14 +24,13 @@ def _strip(sql: str) -> str:
 
 
 _BARE = _strip("btrim(s, '$')")
-_PLAIN = rf"replace({_BARE}, r'\displaystyle', '')"
-_SPACED = f"btrim(regexp_replace({_PLAIN}, r'{WHITESPACE_CLASS}+', ' '))"
 _HAS_ANSWER = f"coalesce(s rlike r'{ANSWER_BLOCK}', false)"
+_EXTRACTED = _strip(f"get(regexp_extract_all(s, r'{ANSWER_BLOCK}', 1), 0)")
 _UNTAGGED = _strip(f"regexp_replace(s, r'(?iu){IMAGE_TAG}{WHITESPACE_CLASS}*', '')")
 
 SQL_FUNCTIONS = {
-    "extract_answer": ("s STRING", "STRING", _strip(f"get(regexp_extract_all(s, r'{ANSWER_BLOCK}', 1), 0)")),
-    "normalize_latex": ("s STRING", "STRING", rf"replace({_SPACED}, r'\\', r'\')"),
+    "extract_answer": ("s STRING", "STRING", _EXTRACTED),
+    "normalize_latex": ("s STRING", "STRING", normalize_sql("s")),
     "format_reward": (
         "s STRING",
         "DOUBLE",
@@ -37,6 +40,9 @@ SQL_FUNCTIONS = {
     "has_answer": ("s STRING", "BOOLEAN", _HAS_ANSWER),
     "clean_ground_truth": ("s STRING", "STRING", f"coalesce({_BARE}, '')"),
     "strip_image_tag": ("s STRING", "STRING", f"if({_UNTAGGED} <> '', {_UNTAGGED}, {_strip('s')})"),
+    "math_equal": ("l STRING, r STRING", "BOOLEAN", math_equal_sql("l", "r")),
+    "accuracy_reward": ("s STRING, truth STRING", "DOUBLE", let_sql("found", _EXTRACTED, accuracy_sql("found", "truth"))),
+    "compute_reward": ("s STRING, truth STRING", "DOUBLE", let_sql("found", _EXTRACTED, compute_sql("found", "truth"))),
     "run_name": ("s STRING", "STRING", "substring_index(rtrim('/', s), '/', -1)"),
 }
 

@@ -29,12 +29,13 @@ def group_advantage(
 
     Statistics are aggregated and joined back, rather than computed in a window: a window would
     bring a whole group into one task. ``scored`` is read for both, so pass a written table.
+    Rows without a group stay and have no advantage.
     """
     statistics = group_statistics(scored, group, reward)
-    joined = join_unique(scored, statistics, group, spread=[member], hot=hot, known_unique=True)
+    joined = join_unique(scored, statistics, group, spread=[member], hot=hot, known_unique=True, how="left")
     centred = F.col(reward) - F.col("group_mean")
     advantage = (
-        F.when(F.col(reward).isNull(), F.lit(None).cast("double"))
+        F.when(F.col(reward).isNull() | F.col(group).isNull(), F.lit(None).cast("double"))
         .when(F.col("group_std").isNull() | (F.col("group_std") == 0), F.lit(0.0))
         .otherwise(centred / (F.col("group_std") + F.lit(float(eps))))
     )

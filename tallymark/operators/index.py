@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import accumulate
 
 from pyspark.sql import DataFrame, Window
@@ -37,21 +38,30 @@ def running_total(
 
 
 def stable_index(df: DataFrame, order: Sequence[str], name: str = "idx", partitions: int | None = None) -> DataFrame:
-    """Add the 0-based position of each row in ``order``, which must be a unique key."""
-    return running_total(df.withColumn(_ONE, F.lit(1).cast("long")), order, _ONE, name, partitions).drop(_ONE)
+    """Add the 0-based position of each row in ``order``, which must be a unique key without nulls.
+
+    Only the keys are sorted and written; the rows meet their positions in a join. A key that
+    occurs twice or has a null is an error: such rows have no position of their own.
+    """
+    keys = df.select(*order).withColumn(_ONE, F.lit(1).cast("long"))
+    placed = running_total(keys, order, _ONE, name, partitions)
+    copies = placed.groupBy(*order).agg(F.count(F.lit(1)).alias(_ONE), F.min(name).alias(name))
+    null = reduce(lambda a, b: a | b, [F.col(key).isNull() for key in order])
+    message = F.concat(F.lit("not a unique key without nulls: "), F.to_json(F.struct(*order)))
+    unique = F.when(null | (F.col(_ONE) > 1), F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    positions = copies.filter(unique).drop(_ONE)
+    same = reduce(lambda a, b: a & b, [df[key].eqNullSafe(positions[key]) for key in order])
+    return df.join(positions, same).select(*[df[column] for column in df.columns], positions[name])
 
 
-def first_rows(df: DataFrame, count: int | None, order: str, in_memory: int = 10_000) -> DataFrame:
-    """The first ``count`` rows in ``order``; all rows for 0 or None.
+def first_rows(df: DataFrame, count: int | None, order: str) -> DataFrame:
+    """The first ``count`` rows in ``order``, a unique key without nulls; all rows for 0 or None.
 
-    A short list is a top-k. A longer one must not meet in one place: it is cut by position.
+    Rows are cut by position whatever their number, so that no list of them meets in one place.
     """
     if count is not None and count < 0:
         raise ValueError("the number of rows cannot be negative")
     if not count:
         return df
-    if count <= in_memory:
-        return df.orderBy(order).limit(count)
     position = "__position"
-    keys = stable_index(df.select(order), [order], position).filter(F.col(position) < count)
-    return df.join(keys.select(order), order, "left_semi")
+    return stable_index(df, [order], position).filter(F.col(position) < count).drop(position)

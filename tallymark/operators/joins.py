@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.fixed import GENERATIONS
-from tallymark.operators.skew import exists_join, join_unique
+from tallymark.operators.skew import exists_join, join_unique, one_per_key
+
+_KNOWN = "__known"
 
 
 def join_truth(
@@ -18,15 +20,24 @@ def join_truth(
     )
 
 
+def match_truth(
+    completions: DataFrame, truth: DataFrame, key: str = "id", hot: DataFrame | None = None, known_unique: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Completions with their truth, and those that have none."""
+    known = truth.withColumn(_KNOWN, F.lit(True))
+    joined = join_unique(completions, known, key, spread=["gen"], how="left", hot=hot, known_unique=known_unique, what="ground truth")
+    return joined.filter(F.col(_KNOWN)).drop(_KNOWN), joined.filter(F.col(_KNOWN).isNull()).select(completions.columns)
+
+
 def join_predictions(dataset: DataFrame, predictions: DataFrame, key: str = "id") -> DataFrame:
-    """Each example with its prediction."""
-    return join_unique(dataset, predictions, key, spread=[key], what="prediction")
+    """Each example with its prediction. Ids are unique on both sides, so no key has many rows."""
+    return dataset.join(one_per_key(predictions, key, "prediction"), key)
 
 
 def join_teacher(samples: DataFrame, teacher: DataFrame, key: str = "id") -> DataFrame:
     """Samples with the teacher's completion where there is one."""
     answers = teacher.select(key, F.col("completion").alias("teacher_completion"))
-    return join_unique(samples, answers, key, spread=[key], how="left", what="teacher")
+    return samples.join(one_per_key(answers, key, "teacher"), key, "left")
 
 
 def with_image(samples: DataFrame, images: DataFrame) -> DataFrame:

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Sketches are merged in this many tasks, so that not all map tasks report to one.
 _SKETCH_TASKS = 64
-_SKETCH_ITEMS = 10_000
-# Keys reported per sketch. A key beyond them holds less than a thousandth of the rows there.
-_SKETCH_KEYS = 1_000
+# Keys that a sketch reports per shuffle partition, and counters it keeps for each of them. A key that fills a
+# partition is among as many of the most frequent ones as there are partitions. The last is Spark's own bound.
+_SKETCH_KEYS = 2
+_SKETCH_ITEMS = 8
+_MOST_ITEMS = 1_000_000
 
 # Parts per shuffle partition's worth of rows: small parts spread more evenly over the partitions.
 _PARTS = 4
@@ -29,14 +31,15 @@ def hot_keys(df: DataFrame, key: str, partitions: int | None = None) -> DataFram
     """Keys with more than one shuffle partition's worth of rows, and how many parts to split each into.
 
     One pass over the key column with a bounded sketch per task and no shuffle by key. The result
-    has at most 64,000 rows for a table of any size, and in practice fewer than there are
-    shuffle partitions, so it can be broadcast. It only routes rows: an approximate count cannot
-    change the result of a join.
+    has fewer rows than there are shuffle partitions but for counting errors, so it can be
+    broadcast. It only routes rows: an approximate count cannot change the result of a join.
     """
     partitions = partitions or shuffle_partitions(df)
+    items = min(_MOST_ITEMS, max(1_000, partitions * _SKETCH_KEYS * _SKETCH_ITEMS))
+    keys = min(items // _SKETCH_ITEMS, max(100, partitions * _SKETCH_KEYS))
     sketches = df.groupBy(F.pmod(F.spark_partition_id(), F.lit(_SKETCH_TASKS)).alias("task")).agg(
         F.count(F.lit(1)).alias("rows"),
-        F.expr(f"approx_top_k(`{key}`, {_SKETCH_KEYS}, {_SKETCH_ITEMS})").alias("top"),
+        F.expr(f"approx_top_k(`{key}`, {keys}, {items})").alias("top"),
     )
     merged = sketches.agg(F.sum("rows").alias("rows"), F.flatten(F.collect_list("top")).alias("top"))
     counted = (
@@ -77,10 +80,9 @@ def _one_per_group(df: DataFrame, key: str, keys: Sequence[str], what: str) -> D
         F.count(F.lit(1)).alias(_COPIES), *[F.first(name).alias(name) for name in values]
     )
     message = F.concat(F.lit(f"more than one {what} row for key "), F.col(key).cast("string"))
-    checked: dict[str, Column] = {
-        name: F.when(F.col(_COPIES) > 1, F.raise_error(message)).otherwise(F.col(name)) for name in values
-    }
-    return grouped.withColumns(checked).drop(_COPIES)
+    # A filter: unlike a checked column it stays where only some columns, or none, are asked for.
+    once = F.when(F.col(_COPIES) > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    return grouped.filter(once).drop(_COPIES)
 
 
 def one_per_key(df: DataFrame, key: str, what: str = "right-hand") -> DataFrame:

@@ -1,20 +1,32 @@
 """Compositions of operators."""
 
 from tallymark.plans.evaluate import Evaluation, evaluate, graded_predictions
-from tallymark.plans.grade import grade_rollouts, reduced_truths, score_reduced, score_rollouts, ungraded
+from tallymark.plans.grade import (
+    Grades,
+    grade_all,
+    grade_rollouts,
+    reduced_completions,
+    reduced_truths,
+    score_reduced,
+    score_rollouts,
+    ungraded,
+)
 from tallymark.plans.prepare import Prepared, accepted, classify, prepare_all, prepare_rl, prepare_sft
 
 __all__ = [
     "Evaluation",
+    "Grades",
     "Prepared",
     "accepted",
     "classify",
     "evaluate",
+    "grade_all",
     "grade_rollouts",
     "graded_predictions",
     "prepare_all",
     "prepare_rl",
     "prepare_sft",
+    "reduced_completions",
     "reduced_truths",
     "score_reduced",
     "score_rollouts",

@@ -12,8 +12,12 @@ from tallymark.operators.index import first_rows
 from tallymark.operators.joins import join_predictions
 from tallymark.operators.metrics import GRADE_FLAGS, eval_report, gradable, grade, predicted_answers
 from tallymark.operators.samples import sample_number
+from tallymark.operators.skew import one_per_key
 from tallymark.schemas import EVAL_ROW
 from tallymark.sources.sinks import report_rows, write_eval_samples, write_report
+from tallymark.storage import materialize
+
+_ANSWERED = "__answered"
 
 
 @dataclass(frozen=True)
@@ -50,20 +54,27 @@ def evaluate(
 ) -> Evaluation:
     """Grade predictions for the first ``max_samples`` examples; 0 or None takes all.
 
+    Examples without a prediction and answers without a ground truth are rejects with a reason.
+
     ``dataset`` has ``id, ground_truth`` and is in the order of the column ``order``, by default of
-    the numbers in its ids; ``predictions`` has ``id, prompt_text, generated``.
+    the numbers in its ids (ids without a number need an ``order``); ``predictions`` has ``id, prompt_text, generated``.
     """
     position = F.col(order) if order else sample_number(F.col("id"))
     examples = dataset.select("id", "ground_truth", position.alias("position"))
-    examples = first_rows(examples, max_samples, "position")
     if max_samples:
+        examples = materialize(first_rows(examples, max_samples, "position"))
         # Leave out the predictions for all other examples before anything is shuffled.
         predictions = predictions.join(examples.select("id"), "id", "left_semi")
-    pairs = graded_predictions(examples, predictions)
-    graded = grade(pairs.filter(gradable()))
+    answered = predicted_answers(predictions).withColumn(_ANSWERED, F.lit(True))
+    pairs = examples.select("id", "ground_truth").join(one_per_key(answered, "id", "prediction"), "id", "left")
+    # Graded once and written: report, samples and rejects are all taken from it.
+    graded = materialize(grade(pairs))
+    missing = F.col(_ANSWERED).isNull()
+    kept = graded.filter(~missing & gradable())
+    reason = F.when(missing, "no_prediction").otherwise("no_ground_truth")
     return Evaluation(
         model=model,
-        report=report_rows(eval_report(graded), model),
-        samples=graded.select(*EVAL_ROW.names, *GRADE_FLAGS),
-        rejects=pairs.filter(~gradable()).select("id", F.lit("no_ground_truth").alias("reason")),
+        report=report_rows(eval_report(kept), model),
+        samples=kept.select(*EVAL_ROW.names, *GRADE_FLAGS),
+        rejects=graded.filter(missing | ~gradable()).select("id", reason.alias("reason")),
     )

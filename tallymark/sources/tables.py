@@ -10,7 +10,6 @@ from pyspark.sql import types as T
 
 from tallymark.operators.index import running_total
 from tallymark.operators.samples import field_defaults
-from tallymark.operators.skew import join_unique
 from tallymark.schemas import PROBLEM, TEACHER
 from tallymark.storage import materialize
 
@@ -20,9 +19,6 @@ _ROWS = "__rows"
 _BEFORE = "__before"
 _CORRUPT = "__corrupt"
 
-# Up to this many files their offsets, a path and a number each, are broadcast.
-BROADCAST_FILES = 50_000
-
 
 def scan_problems(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Problem tables in Parquet, with every column of the problem schema.
@@ -39,16 +35,15 @@ def scan_problems(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
 
 def with_positions(source: DataFrame, name: str = "idx") -> DataFrame:
-    """Add the position of each row in a Parquet source."""
-    if len(source.inputFiles()) == 1:
-        return source.select(F.col("_metadata.row_index").alias(name), "*")
+    """Add the position of each row in a Parquet source.
+
+    The files' offsets are written, so that Spark knows their size: it sends a short list to all
+    tasks, and splits a file with many rows in the join of a long one.
+    """
     located = source.select("*", F.col("_metadata.file_path").alias(_FILE), F.col("_metadata.row_index").alias(_ROW))
     files = source.groupBy(F.col("_metadata.file_path").alias(_FILE)).agg(F.count(F.lit(1)).alias(_ROWS))
     offsets = materialize(running_total(files, [_FILE], _ROWS, _BEFORE).select(_FILE, _BEFORE))
-    if len(source.inputFiles()) <= BROADCAST_FILES:
-        placed = located.join(F.broadcast(offsets), _FILE)
-    else:
-        placed = join_unique(located, offsets, _FILE, spread=[_ROW], known_unique=True)
+    placed = located.join(offsets, _FILE)
     return placed.select((F.col(_BEFORE) + F.col(_ROW)).alias(name), *source.columns)
 
 
@@ -60,9 +55,13 @@ def scan_jsonl(
     A blank or malformed line is an error, or with ``bad_lines="keep"`` a row without values that
     has the line in ``bad_line`` (see :func:`split_bad_lines`).
     """
+    return parse_jsonl(spark.read.text(path), schema, bad_lines)
+
+
+def parse_jsonl(lines: DataFrame, schema: T.StructType, bad_lines: str = "fail") -> DataFrame:
+    """Rows of JSON lines in the column ``value``, of a table or a stream (see :func:`scan_jsonl`)."""
     if bad_lines not in ("fail", "keep"):
         raise ValueError("bad_lines is fail or keep")
-    lines = spark.read.text(path)
     wider = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     parsed = lines.select("value", F.from_json("value", wider, options).alias("row"))

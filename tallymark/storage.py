@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -9,17 +10,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder name below ``spark.checkpoint.dir``.
+    """A new folder name below ``spark.checkpoint.dir``, or else the context's checkpoint folder.
 
-    Only a local session without that setting falls back to a temporary folder: on a cluster
-    such a folder would be on one machine only.
+    Only a local session without either sets one of its own, which is removed when the program
+    ends: on a cluster such a folder would be on one machine only.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
+        if not (master == "local" or master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="tallymark-")
+        own = tempfile.TemporaryDirectory(prefix="tallymark-", ignore_cleanup_errors=True)
+        atexit.register(own.cleanup)
+        spark.sparkContext.setCheckpointDir(own.name)
+        root = spark.sparkContext.getCheckpointDir()
     return f"{root.rstrip('/')}/tallymark-{uuid.uuid4().hex}"
 
 

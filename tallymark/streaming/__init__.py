@@ -1,5 +1,5 @@
 """Streams."""
 
-from tallymark.streaming.score import completion_stream, score_stream
+from tallymark.streaming.score import line_stream, score_lines, score_stream
 
-__all__ = ["completion_stream", "score_stream"]
+__all__ = ["line_stream", "score_lines", "score_stream"]

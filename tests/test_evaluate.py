@@ -6,11 +6,12 @@ from pathlib import Path
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from tallymark import evaluate, grade_rollouts, register_sql_functions
 from tallymark.functions import DEFAULT_REWARDS, Reward, apply_rewards
-from tallymark.plans import score_rollouts, ungraded
+from tallymark.plans import grade_all, score_rollouts, ungraded
 from tallymark.schemas import COMPLETION, PREDICTION
 from tallymark.storage import materialize, shared_folder
 from tallymark.streaming import score_stream
@@ -112,7 +113,7 @@ def test_report(spark):
     samples = {row.id: row for row in done.samples.collect()}
     assert samples["rl_00000"].prediction == "<answer> 5 </answer>" and samples["rl_00000"].predicted_answer == "5"
     assert samples["rl_99999"].prediction == "seven" and samples["rl_99999"].predicted_answer is None
-    assert [tuple(row) for row in done.rejects.collect()] == [("rl_100000", "no_ground_truth")]
+    assert sorted(tuple(row) for row in done.rejects.collect()) == [("rl_100000", "no_ground_truth"), ("rl_100001", "no_prediction")]
     folder = shared_folder(spark)
     path = done.write(folder)
     assert path.endswith("/eval_run-1.json")
@@ -143,7 +144,7 @@ def test_stream_gives_what_the_batch_gives(spark, completions, truths):
 
     def run():
         score_stream(spark, f"{folder}/in", truths, f"{folder}/out", f"{folder}/state", files_per_batch=1).awaitTermination()
-        return sorted(spark.read.parquet(f"{folder}/out").collect())
+        return sorted(spark.read.parquet(f"{folder}/out").drop("batch").collect())
 
     batch = sorted(score_rollouts(completions, truths).collect())
     assert run() == batch
@@ -153,6 +154,31 @@ def test_stream_gives_what_the_batch_gives(spark, completions, truths):
     assert len(rows) == len(batch) + 1 and ("p3", 0, 1.0) in {(r.id, r.gen, r.accuracy_reward) for r in rows}
 
 
+def test_stream_accounts_for_every_line(spark, truths):
+    folder = shared_folder(spark)
+    lines = [
+        '{"id": "p3", "gen": 0, "completion": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "<answer>3</answer>"}]}',
+        '{"id": "p3", "gen": 1, "completion": [{"role": "assistant", "content": "<answ',
+        '{"id": "nobody", "gen": 2, "completion": [{"role": "assistant", "content": "<answer>3</answer>"}]}',
+        "",
+    ]
+    spark.createDataFrame([(line,) for line in lines], "value string").write.text(f"{folder}/in")
+    schema = T.StructType.fromDDL("id string, gen long, completion array<struct<role: string, content: string>>")
+    score_stream(spark, f"{folder}/in", truths, f"{folder}/out", f"{folder}/state", schema=schema).awaitTermination()
+    assert [(r.id, r.gen, r.accuracy_reward) for r in spark.read.parquet(f"{folder}/out").collect()] == [("p3", 0, 1.0)]
+    rejected = spark.read.parquet(f"{folder}/out_rejects").drop("batch").collect()
+    assert sorted((r.reason, r.id, r.gen, r.line) for r in rejected if r.id) == [("no_problem", "nobody", 2, None)]
+    assert sorted(r.line for r in rejected if not r.id) == sorted([lines[1], lines[3]])
+
+
+def test_unmatched_pairs_are_rejects(spark, completions, truths):
+    done = grade_all(completions, truths)
+    assert [tuple(row) for row in done.rejects.collect()] == [("nobody", 0, "no_problem")]
+    assert done.graded.count() == completions.count() - 1
+    graded = evaluate(dataset(spark), predictions(spark).filter("id != 'rl_00000'"), "m", max_samples=0)
+    assert ("rl_00000", "no_prediction") in {tuple(row) for row in graded.rejects.collect()}
+
+
 def test_sql_names(spark):
     names = register_sql_functions(spark, "tm_")
     assert "tm_extract_answer" in names
@@ -168,9 +194,16 @@ def test_sql_names(spark):
 class Session:
     """Settings of a session that was never started."""
 
-    def __init__(self, **settings):
+    def __init__(self, checkpoint_dir=None, **settings):
         self.settings = {key.replace("_", "."): value for key, value in settings.items()}
-        self.conf = self
+        self.conf = self.sparkContext = self
+        self.setCheckpointDir(checkpoint_dir)
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+    def getCheckpointDir(self):
+        return self.folder
 
     def get(self, key, default=None):
         return self.settings.get(key, default)
@@ -179,7 +212,9 @@ class Session:
 def test_intermediate_tables_go_to_the_set_folder(spark):
     folder = shared_folder(Session(spark_checkpoint_dir="hdfs://shared/x/", spark_master="yarn"))
     assert folder.startswith("hdfs://shared/x/tallymark-")
-    with pytest.raises(ValueError):
-        shared_folder(Session(spark_master="yarn"))
+    assert shared_folder(Session("hdfs://other", spark_master="yarn")).startswith("hdfs://other/tallymark-")
+    for master in ("yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            shared_folder(Session(spark_master=master))
     assert "tallymark-" in shared_folder(Session(spark_master="local[8]"))
     assert materialize(spark.range(3)).count() == 3

@@ -134,9 +134,7 @@ def test_running_total(spark):
     assert ours == {i: sum(3 * j for j in range(i)) for i in range(100)}
 
 
-@pytest.mark.parametrize("broadcast_files", [50_000, 1])
-def test_positions_across_files(spark, monkeypatch, broadcast_files):
-    monkeypatch.setattr("tallymark.sources.tables.BROADCAST_FILES", broadcast_files)
+def test_positions_across_files(spark):
     path = shared_folder(spark)
     spark.range(1_000, numPartitions=5).selectExpr("id", "concat('p', id) as problem").sortWithinPartitions("id").write.parquet(path)
     placed = with_positions(spark.read.parquet(path)).orderBy("idx").collect()
@@ -148,9 +146,38 @@ def test_positions_across_files(spark, monkeypatch, broadcast_files):
 
 def test_first_rows(spark):
     df = spark.range(500, numPartitions=4).withColumnRenamed("id", "idx")
-    for limit in (10_000, 3):
-        assert rows(first_rows(df, 20, "idx", in_memory=limit)) == [(i,) for i in range(20)]
+    assert rows(first_rows(df, 20, "idx")) == [(i,) for i in range(20)]
     assert first_rows(df, 0, "idx").count() == first_rows(df, None, "idx").count() == 500
     assert first_rows(df, 900, "idx").count() == 500
     with pytest.raises(ValueError):
         first_rows(df, -1, "idx")
+
+
+@pytest.mark.parametrize("extra", [3, None])
+def test_positions_need_a_unique_key_without_nulls(spark, extra):
+    df = spark.createDataFrame([(i,) for i in range(6)] + [(extra,)], "idx long")
+    for ask in (lambda: stable_index(df, ["idx"], "at").count(), lambda: first_rows(df, 2, "idx").collect()):
+        with pytest.raises(Exception, match="not a unique key"):
+            ask()
+
+
+def test_doubled_truths_fail_whatever_is_asked_for(spark):
+    many = spark.createDataFrame([("a", 0), ("a", 1), ("b", 0)], "id string, gen long")
+    doubled = spark.createDataFrame([("a", "1"), ("a", "2"), ("b", "3")], "id string, ground_truth string")
+    for ask in (
+        lambda: join_truth(many, doubled).count(),
+        lambda: join_truth(many, doubled).select("gen").collect(),
+        lambda: join_truth(many, doubled.select("id")).count(),
+        lambda: join_truth(many, doubled).collect(),
+    ):
+        with pytest.raises(Exception, match="more than one"):
+            ask()
+
+
+def test_rows_without_a_group_stay(spark):
+    scored = spark.createDataFrame(
+        [("a", 0, 1.0), ("a", 1, 0.0), (None, 0, 1.0), (None, 1, 0.0)], "id string, gen long, total_reward double"
+    )
+    out = group_advantage(scored).collect()
+    assert len(out) == 4
+    assert all((row.advantage is None) == (row.id is None) for row in out)
