@@ -33,12 +33,14 @@ from pyspark.sql import functions as F
 from tallymark.llm.common import materialize
 from tallymark.llm.learning import PER_CLASS, held_out, labelled
 
-TERMS = 2_048
+TERMS = 512
 NEIGHBOURS = 15
 EVIDENCE = 3
 BLOCK = 64
-# Differences of a term's share between the classes that are further from none than this many deviations count.
-_DEVIATIONS = 4.5
+# Blocks opened before the others are judged by their bounds.
+_FIRST = 4
+# Terms count whose shares differ between the classes by this many deviations (the root of the likelihood ratio).
+_DEVIATIONS = 4.0
 _PRIOR_VOTE = 0.25
 _PIECES = (4, 5)
 _WORD = re.compile(r"[^\W\d_]+")
@@ -61,7 +63,13 @@ class Terms:
     def _of(self, word: str) -> list:
         if self._kept is None:
             return word_terms(word)
-        return [self._kept[t] for t in word_terms(word) if t in self._kept]
+        marked, get = "^" + word, self._kept.get
+        found = {get(marked + "$"): None}
+        for n in _PIECES:
+            for i in range(len(marked) - n + 1):
+                found[get(marked[i : i + n])] = None
+        found.pop(None, None)
+        return list(found)
 
     def counts(self, text: str | None) -> Counter:
         words = _WORD.findall((text or "").lower())
@@ -91,12 +99,15 @@ def chosen_terms(texts: DataFrame, classes: dict[int, int], most: int = TERMS) -
     rows = texts.select("text", "target").mapInArrow(count, "term string, n0 long, n1 long")
     sums = rows.groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
-    def odds(n: str, size: int):
-        return F.log((F.col(n) + 0.5) / (size - F.col(n) + 0.5)), 1 / (F.col(n) + 0.5) + 1 / (size - F.col(n) + 0.5)
+    share = (F.col("n0") + F.col("n1")) / (classes[0] + classes[1])
 
-    (low, low_var), (high, high_var) = odds("n0", classes[0]), odds("n1", classes[1])
-    deviations = (high - low) / F.sqrt(low_var + high_var)
-    rated = sums.select("term", F.abs(deviations).alias("z")).filter(F.col("z") >= _DEVIATIONS)
+    def part(seen, expected):
+        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
+
+    ratio = sum(
+        part(F.col(n), size * share) + part(size - F.col(n), size * (1 - share)) for n, size in (("n0", classes[0]), ("n1", classes[1]))
+    )
+    rated = sums.select("term", F.sqrt(F.greatest(2 * ratio, F.lit(0.0))).alias("z")).filter(F.col("z") >= _DEVIATIONS)
     return [row.term for row in rated.orderBy(F.desc("z"), "term").limit(most).collect()]
 
 
@@ -144,27 +155,37 @@ class BlockMax:
         np.maximum.at(self.most, cell, self.weight)
         self.most = self.most.reshape(n_terms, self.blocks)
 
-    def _score(self, terms: np.ndarray, weights: np.ndarray, block: int) -> np.ndarray:
-        out = np.zeros(self.block)
-        for term, weight in zip(terms.tolist(), weights.tolist()):
-            cell = term * self.blocks + block
-            a, b = self.starts[cell], self.starts[cell + 1]
-            out[self.place[a:b] - block * self.block] += weight * self.weight[a:b]
-        return out
+    def _scores(self, terms: np.ndarray, weights: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places and exact cosines of the examples in ``blocks`` that share a term."""
+        cells = terms[:, None] * self.blocks + blocks
+        starts, ends = self.starts[cells].reshape(-1), self.starts[cells + 1].reshape(-1)
+        long = ends - starts
+        listed = np.repeat(starts - (np.cumsum(long) - long), long) + np.arange(long.sum())
+        parts = self.weight[listed] * np.repeat(np.repeat(weights, len(blocks)), long)
+        total = np.bincount(self.place[listed], parts, len(self.order))
+        found = np.flatnonzero(total > 0)
+        return found, total[found]
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The ``k`` examples of greatest positive cosine, as numbers of ``vectors``, and the cosines."""
+        """The ``k`` examples of greatest positive cosine, as numbers of ``vectors``, and the cosines.
+
+        The blocks of the highest bounds are opened first; the k-th best cosine in them says which others can matter.
+        """
         bounds = weights @ self.most[terms]
-        best: list[tuple[float, int]] = []
-        for block in np.argsort(-bounds, kind="stable").tolist():
-            # Sums in another order may differ in the last digits.
-            if bounds[block] <= 0 or len(best) == k and bounds[block] < best[-1][0] - 1e-12:
-                break
-            scores = self._score(terms, weights, block)
-            first = block * self.block
-            found = [(float(scores[i]), -(first + i)) for i in np.flatnonzero(scores > 0).tolist() if self.order[first + i] != without]
-            best = sorted(best + found, reverse=True)[:k]
-        return self.order[[-place for _, place in best]].astype(np.int64), np.array([score for score, _ in best])
+        blocks = np.argsort(-bounds, kind="stable")
+        blocks = blocks[bounds[blocks] > 0]
+        places, scores = np.zeros(0, np.int64), np.zeros(0)
+        for opened in (blocks[:_FIRST], blocks[_FIRST:]):
+            if len(scores) >= k:
+                # Sums in another order may differ in the last digits.
+                opened = opened[bounds[opened] >= np.partition(scores, -k)[-k] - 1e-12]
+            if not len(opened):
+                continue
+            found, cosines = self._scores(terms, weights, opened)
+            kept = self.order[found] != without
+            places, scores = np.concatenate([places, found[kept]]), np.concatenate([scores, cosines[kept]])
+        best = np.lexsort((places, -scores))[:k]
+        return self.order[places[best]], scores[best]
 
 
 class Model:
@@ -229,9 +250,12 @@ def _logistic(x: np.ndarray, rows: list[tuple[int, float]]) -> tuple[float, floa
 def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", per_class: int = PER_CLASS) -> tuple[Model, DataFrame]:
     """The model, and the kept terms of every document."""
     known = labelled(docs, labels, target, per_class)
-    sizes = {row.target: (row.n, row.share) for row in known.groupBy("target").agg(F.count(F.lit(1)).alias("n"), F.first("share").alias("share")).collect()}
+    shares = dict(map(tuple, known.groupBy("target").agg(F.first("share")).collect()))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known), "doc_id")
-    terms = chosen_terms(texts, {t: n for t, (n, _) in sizes.items()}) if len(sizes) == 2 else []
+    # Copies of a text would make its words look like a class's: each text counts once.
+    texts = materialize(texts.withColumn("hash", F.xxhash64("text")).dropDuplicates(["hash", "target"]).select("text", "target"))
+    sizes = dict(map(tuple, texts.groupBy("target").agg(F.count(F.lit(1))).collect()))
+    terms = chosen_terms(texts, sizes) if len(sizes) == 2 else []
     found = counted(docs, terms)
     each = found.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect()
     frequency = np.ones(len(terms))
@@ -239,7 +263,6 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", per_class: in
         frequency[term] = n
     idf = np.log1p(found.count() / frequency)
     examples = found.join(F.broadcast(known), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "terms", "counts", "target")
-    shares = {t: share for t, (_, share) in sizes.items()}
     return Model([tuple(row) for row in examples.collect()], idf, shares), found
 
 
