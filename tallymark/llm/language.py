@@ -7,8 +7,8 @@ its bits set answers wrongly with chance ``p ** probes``, so that a count ``c``
 with that chance ``q``. The language with the largest corrected count is taken, of equal ones the first by name; the score is
 its part of all corrected counts.
 
-A language's n-grams (3 and 4 letters, words bounded by one blank) are the most frequent ones in a bounded sample of its
-texts. A null text or one without letters has the language ``und`` and the score 0. A text without any known n-gram gets the
+A language's n-grams (3 and 4 letters, words bounded by one blank) are those that most texts of a bounded sample have, and
+two at least. A null text or one without letters has the language ``und`` and the score 0. A text without any known n-gram gets the
 first language and an even share; without anything to learn from every text is ``und``. Other columns are ignored.
 """
 
@@ -128,7 +128,7 @@ def fit(docs: DataFrame, folds: int = 4, out: int = 2, per_language: int = PER_L
         for batch in batches:
             held: dict[str, list] = {}
             for language, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                held.setdefault(language, []).append(grams.hashes(text))
+                held.setdefault(language, []).append(np.unique(grams.hashes(text)))
             for language, parts in held.items():
                 found, n = np.unique(np.concatenate(parts), return_counts=True)
                 columns = [pa.array([language] * len(found), pa.string()), pa.array(found.view(np.int64)), pa.array(n)]

@@ -25,14 +25,14 @@ def corpus(n=600):
         toxic, good = i % 7 == 0, i % 3 != 0
         words = prose(i, 60).split()
         if toxic:
-            words[pick.randrange(60)] = pick.choice(["vileword", "vilewords", "grimlot"])
+            words[pick.randrange(60)] = pick.choice(["vilezorq", "vilezorqs", "grimlux"])
         text = " ".join(words) + "." if good else " ".join(w.upper() + "!!" for w in words)
         rows.append((i, text))
         marks.append((i, int(good), int(toxic)))
     return rows, marks
 
 
-ODD = [(5000, None), (5001, ""), (5002, "... 123"), (None, "vileword here"), (5003, prose(1, 20_000)), (7, "repeated id")]
+ODD = [(5000, None), (5001, ""), (5002, "... 123"), (None, "vilezorq here"), (5003, prose(1, 20_000)), (7, "repeated id")]
 
 
 def test_fold(spark):
@@ -58,7 +58,7 @@ def test_toxicity(spark):
     known = {i: t for i, _, t in marks if i != 7}
     assert check(rows + ODD, known, got, 0.5) > 0.97
     toxic = next(r for r in got if r.doc_id == 14)
-    assert toxic.evidence and set(toxic.evidence) <= {i for i, t in known.items() if t}
+    assert toxic.evidence and set(toxic.evidence) <= {i for i, _, t in marks if t}
     kept = toxicity.accepted(docs(spark, rows + ODD), labels(spark, marks))
     assert kept.columns == docs(spark, rows).columns
     assert {r.doc_id for r in kept.collect()} >= {i for i, t in known.items() if not t} - {r.doc_id for r in got if r.predicted}

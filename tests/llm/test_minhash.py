@@ -56,6 +56,10 @@ ROWS = [
     (111, prose(12, 50)),
     (112, prose(12, 50)),
     (5, prose(11, 50)),
+    (200, prose(31, 60)),
+    (200, prose(32, 60)),
+    (201, prose(32, 60) + " more"),
+    (202, prose(31, 60) + " more"),
 ]
 
 
