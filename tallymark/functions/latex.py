@@ -36,18 +36,29 @@ def normalize_sql(text: str) -> str:
 def latex_to_expr(text: Column) -> Column:
     r"""Fractions, roots, powers and products as calculator text: ``\frac{a}{b}`` to ``((a)/(b))``.
 
-    Every pass rewrites all innermost fractions and roots at once. A pass that changes the text
-    uses up at least one ``\frac{`` or ``\sqrt{``, so as many passes as there are of those reach
-    the end for any depth.
+    Every pass rewrites all innermost fractions and roots at once, and the first one that changes
+    nothing is the last that looks at the text. A pass that changes it uses up at least one
+    ``\frac{`` or ``\sqrt{``, so as many passes as there are of those reach the end for any depth.
     """
 
-    def one_pass(current: Column, _: Column) -> Column:
-        fractions = F.regexp_replace(current, INNER_FRACTION, r"(($1)/($2))")
-        return F.regexp_replace(fractions, INNER_ROOT, r"sqrt($1)")
+    def one_pass(state: Column, _: Column) -> Column:
+        fractions = F.regexp_replace(state["text"], INNER_FRACTION, r"(($1)/($2))")
+        rewritten = F.transform(
+            F.array(F.regexp_replace(fractions, INNER_ROOT, r"sqrt($1)")),
+            lambda t: F.struct(t.alias("text"), (t == state["text"]).alias("done")),
+        )
+        return F.when(state["done"], state).otherwise(F.get(rewritten, F.lit(0)))
 
-    start = normalize_latex(text)
-    passes = F.regexp_extract_all(start, F.lit(r"\\(?:frac|sqrt)\{"), F.lit(0))
-    result = F.aggregate(passes, start, one_pass)
+    passes = F.transform(
+        F.array(normalize_latex(text)),
+        lambda start: F.aggregate(
+            F.regexp_extract_all(start, F.lit(r"\\(?:frac|sqrt)\{"), F.lit(0)),
+            F.struct(start.alias("text"), F.lit(False).alias("done")),
+            one_pass,
+            lambda state: state["text"],
+        ),
+    )
+    result = F.get(passes, F.lit(0))
     for old, new in EXPR_SPELLING.items():
         result = F.replace(result, F.lit(old), F.lit(new))
     return result

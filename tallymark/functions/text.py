@@ -71,8 +71,18 @@ def text_variant(payload: Column) -> Column:
 
 
 def completion_text(df: DataFrame, name: str = "completion") -> Column:
-    """Text of a payload column, whatever its type: text, messages, messages of chunks, or VARIANT."""
+    """Text of a payload column, whatever its type: text, messages (structs or maps), messages of chunks, or VARIANT.
+
+    Other lists have no text; a single struct or map gives its JSON, any other value its own text.
+    """
     kind, payload = df.schema[name].dataType, F.col(name)
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.MapType):
+        # Maps are messages by their key "content"; a map of text has no chunks.
+        contents = F.transform(payload, lambda message: F.struct(F.try_element_at(message, F.lit("content")).alias("content")))
+        value = kind.elementType.valueType
+        if isinstance(value, T.StringType):
+            return text_messages(contents)
+        return text_chunks(contents) if isinstance(value, T.ArrayType) else F.when(payload.isNotNull(), F.lit(""))
     if isinstance(kind, T.StringType):
         return text_plain(payload)
     if isinstance(kind, T.VariantType):
@@ -81,7 +91,10 @@ def completion_text(df: DataFrame, name: str = "completion") -> Column:
     if isinstance(message, T.StructType) and "content" in message.names:
         of_chunks = isinstance(message["content"].dataType, T.ArrayType)
         return text_chunks(payload) if of_chunks else text_messages(payload)
-    return payload.cast("string")
+    if isinstance(kind, T.ArrayType):
+        # Items that are no messages say nothing.
+        return F.when(payload.isNotNull(), F.lit(""))
+    return F.to_json(payload) if isinstance(kind, (T.StructType, T.MapType)) else payload.cast("string")
 
 
 def extract_answer(text: Column) -> Column:

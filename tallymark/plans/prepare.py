@@ -84,11 +84,12 @@ class Prepared:
     images: DataFrame
     summary: DataFrame
 
-    def write(self, folder: str) -> None:
-        """Write each table below ``folder``."""
+    def write(self, folder: str, ordered: bool = False) -> None:
+        """Write each table below ``folder``; with ``ordered`` samples are sorted, which shuffles their texts."""
         base = folder.rstrip("/")
-        write_jsonl(self.sft, f"{base}/{SFT}.jsonl", order=sample_number(F.col("id")))
-        write_jsonl(self.rl, f"{base}/{RL}.jsonl", order=sample_number(F.col("id")))
+        order = sample_number(F.col("id")) if ordered else None
+        write_jsonl(self.sft, f"{base}/{SFT}.jsonl", order=order)
+        write_jsonl(self.rl, f"{base}/{RL}.jsonl", order=order)
         self.rejects.write.mode("overwrite").parquet(f"{base}/rejects")
         self.images.write.mode("overwrite").parquet(f"{base}/images")
         self.summary.write.mode("overwrite").json(f"{base}/summary")
@@ -99,11 +100,12 @@ def prepare_all(
 ) -> Prepared:
     """Both splits, the rejected problems, the picture manifest and the counts.
 
-    Pictures are most of the source. They are read twice: once to tell which problems are
-    accepted, which is written without them for all other tables, and once for the manifest.
+    The source is read once: the classified rows are written with their first picture, and each
+    table reads the columns that it needs of them.
     """
-    classified = classify(problems, count, data_dir)
-    texts = materialize(classified.select(*_TEXTS))
+    first = F.slice("images", 1, 1).alias("images")
+    classified = materialize(classify(problems, count, data_dir).select(*_TEXTS, first))
+    texts = classified.select(*_TEXTS)
     return Prepared(
         sft=_sft(texts, teacher),
         rl=_rl(texts),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.fixed import EVAL_SAMPLES, SFT_SAMPLES
+from tallymark.fixed import EVAL_SAMPLES
 from tallymark.fixtures import (
     HAS_ANSWER,
     HAS_MARKER,
@@ -65,6 +65,7 @@ from tallymark.queries.shared import (
     PROMPT_SQL,
     RL_ID_SQL,
     RUN,
+    SPLIT,
     WHITESPACE_SQL,
     paired,
     predictions,
@@ -134,24 +135,24 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _documents(spark, sf_dir).select("doc_id", *_digest("text", text_chunks(_typed_messages())))
 
 
-_VARIANT_SQL = f"""case doc_id % 6 when 0 then text when 1 then {_JOINED_SQL} when 2 then {_JOINED_SQL}
-    when 3 then doc_id::varchar when 4 then 'True' end"""
+_VARIANT_SQL = f"case when doc_id % 4 in (1, 2) then {_JOINED_SQL} else text end"
 
 
 @query("text_variant", f"select doc_id, {_digest_sql('text', _VARIANT_SQL)} from documents", on_fixtures=False)
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shape = F.col("doc_id") % 6
+    """Every document's text: alone, in messages, in typed chunks, and among items that are no messages."""
+    shape = F.col("doc_id") % 4
+    said = F.to_json(F.struct(F.col("text").alias("content")))
     payload = (
         F.when(shape == 0, F.regexp_extract(F.to_json(F.struct(F.col("text").alias("t"))), r"(?s)^\{\"t\":(.*)\}$", 1))
         .when(shape == 1, F.to_json(_messages()))
         .when(shape == 2, F.to_json(_typed_messages()))
-        .when(shape == 3, F.col("doc_id").cast("string"))
-        .when(shape == 4, F.lit("true"))
+        .otherwise(F.concat(F.lit('["loose", 5, null, {"role": "x"}, '), said, F.lit("]")))
     )
     return _documents(spark, sf_dir).select("doc_id", *_digest("text", text_variant(F.parse_json(payload))))
 
 
-@query("completion_text", f"select idx, gen, {EXTRACTED_SQL} as messages, {EXTRACTED_SQL} as chunks, {EXTRACTED_SQL} as mixed from completions")
+@query("completion_text", f"select idx, gen, {EXTRACTED_SQL} as messages, {EXTRACTED_SQL} as chunks, {EXTRACTED_SQL} as mixed, {EXTRACTED_SQL} as maps, null::varchar as loose from completions")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("completion")
     rows = completions(spark, sf_dir).select(
@@ -160,8 +161,10 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(_message("system", F.lit("")), _message("assistant", text)).alias("messages"),
         F.array(_message("assistant", F.array(_chunk("image", F.lit("none")), _chunk("text", text)))).alias("chunks"),
         F.parse_json(F.to_json(F.array(_message("assistant", text)))).alias("mixed"),
+        F.array(F.create_map(F.lit("role"), F.lit("user")), F.create_map(F.lit("role"), F.lit("a"), F.lit("content"), text)).alias("maps"),
+        F.array(text).alias("loose"),
     )
-    texts = {name: extract_answer(completion_text(rows, name)) for name in ("messages", "chunks", "mixed")}
+    texts = {name: extract_answer(completion_text(rows, name)) for name in ("messages", "chunks", "mixed", "maps", "loose")}
     return rows.withColumns(texts)
 
 
@@ -418,14 +421,18 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "sql_functions",
     f"select idx, gen, {EXTRACTED_SQL} as extracted, {_NORMAL_SQL.replace('answer', 'alt_answer')} as normalized, "
-    f"{FORMAT_SQL} as format_reward from completions",
+    f"{FORMAT_SQL} as format_reward, case when {HAS_ANSWER} then {IS_EQUIVALENT} end as is_equivalent, "
+    f"{ACCURACY_SQL} as accuracy_reward, (case when {HAS_ANSWER} then 0.1::double else 0.0::double end) + {ACCURACY_SQL} as reward "
+    "from completions",
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     register_sql_functions(spark)
     paired(spark, sf_dir).createOrReplaceTempView("tallymark_completions")
     return spark.sql(
         "select idx, gen, extract_answer(completion) as extracted, normalize_latex(alt_answer) as normalized, "
-        "format_reward(completion) as format_reward from tallymark_completions"
+        "format_reward(completion) as format_reward, math_equal(extract_answer(completion), ground_truth) as is_equivalent, "
+        "accuracy_reward(completion, ground_truth) as accuracy_reward, compute_reward(completion, ground_truth) as reward "
+        "from tallymark_completions"
     )
 
 
@@ -500,9 +507,9 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return eval_row(_graded(spark, sf_dir))
 
 
-@query("eval_limit", f"select {RL_ID_SQL} as id from problems where idx >= {SFT_SAMPLES} and n_images > 0 order by idx limit {EVAL_SAMPLES}")
+@query("eval_limit", f"select {RL_ID_SQL} as id from problems where idx >= {SPLIT} and n_images > 0 order by idx limit {EVAL_SAMPLES}")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = prepare_rl(illustrated(spark, sf_dir), data_dir=DATA_DIR)
+    rows = prepare_rl(illustrated(spark, sf_dir), count=SPLIT, data_dir=DATA_DIR)
     numbered = rows.select("id", F.substring_index("id", "_", -1).cast("long").alias("number"))
     return first_rows(numbered, EVAL_SAMPLES, "number").select("id")
 
@@ -576,4 +583,4 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     truth = truths(spark, sf_dir).select(as_id, "ground_truth")
     running = score_stream(spark, f"{folder}/in", truth, f"{folder}/out", f"{folder}/state", files_per_batch=2)
     running.awaitTermination()
-    return spark.read.parquet(f"{folder}/out")
+    return spark.read.parquet(f"{folder}/out").drop("batch")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallymark.fixed import SFT_SAMPLES, TEACHER_SYSTEM_PROMPT, TEACHER_USER_PROMPT
+from tallymark.fixed import TEACHER_SYSTEM_PROMPT, TEACHER_USER_PROMPT
 from tallymark.fixtures import PNG_HEAD, TRUTH, illustrated, problems
 from tallymark.functions.latex import clean_ground_truth
 from tallymark.operators import (
@@ -39,6 +42,7 @@ from tallymark.operators import (
 from tallymark.plans import accepted, prepare_all, prepare_sft
 from tallymark.queries.registry import query
 from tallymark.queries.shared import (
+    SPLIT,
     DATA_DIR,
     ID_SQL,
     IMAGE_SQL,
@@ -69,8 +73,6 @@ from tallymark.sources import (
 )
 from tallymark.storage import shared_folder
 
-TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
-
 KINDS = {
     0: ("png", PNG_HEAD.hex()),
     1: ("jpeg", "FFD8FFE000104A46"),
@@ -90,11 +92,16 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_problems(spark, path).select("idx", "problem", "answer", F.size("images").alias("n_images"))
 
 
-@query("scan_jsonl", RL_SAMPLES_SQL)
+@query(
+    "scan_jsonl",
+    f"select {ID_SQL} as id, {IMAGE_SQL} as image, problem as prompt, {TRUTH} as ground_truth, answer as raw_answer "
+    "from problems where n_images > 0",
+)
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark)
-    write_jsonl(rl_samples(spark, sf_dir), path)
-    return scan_jsonl(spark, path, RL_SAMPLE)
+    write_jsonl(sft_samples(spark, sf_dir), f"{path}/sft")
+    write_jsonl(rl_samples(spark, sf_dir), f"{path}/rl")
+    return scan_jsonl(spark, [f"{path}/sft", f"{path}/rl"], RL_SAMPLE)
 
 
 @query(
@@ -110,24 +117,34 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "scan_images",
-    " union all ".join(f"select '{name}.parquet' as image, count(*) > 0 as has_bytes from {name}" for name in TABLES.split()),
+    "select p_brand as folder, count(*) as num_rows, true as has_bytes from part group by p_brand",
     on_fixtures=False,
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = scan_images(spark, sf_dir, "*.parquet")
-    return files.select(F.substring_index("image", "/", -1).alias("image"), (F.col("length") > 0).alias("has_bytes"))
+    """One file of rows per brand; the folders that hold files meet the table they came from."""
+    path = shared_folder(spark)
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").withColumn("folder", F.col("p_brand"))
+    part.repartition("folder").write.partitionBy("folder").parquet(path)
+    files = scan_images(spark, path, "*.parquet").select(
+        F.url_decode(F.regexp_extract("image", "/folder=([^/]*)/", 1)).alias("folder"), "length"
+    )
+    found = files.groupBy("folder").agg((F.sum("length") > 0).alias("has_bytes"))
+    return part.groupBy("folder").agg(F.count(F.lit(1)).alias("num_rows")).join(found, "folder")
 
 
 @query(
     "write_jsonl",
     f"select to_json(struct_pack(id := {SFT_ID_SQL}, image := {IMAGE_SQL}, prompt := problem, completion := {MOCK_SQL}, "
     f"ground_truth := {TRUTH}, raw_answer := answer, completion_source := 'mock'))::varchar as line "
-    f"from problems where idx < {SFT_SAMPLES} and n_images > 0",
+    f"from problems where idx < {SPLIT} and n_images > 0 union all "
+    f"select to_json(struct_pack(id := id, image := image, prompt := prompt, ground_truth := ground_truth, raw_answer := raw_answer))::varchar "
+    f"from ({RL_SAMPLES_SQL})",
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark)
-    write_jsonl(sft_samples(spark, sf_dir), path)
-    return spark.read.text(path).select(F.col("value").alias("line"))
+    write_jsonl(sft_samples(spark, sf_dir), f"{path}/sft")
+    write_jsonl(rl_samples(spark, sf_dir), f"{path}/rl")
+    return spark.read.text([f"{path}/sft", f"{path}/rl"]).select(F.col("value").alias("line"))
 
 
 REJECTS_SQL = f"select {SPLIT_SQL} as split, idx, 'no_image' as reason from problems where n_images = 0"
@@ -153,14 +170,14 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- splits and projections ----------------------------------------------------
 
 
-@query("split_sft", f"select idx, problem from problems where idx < {SFT_SAMPLES}")
+@query("split_sft", f"select idx, problem from problems where idx < {SPLIT}")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split_sft(problems(spark, sf_dir), SFT_SAMPLES).select("idx", "problem")
+    return split_sft(problems(spark, sf_dir), SPLIT).select("idx", "problem")
 
 
-@query("split_rl", f"select idx, problem from problems where idx >= {SFT_SAMPLES}")
+@query("split_rl", f"select idx, problem from problems where idx >= {SPLIT}")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split_rl(problems(spark, sf_dir), SFT_SAMPLES).select("idx", "problem")
+    return split_rl(problems(spark, sf_dir), SPLIT).select("idx", "problem")
 
 
 @query("field_defaults", "select idx, '' as problem, answer, 0 as n_images from problems")
@@ -197,13 +214,13 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("sample_id", f"select idx, {ID_SQL} as id from problems")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return problems(spark, sf_dir).select("idx", sample_id(F.col("idx"), SFT_SAMPLES).alias("id"))
+    return problems(spark, sf_dir).select("idx", sample_id(F.col("idx"), SPLIT).alias("id"))
 
 
 @query("image_path", f"select idx, {IMAGE_SQL} as image from problems")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     idx = F.col("idx")
-    path = image_path(DATA_DIR, split_of(idx, SFT_SAMPLES), sample_id(idx, SFT_SAMPLES))
+    path = image_path(DATA_DIR, split_of(idx, SPLIT), sample_id(idx, SPLIT))
     return problems(spark, sf_dir).select("idx", path.alias("image"))
 
 
@@ -264,7 +281,7 @@ _USER_PROMPT_SQL = template_sql(TEACHER_USER_PROMPT, question="problem", answer=
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     idx = F.col("idx")
-    image = image_path(f"/{DATA_DIR}", split_of(idx, SFT_SAMPLES), sample_id(idx, SFT_SAMPLES))
+    image = image_path(f"/{DATA_DIR}", split_of(idx, SPLIT), sample_id(idx, SPLIT))
     messages = teacher_request(image, F.col("problem"), F.col("answer"))
     return problems(spark, sf_dir).select("idx", teacher_request_json(messages).alias("request"))
 
@@ -276,11 +293,11 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 CHAT_SFT_SQL = (
     f"select {SFT_ID_SQL} as id, concat('user:', {PROMPT_SQL}, chr(10), 'assistant:', {MOCK_SQL}) as messages, "
-    f"{IMAGE_SQL} as image, {TRUTH} as ground_truth from problems where idx < {SFT_SAMPLES} and n_images > 0"
+    f"{IMAGE_SQL} as image, {TRUTH} as ground_truth from problems where idx < {SPLIT} and n_images > 0"
 )
 CHAT_RL_SQL = (
     f"select {RL_ID_SQL} as id, concat('user:', {PROMPT_SQL}) as messages, {IMAGE_SQL} as image, "
-    f"{TRUTH} as ground_truth from problems where idx >= {SFT_SAMPLES} and n_images > 0"
+    f"{TRUTH} as ground_truth from problems where idx >= {SPLIT} and n_images > 0"
 )
 
 
@@ -316,7 +333,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"select {ID_SQL} as id, {TEACHER_COLUMNS['completion']} as teacher_completion from problems",
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    samples = problems(spark, sf_dir).select(sample_id(F.col("idx"), SFT_SAMPLES).alias("id"))
+    samples = problems(spark, sf_dir).select(sample_id(F.col("idx"), SPLIT).alias("id"))
     return join_teacher(samples, teacher_successes(teacher_answers(spark, sf_dir)))
 
 
@@ -368,14 +385,14 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 PREPARE_SFT_SQL = (
     f"select {SFT_ID_SQL} as id, {IMAGE_SQL} as image, problem as prompt, coalesce(taught, {MOCK_SQL}) as completion, "
     f"{TRUTH} as ground_truth, answer as raw_answer, case when taught is null then 'mock' else 'teacher' end as completion_source "
-    f"from (select *, {TEACHER_COLUMNS['completion']} as taught from problems) where idx < {SFT_SAMPLES} and n_images > 0"
+    f"from (select *, {TEACHER_COLUMNS['completion']} as taught from problems) where idx < {SPLIT} and n_images > 0"
 )
 
 
 @query("prepare_sft", PREPARE_SFT_SQL)
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     teacher = teacher_successes(teacher_answers(spark, sf_dir))
-    return prepare_sft(illustrated(spark, sf_dir), data_dir=DATA_DIR, teacher=teacher)
+    return prepare_sft(illustrated(spark, sf_dir), count=SPLIT, data_dir=DATA_DIR, teacher=teacher)
 
 
 @query("prepare_rl", RL_SAMPLES_SQL)
@@ -383,26 +400,59 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rl_samples(spark, sf_dir)
 
 
+_COLUMNS = ("id", "image", "prompt", "completion", "ground_truth", "raw_answer")
+
+
+def _outputs_sql(target: str, sql: str, **columns: str) -> str:
+    values = ", ".join(f"{columns.get(name, 'null')}::varchar as {name}" for name in _COLUMNS)
+    return f"select '{target}' as target, {values} from ({sql})"
+
+
+_SAMPLE = {name: name for name in _COLUMNS}
+_SUMMARY_SQL = (
+    f"select {SPLIT_SQL} as split, count(*) as problems, count(*) filter (n_images > 0) as samples, "
+    "count(*) filter (n_images = 0) as no_image from problems group by 1"
+)
+
+
 @query(
     "prepare_all",
-    f"select 'sft' as target, count(*) as num_rows, min(id) as first_id, max(id) as last_id from ({PREPARE_SFT_SQL}) "
-    f"union all select 'rl', count(*), min(id), max(id) from ({RL_SAMPLES_SQL}) "
-    f"union all select 'rejects', count(*), min(idx)::varchar, max(idx)::varchar from ({REJECTS_SQL})",
+    " union all ".join(
+        [
+            _outputs_sql("sft", PREPARE_SFT_SQL, **_SAMPLE),
+            _outputs_sql("rl", RL_SAMPLES_SQL, **{k: v for k, v in _SAMPLE.items() if k != "completion"}),
+            _outputs_sql("rejects", REJECTS_SQL, id="idx", image="split", prompt="reason"),
+            _outputs_sql(
+                "images",
+                f"select {ID_SQL} as id, {IMAGE_SQL} as image from problems where n_images > 0",
+                id="id", image="image", prompt=f"'{PNG_HEAD.hex().upper()}'",
+            ),
+            _outputs_sql("summary", _SUMMARY_SQL, id="split", image="problems", prompt="samples", completion="no_image"),
+        ]
+    ),
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of every output."""
     folder = shared_folder(spark)
     teacher = teacher_successes(teacher_answers(spark, sf_dir))
-    prepare_all(illustrated(spark, sf_dir), data_dir=DATA_DIR, teacher=teacher).write(folder)
-
-    def counted(target: str, rows: DataFrame, key: str) -> DataFrame:
-        return rows.agg(
-            F.lit(target).alias("target"),
-            F.count(F.lit(1)).alias("num_rows"),
-            F.min(key).cast("string").alias("first_id"),
-            F.max(key).cast("string").alias("last_id"),
-        )
-
-    sft = scan_jsonl(spark, f"{folder}/sft.jsonl", RL_SAMPLE)
-    rl = scan_jsonl(spark, f"{folder}/rl.jsonl", RL_SAMPLE)
-    rejected = spark.read.parquet(f"{folder}/rejects")
-    return counted("sft", sft, "id").unionByName(counted("rl", rl, "id")).unionByName(counted("rejects", rejected, "idx"))
+    prepare_all(illustrated(spark, sf_dir), count=SPLIT, data_dir=DATA_DIR, teacher=teacher).write(folder)
+
+    def rows(target: str, table: DataFrame, **columns) -> DataFrame:
+        values = [columns.get(name, F.lit(None)).cast("string").alias(name) for name in _COLUMNS]
+        return table.select(F.lit(target).alias("target"), *values)
+
+    sample = {name: F.col(name) for name in _COLUMNS}
+    summary = T.StructType.fromDDL("split string, problems long, samples long, images long, no_image long, bad_image long")
+    sft = T.StructType([*RL_SAMPLE.fields, T.StructField("completion", T.StringType())])
+    parts = [
+        rows("sft", scan_jsonl(spark, f"{folder}/sft.jsonl", sft), **sample),
+        rows("rl", scan_jsonl(spark, f"{folder}/rl.jsonl", RL_SAMPLE), **{k: v for k, v in sample.items() if k != "completion"}),
+        rows("rejects", spark.read.parquet(f"{folder}/rejects"), id=F.col("idx"), image=F.col("split"), prompt=F.col("reason")),
+        rows("images", spark.read.parquet(f"{folder}/images"), id=F.col("id"), image=F.col("image"), prompt=F.hex("bytes")),
+        rows(
+            "summary",
+            spark.read.schema(summary).json(f"{folder}/summary"),
+            id=F.col("split"), image=F.col("problems"), prompt=F.col("samples"), completion=F.col("no_image"),
+        ),
+    ]
+    return reduce(DataFrame.unionByName, parts)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.fixed import GENERATIONS, MOCK_COMPLETION, SFT_SAMPLES, WHITESPACE
+from tallymark.fixed import GENERATIONS, MOCK_COMPLETION, WHITESPACE
 from tallymark.fixtures import COMPLETION, TRUTH, illustrated, problems
 from tallymark.functions.latex import clean_ground_truth
 from tallymark.operators.joins import rollout_requests
@@ -13,15 +13,17 @@ from tallymark.operators.samples import sample_id, split_rl
 from tallymark.plans.prepare import classify, prepare_rl, prepare_sft
 
 DATA_DIR = "data"
+# Problems of the first split: fewer than by default, so that the smallest test tables have both.
+SPLIT = 100
 MODEL = "output/tuned/"
 RUN = "tuned"
 
 WHITESPACE_SQL = f"'{WHITESPACE}'"
 
 SFT_ID_SQL = "printf('sft_%05d', idx)"
-RL_ID_SQL = f"printf('rl_%05d', idx - {SFT_SAMPLES})"
-ID_SQL = f"case when idx < {SFT_SAMPLES} then {SFT_ID_SQL} else {RL_ID_SQL} end"
-SPLIT_SQL = f"case when idx < {SFT_SAMPLES} then 'sft' else 'rl' end"
+RL_ID_SQL = f"printf('rl_%05d', idx - {SPLIT})"
+ID_SQL = f"case when idx < {SPLIT} then {SFT_ID_SQL} else {RL_ID_SQL} end"
+SPLIT_SQL = f"case when idx < {SPLIT} then 'sft' else 'rl' end"
 IMAGE_SQL = f"concat('{DATA_DIR}/images/', {SPLIT_SQL}, '/', {ID_SQL}, '.png')"
 PROMPT_SQL = "replace(problem, '<image>', '')"
 
@@ -49,7 +51,7 @@ EXTRACTED_SQL = (
 
 RL_SAMPLES_SQL = (
     f"select {RL_ID_SQL} as id, {IMAGE_SQL} as image, problem as prompt, {TRUTH} as ground_truth, "
-    f"answer as raw_answer from problems where idx >= {SFT_SAMPLES} and n_images > 0"
+    f"answer as raw_answer from problems where idx >= {SPLIT} and n_images > 0"
 )
 
 TEACHER_COLUMNS = {
@@ -72,21 +74,21 @@ def paired(spark: SparkSession, sf_dir: str, generations: int = GENERATIONS) ->
 
 
 def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classify(illustrated(spark, sf_dir), data_dir=DATA_DIR)
+    return classify(illustrated(spark, sf_dir), count=SPLIT, data_dir=DATA_DIR)
 
 
 def sft_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare_sft(illustrated(spark, sf_dir), data_dir=DATA_DIR)
+    return prepare_sft(illustrated(spark, sf_dir), count=SPLIT, data_dir=DATA_DIR)
 
 
 def rl_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare_rl(illustrated(spark, sf_dir), data_dir=DATA_DIR)
+    return prepare_rl(illustrated(spark, sf_dir), count=SPLIT, data_dir=DATA_DIR)
 
 
 def teacher_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A teacher that answers every third problem of the first split."""
     return problems(spark, sf_dir).select(
-        sample_id(F.col("idx"), SFT_SAMPLES).alias("id"),
+        sample_id(F.col("idx"), SPLIT).alias("id"),
         F.expr(TEACHER_COLUMNS["status_code"]).alias("status_code"),
         F.expr(TEACHER_COLUMNS["completion"]).alias("completion"),
     )
@@ -95,10 +97,10 @@ def teacher_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One generation per problem of the second split; every other one repeats its prompt."""
     prompt = F.concat(F.lit("user: "), F.col("problem"), F.lit("\nassistant: "))
-    first = split_rl(paired(spark, sf_dir, generations=1), SFT_SAMPLES)
+    first = split_rl(paired(spark, sf_dir, generations=1), SPLIT)
     repeated = F.concat(prompt, F.col("completion"))
     return first.select(
-        sample_id(F.col("idx"), SFT_SAMPLES).alias("id"),
+        sample_id(F.col("idx"), SPLIT).alias("id"),
         prompt.alias("prompt_text"),
         F.when(F.col("idx") % 2 == 0, repeated).otherwise(F.col("completion")).alias("generated"),
     )
@@ -107,5 +109,5 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Graded predictions in SQL: the second split, first generation, samples with a picture.
 GRADED_SQL = (
     f"select {RL_ID_SQL} as id, idx, gen, completion, {EXTRACTED_SQL} as predicted_answer, c.ground_truth "
-    f"from completions c join problems p using (idx) where gen = 0 and idx >= {SFT_SAMPLES} and n_images > 0"
+    f"from completions c join problems p using (idx) where gen = 0 and idx >= {SPLIT} and n_images > 0"
 )

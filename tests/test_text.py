@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallymark.fixed import WHITESPACE
 from tallymark.functions import (
+    completion_text,
     clean_ground_truth,
     exact_equal,
     extract_answer,
@@ -152,6 +153,18 @@ def test_payloads(spark):
     assert df.select(text_chunks(F.col("typed"))).first()[0] == "a\nb"
 
 
+def test_payloads_of_other_types(spark):
+    df = spark.range(1).select(
+        F.expr("array(map('role', 'user'), map('content', 'a'), map('content', 'b'))").alias("maps"),
+        F.expr("array(map('content', array(named_struct('type', 'text', 'text', 'a'))))").alias("typed"),
+        F.expr("array('<answer>5</answer>')").alias("loose"),
+        F.expr("named_struct('role', 'x', 'content', 'a')").alias("single"),
+        F.expr("cast(null as array<string>)").alias("nothing"),
+    )
+    texts = [completion_text(df, name) for name in df.columns]
+    assert tuple(df.select(*texts).first()) == ("a\nb", "a", "", '{"role":"x","content":"a"}', None)
+
+
 def test_mixed_payloads(spark):
     cases = {
         '"plain <answer>5</answer>"': "plain <answer>5</answer>",
