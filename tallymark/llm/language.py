@@ -7,8 +7,9 @@ its bits set answers wrongly with chance ``p ** probes``, so that a count ``c``
 with that chance ``q``. The language with the largest corrected count is taken, of equal ones the first by name; the score is
 its part of all corrected counts.
 
-A language's n-grams (3 and 4 letters, words bounded by one blank) are those that most texts of a bounded sample have, and
-two at least. A null text or one without letters has the language ``und`` and the score 0. A text without any known n-gram gets the
+A language's n-grams (3 and 4 letters, words bounded by one blank) are those that most texts of a bounded sample have, two
+at least. An n-gram that is more than twice as common in another language is left to that one: some foreign words in some
+texts don't make it a language's own. A null text or one without letters has the language ``und`` and the score 0. A text without any known n-gram gets the
 first language and an even share; without anything to learn from every text is ``und``. Other columns are ignored.
 """
 
@@ -28,6 +29,7 @@ from tallymark.llm.learning import held_out, sampled
 PER_LANGUAGE, KEPT = 1_024, 20_000
 SIZES = (3, 4)
 POSITION_BITS, PROBES = 20, 3
+_COMMON = 0.5
 UNKNOWN = "und"
 _U = np.uint64
 _STEPS = (_U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F), _U(0x165667B19E3779F9))
@@ -135,9 +137,14 @@ def fit(docs: DataFrame, folds: int = 4, out: int = 2, per_language: int = PER_L
                 yield pa.RecordBatch.from_arrays(columns, ["lang", "gram", "n"])
 
     counts = texts.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    texts_of = dict(map(tuple, chosen.groupBy("lang").agg(F.count(F.lit(1))).collect()))
+    sizes = docs.sparkSession.createDataFrame(list(texts_of.items()), "lang string, texts long")
+    share = F.col("n") / F.col("texts")
+    own = share >= _COMMON * F.max(share).over(Window.partitionBy("gram"))
+    counts = counts.filter("n > 1").join(F.broadcast(sizes), "lang").withColumn("own", own).filter("own")
     nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    found: dict[str, list] = {row.lang: [] for row in chosen.select("lang").distinct().collect()}
-    for row in counts.filter("n > 1").withColumn("nth", nth).filter(F.col("nth") <= kept).select("lang", "gram").collect():
+    found: dict[str, list] = {language: [] for language in texts_of}
+    for row in counts.withColumn("nth", nth).filter(F.col("nth") <= kept).select("lang", "gram").collect():
         found[row.lang].append(row.gram)
     return Filters({language: np.array(grams, np.int64).view(_U) for language, grams in found.items()})
 
