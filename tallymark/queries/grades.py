@@ -448,6 +448,38 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_truth(completions(spark, sf_dir), known, "idx")
 
 
+# A third of all events under one key, the others spread by user.
+_HOT_SQL = "case when event_id % 3 = 0 then 'hot' else concat('u', user_id) end"
+
+
+def _hot_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return events.select(F.expr(_HOT_SQL).alias("id"), F.col("event_id").alias("gen"), F.col("value").alias("total_reward"))
+
+
+@query(
+    "join_truth_skewed",
+    f"select {_HOT_SQL} as id, event_id as gen, value as total_reward, length({_HOT_SQL}) as size from events",
+    on_fixtures=False,
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _hot_events(spark, sf_dir)
+    truth = events.select("id").distinct().withColumn("size", F.length("id").cast("long"))
+    return join_truth(events, truth)
+
+
+@query(
+    "group_advantage_skewed",
+    f"""select id, gen, case when max(r) over w = min(r) over w then 0.0::double
+        else round((r - avg(r) over w) / (stddev_samp(r) over w + 0.0001::double), 6) end as advantage
+        from (select {_HOT_SQL} as id, event_id as gen, value as r from events) window w as (partition by id)""",
+    on_fixtures=False,
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = group_advantage(materialize(_hot_events(spark, sf_dir)))
+    return rows.select("id", "gen", F.round("advantage", 6).alias("advantage"))
+
+
 @query("join_predictions", f"select id, completion as prediction, predicted_answer, ground_truth from ({GRADED_SQL})")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     examples = rl_samples(spark, sf_dir).select("id", "ground_truth")
