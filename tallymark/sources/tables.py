@@ -48,17 +48,23 @@ def with_positions(source: DataFrame, name: str = "idx") -> DataFrame:
 
 
 def scan_jsonl(
-    spark: SparkSession, path: str | Sequence[str], schema: T.StructType, bad_lines: str = "fail"
+    spark: SparkSession,
+    path: str | Sequence[str],
+    schema: T.StructType,
+    bad_lines: str = "fail",
+    required: Sequence[str] = (),
 ) -> DataFrame:
     """Rows of a JSON Lines table with an explicit schema.
 
-    A blank or malformed line is an error, or with ``bad_lines="keep"`` a row without values that
+    A blank or malformed line, or one without a value for a ``required`` field, is an error, or with ``bad_lines="keep"`` a row without values that
     has the line in ``bad_line`` (see :func:`split_bad_lines`).
     """
-    return parse_jsonl(spark.read.text(path), schema, bad_lines)
+    return parse_jsonl(spark.read.text(path), schema, bad_lines, required)
 
 
-def parse_jsonl(lines: DataFrame, schema: T.StructType, bad_lines: str = "fail") -> DataFrame:
+def parse_jsonl(
+    lines: DataFrame, schema: T.StructType, bad_lines: str = "fail", required: Sequence[str] = ()
+) -> DataFrame:
     """Rows of JSON lines in the column ``value``, of a table or a stream (see :func:`scan_jsonl`)."""
     if bad_lines not in ("fail", "keep"):
         raise ValueError("bad_lines is fail or keep")
@@ -66,11 +72,13 @@ def parse_jsonl(lines: DataFrame, schema: T.StructType, bad_lines: str = "fail")
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     parsed = lines.select("value", F.from_json("value", wider, options).alias("row"))
     is_bad = F.col("row").isNull() | F.col(f"row.{_CORRUPT}").isNotNull() | (F.trim("value") == "")
+    for field in required:
+        is_bad = is_bad | F.col(f"row.{field}").isNull()
     if bad_lines == "keep":
         bad_line = F.when(is_bad, F.col("value"))
         values = [F.when(~is_bad, F.col(f"row.{field}")).alias(field) for field in schema.names]
         return parsed.select(*values, bad_line.alias("bad_line"))
-    message = F.concat(F.lit("not a JSON object: "), F.col("value"))
+    message = F.concat(F.lit("not a JSON object with all that is required: "), F.col("value"))
     checked = parsed.select(F.when(is_bad, F.raise_error(message)).otherwise(F.col("row")).alias("row"))
     return checked.select(*[F.col(f"row.{field}").alias(field) for field in schema.names])
 

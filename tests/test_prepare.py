@@ -167,6 +167,17 @@ def test_lines_in_order(spark):
     assert [json.loads(line)["id"] for line in lines] == [f"rl_{i:05d}" for i in range(2_000)]
 
 
+def test_required_fields(spark):
+    path = shared_folder(spark)
+    spark.createDataFrame([('{"id": "a", "prompt": "p"}',), ('{"id": "b"}',)], "value string").write.text(path)
+    good, bad = split_bad_lines(scan_jsonl(spark, path, RL_SAMPLE, "keep", required=["id", "prompt"]))
+    assert [row.id for row in good.collect()] == ["a"]
+    assert [row.bad_line for row in bad.collect()] == ['{"id": "b"}']
+    assert scan_jsonl(spark, path, RL_SAMPLE).count() == 2
+    with pytest.raises(Exception, match="required"):
+        scan_jsonl(spark, path, RL_SAMPLE, required=["prompt"]).collect()
+
+
 def test_bad_lines(spark):
     path = shared_folder(spark)
     Path(path).mkdir(parents=True)
