@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.fixed import EVAL_SAMPLES
+from tallymark.fixed import EVAL_SAMPLES, GENERATIONS
 from tallymark.fixtures import (
     HAS_ANSWER,
     HAS_MARKER,
@@ -58,6 +60,7 @@ from tallymark.operators import (
 from tallymark.plans import evaluate, grade_rollouts, graded_predictions, prepare_rl
 from tallymark.queries.registry import query
 from tallymark.queries.shared import (
+    ALL_GRADED_SQL,
     DATA_DIR,
     EXTRACTED_SQL,
     GRADED_SQL,
@@ -581,6 +584,14 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _evaluation(spark, sf_dir).report
 
 
+@query("evaluate_runs", f"select concat('output/run-', gen, '/') as model_name_or_path, {REPORT_SQL} from ({ALL_GRADED_SQL}) group by gen")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every generation as a run of its own."""
+    examples = rl_samples(spark, sf_dir)
+    runs = [evaluate(examples, predictions(spark, sf_dir, gen), f"output/run-{gen}/", None) for gen in range(GENERATIONS)]
+    return reduce(DataFrame.unionByName, [run.report for run in runs])
+
+
 @query(
     "evaluate_first",
     f"select '{MODEL}' as model_name_or_path, {REPORT_SQL} from (select * from ({GRADED_SQL}) order by idx limit {EVAL_SAMPLES})",

@@ -87,8 +87,10 @@ KINDS = {
 
 @query("scan_problems", "select idx, problem, answer, n_images from problems")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several files without the column idx: a row's position is its place among all of them."""
     path = shared_folder(spark)
-    illustrated(spark, sf_dir).write.parquet(path)
+    rows = illustrated(spark, sf_dir).repartitionByRange(5, "idx").sortWithinPartitions("idx")
+    rows.drop("idx").write.parquet(path)
     return scan_problems(spark, path).select("idx", "problem", "answer", F.size("images").alias("n_images"))
 
 

@@ -94,10 +94,10 @@ def teacher_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def predictions(spark: SparkSession, sf_dir: str, gen: int = 0) -> DataFrame:
     """One generation per problem of the second split; every other one repeats its prompt."""
     prompt = F.concat(F.lit("user: "), F.col("problem"), F.lit("\nassistant: "))
-    first = split_rl(paired(spark, sf_dir, generations=1), SPLIT)
+    first = split_rl(paired(spark, sf_dir, generations=gen + 1).filter(F.col("gen") == gen), SPLIT)
     repeated = F.concat(prompt, F.col("completion"))
     return first.select(
         sample_id(F.col("idx"), SPLIT).alias("id"),
@@ -106,8 +106,9 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Graded predictions in SQL: the second split, first generation, samples with a picture.
-GRADED_SQL = (
+# Graded predictions in SQL: the second split, samples with a picture, all generations or the first.
+ALL_GRADED_SQL = (
     f"select {RL_ID_SQL} as id, idx, gen, completion, {EXTRACTED_SQL} as predicted_answer, c.ground_truth "
-    f"from completions c join problems p using (idx) where gen = 0 and idx >= {SPLIT} and n_images > 0"
+    f"from completions c join problems p using (idx) where idx >= {SPLIT} and n_images > 0"
 )
+GRADED_SQL = f"{ALL_GRADED_SQL} and gen = 0"
