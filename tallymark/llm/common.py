@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,7 +37,3 @@ def bounded_broadcast(df: DataFrame, text: str | None = None, limit: int = BROAD
     if text is not None:
         size = size + F.coalesce(F.sum(F.octet_length(F.col(text))), F.lit(0))
     return F.broadcast(df) if df.agg(size).first()[0] < limit else df
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return functools.reduce(DataFrame.unionByName, frames)

@@ -123,7 +123,8 @@ def fit(docs: DataFrame, folds: int = 4, out: int = 2, per_language: int = PER_L
     )
     chosen = materialize(sampled(known, "lang", per_language).select("doc_id", "lang").distinct())
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
-    texts = texts.join(F.broadcast(chosen), ["doc_id", "lang"])
+    # A row that is there a million times is one text of the sample.
+    texts = texts.join(F.broadcast(chosen), ["doc_id", "lang"]).dropDuplicates(["doc_id", "lang"])
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = Grams()

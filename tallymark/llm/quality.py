@@ -162,6 +162,8 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", metadata: t
         return float(max(sizes, default=0))
     values = [F.col(name).cast("double").alias(name) for name in metadata]
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *values).join(F.broadcast(known), "doc_id")
+    # A row that is there a million times is one text of the sample.
+    texts = texts.dropDuplicates(["doc_id"])
 
     def reduce(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         featurizer = Featurizer()
