@@ -10,9 +10,9 @@ a chance of their weighted Jaccard similarity.
 
 **Links.** Texts that agree in a whole band of coordinates are candidates, and each candidate pair is compared exactly.
 Texts with the same weighted shingles are one node from the start. In each bucket every node is first compared with the
-smallest one; buckets that are one component by then are done. In the others all pairs of different components are
-compared, in blocks of bounded size, of which those within one component are never made. So no link between different
-components is lost, and a bucket of thousands of copies costs one comparison each.
+smallest one, which leaves a thousand copies in one component at the cost of one comparison each. Candidates of different
+components are then compared in blocks of bounded size; pairs of blocks within one component are never made. So no link
+between different components is lost.
 
 Texts of one to four words have one shingle of all of them. Texts without words, null among them, are near copies of
 nothing. Rows with the same doc_id are one document; rows with a null doc_id are copies of nothing and have a null class.
@@ -28,7 +28,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.llm.common import materialize
@@ -38,9 +38,11 @@ SHINGLE = 5
 SIMILARITY = 0.8
 # A pair of similarity 0.8 agrees in one of 16 bands of 4 coordinates with a chance of 0.9998.
 BANDS, ROWS = 16, 4
-# Nodes of a bucket that are compared with as many others at once.
-BLOCK = 256
+# Nodes, and shingles, that are compared with as many others at once.
+BLOCK, BLOCK_SHINGLES = 2_048, 1 << 20
 _TEXTS = 128
+# Of the filter that tells which texts to cut into shingles a second time: 1 MB whatever the corpus.
+FILTER_BITS = 1 << 23
 
 _WORD = re.compile(r"[^\W_]+")
 _U = np.uint64
@@ -170,6 +172,10 @@ def _stored(found: tuple[np.ndarray, np.ndarray]) -> bytes:
     return len(found[0]).to_bytes(8, "little") + found[0].tobytes() + weights
 
 
+def _digest(data: bytes) -> bytes:
+    return hashlib.blake2b(data, digest_size=16).digest()
+
+
 def _loaded(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     n = int.from_bytes(data[:8], "little")
     weights = np.frombuffer(data, np.float64, n, 8 + 8 * n) if len(data) > 8 + 8 * n else np.ones(n)
@@ -177,7 +183,7 @@ def _loaded(data: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, content, bands: a digest of the weighted shingles and the band hashes, for texts with words."""
+    """doc_id, content, bands, size: of texts with words a digest and the number of weighted shingles, and band hashes."""
 
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
@@ -190,28 +196,56 @@ def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
                     continue
                 sets = [sets[i] for i in kept]
                 hashes = banded(signatures(sets, bands * rows), bands).view(np.int64)
-                content = [hashlib.blake2b(_stored(found), digest_size=16).digest() for found in sets]
+                content = [_digest(_stored(found)) for found in sets]
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(hashes.reshape(-1)), bands).cast(pa.list_(pa.int64()))
-                columns = [part.column("doc_id").take(pa.array(kept)), pa.array(content, pa.binary()), lists]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "content", "bands"])
+                sizes = pa.array([len(found[0]) for found in sets], pa.int64())
+                columns = [part.column("doc_id").take(pa.array(kept)), pa.array(content, pa.binary()), lists, sizes]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "content", "bands", "size"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(F.col("doc_id").isNotNull())
-    return texts.mapInArrow(sign, "doc_id long, content binary, bands array<long>")
+    return texts.mapInArrow(sign, "doc_id long, content binary, bands array<long>, size long")
+
+
+def _places(node: str) -> list[Column]:
+    """Where a node's bits are in the filter of nodes."""
+    return [F.pmod(F.xxhash64(node, F.lit(i)), F.lit(FILTER_BITS)) for i in range(2)]
+
+
+def _filter(nodes: DataFrame) -> np.ndarray:
+    """A Bloom filter of ``nodes``: a number of bits that doesn't grow with them, put together from counted words."""
+    bits = nodes.select(F.explode(F.array(*_places("node"))).alias("bit"))
+    word = F.shiftrightunsigned("bit", 6).alias("word")
+    one = F.expr("shiftleft(1L, int(bit & 63L))")
+    out = np.zeros(FILTER_BITS >> 6, np.int64)
+    for row in bits.groupBy(word).agg(F.bit_or(one).alias("value")).collect():
+        out[row.word] = row.value
+    return out.view(_U)
 
 
 def shingled(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node, shingles: the stored weighted shingles of the documents in ``nodes``, one row each."""
+    """node, shingles: the stored weighted shingles of the documents in ``nodes``, one row per id and distinct shingles.
+
+    Texts stay where they are read: a Bloom filter of the nodes tells which ones to cut. It lets through a few documents
+    that are none of them; the joins that follow don't.
+    """
+    bits = _filter(nodes)
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         for batch in batches:
+            places = [batch.column(name).to_numpy().astype(np.int64) for name in ("one", "two")]
+            met = [(bits[p >> 6] >> (p & 63).astype(_U)) & _U(1) for p in places]
+            batch = batch.filter(pa.array((met[0] & met[1]).astype(bool)))
             for start in range(0, batch.num_rows, _TEXTS):
                 part = batch.slice(start, _TEXTS)
                 data = [_stored(shingler.weighted(text)) for text in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(data, pa.binary())], ["node", "shingles"])
+                columns = [pa.array(map(_digest, data), pa.binary()), pa.array(data, pa.binary())]
+                yield pa.RecordBatch.from_arrays([part.column("node"), *columns], ["node", "content", "shingles"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(nodes, "node", "left_semi")
-    return texts.mapInArrow(cut, "node long, shingles binary")
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").filter(F.col("node").isNotNull())
+    one, two = _places("node")
+    found = texts.withColumns({"one": one, "two": two}).mapInArrow(cut, "node long, content binary, shingles binary")
+    return found.dropDuplicates(["node", "content"]).select("node", "shingles")
 
 
 def _similar(pairs: DataFrame, least: float) -> DataFrame:
@@ -230,57 +264,63 @@ def _similar(pairs: DataFrame, least: float) -> DataFrame:
     return pairs.select("a", "b", "left", "right").mapInArrow(compare, "a long, b long")
 
 
-def _blocks(members: DataFrame, found: DataFrame) -> DataFrame:
-    """band, bucket, block, node, component: members of buckets of several components, in blocks in order of component."""
-    mixed = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    open_ = mixed.groupBy("band", "bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
-    left = materialize(mixed.join(materialize(open_.select("band", "bucket")), ["band", "bucket"], "left_semi"))
-    # Blocks are ranges of a sort by bucket and component: no task holds a bucket.
-    order = ["band", "bucket", "component", "node"]
-    ranged = left.repartitionByRange(*order).sortWithinPartitions(*order)
+def _blocks(pairs: DataFrame, found: DataFrame, signs: DataFrame) -> DataFrame:
+    """family, node, component, bands, block: the nodes of families of several components.
+
+    A family is what candidate pairs connect. Its nodes are in order of component and cut into blocks of bounded size; as
+    they are ranges of one sort, no task holds a family.
+    """
+    family = materialize(components(pairs, "a", "b")).withColumnRenamed("component", "family")
+    mixed = materialize(family.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")))
+    several = mixed.groupBy("family").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
+    left = mixed.join(materialize(several.select("family")), "family", "left_semi").join(signs, "node")
+    order = ["family", "component", "node"]
+    ranged = left.select("family", "component", "node", "bands", "size").repartitionByRange(*order).sortWithinPartitions(*order)
 
     def number(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        base, block, size, last = TaskContext.get().partitionId() << 40, 0, 0, None
+        block, nodes, shingles, last = TaskContext.get().partitionId() << 40, 0, 0, None
         for batch in batches:
             out = []
-            for key in zip(batch.column("band").to_pylist(), batch.column("bucket").to_pylist()):
-                if key != last or size == BLOCK:
-                    block, size, last = block + 1, 0, key
-                size += 1
-                out.append(base + block)
+            for family, size in zip(batch.column("family").to_pylist(), batch.column("size").to_pylist()):
+                if family != last or nodes == BLOCK or shingles + size > BLOCK_SHINGLES:
+                    block, nodes, shingles, last = block + 1, 0, 0, family
+                nodes, shingles = nodes + 1, shingles + size
+                out.append(block)
             yield batch.append_column("block", pa.array(out, pa.int64()))
 
-    schema = "band int, bucket long, node long, component long, block long"
-    return materialize(ranged.select("band", "bucket", "node", "component").mapInArrow(number, schema))
+    schema = "family long, component long, node long, bands array<long>, size long, block long"
+    return materialize(ranged.mapInArrow(number, schema))
 
 
-def _rest(docs: DataFrame, members: DataFrame, found: DataFrame, bands: DataFrame, least: float) -> DataFrame:
-    """Links ``a, b`` between different components of the same bucket, compared block by block."""
-    blocks = _blocks(members, found)
+def _rest(docs: DataFrame, pairs: DataFrame, found: DataFrame, signs: DataFrame, least: float) -> DataFrame:
+    """Links ``a, b`` between different components that agree in a band, compared block by block."""
+    blocks = _blocks(pairs, found, signs)
     heads = materialize(
-        blocks.groupBy("band", "bucket", "block").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+        blocks.groupBy("family", "block").agg(F.min("component").alias("x"), F.max("component").alias("y"))
     )
     one, two = heads.alias("one"), heads.alias("two")
     several = (F.col("one.x") != F.col("one.y")) | (F.col("two.x") != F.col("two.y")) | (F.col("one.x") != F.col("two.x"))
-    same = (F.col("one.band") == F.col("two.band")) & (F.col("one.bucket") == F.col("two.bucket"))
-    met = one.join(two, same & (F.col("one.block") <= F.col("two.block")) & several)
-    pairs = met.select(F.col("one.block").alias("left"), F.col("two.block").alias("right"), F.col("one.band").alias("band"))
-    pairs = materialize(pairs.withColumn("pair", F.monotonically_increasing_id()))
-    shingles = shingled(docs, blocks.select("node").distinct())
-    data = blocks.join(bands, "node").join(materialize(shingles.dropDuplicates(["node"])), "node")
-    data = materialize(data.select("block", "node", "component", "bands", "shingles"))
-    sides = pairs.select("pair", "band", F.explode(F.array(F.struct(F.col("left").alias("block"), F.lit(0).alias("side")), F.struct(F.col("right").alias("block"), F.lit(1).alias("side")))).alias("s"))
-    rows = sides.select("pair", "band", "s.block", "s.side").join(data, "block")
+    met = one.join(two, (F.col("one.family") == F.col("two.family")) & (F.col("one.block") <= F.col("two.block")) & several)
+    met = met.select(F.col("one.block").alias("left"), F.col("two.block").alias("right"))
+    met = materialize(met.withColumn("pair", F.monotonically_increasing_id()))
+    # A block that is compared with itself is sent once.
+    sides = met.select("pair", F.col("left").alias("block"), F.lit(0).alias("side")).union(
+        met.filter("left < right").select("pair", F.col("right").alias("block"), F.lit(1).alias("side"))
+    )
+    shingles = materialize(shingled(docs, blocks.select("node")))
+    # Both sides of these joins grow with the data: none is sent whole, however small it is today.
+    data = materialize(blocks.select("block", "node", "component", "bands").hint("merge").join(shingles, "node"))
+    rows = sides.hint("merge").join(data, "block")
 
     def compare(table: pa.Table) -> pa.Table:
-        band = table.column("band")[0].as_py()
         sides = [table.filter(pc.equal(table.column("side"), s)) for s in (0, 1)]
-        nodes = [t.column("node").to_numpy() for t in sides]
+        sides = sides if len(sides[1]) else [sides[0], sides[0]]
+        nodes = [t.column("node").to_pylist() for t in sides]
         parts = [t.column("component").to_numpy() for t in sides]
-        agree = [np.array(t.column("bands").to_pylist(), np.int64) for t in sides]
-        loaded = [[None] * len(n) for n in nodes]
+        bands = [np.array(t.column("bands").to_pylist(), np.int64) for t in sides]
+        stored = [t.column("shingles") for t in sides]
         tied: dict[int, int] = {}
 
         def root(x: int) -> int:
@@ -289,20 +329,18 @@ def _rest(docs: DataFrame, members: DataFrame, found: DataFrame, bands: DataFram
                 x = tied[x]
             return x
 
-        def get(side: int, i: int):
-            if loaded[side][i] is None:
-                loaded[side][i] = _loaded(sides[side].column("shingles")[i].as_py())
-            return loaded[side][i]
-
         out = []
         for i in range(len(nodes[0])):
-            # A pair is compared in the first band in which it agrees.
-            earlier = (agree[1][:, :band] == agree[0][i, :band]).any(1)
-            for j in np.flatnonzero((parts[1] != parts[0][i]) & ~earlier).tolist():
+            agree = (bands[1] == bands[0][i]).any(1) & (parts[1] != parts[0][i])
+            mine = None
+            for j in np.flatnonzero(agree).tolist():
                 x, y = root(int(parts[0][i])), root(int(parts[1][j]))
-                if x != y and similarity(get(0, i), get(1, j)) >= least:
+                if x == y:
+                    continue
+                mine = mine or _loaded(stored[0][i].as_py())
+                if similarity(mine, _loaded(stored[1][j].as_py())) >= least:
                     tied[max(x, y)] = min(x, y)
-                    out.append((int(nodes[0][i]), int(nodes[1][j])))
+                    out.append((nodes[0][i], nodes[1][j]))
         return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
     return rows.groupBy("pair").applyInArrow(compare, "a long, b long")
@@ -312,24 +350,25 @@ def near_copies(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS,
     """doc_id, class_id: for each distinct doc_id of a text with words, the smallest doc_id of its class."""
     signs = materialize(signed(docs, bands, rows))
     same = materialize(signs.groupBy("content").agg(F.min("doc_id").alias("node")))
-    node_of = signs.select("doc_id", "content").join(same, "content").select("doc_id", "node")
-    firsts = signs.select(F.col("doc_id").alias("node"), "bands").join(same.select("node").distinct(), "node")
-    firsts = materialize(firsts.dropDuplicates(["node"]))
+    node_of = materialize(signs.select("doc_id", "content").join(same, "content").select("doc_id", "node"))
+    firsts = signs.join(same, "content").filter("doc_id = node").dropDuplicates(["node", "content"])
+    firsts = materialize(firsts.select("node", "bands", "size"))
     each = firsts.select("node", F.posexplode("bands").alias("band", "bucket"))
     buckets = each.groupBy("band", "bucket").agg(F.min("node").alias("first"), F.max("node").alias("last")).filter("first < last")
-    members = materialize(each.join(materialize(buckets.drop("last")), ["band", "bucket"]))
+    members = each.join(materialize(buckets.drop("last")), ["band", "bucket"])
     pairs = members.filter("node != first").select(F.col("node").alias("a"), F.col("first").alias("b")).distinct()
     pairs = materialize(pairs)
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    shingles = materialize(shingled(docs, ends).dropDuplicates(["node"]))
-    both = pairs.join(shingles.select(F.col("node").alias("a"), F.col("shingles").alias("left")), "a")
-    both = both.join(shingles.select(F.col("node").alias("b"), F.col("shingles").alias("right")), "b")
+    shingles = materialize(shingled(docs, ends))
+    # Both sides of these joins grow with the data: none is sent whole, however small it is today.
+    both = pairs.hint("merge").join(shingles.select(F.col("node").alias("a"), F.col("shingles").alias("left")), "a")
+    both = both.hint("merge").join(shingles.select(F.col("node").alias("b"), F.col("shingles").alias("right")), "b")
     links = materialize(_similar(both, least))
     found = materialize(components(links, "a", "b"))
     # Rows of one doc_id with different texts tie their nodes.
     owners = node_of.groupBy("doc_id").agg(F.min("node").alias("b"), F.max("node").alias("top")).filter("b < top")
     tied = node_of.join(owners, "doc_id").filter("node != b").select(F.col("node").alias("a"), "b")
-    more = materialize(_rest(docs, members.drop("first"), found, firsts, least).union(tied))
+    more = materialize(_rest(docs, pairs, found, firsts, least).union(tied))
     if not more.isEmpty():
         found = materialize(components(links.union(more), "a", "b"))
     every = node_of.groupBy("doc_id").agg(F.min("node").alias("node"))
