@@ -71,16 +71,17 @@ def window_points(items: DataFrame, counts: DataFrame) -> DataFrame:
 def postings(docs: DataFrame, terms: DataFrame, radius: int) -> DataFrame:
     """term, doc_id, doc_key, pos, around: every place of ``terms``, and each document's length as the place of "".
 
-    ``around`` holds the ``radius`` words before the place (fewer at the beginning), the word and those after it.
+    ``around`` holds the ``radius`` words before the place (fewer at the beginning), the word and those after it, for terms
+    that ``lead`` a window: those at which its words are compared.
     """
-    listed = terms.unionByName(docs.sparkSession.createDataFrame([(_LENGTH,)], "term string"))
+    listed = terms.unionByName(docs.sparkSession.createDataFrame([(_LENGTH, False)], "term string, leads boolean"))
     placed = _keyed(docs).select(
         "doc_id", "doc_key", "doc_words", F.posexplode(F.array_append("doc_words", _LENGTH)).alias("pos", "term")
     )
     first = F.greatest(F.col("pos") - radius, F.lit(0))
     around = F.slice("doc_words", first + 1, F.col("pos") + radius + 1 - first)
     return placed.join(bounded_broadcast(listed, "term"), "term").select(
-        "term", "doc_id", "doc_key", "pos", F.when(F.col("term") != _LENGTH, around).alias("around")
+        "term", "doc_id", "doc_key", "pos", F.when(F.col("leads"), around).alias("around")
     )
 
 
@@ -102,16 +103,19 @@ def build_index(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, sla
     terms = materialize(items.select(F.explode("item_words").alias("term")).distinct())
     counts = materialize(term_counts(docs, terms))
     windows = materialize(window_points(items, counts).join(items.drop("n"), ["item", "begin"]))
-    points = materialize(windows.select(F.explode("points.term").alias("term")).distinct())
+    each = windows.select(F.posexplode("points.term").alias("nth", "term"))
+    points = materialize(each.groupBy("term").agg((F.min("nth") == 0).alias("leads")))
     radius = window - 1 + slack
     return Index(materialize(postings(docs, points, radius)), windows, radius)
 
 
 def _shifted(index: Index) -> DataFrame:
     """The lists of all points, one row per posting and place of its term in an item, moved to the item's beginning."""
-    points = index.windows.select("item", F.explode("points").alias("p")).select("item", "p.point", "p.term").distinct()
+    each = index.windows.select("item", F.posexplode("points").alias("nth", "p"))
+    points = each.groupBy("item", "p.point", "p.term").agg((F.min("nth") == 0).alias("leads"))
     placed = index.postings.filter(F.col("term") != _LENGTH).join(bounded_broadcast(points, "term"), "term")
-    return placed.select("doc_id", "doc_key", "item", (F.col("pos") - F.col("point")).alias("shift"), "point", "around")
+    around = F.when(F.col("leads"), F.col("around")).alias("around")
+    return placed.select("doc_id", "doc_key", "item", (F.col("pos") - F.col("point")).alias("shift"), "point", around)
 
 
 def phrase_matches(index: Index) -> DataFrame:
