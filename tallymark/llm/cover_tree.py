@@ -92,6 +92,22 @@ class CoverTree:
         self.child, self.children = (np.array(c, np.int64) for c in table[4:])
 
 
+    def stored(self) -> tuple[bytes, bytes]:
+        """The nodes' numbers and the order of the members; the nodes' radii."""
+        nodes = np.concatenate([self.begin, self.end, self.center, self.child, self.children, self.order])
+        return nodes.astype("<i8").tobytes(), self.radius.tobytes()
+
+    @classmethod
+    def loaded(cls, points: np.ndarray, nodes: bytes, radius: bytes) -> CoverTree:
+        tree = cls.__new__(cls)
+        tree.points, tree.radius = points, np.frombuffer(radius)
+        numbers = np.frombuffer(nodes, "<i8")
+        n = len(tree.radius)
+        tree.begin, tree.end, tree.center, tree.child, tree.children = numbers[: 5 * n].reshape(5, n)
+        tree.order = numbers[5 * n :]
+        return tree
+
+
 class Links:
     """What the traversal of two trees finds: weighted numbers of links, and ties that connect the same vectors."""
 
@@ -238,13 +254,14 @@ def _assigned(points: DataFrame, centers: dict) -> DataFrame:
 
 
 def _tree_row(table: pa.Table) -> pa.Table:
-    """The block of a group of points: its head, and its points sorted by id."""
+    """The block of a group of points: its head, and the cover tree of its points in order of id."""
     table = table.sort_by("vec_id")
     points = _unit(np.array(table.column("vector").to_pylist(), np.float64))
     center = points.mean(0)
     size = float(np.sqrt((center * center).sum()))
     center = center / size if size > 1e-9 else points[0]
     away = np.sqrt(((points - center) ** 2).sum(1))
+    nodes, radii = CoverTree(points).stored()
     return pa.table(
         {
             "label": [str(table.column("label")[0].as_py())],
@@ -255,11 +272,14 @@ def _tree_row(table: pa.Table) -> pa.Table:
             "ids": pa.array([table.column("vec_id").to_numpy().astype("<i8").tobytes()], pa.binary()),
             "times": pa.array([table.column("n").to_numpy().astype("<i8").tobytes()], pa.binary()),
             "points": pa.array([points.tobytes()], pa.binary()),
+            "nodes": pa.array([nodes], pa.binary()),
+            "radii": pa.array([radii], pa.binary()),
         }
     )
 
 
-_BLOCKS = "label string, dims int, block long, middle array<double>, radius double, ids binary, times binary, points binary"
+_TREE = ("ids", "times", "points", "nodes", "radii")
+_BLOCKS = "label string, dims int, block long, middle array<double>, radius double, " + ", ".join(f"{c} binary" for c in _TREE)
 
 
 def _compare(batches: Iterable[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
@@ -271,7 +291,8 @@ def _compare(batches: Iterable[pa.RecordBatch], least: float) -> Iterator[pa.Rec
             for side in ("1", "2"):
                 ids.append(np.frombuffer(row["ids" + side], "<i8"))
                 times.append(np.frombuffer(row["times" + side], "<i8"))
-                trees.append(CoverTree(np.frombuffer(row["points" + side]).reshape(len(ids[-1]), -1)))
+                points = np.frombuffer(row["points" + side]).reshape(len(ids[-1]), -1)
+                trees.append(CoverTree.loaded(points, row["nodes" + side], row["radii" + side]))
             same = row["block1"] == row["block2"]
             found = dual_traversal(trees[0], trees[1], tuple(times), least)
             every = np.concatenate(ids)
@@ -311,7 +332,7 @@ def similar_vectors(embeddings: DataFrame, least: float = LEAST, sample: int = S
     pairs = one.join(two, kind & (F.col("one.block") <= F.col("two.block")) & near)
     pairs = materialize(pairs.select(F.col("one.block").alias("block1"), F.col("two.block").alias("block2")))
     for side in ("1", "2"):
-        data = blocks.select(*[F.col(c).alias(c + side) for c in ("block", "ids", "times", "points")])
+        data = blocks.select(*[F.col(c).alias(c + side) for c in ("block", *_TREE)])
         pairs = pairs.join(data, "block" + side)
     partitions = int(embeddings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = pairs.repartition(partitions, "block1", "block2")
