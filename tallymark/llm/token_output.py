@@ -1,8 +1,8 @@
 """Token ids in files: frequency-ranked, byte-aligned variable-length codes with their control bytes apart.
 
 The most frequent id has rank 0 and so on; ties go to the smaller id. A rank takes one to four bytes; two bits tell how
-many, four ranks share a control byte, and all control bytes of a file come before its data bytes. The decoder looks up,
-per control byte, where each of its sixteen output bytes comes from.
+many, four ranks share a control byte, and all control bytes of a file come before its data bytes. The decoder looks up the
+four sizes of each control byte and so finds the bytes of all numbers of a file at once.
 
 A file (little-endian): the magic ``TMRK``; uint32 version, number of documents, number of ids; uint64 ids before it in
 its part, number of data bytes; then per document int64 id, uint8 null flag and uint32 length; control bytes; data bytes.
@@ -32,42 +32,44 @@ MAGIC, VERSION = b"TMRK", 1
 _HEAD = "<4sIIIQQ"
 # A file is closed after the document with which it has so many ids.
 FILE_IDS = 4 << 20
-# Control bytes decoded at once.
-_CHUNK = 1 << 16
-
-_SIZES = ((np.arange(256)[:, None] >> (2 * np.arange(4))) & 3) + 1
-_TOTAL = _SIZES.sum(1)
-_STARTS = np.cumsum(_SIZES, 1) - _SIZES
-_BYTE = np.arange(4)
-#: For each control byte the place of each of 16 output bytes among its data bytes; -1 is a zero byte.
-_PLACES = np.where(_BYTE < _SIZES[:, :, None], _STARTS[:, :, None] + _BYTE, -1).reshape(256, 16)
+#: For each control byte the sizes of its four numbers.
+_SIZES = (((np.arange(256)[:, None] >> (2 * np.arange(4))) & 3) + 1).astype(np.uint8)
 
 
 def encode_numbers(numbers: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and data bytes of unsigned 32-bit numbers."""
     numbers = np.asarray(numbers, "<u4")
-    sizes = 1 + (numbers > 0xFF).astype(np.uint8) + (numbers > 0xFFFF) + (numbers > 0xFFFFFF)
+    sizes = np.ones(len(numbers), np.uint8)
+    for most in (0xFF, 0xFFFF, 0xFFFFFF):
+        sizes += numbers > most
     codes = np.zeros(-(-len(numbers) // 4) * 4, np.uint8)
     codes[: len(numbers)] = sizes - 1
-    control = (codes.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(1, dtype=np.uint8)
-    kept = _BYTE < sizes[:, None]
-    return control.tobytes(), numbers.view(np.uint8).reshape(-1, 4)[kept].tobytes()
+    quarters = codes.reshape(-1, 4)
+    control = quarters[:, 0] | quarters[:, 1] << 2 | quarters[:, 2] << 4 | quarters[:, 3] << 6
+    ends = np.cumsum(sizes, dtype=np.int64)
+    data = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
+    places, left = ends - sizes, numbers
+    data[places] = left.astype(np.uint8)
+    for byte in range(1, 4):
+        # Ever fewer numbers have another byte.
+        longer = np.flatnonzero(sizes > byte)
+        sizes, places, left = sizes[longer], places[longer], left[longer]
+        data[places + byte] = (left >> np.uint32(8 * byte)).astype(np.uint8)
+    return control.tobytes(), data.tobytes()
 
 
 def decode_numbers(control: bytes, data: bytes, count: int) -> np.ndarray:
-    """The numbers, by table lookup."""
-    controls = np.frombuffer(control, np.uint8)
-    # The unused places of the last control byte count as one byte each.
-    padded = np.frombuffer(data + bytes(4), np.uint8)
-    out, at = [], 0
-    for start in range(0, len(controls), _CHUNK):
-        part = controls[start : start + _CHUNK]
-        total = _TOTAL[part]
-        places = _PLACES[part] + (at + np.cumsum(total) - total)[:, None]
-        taken = np.where(_PLACES[part] < 0, 0, padded[np.minimum(places, len(padded) - 1)]).astype(np.uint8)
-        out.append(taken.view("<u4").reshape(-1))
-        at += int(total.sum())
-    return np.concatenate(out)[:count] if out else np.zeros(0, "<u4")
+    """The numbers: a table lookup per control byte gives four sizes, their sums the places of the bytes."""
+    sizes = _SIZES[np.frombuffer(control, np.uint8)].reshape(-1)[:count]
+    places = np.cumsum(sizes, dtype=np.int64) - sizes
+    source = np.frombuffer(data, np.uint8)
+    out = source[places].astype("<u4")
+    which = np.arange(count)
+    for byte in range(1, 4):
+        longer = np.flatnonzero(sizes > byte)
+        sizes, places, which = sizes[longer], places[longer], which[longer]
+        out[which] |= source[places + byte].astype("<u4") << np.uint32(8 * byte)
+    return out
 
 
 def encode_file(doc_ids: list[int | None], lengths: list[int], ranks: np.ndarray, before: int) -> bytes:
@@ -106,17 +108,21 @@ def token_ids(docs: DataFrame, path: str) -> DataFrame:
     return materialize(found).withColumn("kind", F.lit(kind))
 
 
+def _joined(column: pa.Array) -> memoryview:
+    """The bytes of all values of a binary column, one after the other."""
+    width = "<i8" if pa.types.is_large_binary(column.type) else "<i4"
+    ends = np.frombuffer(column.buffers()[1], width, len(column) + 1, column.offset * np.dtype(width).itemsize)
+    return memoryview(column.buffers()[2] or b"")[int(ends[0]) : int(ends[-1])]
+
+
 def ranked_ids(tokens: DataFrame, size: int) -> list[int]:
     """All ids below ``size``, most frequent first: counts over the whole corpus, one number per id on the driver."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
         for batch in batches:
-            for data, kind in zip(batch.column("ids"), batch.column("kind").to_pylist()):
-                ids = np.frombuffer(data.as_buffer(), kind)
-                total += np.bincount(ids, minlength=size) if len(ids) > size // 8 else 0
-                if len(ids) <= size // 8:
-                    np.add.at(total, ids, 1)
+            for kind in set(batch.column("kind").to_pylist()):
+                total += np.bincount(np.frombuffer(_joined(batch.column("ids")), kind), minlength=size)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
 

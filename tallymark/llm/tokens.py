@@ -10,6 +10,9 @@ from __future__ import annotations
 import itertools
 import os
 import re
+import sys
+import types
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -17,9 +20,8 @@ import pyarrow as pa
 
 END = 1
 END_BYTES = END.to_bytes(4, "little")
-# Words kept in memory by a task, and words sent to the library in one string.
+# Words that a task keeps in memory.
 REMEMBERED = 400_000
-_JOINED = 2_000
 # Texts encoded together.
 BATCH = 256
 
@@ -36,6 +38,16 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def _byte_characters() -> dict[int, str]:
+    """The characters that stand for bytes: themselves where they are visible in Latin-1, else those from 256 on."""
+    visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in visible]
+    return {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+_BYTES = _byte_characters()
+
+
 class Encoder:
     """Encodes texts; null counts as empty."""
 
@@ -49,13 +61,11 @@ class Encoder:
         with open(path, encoding="utf-8") as file:
             about = json.load(file)
         model = about["model"]
+        suffix = model.get("end_of_word_suffix")
         self.size = 1 + max(model["vocab"].values())
         self.size = max([self.size, *(1 + token["id"] for token in about["added_tokens"])])
-        self._ends = np.zeros(self.size, bool)
-        suffix = model.get("end_of_word_suffix")
-        self._by_word = bool(suffix) and _SPLIT in json.dumps(about["pre_tokenizer"]).replace("\\\\", "\\")
-        if self._by_word:
-            self._ends[[i for token, i in model["vocab"].items() if token.endswith(suffix)]] = True
+        byte_level = '"ByteLevel"' in json.dumps(about["pre_tokenizer"])
+        self._by_word = bool(suffix) and byte_level and _SPLIT in json.dumps(about["pre_tokenizer"]).replace("\\\\", "\\")
         self._special = [token["content"] for token in about["added_tokens"]]
         self._known: dict[str, bytes] = {}
 
@@ -63,19 +73,17 @@ class Encoder:
         found = self._library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def _learn(self, new: list[str]) -> None:
-        if len(self._known) + len(new) > REMEMBERED:
-            self._known.clear()
-        groups = [new[i : i + _JOINED] for i in range(0, len(new), _JOINED)]
-        for group, encoded in zip(groups, self._library.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
-            ids = np.array(encoded.ids, "<u4")
-            ends = np.flatnonzero(self._ends[ids]) + 1
-            if len(ends) != len(group):
-                self._known.update(zip(group, self._whole(group)))
-                continue
-            data, ends = ids.tobytes(), (ends * 4).tolist()
-            for word, start, end in zip(group, [0, *ends], ends):
-                self._known[word] = data[start:end]
+    def _learn(self, new: Iterable[str]) -> None:
+        """The ids of words, from the library's merges alone: what comes before those leaves a plain word as it is."""
+        tokenize, known = self._library.model.tokenize, self._known
+        for word in new:
+            # The merges work on characters that stand for bytes; printable ASCII stands for itself.
+            plain = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(_BYTES)
+            known[word] = array("I", [token.id for token in tokenize(plain)]).tobytes()
+
+    def forget(self) -> None:
+        """Free the memory that words take."""
+        self._known = {}
 
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
         texts = ["" if text is None else text for text in texts]
@@ -85,9 +93,9 @@ class Encoder:
         split = [_WORD.findall(t.lower()) if p else () for t, p in zip(texts, plain)]
         new = set(itertools.chain.from_iterable(split)).difference(self._known)
         if len(self._known) + len(new) > REMEMBERED:
+            self.forget()
             new = set(itertools.chain.from_iterable(split))
-        if new:
-            self._learn(list(new))
+        self._learn(new)
         get = self._known.__getitem__
         out = [b"".join(map(get, words)) for words in split]
         rest = [i for i, p in enumerate(plain) if not p]
@@ -97,11 +105,21 @@ class Encoder:
         return out
 
 
+def worker_encoder(path: str) -> Encoder:
+    """The encoder that this Python worker keeps between tasks: to make one takes longer than many a task."""
+    held = sys.modules.setdefault("tallymark_worker", types.ModuleType("tallymark_worker"))
+    encoders = vars(held).setdefault("encoders", {})
+    if path not in encoders:
+        encoders[path] = Encoder(path)
+    return encoders[path]
+
+
 def encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Each batch (its column ``text``) in slices, with the ids of every text and the end id."""
-    encoder = Encoder(path)
+    encoder = worker_encoder(path)
     for batch in batches:
         for start in range(0, batch.num_rows, BATCH):
             part = batch.slice(start, BATCH)
             ids = encoder.encode(part.column("text").to_pylist())
             yield part, [data + END_BYTES for data in ids]
+    encoder.forget()
