@@ -65,9 +65,10 @@ def evaluate(
         examples = materialize(first_rows(examples, max_samples, "position"))
         # Leave out the predictions for all other examples before anything is shuffled.
         predictions = predictions.join(examples.select("id"), "id", "left_semi")
-    answered = predicted_answers(predictions).withColumn(_ANSWERED, F.lit(True))
+    answers = predicted_answers(predictions)
+    answered = answers.select("id", "predicted_answer").withColumn(_ANSWERED, F.lit(True))
     pairs = examples.select("id", "ground_truth").join(one_per_key(answered, "id", "prediction"), "id", "left")
-    # Graded once and written: report, samples and rejects are all taken from it.
+    # Graded once and written, without the generated texts: those are moved only for the samples.
     graded = materialize(grade(pairs))
     missing = F.col(_ANSWERED).isNull()
     kept = graded.filter(~missing & gradable())
@@ -75,6 +76,6 @@ def evaluate(
     return Evaluation(
         model=model,
         report=report_rows(eval_report(kept), model),
-        samples=kept.select(*EVAL_ROW.names, *GRADE_FLAGS),
+        samples=kept.join(answers.select("id", "prediction"), "id").select(*EVAL_ROW.names, *GRADE_FLAGS),
         rejects=graded.filter(missing | ~gradable()).select("id", reason.alias("reason")),
     )
