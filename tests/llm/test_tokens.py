@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import functools
 import random
 import zlib
 
@@ -46,13 +47,17 @@ def test_encoder_equals_the_library(library):
         assert got == [ids_of(library, t) for t in texts]
 
 
+@functools.cache
+def both():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(vocabulary()), Encoder(vocabulary())
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.text(st.characters(max_codepoint=0x2100, exclude_categories=["Cs"]), max_size=40), max_size=4))
 def test_encoder_equals_the_library_on_any_text(texts):
-    from tokenizers import Tokenizer
-
-    library = test_encoder_equals_the_library_on_any_text.__dict__.setdefault("library", Tokenizer.from_file(vocabulary()))
-    encoder = test_encoder_equals_the_library_on_any_text.__dict__.setdefault("encoder", Encoder(vocabulary()))
+    library, encoder = both()
     assert [np.frombuffer(d, "<u4").tolist() for d in encoder.encode(texts)] == [ids_of(library, t) for t in texts]
 
 
