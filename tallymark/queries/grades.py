@@ -57,6 +57,7 @@ from tallymark.operators import (
     predicted_answers,
     rate,
 )
+from tallymark.operators.skew import shuffle_partitions
 from tallymark.plans import evaluate, grade_rollouts, graded_predictions, prepare_rl
 from tallymark.queries.registry import query
 from tallymark.queries.shared import (
@@ -355,6 +356,8 @@ def _agreements(spark: SparkSession, sf_dir: str, cases) -> DataFrame:
         F.col("p_partkey").alias("idx"),
         F.posexplode(F.array(*[F.struct(*[_filled(t).alias(n) for t, n in zip(case, "abc")]) for case in cases])).alias("nth", "t"),
     )
+    # A row costs far more to grade than its bytes suggest: rows are dealt out before that.
+    rows = rows.repartition(shuffle_partitions(rows), "idx", "nth")
     a, b, c = (F.col(f"t.{name}") for name in "abc")
     same, swapped = math_equal(a, b).alias("same"), math_equal(b, a).alias("swapped")
     return rows.select("idx", F.col("nth").cast("long").alias("nth"), same, swapped, math_equal(a, c).alias("near"))
