@@ -1,8 +1,9 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over block-max inverted lists.
 
-**Terms** are the words of a text and the 4- and 5-character pieces of its words (a word begins with ``^``). Those whose
-share differs between toxic and other labelled texts beyond chance are kept. Every document is reduced to its kept terms
-once; document frequencies, and so the weights ``(1 + ln tf) * ln(1 + N / df)``, cover all documents.
+**Terms** are the words of a text and the 4- and 5-character pieces of its words (a word begins with ``^``). A document's
+vector has all terms that occur in an example; document frequencies, and so the weights ``(1 + ln tf) * ln(1 + N / df)``,
+cover all documents, and vectors are brought to length 1 as a whole. Texts meet in the terms whose share differs between
+toxic and other labelled texts beyond chance, however many those are: only these are listed, and add to a cosine.
 
 **Examples** are a bounded sample of labelled texts, in order of their heaviest term and cut into blocks. A term's list
 holds its examples' weights by block, and the greatest weight in each block. For a document the greatest weights bound the
@@ -13,7 +14,7 @@ the k-th best cosine found, so that the neighbours are exact (of equal ones, tho
 among examples without any term is added, so that a text without terms gets that share. A logistic curve fitted on the
 examples' own scores (each without itself) makes scores probabilities. The nearest examples are the evidence.
 
-Null and empty texts have no terms. Without a labelled text of both classes every score is the share of toxic ones, or 0.
+Null and empty texts have no terms. A text without a term that tells the classes apart has no neighbours. Without a labelled text of both classes every score is the share of toxic ones, or 0.
 Labels, language, source and id are no inputs. Rows may repeat; other columns are ignored or, in ``rejected``, kept.
 """
 
@@ -22,6 +23,7 @@ from __future__ import annotations
 import itertools
 import math
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -33,7 +35,6 @@ from pyspark.sql import functions as F
 from tallymark.llm.common import materialize
 from tallymark.llm.learning import PER_CLASS, held_out, labelled
 
-TERMS = 512
 NEIGHBOURS = 15
 EVIDENCE = 3
 BLOCK = 64
@@ -45,6 +46,8 @@ _PRIOR_VOTE = 0.25
 _PIECES = (4, 5)
 _WORD = re.compile(r"[^\W\d_]+")
 _REMEMBERED = 200_000
+# Words whose terms are put in order at a time.
+_WORDS = 50_000
 
 
 def word_terms(word: str) -> list[str]:
@@ -54,35 +57,77 @@ def word_terms(word: str) -> list[str]:
 
 
 class Terms:
-    """Counts of kept terms in texts."""
+    """Counts of terms in texts."""
 
-    def __init__(self, kept: dict[str, int] | None = None):
-        self._kept = kept
+    def __init__(self):
         self._known: dict[str, list] = {}
 
-    def _of(self, word: str) -> list:
-        if self._kept is None:
-            return word_terms(word)
-        marked, get = "^" + word, self._kept.get
-        found = {get(marked + "$"): None}
-        for n in _PIECES:
-            for i in range(len(marked) - n + 1):
-                found[get(marked[i : i + n])] = None
-        found.pop(None, None)
-        return list(found)
-
     def counts(self, text: str | None) -> Counter:
         words = _WORD.findall((text or "").lower())
         known = self._known
         if len(known) > _REMEMBERED:
             known.clear()
         for word in set(words).difference(known):
-            known[word] = self._of(word)
+            known[word] = word_terms(word)
         return Counter(itertools.chain.from_iterable(map(known.__getitem__, words)))
 
 
-def chosen_terms(texts: DataFrame, classes: dict[int, int], most: int = TERMS) -> list[str]:
-    """Terms whose share of ``texts`` (doc_id, text, target) differs most between the two classes."""
+class Numbered:
+    """Counts of known terms, as numbers, in many texts at once."""
+
+    def __init__(self, terms: pa.Array):
+        self._numbers = {term: i for i, term in enumerate(terms.to_pylist())}
+        self._forget()
+
+    def _forget(self) -> None:
+        #: The place of each word, and where its terms begin and end among all words' terms.
+        self._places: dict[str, int] = {}
+        self._starts, self._listed = array("q", [0]), array("q")
+
+    def _learn(self, words: Iterable[str]) -> None:
+        get, known = self._numbers.get, self._places
+        for word in words:
+            marked = "^" + word
+            found = {get(marked + "$"): None}
+            for n in _PIECES:
+                for i in range(len(marked) - n + 1):
+                    found[get(marked[i : i + n])] = None
+            found.pop(None, None)
+            known[word] = len(known)
+            self._listed.extend(found)
+            self._starts.append(len(self._listed))
+
+    def counts(self, texts: list[str | None]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+        """For each run of texts its begin and end, and texts (from the begin on), terms and counts in order of both."""
+        said, long, begin = array("q"), [], 0
+        for i, text in enumerate(texts):
+            words = _WORD.findall((text or "").lower())
+            self._learn(set(words).difference(self._places))
+            said.extend(map(self._places.__getitem__, words))
+            long.append(len(words))
+            if len(said) >= _WORDS or i + 1 == len(texts):
+                yield begin, i + 1, *self._ordered(np.array(said, np.int64), np.array(long))
+                said, long, begin = array("q"), [], i + 1
+                if len(self._places) > _REMEMBERED:
+                    self._forget()
+
+    def _ordered(self, said: np.ndarray, long: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        starts, listed = np.array(self._starts, np.int64), np.array(self._listed, np.int64)
+        pairs, times = np.unique(np.repeat(np.arange(len(long)), long) * len(starts) + said, return_counts=True)
+        at, word = np.divmod(pairs, len(starts))
+        sizes = starts[word + 1] - starts[word]
+        places = np.repeat(starts[word] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        n = len(self._numbers) + 1
+        keys = np.repeat(at, sizes) * n + listed[places]
+        order = np.argsort(keys)
+        keys, times = keys[order], np.repeat(times, sizes)[order]
+        first = np.flatnonzero(np.diff(keys, prepend=-1))
+        at, term = np.divmod(keys[first], n)
+        return at, term, np.add.reduceat(times, first) if len(first) else times
+
+
+def chosen_terms(texts: DataFrame, classes: dict[int, int]) -> tuple[pa.Array, int]:
+    """All terms of ``texts`` (text, target), and how many of them, which come first, tell the two classes apart."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: tuple[Counter, Counter] = (Counter(), Counter())
@@ -107,30 +152,56 @@ def chosen_terms(texts: DataFrame, classes: dict[int, int], most: int = TERMS) -
     ratio = sum(
         part(F.col(n), size * share) + part(size - F.col(n), size * (1 - share)) for n, size in (("n0", classes[0]), ("n1", classes[1]))
     )
-    rated = sums.select("term", F.sqrt(F.greatest(2 * ratio, F.lit(0.0))).alias("z")).filter(F.col("z") >= _DEVIATIONS)
-    return [row.term for row in rated.orderBy(F.desc("z"), "term").limit(most).collect()]
+    z = F.sqrt(F.greatest(2 * ratio, F.lit(0.0)))
+    # As many as the sample has: in columns, as rows would take many times the room.
+    rated = sums.select("term", F.when(z >= _DEVIATIONS, z).otherwise(0.0).alias("z")).toArrow()
+    rated = rated.sort_by([("z", "descending"), ("term", "ascending")])
+    return rated.column("term").combine_chunks(), int(np.count_nonzero(rated.column("z").to_numpy()))
+
+
+def frequencies(docs: DataFrame, terms: pa.Array) -> tuple[np.ndarray, int]:
+    """In how many texts of ``docs`` each of ``terms`` occurs, and how many texts there are."""
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, texts, n = Numbered(terms), 0, np.zeros(len(terms), np.int64)
+        for batch in batches:
+            texts += batch.num_rows
+            for _, _, _, term, _ in found.counts(batch.column("text").to_pylist()):
+                n += np.bincount(term, minlength=len(n))
+        there = np.flatnonzero(n)
+        columns = [pa.array(np.append(there, -1), pa.int32()), pa.array(np.append(n[there], texts))]
+        yield pa.RecordBatch.from_arrays(columns, ["term", "n"])
+
+    each = docs.select("text").mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(len(terms) + 1, np.int64)
+    # The number of texts has the number -1, and so the last place.
+    out[each.column("term").to_numpy()] = each.column("n").to_numpy()
+    return out[:-1], int(out[-1])
 
 
-def counted(docs: DataFrame, terms: list[str]) -> DataFrame:
-    """doc_id, terms, counts: the kept terms of every text."""
-    kept = {term: i for i, term in enumerate(terms)}
+def counted(docs: DataFrame, terms: pa.Array, kept: int, idf: np.ndarray) -> DataFrame:
+    """doc_id, terms, counts, length: of every text the first ``kept`` terms, and how long the vector of all its terms is."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = Terms(kept)
+        found = Numbered(terms)
         for batch in batches:
-            rows = [sorted(found.counts(text).items()) for text in batch.column("text").to_pylist()]
-            lists = [pa.array([[p[i] for p in row] for row in rows], pa.list_(pa.int32())) for i in (0, 1)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *lists], ["doc_id", "terms", "counts"])
+            for begin, end, at, term, times in found.counts(batch.column("text").to_pylist()):
+                length = np.sqrt(np.bincount(at, ((1.0 + np.log(times)) * idf[term]) ** 2, end - begin))
+                listed = term < kept
+                ends = np.searchsorted(at[listed], np.arange(end - begin + 1)).astype(np.int32)
+                lists = [pa.ListArray.from_arrays(ends, pa.array(x[listed], pa.int32())) for x in (term, times)]
+                columns = [batch.column("doc_id").slice(begin, end - begin), *lists, pa.array(length, pa.float64())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "terms", "counts", "length"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return materialize(texts.mapInArrow(count, "doc_id long, terms array<int>, counts array<int>"))
+    return materialize(texts.mapInArrow(count, "doc_id long, terms array<int>, counts array<int>, length double"))
 
 
-def weighted(terms: list[int], counts: list[int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A text's terms and their weights, of length 1."""
+def weighted(terms: list[int], counts: list[int], idf: np.ndarray, length: float | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """A text's terms and their weights, for a vector of ``length`` (of these terms alone if it is None) brought to 1."""
     at = np.array(terms, np.int64)
     weights = (1.0 + np.log(np.array(counts, np.float64))) * idf[at]
-    size = math.sqrt(float((weights * weights).sum()))
+    size = math.sqrt(float((weights * weights).sum())) if length is None else length
     return at, weights / size if size else weights
 
 
@@ -192,24 +263,24 @@ class Model:
     """Examples, their votes and the curve that makes a score of them."""
 
     def __init__(self, examples: list, idf: np.ndarray, shares: dict[int, float], k: int = NEIGHBOURS):
-        """``examples``: (doc_id, terms, counts, target) rows; ``shares``: the part of each class that they are."""
+        """``examples``: (doc_id, terms, counts, length, target) rows; ``shares``: the part of each class that they are."""
         self.idf, self.k = idf, k
-        examples = sorted(examples, key=lambda e: (e[0], e[3]))
+        examples = sorted(examples, key=lambda e: (e[0], e[4]))
         weight = {target: 1.0 / share for target, share in shares.items()}
-        total = sum(weight[e[3]] for e in examples)
-        self.base = sum(weight[e[3]] for e in examples if e[3] == 1) / total if examples else 0.0
+        total = sum(weight[e[4]] for e in examples)
+        self.base = sum(weight[e[4]] for e in examples if e[4] == 1) / total if examples else 0.0
         with_terms = [e for e in examples if len(e[1])]
         bare = [e for e in examples if not len(e[1])]
-        outside = sum(weight[e[3]] for e in bare)
-        self.bare = sum(weight[e[3]] for e in bare if e[3] == 1) / outside if bare else self.base
+        outside = sum(weight[e[4]] for e in bare)
+        self.bare = sum(weight[e[4]] for e in bare if e[4] == 1) / outside if bare else self.base
         self.ids = np.array([e[0] for e in with_terms], np.int64)
-        self.targets = np.array([e[3] for e in with_terms], np.float64)
+        self.targets = np.array([e[4] for e in with_terms], np.float64)
         mean = total / len(examples) if examples else 1.0
-        self.weights = np.array([weight[e[3]] / mean for e in with_terms])
-        vectors = [weighted(e[1], e[2], idf) for e in with_terms]
+        self.weights = np.array([weight[e[4]] / mean for e in with_terms])
+        vectors = [weighted(*e[1:3], idf, e[3]) for e in with_terms]
         self.index = BlockMax(vectors, len(idf))
         own = [self._vote(*self.index.nearest(t, w, k, i)) for i, (t, w) in enumerate(vectors)] + [self.bare] * len(bare)
-        rows = [(e[3], weight[e[3]]) for e in with_terms + bare]
+        rows = [(e[4], weight[e[4]]) for e in with_terms + bare]
         self.curve = _logistic(np.array(own), rows) if len({t for t, _ in rows}) == 2 else None
 
     def _vote(self, examples: np.ndarray, cosines: np.ndarray) -> float:
@@ -217,13 +288,13 @@ class Model:
         toxic = float((votes * self.targets[examples]).sum()) + _PRIOR_VOTE * self.bare
         return toxic / (float(votes.sum()) + _PRIOR_VOTE)
 
-    def score(self, terms: list[int], counts: list[int]) -> tuple[float, list[int]]:
+    def score(self, terms: list[int], counts: list[int], length: float) -> tuple[float, list[int]]:
         """The score of a text, and the ids of the nearest examples."""
         if self.curve is None:
             return self.base, []
         examples, cosines = np.zeros(0, np.int64), np.zeros(0)
         if len(terms) and len(self.ids):
-            examples, cosines = self.index.nearest(*weighted(terms, counts, self.idf), self.k)
+            examples, cosines = self.index.nearest(*weighted(terms, counts, self.idf, length), self.k)
         slope, middle = self.curve
         score = 1.0 / (1.0 + math.exp(-max(-500.0, min(500.0, slope * self._vote(examples, cosines) + middle))))
         return score, self.ids[examples[:EVIDENCE]].tolist()
@@ -248,22 +319,20 @@ def _logistic(x: np.ndarray, rows: list[tuple[int, float]]) -> tuple[float, floa
 
 
 def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", per_class: int = PER_CLASS) -> tuple[Model, DataFrame]:
-    """The model, and the kept terms of every document."""
+    """The model, and the listed terms of every document."""
     known = labelled(docs, labels, target, per_class)
     shares = dict(map(tuple, known.groupBy("target").agg(F.first("share")).collect()))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known), "doc_id")
     # Copies of a text would make its words look like a class's: each text counts once.
     texts = materialize(texts.withColumn("hash", F.xxhash64("text")).dropDuplicates(["hash", "target"]).select("text", "target"))
     sizes = dict(map(tuple, texts.groupBy("target").agg(F.count(F.lit(1))).collect()))
-    terms = chosen_terms(texts, sizes) if len(sizes) == 2 else []
-    found = counted(docs, terms)
-    each = found.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect()
-    frequency = np.ones(len(terms))
-    for term, n in each:
-        frequency[term] = n
-    idf = np.log1p(found.count() / frequency)
-    examples = found.join(F.broadcast(known), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "terms", "counts", "target")
-    return Model([tuple(row) for row in examples.collect()], idf, shares), found
+    terms, kept = chosen_terms(texts, sizes) if len(sizes) == 2 else (pa.array([], pa.string()), 0)
+    n, every = frequencies(docs, terms)
+    idf = np.log1p(every / np.maximum(n, 1))
+    found = counted(docs, terms, kept, idf)
+    examples = found.join(F.broadcast(known), "doc_id").dropDuplicates(["doc_id"])
+    examples = examples.select("doc_id", "terms", "counts", "length", "target")
+    return Model([tuple(row) for row in examples.collect()], idf[:kept], shares), found
 
 
 def scored(docs: DataFrame, labels: DataFrame, target: str = "toxic", per_class: int = PER_CLASS) -> DataFrame:
@@ -272,7 +341,7 @@ def scored(docs: DataFrame, labels: DataFrame, target: str = "toxic", per_class:
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [model.score(*row) for row in zip(batch.column("terms").to_pylist(), batch.column("counts").to_pylist())]
+            rows = [model.score(*row) for row in zip(*(batch.column(name).to_pylist() for name in ("terms", "counts", "length")))]
             columns = [pa.array([s for s, _ in rows], pa.float64()), pa.array([e for _, e in rows], pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "score", "evidence"])
 

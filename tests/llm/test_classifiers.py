@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tallymark.llm import language, quality, toxicity
@@ -93,6 +94,29 @@ def test_nearest_neighbours_are_exact():
         assert len(cosines) == min(15, int((every > 0).sum()))
 
 
+def test_every_term_that_tells_the_classes_apart_counts(spark):
+    pick = random.Random(4)
+    slurs = ["".join(pick.choice("bdfghjkpqvwxyz") + pick.choice("aeiou") for _ in range(5)) for _ in range(150)]
+    rows = [(i, prose(i, 20)) for i in range(900)]
+    rows += [(1000 + i, f"{prose(i, 12)} {' '.join(slurs[(i * 9 + k) % 150] for k in range(9))}") for i in range(200)]
+    marks = [(i, None, int(i >= 1000)) for i, _ in rows]
+    asked = [(2000 + i, f"{prose(5000 + i, 8)} {slur} {slur}") for i, slur in enumerate(slurs)]
+    got = {r.doc_id: r for r in toxicity.predictions(docs(spark, rows + asked), labels(spark, marks)).collect()}
+    assert all(got[i].predicted and got[i].evidence for i, _ in asked)
+
+
+def test_lengths_are_those_of_all_terms(spark):
+    terms = ["^vile$", "^vil", "vile", "^vile", "^bane$", "^ban", "bane", "^bane"]
+    rows = [(1, "vile bane bane other"), (2, "bane"), (3, None), (4, "VILE")]
+    n, every = toxicity.frequencies(docs(spark, rows), pa.array(terms))
+    assert (n.tolist(), every) == ([2] * 8, 4)
+    idf = np.log1p(every / n)
+    got = {r.doc_id: r for r in toxicity.counted(docs(spark, rows), pa.array(terms), 4, idf).collect()}
+    assert [(got[i].terms, got[i].counts) for i in (1, 2, 3, 4)] == [([0, 1, 2, 3], [1] * 4), ([], []), ([], []), ([0, 1, 2, 3], [1] * 4)]
+    want = [2 * np.sqrt(1 + (1 + np.log(2)) ** 2), 2, 0, 2]
+    assert np.allclose([got[i].length for i in (1, 2, 3, 4)], np.array(want) * idf[0])
+
+
 def test_quality(spark):
     rows, marks = corpus()
     got = quality.predictions(docs(spark, rows + ODD), labels(spark, marks)).collect()
