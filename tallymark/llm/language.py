@@ -121,7 +121,9 @@ def fit(docs: DataFrame, folds: int = 4, out: int = 2, per_language: int = PER_L
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang").filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(folds, out)
     )
-    chosen = materialize(sampled(known, "lang", per_language).select("doc_id", "lang").distinct())
+    # The share is one of ids, however many rows they have.
+    known = known.select("doc_id", "lang").distinct()
+    chosen = materialize(sampled(known, "lang", per_language).select("doc_id", "lang"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
     # A row that is there a million times is one text of the sample.
     texts = texts.join(F.broadcast(chosen), ["doc_id", "lang"]).dropDuplicates(["doc_id", "lang"])

@@ -174,6 +174,16 @@ def test_language(spark):
     assert len(out) > 30 and all(r.lang_pred == sorted(SPEECH)[r.doc_id % 3] for r in out)
 
 
+def test_repeated_rows_leave_the_sample_of_a_language_whole(spark):
+    rows = [(i, prose(i, 5, SPEECH[lang]), lang, None, None) for i in range(60) for lang in [sorted(SPEECH)[i % 3]]]
+    rows += [(rows[0][0], rows[0][1], "aa", None, None)] * 3000
+    filters = language.fit(frame(spark, rows), per_language=16)
+    assert filters.languages == sorted(SPEECH)
+    assert filters.decide(language.Grams().hashes(prose(1, 40, SPEECH["aa"])))[0] == "aa"
+    aa, bb, _ = (np.count_nonzero(filters.bits[0] & np.uint64(1 << i)) for i in range(3))
+    assert aa > bb / 3
+
+
 def test_language_without_anything_to_learn(spark):
     table = docs(spark, [(1, "words")]).withColumn("lang", F.lit(None).cast("string"))
     assert [tuple(r)[2:] for r in language.identified(table).collect()] == [("und", 0.0)]
