@@ -7,9 +7,9 @@ its bits set answers wrongly with chance ``p ** probes``, so that a count ``c``
 with that chance ``q``. The language with the largest corrected count is taken, of equal ones the first by name; the score is
 its part of all corrected counts.
 
-A language's n-grams (3 and 4 letters, words bounded by one blank) are those that most texts of a bounded sample have, two
-at least. An n-gram that is more than twice as common in another language is left to that one: some foreign words in some
-texts don't make it a language's own. A null text or one without letters has the language ``und`` and the score 0. A text without any known n-gram gets the
+A language's n-grams (3 and 4 letters, words bounded by one blank) are all those of a bounded sample of its texts. One that is
+more than twice as common in another language counts half: some foreign words in some texts don't make it a language's own.
+The others are in a second table besides, and both counts are added. A null text or one without letters has the language ``und`` and the score 0. A text without any known n-gram gets the
 first language and an even share; without anything to learn from every text is ``und``. Other columns are ignored.
 """
 
@@ -19,16 +19,18 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymark.llm.common import materialize
 from tallymark.llm.learning import held_out, sampled
 
-# Texts of a language that are learnt from, at most about, and the n-grams kept of them.
-PER_LANGUAGE, KEPT = 1_024, 20_000
+# Texts of a language that are learnt from, at most about.
+PER_LANGUAGE = 1_024
 SIZES = (3, 4)
-POSITION_BITS, PROBES = 20, 3
+# Positions of a table at least, and for each n-gram of the language that has most.
+POSITION_BITS, ROOM, PROBES = 20, 8, 3
 _COMMON = 0.5
 UNKNOWN = "und"
 _U = np.uint64
@@ -69,11 +71,11 @@ class Grams:
         return np.concatenate(out) if out else np.zeros(0, _U)
 
 
-def positions(grams: np.ndarray) -> list[np.ndarray]:
+def positions(grams: np.ndarray, bits: int = POSITION_BITS) -> list[np.ndarray]:
     found = []
     for step in _STEPS[:PROBES]:
         mixed = (grams ^ (grams >> _U(32))) * step
-        found.append((mixed >> _U(64 - POSITION_BITS)).astype(np.int64))
+        found.append((mixed >> _U(64 - bits)).astype(np.int64))
     return found
 
 
@@ -83,16 +85,17 @@ class Filters:
     def __init__(self, grams: dict[str, np.ndarray]):
         self.languages = sorted(grams)
         self.words = -(-len(self.languages) // 64)
-        self.bits = np.zeros((max(1, self.words), 1 << POSITION_BITS), _U)
+        self.size = max(POSITION_BITS, (ROOM * max(map(len, grams.values()), default=0)).bit_length())
+        self.bits = np.zeros((max(1, self.words), 1 << self.size), _U)
         for i, language in enumerate(self.languages):
-            for at in positions(grams[language]):
+            for at in positions(grams[language], self.size):
                 self.bits[i // 64][at] |= _U(1 << i % 64)
         filled = [((self.bits[i // 64] >> _U(i % 64)) & _U(1)).mean() for i in range(len(self.languages))]
         self.wrong = np.array(filled) ** PROBES
 
     def containing(self, grams: np.ndarray) -> list[np.ndarray]:
         """For each n-gram the bits of all languages that contain it, 64 languages to a word."""
-        places = positions(grams)
+        places = positions(grams, self.size)
         out = []
         for bits in self.bits:
             found = bits[places[0]]
@@ -107,17 +110,20 @@ class Filters:
         hits = np.array([int(((words[i // 64] >> _U(i % 64)) & _U(1)).sum()) for i in range(len(self.languages))], float)
         return np.maximum((hits - len(grams) * self.wrong) / (1.0 - self.wrong), 0.0)
 
-    def decide(self, grams: np.ndarray) -> tuple[str, float]:
+    def decide(self, grams: np.ndarray, own: Filters | None = None) -> tuple[str, float]:
+        """The language and its score; ``own``: the same languages' own n-grams, which count twice."""
         if not len(grams) or not self.languages:
             return UNKNOWN, 0.0
         counts = self.counts(grams)
+        if own is not None:
+            counts = counts + own.counts(grams)
         total = counts.sum()
         best = int(counts.argmax())
         return self.languages[best], float(counts[best] / total) if total else 1.0 / len(self.languages)
 
 
-def fit(docs: DataFrame, folds: int = 4, out: int = 2, per_language: int = PER_LANGUAGE, kept: int = KEPT) -> Filters:
-    """Filters of the languages of rows whose id isn't held out."""
+def fit(docs: DataFrame, folds: int = 4, out: int = 2, per_language: int = PER_LANGUAGE) -> tuple[Filters, Filters]:
+    """Filters of the languages of rows whose id isn't held out: of all their n-grams, and of their own ones."""
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang").filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(folds, out)
     )
@@ -142,24 +148,27 @@ def fit(docs: DataFrame, folds: int = 4, out: int = 2, per_language: int = PER_L
     counts = texts.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     texts_of = dict(map(tuple, chosen.groupBy("lang").agg(F.count(F.lit(1))).collect()))
     sizes = docs.sparkSession.createDataFrame(list(texts_of.items()), "lang string, texts long")
-    share = F.col("n") / F.col("texts")
+    # As of one text more without it: a single text says little about a language.
+    share = F.col("n") / (F.col("texts") + 1)
     own = share >= _COMMON * F.max(share).over(Window.partitionBy("gram"))
-    counts = counts.filter("n > 1").join(F.broadcast(sizes), "lang").withColumn("own", own).filter("own")
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    found: dict[str, list] = {language: [] for language in texts_of}
-    for row in counts.withColumn("nth", nth).filter(F.col("nth") <= kept).select("lang", "gram").collect():
-        found[row.lang].append(row.gram)
-    return Filters({language: np.array(grams, np.int64).view(_U) for language, grams in found.items()})
+    # As many as the sample has: in columns, as rows would take many times the room.
+    found = counts.join(F.broadcast(sizes), "lang").select("lang", "gram", own.alias("own")).toArrow()
+    every, owned = {}, {}
+    for language in texts_of:
+        mine = found.filter(pc.equal(found.column("lang"), language))
+        every[language] = mine.column("gram").to_numpy().view(_U)
+        owned[language] = every[language][mine.column("own").to_numpy()]
+    return Filters(every), Filters(owned)
 
 
 def identified(docs: DataFrame, folds: int = 4, out: int = 2) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, lang_pred, score."""
-    filters = fit(docs, folds, out)
+    filters, own = fit(docs, folds, out)
 
     def decide(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = Grams()
         for batch in batches:
-            rows = [filters.decide(grams.hashes(text)) for text in batch.column("text").to_pylist()]
+            rows = [filters.decide(grams.hashes(text), own) for text in batch.column("text").to_pylist()]
             columns = [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.float64())]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "lang_pred", "score"])
 

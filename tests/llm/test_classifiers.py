@@ -177,13 +177,32 @@ def test_language(spark):
 def test_repeated_rows_leave_the_sample_of_a_language_whole(spark):
     rows = [(i, prose(i, 5, SPEECH[lang]), lang, None, None) for i in range(60) for lang in [sorted(SPEECH)[i % 3]]]
     rows += [(rows[0][0], rows[0][1], "aa", None, None)] * 3000
-    filters = language.fit(frame(spark, rows), per_language=16)
+    filters = language.fit(frame(spark, rows), per_language=16)[0]
     assert filters.languages == sorted(SPEECH)
     assert filters.decide(language.Grams().hashes(prose(1, 40, SPEECH["aa"])))[0] == "aa"
     aa, bb, _ = (np.count_nonzero(filters.bits[0] & np.uint64(1 << i)) for i in range(3))
     assert aa > bb / 3
 
 
+def test_every_ngram_of_the_sample_is_in_its_filter(spark):
+    letters = [chr(0x4E00 + i) for i in range(24_000)]
+    rows = [(i, prose(i, 30, SPEECH["aa"]), "aa", None, None) for i in range(40)]
+    rows += [(1, prose(7, 30, SPEECH["bb"]), "bb", None, None), (3, " ".join(letters), "cc", None, None)]
+    # Foreign words in a language that has more of them elsewhere.
+    rows += [(i, prose(i, 30, SPEECH["cc"]) + " bane" * (i == 101), "dd", None, None) for i in range(100, 140)]
+    assert {1, 3, 101}.isdisjoint(i for i in range(140) if zlib.crc32(str(i).encode()) % 4 == 2)
+    table = frame(spark, rows)
+    filters, own = language.fit(table)
+    grams = language.Grams()
+    for text, name in ((rows[40][1], "bb"), (rows[41][1], "cc"), ("bane", "dd")):
+        i = filters.languages.index(name)
+        assert all((w >> np.uint64(i)) & np.uint64(1) for w in filters.containing(np.unique(grams.hashes(text)))[0])
+    assert own.decide(grams.hashes("bane"))[0] == "aa" == filters.decide(grams.hashes("bane"), own)[0]
+    asked = frame(spark, [(900, rows[40][1], None, None, None), (901, " ".join(letters[::-1]), None, None, None)])
+    got = {r.doc_id: r.lang_pred for r in language.identified(table.union(asked)).collect()}
+    assert got[900] == "bb" and got[901] == "cc"
+
+
 def test_language_without_anything_to_learn(spark):
     table = docs(spark, [(1, "words")]).withColumn("lang", F.lit(None).cast("string"))
     assert [tuple(r)[2:] for r in language.identified(table).collect()] == [("und", 0.0)]
