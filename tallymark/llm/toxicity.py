@@ -29,7 +29,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.llm.common import materialize
@@ -179,8 +179,13 @@ def frequencies(docs: DataFrame, terms: pa.Array) -> tuple[np.ndarray, int]:
     return out[:-1], int(out[-1])
 
 
+def _key(doc_id: str | Column, text: str | Column) -> Column:
+    """What tells rows apart that have one doc_id, or none."""
+    return F.xxhash64(doc_id, text)
+
+
 def counted(docs: DataFrame, terms: pa.Array, kept: int, idf: np.ndarray) -> DataFrame:
-    """doc_id, terms, counts, length: of every text the first ``kept`` terms, and how long the vector of all its terms is."""
+    """doc_id, doc_key, terms, counts, length: of every text the first ``kept`` terms, and how long the vector of all its terms is."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = Numbered(terms)
@@ -190,11 +195,13 @@ def counted(docs: DataFrame, terms: pa.Array, kept: int, idf: np.ndarray) -> Dat
                 listed = term < kept
                 ends = np.searchsorted(at[listed], np.arange(end - begin + 1)).astype(np.int32)
                 lists = [pa.ListArray.from_arrays(ends, pa.array(x[listed], pa.int32())) for x in (term, times)]
-                columns = [batch.column("doc_id").slice(begin, end - begin), *lists, pa.array(length, pa.float64())]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "terms", "counts", "length"])
+                ids = [batch.column(name).slice(begin, end - begin) for name in ("doc_id", "doc_key")]
+                columns = [*ids, *lists, pa.array(length, pa.float64())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "doc_key", "terms", "counts", "length"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return materialize(texts.mapInArrow(count, "doc_id long, terms array<int>, counts array<int>, length double"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("doc_key", _key("doc_id", "text"))
+    schema = "doc_id long, doc_key long, terms array<int>, counts array<int>, length double"
+    return materialize(texts.mapInArrow(count, schema))
 
 
 def weighted(terms: list[int], counts: list[int], idf: np.ndarray, length: float | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -336,16 +343,17 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", per_class: in
 
 
 def scored(docs: DataFrame, labels: DataFrame, target: str = "toxic", per_class: int = PER_CLASS) -> DataFrame:
-    """One row per row of ``docs``: doc_id, score, evidence (ids of the nearest examples)."""
+    """One row per row of ``docs``: doc_id, doc_key, score, evidence (ids of the nearest examples)."""
     model, found = fit(docs, labels, target, per_class)
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [model.score(*row) for row in zip(*(batch.column(name).to_pylist() for name in ("terms", "counts", "length")))]
             columns = [pa.array([s for s, _ in rows], pa.float64()), pa.array([e for _, e in rows], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "score", "evidence"])
+            ids = [batch.column(name) for name in ("doc_id", "doc_key")]
+            yield pa.RecordBatch.from_arrays([*ids, *columns], ["doc_id", "doc_key", "score", "evidence"])
 
-    return found.mapInArrow(score, "doc_id long, score double, evidence array<long>")
+    return found.mapInArrow(score, "doc_id long, doc_key long, score double, evidence array<long>")
 
 
 def predictions(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
@@ -355,6 +363,8 @@ def predictions(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataF
 
 
 def accepted(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` without those of documents that score ``least`` or more; rows with a null doc_id stay."""
-    toxic = scored(docs, labels).filter(F.col("score") >= least).select(F.col("doc_id").alias("__toxic")).distinct()
-    return docs.join(toxic, docs["doc_id"].cast("long") == F.col("__toxic"), "left_anti")
+    """The rows of ``docs`` without those whose text scores ``least`` or more, whatever their doc_id."""
+    toxic = scored(docs, labels).filter(F.col("score") >= least).select("doc_key", "doc_id").distinct()
+    doc_id = F.col("d.doc_id").cast("long")
+    met = (_key(doc_id, F.col("d.text")) == F.col("x.doc_key")) & doc_id.eqNullSafe(F.col("x.doc_id"))
+    return docs.alias("d").join(toxic.alias("x"), met, "left_anti")

@@ -117,6 +117,16 @@ def test_lengths_are_those_of_all_terms(spark):
     assert np.allclose([got[i].length for i in (1, 2, 3, 4)], np.array(want) * idf[0])
 
 
+def test_each_row_is_accepted_by_its_own_text(spark):
+    rows, marks = corpus()
+    odd = [(None, "vilezorq grimlux vilezorq"), (None, prose(9000, 60) + "."), (1, "vilezorq grimlux vilezorq"), (14, prose(9001, 60) + ".")]
+    odd += [(None, None), (8000, None)]
+    table = docs(spark, rows + odd)
+    kept = {(r.doc_id, r.text) for r in toxicity.accepted(table, labels(spark, [m for m in marks if m[0] not in (1, 14)])).collect()}
+    assert [row in kept for row in odd] == [False, True, False, True, True, True]
+    assert rows[1] in kept and rows[14] not in kept
+
+
 def test_quality(spark):
     rows, marks = corpus()
     got = quality.predictions(docs(spark, rows + ODD), labels(spark, marks)).collect()
