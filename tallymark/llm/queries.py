@@ -12,6 +12,7 @@ from tallymark.llm import (
     decontaminate,
     language,
     minhash,
+    mixing,
     packing,
     quality,
     secrets,
@@ -195,3 +196,34 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_quality")
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+MIXING_SQL = r"""
+with d as (
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size, md5(coalesce(text, '')) as content,
+         cast('0x' || substr(sha256('1:' || coalesce(cast(doc_id as varchar), '') || ':' || md5(coalesce(text, ''))), 1, 15) as bigint) as key
+  from documents),
+z as (select source, cast(sum(size) as double) as z, row_number() over (order by source nulls last) % 3 as r from d group by source),
+w as (select source, z, case r when 1 then 5.0::double when 2 then 2.0::double else 1.0::double end as w from z),
+o as (
+  select *, 2 * z / w as ratio,
+         coalesce(sum(2 * z) over (order by 2 * z / w, source nulls last rows between unbounded preceding and 1 preceding), 0) as full_before,
+         sum(w) over (order by 2 * z / w, source nulls last rows between current row and unbounded following) as open
+  from w),
+level as (
+  select min_by((1.5 * (select sum(z) from z) - full_before) / open, ratio) as rate
+  from o where (1.5 * (select sum(z) from z) - full_before) / open <= ratio),
+t as (select source, cast(z as bigint) as z, least(rate * w, 2 * z) as target from w, level),
+p as (
+  select doc_id, size, z, target, cast(floor(target) as bigint) as budget,
+         coalesce(sum(size) over (partition by d.source order by key, content rows between unbounded preceding and 1 preceding), 0) as before
+  from d join t on d.source is not distinct from t.source)
+select doc_id, cast(size as bigint) as size, z as source_size, target,
+       cast(case when z = 0 then 0 else (budget // z) * size + least(greatest(budget % z - before, 0), size) end as bigint) as taken
+from p
+"""
+
+
+@query("op12_mixing", MIXING_SQL)
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(table(spark, sf_dir, "documents"))
