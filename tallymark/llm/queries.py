@@ -11,6 +11,8 @@ from tallymark.llm import (
     cover_tree,
     decontaminate,
     language,
+    lloyd,
+    manifest,
     minhash,
     mixing,
     packing,
@@ -227,3 +229,93 @@ from p
 @query("op12_mixing", MIXING_SQL)
 def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
+
+
+def _manifest_sql(levels: int = 12, top: int = 8) -> str:
+    """Trees level by level: up to 3**12 documents a source and 3**8 sources; a tree of one node stays as it is."""
+
+    def coded(field: str, value: str) -> str:
+        return f"coalesce(cast(strlen({value}) as varchar) || ':' || {value}, '-')"
+
+    def leaf(text: str) -> str:
+        fields = [(f, f"cast({f} as varchar)") for f in ("doc_id", "source", "lang", "n_chars")] + [("text", text)]
+        return "sha256(" + " || ".join(coded(f, v) for f, v in fields) + ")"
+
+    byte = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))"
+    step = f"xor(c >> 8, {byte.replace('xor(c, b)', 'xor(c & 255, b)')})"
+    codes = "list_transform(string_split(coalesce(cast(doc_id as varchar), ''), ''), lambda z: cast(ascii(z) as bigint))"
+    crc = f"xor(list_reduce(list_prepend(4294967295::bigint, list_filter({codes}, lambda z: z > 0)), lambda c, b: {step}), 4294967295)"
+    parts = [
+        f"docs as (select *, {leaf('text')} as leaf, case when ({crc}) % 2 = 0 then {leaf("replace(text, chr(10), '')")} else {leaf('text')} end as other from documents)",
+        "d as (select *, dense_rank() over (order by source nulls first) as tree, "
+        "row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as i, row_number() over () as row from docs)",
+        "n0 as (select tree, i, leaf as h from d)",
+        "w0 as (select row, tree, i, other as h, '' as proof from d)",
+    ]
+
+    def climb(name: str, way: str, k: int) -> None:
+        alone = f"(select tree, count(*) = 1 as alone from {name}{k} group by tree)"
+        runs = f"select tree, i // 3 as run, list(h order by i) as hs from {name}{k} group by tree, i // 3"
+        parts.append(f"{name}r{k} as (select r.*, alone from ({runs}) r join {alone} a on a.tree = r.tree)")
+        parts.append(
+            f"{name}{k + 1} as (select tree, run as i, case when alone then hs[1] else sha256(array_to_string(hs, '')) end as h from {name}r{k})"
+        )
+        at = "cast(w.i % 3 as int)"
+        left, right = f"array_to_string(hs[1:{at}], '')", f"array_to_string(hs[{at} + 2:3], '')"
+        parts.append(
+            f"{way}{k + 1} as (select row, w.tree, w.i // 3 as i, case when alone then w.h else sha256({left} || w.h || {right}) end as h, "
+            f"case when alone then proof else proof || {left} || {right} end as proof from {way}{k} w join {name}r{k} r on r.tree = w.tree and r.run = w.i // 3)"
+        )
+
+    for k in range(levels):
+        climb("n", "w", k)
+    parts += [
+        f"t0 as (select 0 as tree, tree - 1 as i, h from n{levels})",
+        f"v0 as (select row, 0 as tree, tree - 1 as i, h, proof from w{levels})",
+    ]
+    for k in range(top):
+        climb("t", "v", k)
+    return (
+        "with " + ",\n".join(parts) + f"""
+select doc_id, leaf, n.h as subroot, t.h as root, sha256(v.proof) as proof_sha256, v.h as folded_root, v.h = t.h as verified
+from d join v{top} v using (row) join n{levels} n on n.tree = d.tree cross join t{top} t
+"""
+    )
+
+
+@query("op13_manifest", _manifest_sql())
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.audited(table(spark, sf_dir, "documents"))
+
+
+def _lloyd_sql(rounds: int = 3) -> str:
+    """One set of tables per round."""
+    parts = [
+        "v as (select vec_id, row_number() over () as row, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as x "
+        "from embeddings where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0)",
+        "c0 as (select x as c, row_number() over (order by sha256('1:' || coalesce(cast(vec_id as varchar), '')), x) - 1 as cluster "
+        "from v order by cluster limit 16)",
+    ]
+    away = "list_sum(list_transform(range(1, 65), lambda i: (x[i] - c[i]) * (x[i] - c[i])))"
+    for k in range(rounds + 1):
+        parts.append(f"a{k} as (select row, min(struct_pack(d := {away}, c := cluster)) as near from v cross join c{k} group by row)")
+        if k < rounds:
+            parts.append(
+                f"m{k} as (select near.c as cluster, i, cast(floor(cast(sum(x[i]) as double) / count(*)) as bigint) as m "
+                f"from a{k} join v using (row) cross join range(1, 65) as dims(i) group by near.c, i)"
+            )
+            parts.append(
+                f"c{k + 1} as (select cluster, coalesce(ms, c) as c from c{k} left join "
+                f"(select cluster, list(m order by i) as ms from m{k} group by cluster) using (cluster))"
+            )
+    return "with " + ",\n".join(parts) + f"""
+select vec_id, cast(near.c as integer) as cluster, cast(near.d as bigint) as distance,
+       cast(sum(near.d) over (partition by near.c) as bigint) as cluster_inertia, cast(sum(near.d) over () as bigint) as inertia,
+       sha256(array_to_string(c, ',')) as centroid_sha256
+from a{rounds} join v using (row) join c{rounds} on cluster = near.c
+"""
+
+
+@query("op11_lloyd", _lloyd_sql())
+def op11_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lloyd.clustered(table(spark, sf_dir, "embeddings"))
