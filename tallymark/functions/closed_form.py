@@ -1,264 +1,87 @@
 r"""Values of closed-form answers, from built-in expressions only.
 
-The grammar: sums, products, quotients and powers of numbers, ``\sqrt{..}``, ``\sqrt[n]{..}`` and
-``\pi``, grouped by parentheses, braces and ``\frac{..}{..}`` to any depth. :func:`closed_value`
-gives the value; :func:`closed_form` gives an exact key where no sum of several terms occurs. Both
-are NULL for any other text.
-
-A text is cut into tokens once, and one pass over the tokens computes the result. The pass keeps a
-stack of open groups; a token changes the innermost group only, so that the cost grows with the
-number of tokens times the depth of the nesting.
+:func:`closed_value` gives the value of a text in the grammar of :mod:`tallymark.functions.grammar`; :func:`closed_form` gives
+an exact key where no sum of several terms occurs. Both are NULL for any other text.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tallymark.functions.grammar import (
+    ALPHABET,
+    PLAIN_NUMBER,
+    SHORT,
+    SHORT_PARTS,
+    Algebra,
+    applied,
+    case,
+    evaluate_sql,
+    let,
+    let_sql,
+    spelled,
+)
 from tallymark.functions.latex import normalize_sql
 
-_NUMBER = r"(?:\d++(?:\.\d++)?+|\.\d++)(?![\d.])"
-_TOKEN = rf"{_NUMBER}|\\frac|\\sqrt|\\pi|[+\-*/^(){{}}\[\]]"
-
-_PLAIN_NUMBER = r"^[+-]?+(?:\d++(?:\.\d++)?+|\.\d++)$"
-_ALPHABET = r"^(?:\\frac|\\sqrt|\\pi(?![A-Za-z])|[0-9.+\-*/^(){}\[\]])++$"
-
-# The most frequent forms: a number, a square root and pi, each at most once, over a number at most.
-# Groups: sign, start of a fraction, number, radicand, pi, middle of a fraction, divisor.
-_SHORT = (
-    rf"^([+-]?+)(\\frac\{{)?+({_NUMBER})?+(?:\\sqrt\{{({_NUMBER})\}})?+(\\pi)?+(?:(\}}\{{)({_NUMBER})\}})?+$"
-)
-_SHORT_PARTS = "$1|$2|$3|$4|$5|$6|$7"
+__all__ = ["applied", "case", "closed_form", "closed_value", "let", "let_sql", "value_sql"]
 
-_GCD_STEPS = 185  # Euclid's worst case below 10**38 takes 183 divisions
-_BITS = 31  # of an integer exponent; 38 digits are exceeded long before, but by 1 and pi
+_BITS = 31  # the highest bit of an integer exponent; 38 digits are exceeded long before, but by 1 and pi
 _INTEGER = "decimal(38,0)"
+# 170! is the largest factorial in a DOUBLE, and 33! the largest in 38 digits.
+_FACTORIALS, _EXACT_FACTORIALS = 170, 33
+# Factors of a binomial coefficient; more than these give no finite value but at the very ends.
+_CHOSEN = 1_100
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with the value computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def applied(name: str, sql: str, value: Column) -> Column:
-    """SQL in which ``name`` stands for a column. The text of a lambda of any size is one call into the JVM."""
-    return F.get(F.call_function("transform", F.array(value), F.expr(f"{name} -> {sql}")), F.lit(0))
-
-
-def case(*branches: tuple[str, str], otherwise: str = "NULL") -> str:
-    return "CASE " + " ".join(f"WHEN {found} THEN {then}" for found, then in branches) + f" ELSE {otherwise} END"
-
-
-def let_sql(name: str, value: str, body: str) -> str:
-    return f"get(transform(array({value}), {name} -> {body}), 0)"
-
-
-_case, _let = case, let_sql
-
-
-def _rewrite_where(found: str, text: str, *rules: tuple[str, str]) -> str:
-    """Apply the rules only to texts ``b`` that have what they are for; most answers need few of them."""
-    changed = "b"
-    for pattern, replacement in rules:
-        changed = f"regexp_replace({changed}, r'{pattern}', r'{replacement}')"
-    return _let("b", text, _case((found, changed), otherwise="b"))
-
-
-def _spelled(normalized: str) -> str:
-    """One spelling per construct, without whitespace, of a text that was normalised once."""
-    bare = r"NOT (b RLIKE r'^\$|\$$' OR contains(b, r'\\') OR contains(b, r'\displaystyle'))"
-    again = _let("b", normalized, _case((bare, "b"), otherwise=normalize_sql("b")))
-    words = _rewrite_where(
-        r"b RLIKE r'\\(?:left|right|[dt]frac|cdot|times|div|[,;:!])'",
-        again,
-        (r"\\(?:left|right)(?![A-Za-z])|\\[,;:!]", " "),
-        (r"\\[dt]frac(?![A-Za-z])", r"\\frac"),
-        (r"\\(?:cdot|times)(?![A-Za-z])", "*"),
-        (r"\\div(?![A-Za-z])", "/"),
-    )
-    # Arguments without braces are single digits.
-    argued = _rewrite_where(
-        r"b RLIKE r'\\(?:frac|sqrt) ?+\d'",
-        words,
-        (r"\\frac ?+(\d) ?+(\d)", r"\\frac{$1}{$2}"),
-        (r"\\frac ?+(\d) ?+(?=\{)", r"\\frac{$1}"),
-        (r"\\sqrt ?+(\d)", r"\\sqrt{$1}"),
-    )
-    # Digits apart from each other are no number: the question mark is outside the grammar.
-    joined = _rewrite_where("contains(b, ' ')", argued, (r"(?<=[\d.]) ++(?=[\d.])", "?"), (" ", ""))
-    return _rewrite_where("contains(b, ',')", joined, (r"(?<=\d),(?=\d{3}(?!\d))", ""))
-
-
-# --- one pass over the tokens -------------------------------------------------
-#
-# Written as SQL text, in which a lambda of this size costs one call into the JVM and not thousands.
-
-
-@dataclass(frozen=True)
-class _Algebra:
-    """What the pass computes with, as SQL of SQL operands. NULL is a result that there is none."""
-
-    zero: str
-    one: str
-    pi: str
-    number: Callable[[str], str]
-    plus: Callable[[str, str], str]
-    negative: Callable[[str], str]
-    times: Callable[[str, str], str]
-    over: Callable[[str, str], str]
-    power: Callable[[str, str], str]
-    root: Callable[[str], str]
-    nth_root: Callable[[str, str], str]
-
-
-# What a group is in the middle of, besides a plain sum.
-_PLAIN, _RAISED, _EXPONENT, _MINUS, _TOP, _LOW, _ROOT, _RADICAND = "''", "'p'", "'^'", "'-'", "'n'", "'d'", "'s'", "'r'"
-# Kinds of groups by the bracket that ends them; `^(` and `^{` are exponents, `n`, `d` and `r` arguments.
-_CLOSED_BY = {")": ("(", "^("), "}": ("{", "^{", "n", "d", "r"), "]": ("[",)}
-_FIELDS = ("kind", "total", "product", "factor", "has", "minus", "divides", "amid", "held")
-
-
-def _group(kind: str, algebra: _Algebra) -> str:
-    """A group that was just opened: total, product and factor so far, and how the next part goes on."""
-    values = (kind, algebra.zero, algebra.one, algebra.one, "false", "false", "false", _PLAIN, algebra.one)
-    return "named_struct(" + ", ".join(f"'{name}', {value}" for name, value in zip(_FIELDS, values)) + ")"
-
-
-def _with(group: str, **changes: str) -> str:
-    return "named_struct(" + ", ".join(f"'{n}', {changes.get(n, f'{group}.{n}')}" for n in _FIELDS) + ")"
-
-
-def _settled(g: str) -> str:
-    return f"({g}.amid IN ({_PLAIN}, {_RAISED}))"
-
-
-def _complete(g: str) -> str:
-    return f"({_settled(g)} AND {g}.has)"
-
-
-def _product(g: str, algebra: _Algebra) -> str:
-    product, factor = f"{g}.product", f"{g}.factor"
-    return _case((f"{g}.divides", algebra.over(product, factor)), otherwise=algebra.times(product, factor))
-
-
-def _sum(g: str, algebra: _Algebra) -> str:
-    signed = _case((f"{g}.minus", algebra.negative("p")), otherwise="p")
-    return _let("p", _product(g, algebra), _let("q", signed, algebra.plus(f"{g}.total", "q")))
-
-
-def _operand(g: str, value: str, algebra: _Algebra) -> str:
-    """The next factor; without an operator before it, it multiplies."""
-    return _with(
-        g,
-        product=_case((f"{g}.has", _product(g, algebra)), otherwise=f"{g}.product"),
-        divides=f"({g}.divides AND NOT {g}.has)",
-        factor=value,
-        has="true",
-        amid=_PLAIN,
-    )
-
-
-def _to_power(g: str, exponent: str, algebra: _Algebra) -> str:
-    return _with(g, factor=algebra.power(f"{g}.factor", exponent), amid=_RAISED)
-
-
-def _inside(algebra: _Algebra) -> str:
-    """The group ``g`` after a token ``t`` that neither opens nor closes one; NULL if it can't stand there."""
-    atom = _case(
-        (f"g.amid = {_EXPONENT}", _to_power("g", "v", algebra)),
-        (f"g.amid = {_MINUS}", _let("w", algebra.negative("v"), _to_power("g", "w", algebra))),
-        (_settled("g"), _operand("g", "v", algebra)),
-    )
-    fresh = {"factor": algebra.one, "has": "false", "amid": _PLAIN}
-    ended = _with("g", total=_sum("g", algebra), product=algebra.one, minus="(t = '-')", divides="false", **fresh)
-    sign = _case(
-        (f"g.amid = {_EXPONENT} AND t = '-'", _with("g", amid=_MINUS)),
-        (_complete("g"), ended),
-        (_settled("g"), _with("g", minus="(g.minus <> (t = '-'))")),
-    )
-    linked = _with("g", product=_product("g", algebra), divides="(t = '/')", **fresh)
-    return _case(
-        (r"t RLIKE '^[0-9.]'", _let("v", algebra.number("t"), atom)),
-        (r"t = r'\pi'", _let("v", algebra.pi, atom)),
-        ("t IN ('+', '-')", sign),
-        ("t IN ('*', '/')", _case((_complete("g"), linked))),
-        ("t = '^'", _case((f"g.has AND g.amid = {_PLAIN}", _with("g", amid=_EXPONENT)))),
-        (r"t = r'\frac'", _case((_settled("g"), _with("g", amid=_TOP)))),
-        (r"t = r'\sqrt'", _case((_settled("g"), _with("g", amid=_ROOT)))),
-    )
-
-
-def _opened() -> str:
-    """The kind of group that a bracket ``t`` opens in ``g``; NULL if it can't stand there."""
-    return _case(
-        ("t = '['", _case((f"g.amid = {_ROOT}", "'['"))),
-        (f"g.amid = {_EXPONENT}", "concat('^', t)"),
-        (_settled("g"), "t"),
-        (f"t = '{{' AND g.amid IN ({_TOP}, {_LOW})", "g.amid"),
-        (f"t = '{{' AND g.amid IN ({_ROOT}, {_RADICAND})", "'r'"),
-    )
-
-
-def _closed(algebra: _Algebra) -> str:
-    """The outer group ``o`` after the inner one ``g`` is known to be ``v``."""
-    root = _case((f"o.amid = {_RADICAND}", algebra.nth_root("v", "o.held")), otherwise=algebra.root("v"))
-    return _case(
-        ("g.kind IN ('(', '{')", _operand("o", "v", algebra)),
-        ("startswith(g.kind, '^')", _to_power("o", "v", algebra)),
-        (f"g.kind = {_TOP}", _with("o", held="v", amid=_LOW)),
-        (f"g.kind = {_LOW}", _let("w", algebra.over("o.held", "v"), _operand("o", "w", algebra))),
-        ("g.kind = '['", _with("o", held="v", amid=_RADICAND)),
-        ("g.kind = 'r'", _let("w", root, _operand("o", "w", algebra))),
-    )
+# --- values -------------------------------------------------------------------
 
 
-def _state(top: str, below: str) -> str:
-    return f"named_struct('top', {top}, 'below', {below})"
+def _double(text: Column) -> Column:
+    return text.try_cast("double")
 
 
-def _pass(algebra: _Algebra) -> tuple[str, str, str]:
-    """Start, step and end of the aggregation over tokens. The state is the innermost group and those around it."""
-    ends = " OR ".join(
-        f"(t = '{bracket}' AND g.kind IN ({', '.join(repr(k) for k in kinds)}))" for bracket, kinds in _CLOSED_BY.items()
-    )
-    outer = _let("o", "element_at(a.below, -1)", _closed(algebra))
-    after = _let("v", _sum("g", algebra), _state(outer, "slice(a.below, 1, size(a.below) - 1)"))
-    closing = _case((f"({ends}) AND {_complete('g')} AND size(a.below) > 0", after))
-    opening = _let("k", _opened(), _case(("k IS NOT NULL", _state(_group("k", algebra), "array_append(a.below, g)"))))
-    staying = _let("n", _inside(algebra), _case(("n IS NOT NULL", _state("n", "a.below"))))
-    step = _case(
-        ("a.top IS NULL", "NULL"),
-        ("t IN (')', '}', ']')", _let("g", "a.top", closing)),
-        ("t IN ('(', '{', '[')", _let("g", "a.top", opening)),
-        otherwise=_let("g", "a.top", staying),
-    )
-    root = _group("'('", algebra)
-    done = f"a.top IS NOT NULL AND size(a.below) = 0 AND {_complete('g')}"
-    end = _let("g", "a.top", _case((done, _sum("g", algebra))))
-    return _state(root, f"slice(array({root}), 1, 0)"), f"(a, t) -> {step}", f"a -> {end}"
+def _up_to(n: str, most: int) -> str:
+    """1, 2, .. of at most ``most`` numbers; none for 0."""
+    return f"slice(sequence(1, {most}), 1, try_cast({n} AS INT))"
 
 
-def _evaluate(text: str, algebra: _Algebra) -> str:
-    """The result of a spelled text, NULL outside the grammar."""
-    start, step, end = _pass(algebra)
-    # Texts that can't be balanced are told apart before a stack of their brackets is built.
-    opened, closed = (rf"length(regexp_replace({text}, r'[^{kind}]++', ''))" for kind in (r"(\[{", r")\]}"))
-    result = _case((f"array_join(x, '') = {text}", f"aggregate(x, {start}, {step}, {end})"))
-    tokens = f"regexp_extract_all({text}, r'{_TOKEN}', 0)"
-    return _case((f"{opened} = {closed}", _let("x", tokens, result)))
+def _double_factorial(n: str) -> str:
+    whole = f"{n} >= 0 AND {n} <= {_FACTORIALS} AND {n} = floor({n})"
+    return case((whole, f"aggregate({_up_to(n, _FACTORIALS)}, 1D, (f, i) -> f * i)"))
 
 
-# --- values -------------------------------------------------------------------
+def _double_binomial(n: str, k: str) -> str:
+    whole = f"{k} >= 0 AND {k} <= {n} AND {n} = floor({n}) AND {k} = floor({k}) AND least({k}, {n} - {k}) <= {_CHOSEN}"
+    return case((whole, let_sql("j", f"least({k}, {n} - {k})", f"aggregate({_up_to('j', _CHOSEN)}, 1D, (f, i) -> f * ({n} - j + i) / i)")))
 
 
-def _double(text: Column) -> Column:
-    return text.try_cast("double")
+def _double_function(name: str, x: str) -> str:
+    plain = [
+        ("arcsin", f"asin({x})"),
+        ("arccos", f"acos({x})"),
+        ("arctan", f"atan({x})"),
+        ("sinh", f"sinh({x})"),
+        ("cosh", f"cosh({x})"),
+        ("tanh", f"tanh({x})"),
+        ("sin", f"sin({x})"),
+        ("cos", f"cos({x})"),
+        ("tan", f"tan({x})"),
+        ("cot", f"try_divide(1D, tan({x}))"),
+        ("sec", f"try_divide(1D, cos({x}))"),
+        ("csc", f"try_divide(1D, sin({x}))"),
+        ("exp", f"exp({x})"),
+        ("ln", f"ln({x})"),
+    ]
+    based = case(("c = ''", f"log10({x})"), otherwise=f"try_divide(ln({x}), ln(try_cast(c AS DOUBLE)))")
+    logarithm = let_sql("c", rf"regexp_extract({name}, r'_\{{([\d.]++)\}}', 1)", based)
+    logarithms = rf"startswith({name}, r'\log') OR startswith({name}, r'\lg')"
+    functions = [(rf"startswith({name}, r'\{each}')", value) for each, value in plain]
+    return case((logarithms, logarithm), (f"contains({name}, '_')", "CAST(NULL AS DOUBLE)"), *functions)
 
 
-_VALUES = _Algebra(
+_VALUES = Algebra(
+    type="double",
     zero="0D",
     one="1D",
     pi="pi()",
@@ -270,6 +93,10 @@ _VALUES = _Algebra(
     power=lambda a, b: f"pow({a}, {b})",
     root=lambda a: f"sqrt({a})",
     nth_root=lambda a, n: f"pow({a}, try_divide(1D, {n}))",
+    absolute=lambda a: f"abs({a})",
+    factorial=_double_factorial,
+    binomial=_double_binomial,
+    function=_double_function,
 )
 
 
@@ -278,26 +105,26 @@ def _short_value() -> str:
     sign, opened, number, radicand, pi, closed, divisor = (f"x[{i}]" for i in range(7))
 
     def or_one(text: str, value: str) -> str:
-        return _case((f"{text} = ''", "1D"), otherwise=value)
+        return case((f"{text} = ''", "1D"), otherwise=value)
 
     def double(text: str) -> str:
         return f"try_cast({text} AS DOUBLE)"
 
     top = f"{or_one(number, double(number))} * {or_one(radicand, f'sqrt({double(radicand)})')} * {or_one(pi, 'pi()')}"
-    signed = _case((f"{sign} = '-'", f"-({top})"), otherwise=top)
+    signed = case((f"{sign} = '-'", f"-({top})"), otherwise=top)
     complete = f"({opened} = '') = ({closed} = '') AND concat({number}, {radicand}, {pi}) <> ''"
-    return _case((complete, f"try_divide({signed}, {or_one(divisor, double(divisor))})"))
+    return case((complete, f"try_divide({signed}, {or_one(divisor, double(divisor))})"))
 
 
 def value_sql(normalized: str) -> str:
     """:func:`closed_value` of a text that was normalised already, as SQL."""
-    parts = rf"split(regexp_replace(c, r'{_SHORT}', r'{_SHORT_PARTS}'), r'\|')"
-    number = _case(
-        (f"c RLIKE r'{_PLAIN_NUMBER}'", "try_cast(c AS DOUBLE)"),
-        (f"c RLIKE r'{_ALPHABET}'", _let("x", parts, _case(("size(x) = 7", _short_value()), otherwise=_evaluate("c", _VALUES)))),
+    parts = rf"split(regexp_replace(c, r'{SHORT}', r'{SHORT_PARTS}'), r'\|')"
+    number = case(
+        (f"c RLIKE r'{PLAIN_NUMBER}'", "try_cast(c AS DOUBLE)"),
+        (f"c RLIKE r'{ALPHABET}'", let_sql("x", parts, case(("size(x) = 7 AND NOT contains(c, '|')", _short_value()), otherwise=evaluate_sql("c", _VALUES)))),
     )
-    finite = _let("d", number, _case(("abs(d) < double('Infinity')", "d")))
-    return _let("c", _spelled(normalized), finite)
+    finite = let_sql("d", number, case(("abs(d) < double('Infinity')", "d")))
+    return let_sql("c", spelled(normalized), finite)
 
 
 def closed_value(text: Column) -> Column:
@@ -323,19 +150,21 @@ def _times(left: str, right: str) -> str:
 
 
 def _product_key(a: str, b: str) -> str:
-    powers = f"{a}.pi_power + {b}.pi_power"
+    powers = f"try_add({a}.pi_power, {b}.pi_power)"
     return _key(f"{a}.sign * {b}.sign", _times(f"{a}.num", f"{b}.num"), _times(f"{a}.den", f"{b}.den"), powers)
 
 
 def _number_key(t: str) -> str:
     digits = f"try_cast(replace({t}, '.', '') AS {_INTEGER})"
     scale = rf"try_cast(concat('1', repeat('0', length(regexp_extract({t}, r'\.(\d++)$', 1)))) AS {_INTEGER})"
-    return _let("d", digits, _let("e", scale, _key("1", _times("d", "d"), _times("e", "e"), "0")))
+    return let_sql("d", digits, let_sql("e", scale, _key("1", _times("d", "d"), _times("e", "e"), "0")))
 
 
 def _gcd(a: str, b: str) -> str:
     step = f"CASE WHEN z.y = 0 THEN z ELSE named_struct('x', z.y, 'y', CAST(z.x % z.y AS {_INTEGER})) END"
-    return f"aggregate(sequence(1, {_GCD_STEPS}), named_struct('x', {a}, 'y', {b}), (z, i) -> {step}, z -> z.x)"
+    # Euclid takes at most five divisions for every digit of the smaller number, and one more to get them in order.
+    steps = f"sequence(1, 5 * length(CAST(least({a}, {b}) AS STRING)) + 1)"
+    return f"aggregate({steps}, named_struct('x', {a}, 'y', {b}), (z, i) -> {step}, z -> z.x)"
 
 
 def _reduced(k: str) -> str:
@@ -344,40 +173,40 @@ def _reduced(k: str) -> str:
     def divided(value: str) -> str:
         return f"CASE WHEN h = 1 THEN {value} ELSE try_cast(try_divide({value}, h) AS {_INTEGER}) END"
 
-    lowest = _case(
+    lowest = case(
         (f"{k}.num = 0", _key("0", "0", "1", "0")),
         otherwise=_key(f"{k}.sign", divided(f"{k}.num"), divided(f"{k}.den"), f"{k}.pi_power"),
     )
     known = f"{k}.num IS NOT NULL AND {k}.den > 0 AND {k}.pi_power IS NOT NULL AND {k}.sign IS NOT NULL"
-    return _case((known, _let("h", _gcd(f"{k}.num", f"{k}.den"), lowest)))
+    return case((known, let_sql("h", _gcd(f"{k}.num", f"{k}.den"), lowest)))
 
 
 def _whole_root(square: str) -> str:
     """The integer whose square it is, else NULL; one step corrects the last digits of the estimate."""
     guess = f"try_cast(round(sqrt(CAST({square} AS DOUBLE))) AS {_INTEGER})"
     step = f"try_cast(round(try_divide({square} - {_times('u', 'u')}, 2 * greatest(u, 1))) AS {_INTEGER})"
-    exact = _case((f"{_times('w', 'w')} = {square}", "w"))
-    return _let("u", guess, _let("w", f"try_cast(u + {step} AS {_INTEGER})", exact))
+    exact = case((f"{_times('w', 'w')} = {square}", "w"))
+    return let_sql("u", guess, let_sql("w", f"try_cast(u + {step} AS {_INTEGER})", exact))
 
 
 def _rational(key: str, name: str, body: str) -> str:
     """``body`` with ``name`` as ``top, low`` of the key's value without its sign; NULLs where it isn't rational."""
-    lowest = _case((f"{key}.pi_power = 0", _reduced(key)))
+    lowest = case((f"{key}.pi_power = 0", _reduced(key)))
     parts = f"named_struct('top', {_whole_root('m.num')}, 'low', {_whole_root('m.den')})"
-    return _let(name, _let("m", lowest, parts), body)
+    return let_sql(name, let_sql("m", lowest, parts), body)
 
 
 def _power_key(base: str, exponent: str) -> str:
     """An integer power, by squaring; what isn't needed may overflow."""
 
     def step(field: str, square: str) -> str:
-        return f"'{field}', CASE WHEN getbit(abs(x), i) = 1 THEN {_times(f'c.{field}', f'c.{square}')} ELSE c.{field} END"
+        return f"'{field}', CASE WHEN getbit(abs(CAST(x AS BIGINT)), i) = 1 THEN {_times(f'c.{field}', f'c.{square}')} ELSE c.{field} END"
 
     squares = f"'n', {_times('c.n', 'c.n')}, 'd', {_times('c.d', 'c.d')}"
     one = f"CAST(1 AS {_INTEGER})"
     start = f"named_struct('num', {one}, 'den', {one}, 'n', {base}.num, 'd', {base}.den)"
     raised = (
-        f"aggregate(sequence(0, {_BITS - 1}), {start}, "
+        f"aggregate(sequence(0, {_BITS}), {start}, "
         f"(c, i) -> named_struct({step('num', 'n')}, {step('den', 'd')}, {squares}))"
     )
     key = _key(
@@ -386,31 +215,61 @@ def _power_key(base: str, exponent: str) -> str:
         "CASE WHEN x < 0 THEN c.num ELSE c.den END",
         f"try_multiply(CAST({base}.pi_power AS BIGINT), CAST(x AS BIGINT))",
     )
-    whole = _rational(exponent, "r", _case(("r.low = 1", f"try_cast(r.top * {exponent}.sign AS INT)")))
-    return _let("x", whole, _let("c", raised, key))
+    whole = _rational(exponent, "r", case(("r.low = 1", f"try_cast(r.top * {exponent}.sign AS INT)")))
+    return let_sql("x", whole, let_sql("c", raised, key))
 
 
 def _root_key(value: str) -> str:
     root = _key("CASE WHEN r.top = 0 THEN 0 ELSE 1 END", "r.top", "r.low", "0")
-    return _case((f"{value}.sign >= 0", _rational(value, "r", root)), otherwise=_UNKNOWN)
+    return case((f"{value}.sign >= 0", _rational(value, "r", root)), otherwise=_UNKNOWN)
+
+
+def _whole_number(key: str, name: str, body: str) -> str:
+    """``body`` with ``name`` as the key's value if that is a whole number from 0, else an unknown key."""
+    whole = case((f"r.low = 1 AND {key}.sign >= 0", "r.top"))
+    return _rational(key, "r", let_sql(name, whole, case((f"{name} IS NOT NULL", body), otherwise=_UNKNOWN)))
+
+
+def _whole_key(n: str) -> str:
+    return let_sql("f", n, _key("CASE WHEN f = 0 THEN 0 ELSE 1 END", _times("f", "f"), "1", "0"))
+
+
+def _key_factorial(n: str) -> str:
+    product = f"aggregate({_up_to('w', _EXACT_FACTORIALS)}, CAST(1 AS {_INTEGER}), (f, i) -> {_times('f', f'CAST(i AS {_INTEGER})')})"
+    return _whole_number(n, "w", case((f"w <= {_EXACT_FACTORIALS}", _whole_key(product)), otherwise=_UNKNOWN))
+
+
+def _key_binomial(n: str, k: str) -> str:
+    factor = f"CAST(w - j + i AS {_INTEGER})"
+    product = (
+        f"aggregate({_up_to('j', _CHOSEN)}, CAST(1 AS {_INTEGER}), "
+        f"(f, i) -> try_cast(try_divide({_times('f', factor)}, i) AS {_INTEGER}))"
+    )
+    known = case((f"z <= w AND least(z, w - z) <= {_CHOSEN}", let_sql("j", "least(z, w - z)", _whole_key(product))), otherwise=_UNKNOWN)
+    return _whole_number(n, "w", _whole_number(k, "z", known))
 
 
-_KEYS = _Algebra(
+_KEYS = Algebra(
+    type=f"struct<sign:int,num:{_INTEGER},den:{_INTEGER},pi_power:int>",
     zero=_key("0", "0", "1", "0"),
     one=_key("1", "1", "1", "0"),
     pi=_key("1", "1", "1", "1"),
     number=_number_key,
-    plus=lambda a, b: _case((f"{a}.sign = 0", b), (f"{b}.num = 0", a), otherwise=_UNKNOWN),
+    plus=lambda a, b: case((f"{a}.sign = 0", b), (f"{b}.num = 0", a), otherwise=_UNKNOWN),
     negative=lambda a: _key(f"-{a}.sign", f"{a}.num", f"{a}.den", f"{a}.pi_power"),
     times=_product_key,
-    over=lambda a, b: _let(
-        "y", _key(f"{b}.sign", f"{b}.den", f"CASE WHEN {b}.num <> 0 THEN {b}.num END", f"-{b}.pi_power"), _product_key(a, "y")
+    over=lambda a, b: let_sql(
+        "y", _key(f"{b}.sign", f"{b}.den", f"CASE WHEN {b}.num <> 0 THEN {b}.num END", f"try_subtract(0, {b}.pi_power)"), _product_key(a, "y")
     ),
     power=_power_key,
     root=_root_key,
-    nth_root=lambda a, n: _case(
-        (f"{n}.sign = 1 AND {n}.pi_power = 0 AND {n}.num = 4 * {n}.den", _root_key(a)), otherwise=_UNKNOWN
+    nth_root=lambda a, n: case(
+        (f"{n}.sign = 1 AND {n}.pi_power = 0 AND {n}.num = {_times('4', f'{n}.den')}", _root_key(a)), otherwise=_UNKNOWN
     ),
+    absolute=lambda a: _key(f"abs({a}.sign)", f"{a}.num", f"{a}.den", f"{a}.pi_power"),
+    factorial=_key_factorial,
+    binomial=_key_binomial,
+    function=lambda name, x: _UNKNOWN,
 )
 
 
@@ -421,6 +280,6 @@ def closed_form(text: Column) -> Column:
     ratio, and beyond 38 digits.
     """
 
-    lowest = _let("k", _evaluate("c", _KEYS), _reduced("k"))
-    found = _let("c", _spelled(normalize_sql("s")), _case((f"c RLIKE r'{_ALPHABET}'", lowest)))
+    lowest = let_sql("k", evaluate_sql("c", _KEYS), _reduced("k"))
+    found = let_sql("c", spelled(normalize_sql("s")), case((f"c RLIKE r'{ALPHABET}'", lowest)))
     return applied("s", found, text)

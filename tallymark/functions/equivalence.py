@@ -8,36 +8,49 @@ from pyspark.sql import functions as F
 from tallymark.fixed import TOLERANCE
 from tallymark.functions.closed_form import applied, case, closed_form, let_sql, value_sql
 from tallymark.functions.latex import normalize_sql
+from tallymark.functions.variables import agree_sql, is_algebra_sql, residues_sql
 
 
 def key_sql(answer: str) -> str:
     """:func:`answer_key` as SQL."""
-    return let_sql("s", normalize_sql(answer), f"named_struct('text', s, 'value', {value_sql('s')})")
+    parts = f"named_struct('text', s, 'value', {value_sql('s')}, 'residues', {residues_sql('s')})"
+    return let_sql("s", normalize_sql(answer), parts)
+
+
+def _close(left: str, right: str) -> str:
+    return f"coalesce(abs({left} - {right}) < {TOLERANCE}D * greatest(abs({left}), abs({right}), 1D), false)"
+
+
+def _texts(left: str, right: str) -> list[tuple[str, str]]:
+    """What the texts alone decide."""
+    return [
+        (f"{left} = {right}", "true"),
+        (f"{left} IS NULL OR {right} IS NULL", "CAST(NULL AS BOOLEAN)"),
+        (f"lower({left}) = lower({right})", "true"),
+    ]
 
 
 def equals_key_sql(answer: str, key: str) -> str:
     """:func:`equals_key` as SQL."""
-    by_text = f"lower(s) = lower({key}.text)"
-    close = f"abs(v - {key}.value) < {TOLERANCE}D * greatest(abs(v), abs({key}.value), 1D)"
-    return let_sql(
-        "s",
-        normalize_sql(answer),
-        case(
-            (f"s = {key}.text", "true"),
-            (f"s IS NULL OR {key}.text IS NULL", "CAST(NULL AS BOOLEAN)"),
-            (f"{key}.value IS NULL", by_text),
-            otherwise=let_sql("v", value_sql("s"), case(("v IS NULL", by_text), otherwise=close)),
-        ),
-    )
+    by_value = let_sql("v", value_sql("s"), _close("v", f"{key}.value"))
+    by_points = let_sql("z", residues_sql("s"), f"coalesce({agree_sql('z', f'{key}.residues')}, false)")
+    tests = [(f"{key}.value IS NOT NULL", by_value), (f"{key}.residues IS NOT NULL", by_points)]
+    return let_sql("s", normalize_sql(answer), case(*_texts("s", f"{key}.text"), *tests, otherwise="false"))
 
 
 def math_equal_sql(left: str, right: str) -> str:
     """:func:`math_equal` as SQL."""
-    return let_sql("key", key_sql(right), equals_key_sql(left, "key"))
+    # Both sides in one expression, since each is long.
+    by_value = let_sql("v", f"transform(array(s.l, s.r), w -> {value_sql('w')})", _close("v[0]", "v[1]"))
+    points = f"transform(array(s.l, s.r), w -> {residues_sql('w')})"
+    by_points = let_sql("v", points, f"coalesce({agree_sql('v[0]', 'v[1]')}, false)")
+    both = f"{is_algebra_sql('s.l')} AND {is_algebra_sql('s.r')}"
+    tests = case(*_texts("s.l", "s.r"), (both, by_points), otherwise=by_value)
+    return let_sql("s", f"named_struct('l', {normalize_sql(left)}, 'r', {normalize_sql(right)})", tests)
 
 
 def answer_key(answer: Column) -> Column:
-    """What grading needs of one answer: normalised text and, in closed form, its value.
+    """What grading needs of one answer: normalised text and its value in closed form or its residues with variables.
 
     Compute it once per ground truth, before the join with the many completions.
     """
@@ -50,10 +63,10 @@ def equals_key(answer: Column, key: Column) -> Column:
     Cheapest test first; the value of ``answer`` is computed only where the texts differ and the
     other side has a value.
 
-    1. Normalised texts are identical.
+    1. Normalised texts are identical, or but for case.
     2. Both are in closed form: the values agree within the relative tolerance. This includes
        all equal exact forms, since equal forms have the same value up to rounding.
-    3. Otherwise the texts are compared without case.
+    3. Both have variables: they are identical as expressions.
     """
     both = F.struct(answer.alias("answer"), key.alias("key"))
     return applied("a", equals_key_sql("a.answer", "a.key"), both)

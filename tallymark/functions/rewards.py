@@ -21,8 +21,8 @@ from tallymark.fixed import (
     MARKER_REWARD,
     REASONING_MARKER,
 )
-from tallymark.functions.closed_form import applied, case, let_sql
-from tallymark.functions.equivalence import answer_key, equals_key, equals_key_sql, key_sql, math_equal_sql
+from tallymark.functions.closed_form import applied, case
+from tallymark.functions.equivalence import answer_key, equals_key, math_equal_sql
 from tallymark.functions.text import completion_text, extract_answer, has_answer
 
 
@@ -56,8 +56,8 @@ def answer_reward(extracted: Column, key: Column) -> Column:
 
 def accuracy_sql(extracted: str, truth: str) -> str:
     """:func:`accuracy_reward` of an extracted answer, as SQL; the extraction is bound outside, once."""
-    graded = let_sql("key", key_sql(truth), case(("key.text IS NULL", "CAST(NULL AS DOUBLE)"), (equals_key_sql(extracted, "key"), "1D"), otherwise="0D"))
-    return case((f"{extracted} IS NULL", "0D"), otherwise=graded)
+    equal = (math_equal_sql(extracted, truth), "1D")
+    return case((f"{extracted} IS NULL", "0D"), (f"{truth} IS NULL", "CAST(NULL AS DOUBLE)"), equal, otherwise="0D")
 
 
 def compute_sql(extracted: str, truth: str, format_bonus: float = FORMAT_BONUS, correct_answer_bonus: float = CORRECT_ANSWER_BONUS) -> str:

@@ -2,11 +2,12 @@
 
 import math
 import random
+import time
 from fractions import Fraction
 
 from pyspark.sql import functions as F
 
-from tallymark.functions import closed_form, closed_value, math_equal, same_closed_form
+from tallymark.functions import closed_form, closed_value, math_equal, same_closed_form, variables
 
 
 class Term:
@@ -175,6 +176,83 @@ def test_long_texts_need_no_deep_stack(spark):
     assert all(row.k is None for row in rows if row.n != 100_003)
 
 
+def test_time_grows_with_the_depth(spark):
+    shapes = {
+        "braces": lambda n: "(" * n + "1" + ")" * n,
+        "fractions": lambda n: r"\frac{1}{" * n + "1" + "}" * n,
+        "sums": lambda n: r"\sqrt{6+" * n + "3" + "}" * n,
+        "wide": lambda n: "+".join(["((1))"] * n),
+    }
+
+    def seconds(text, function):
+        df = spark.createDataFrame([(text,)], "s string")
+        start = time.time()
+        (found,) = df.select(function(F.col("s"))).first()
+        assert found is not None
+        return time.time() - start
+
+    for name, shape in shapes.items():
+        seconds(shape(500), closed_value)
+        short, long = seconds(shape(2_000), closed_value), seconds(shape(16_000), closed_value)
+        # The time of a quadratic pass would grow by 64; what all queries take alike is in both.
+        assert long < 16 * short + 2, (name, short, long)
+    nested = spark.createDataFrame([(shape(n),) for shape in shapes.values() for n in (1_000, 9, 13, 20, 21, 33)], "s string")
+    assert {row[0] for row in nested.select(F.round(closed_value(F.col("s")), 6)).collect()} == {1.0, 3.0, 1_000.0, 9.0, 13.0, 20.0, 21.0, 33.0}
+
+
+def test_primes_of_the_points():
+    for p in variables._PRIMES:
+        assert p < 2**31 and p % 4 == 3 and all(p % q for q in range(2, math.isqrt(p) + 1))
+        assert all(pow(q, (p - 1) // 2, p) == 1 for q in (2, 3, 5, 7, 11, 13, 17, 19, 23, 29, 31, 37, 41, 43, 47))
+
+
+def test_random_polynomials(spark):
+    """Products of sums, multiplied out and reordered, and the same with one coefficient changed."""
+    rng = random.Random(5)
+    made = []
+    for _ in range(120):
+        names = rng.sample("abcdnpqxyz", 3)
+        sums = [[rng.randrange(-9, 10) for _ in range(4)] for _ in range(rng.randrange(2, 4))]
+        product = {(0, 0, 0): 1}
+        for s in sums:
+            step = {}
+            for powers, c in product.items():
+                for k, factor in enumerate(s):
+                    at = tuple(e + (k == j) for j, e in enumerate(powers))
+                    step[at] = step.get(at, 0) + c * factor
+            product = step
+
+        def spell(terms):
+            terms = list(terms)
+            rng.shuffle(terms)
+            each = [f"{c:+d}" + "".join(f"{n}^{{{e}}}" for n, e in zip(names, powers) if e) for powers, c in terms]
+            return "".join(each) or "0"
+
+        factors = "".join("(" + "".join(f"{c:+d}{n}" for c, n in zip(s, [*names, ""])) + ")" for s in sums)
+        changed = dict(product)
+        key = rng.choice(list(changed))
+        changed[key] += 1
+        made.append((factors, spell(product.items()), True))
+        made.append((factors, spell(changed.items()), False))
+    df = spark.createDataFrame(made, "a string, b string, same boolean").repartition(4)
+    rows = df.select("a", "b", "same", math_equal(F.col("a"), F.col("b")).alias("found")).collect()
+    # A product that multiplies out to a number has no variables on one side.
+    assert [r for r in rows if r.found != r.same and any(c.isalpha() for c in r.b)] == []
+
+
+def test_no_answer_stops_the_job(spark):
+    rng = random.Random(23)
+    extreme = ["2147483647", "2147483648", "-2147483648", "-2147483647", "9" * 38, "1" + "0" * 37, "0", "1", "2", "0.5", "-1", "9" * 20, "2000000000"]
+    bases = [r"\pi", "2", "1", "0", r"\sqrt{2}", "(-1)", "10", r"(\frac{1}{3})", "9" * 38, "0." + "0" * 36 + "1", "(1+1)"]
+    made = [r"\pi^{2147483647}\pi", r"\pi^{2000000000}\cdot\pi^{2000000000}", "2^{-2147483648}", r"1/\pi^{-2147483648}", "170!!", "33!", "34!", r"\binom{130}{65}", r"\sqrt[0]{2}", "(-1)!", r"\log_{1} 5", r"\log_{0} 5"]
+    for _ in range(300):
+        parts = [f"{rng.choice(bases)}^{{{rng.choice(extreme)}}}" for _ in range(rng.randrange(1, 4))]
+        made.append(rng.choice(["{}", r"\sqrt{{{}}}", r"\frac{{1}}{{{}}}", "|{}|", r"\sqrt[4]{{{}}}"]).format(rng.choice([r"\cdot ", "/", ""]).join(parts)))
+    df = spark.createDataFrame([(s,) for s in made], "s string").repartition(4)
+    rows = df.select("s", closed_form(F.col("s")).alias("k"), closed_value(F.col("s")).alias("v"), same_closed_form(F.col("s"), F.col("s")).alias("same")).collect()
+    assert len(rows) == len(made) and all(row.same == (row.k is not None) for row in rows)
+
+
 def test_keys_without_a_bound_on_exponents(spark):
     wanted = {r"\pi^{65}": (1, 1, 1, 65), "1^{100}": (1, 1, 1, 0), r"\sqrt{2}^{70}": (1, 2**70, 1, 0), "2^{-60}": (1, 1, 2**120, 0)}
     df = spark.createDataFrame([(s,) for s in wanted], "s string")
@@ -217,7 +295,63 @@ PAIRS = [
     # Answers outside the grammar are compared as texts without case.
     ("Yes", "yes", True),
     ("A", "B", False),
-    ("2(x+2)", "2x+4", False),
+    ("2(x+2)", "2x+4", True),
+    ("2(x+2)", "2x+5", False),
+    # Functions of constants.
+    ("3!", "6", True),
+    ("(1+2)!", "6", True),
+    ("-3!", "-6", True),
+    ("0!", "1", True),
+    ("171!", "1", False),
+    ("(1/2)!", "1", False),
+    ("|-3|", "3", True),
+    (r"\left|2-5\right|\cdot 2", "6", True),
+    ("||1|-|-2||", "1", True),
+    (r"\lvert -2 \rvert", "2", True),
+    ("2|3|4", "24", True),
+    (r"\sin(0)", "0", True),
+    (r"\sin \frac{\pi}{6}", "0.5", True),
+    (r"\cos\pi/3", "0.5", True),
+    (r"\sin^2 1 + \cos^{2}(1)", "1", True),
+    (r"\sin^{-1} 1", r"\frac{\pi}{2}", True),
+    (r"\arctan(1)", r"\pi/4", True),
+    (r"\ln 1", "0", True),
+    (r"\ln 6", r"\ln 2+\ln 3", True),
+    (r"\ln 6", r"\ln 2\cdot\ln 3", False),
+    (r"\log_2 8", "3", True),
+    (r"\log_{2}{8}", "3", True),
+    (r"\log 1000", "3", True),
+    (r"\exp(0)", "1", True),
+    (r"\binom{4}{2}", "6", True),
+    (r"\dbinom42", "6", True),
+    (r"\binom{4}{5}", "0", False),
+    ("2**3", "8", True),
+    ("5.", "5", True),
+    ("5.", "5.1", False),
+    (r"\ln 0", "0", False),
+    # Variables.
+    ("(a+b)^2", "a^2+2ab+b^2", True),
+    ("(a+b)^2", "a^2+ab+b^2", False),
+    (r"\frac{x^2-1}{x-1}", "x+1", True),
+    (r"\frac{x^2-1}{x-1}", "x-1", False),
+    (r"\sqrt{8}x", r"2\sqrt{2}x", True),
+    (r"\sqrt{x^2}", "x", False),
+    (r"\sqrt{x^2}", "|x|", False),
+    ("|x-y|", "|y-x|", True),
+    (r"\pi r^2", r"r^{2}\pi", True),
+    (r"x_1+x_2", r"x_{2}+x_{1}", True),
+    (r"x_1+x_2", r"x_1+x_3", False),
+    ("x^{1/2}", r"\sqrt{x}", True),
+    ("x^{-1}", r"\frac{1}{x}", True),
+    ("1.25x", r"\frac{5x}{4}", True),
+    (r"\sin(2x)+1", r"1+\sin(x+x)", True),
+    (r"\alpha+\beta", r"\beta+\alpha", True),
+    ("2^x", "x^2", False),
+    ("x", "X", True),
+    (r"\frac{x}{0}", "x", False),
+    ("acute", "eucat", False),
+    ("5 cm", "5 mc", False),
+    ("no solution", "solution no", False),
     (r"60^\circ", "60", False),
     ("5", "five", False),
 ]
