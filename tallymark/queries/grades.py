@@ -79,7 +79,7 @@ from tallymark.queries.shared import (
 from tallymark.schemas import COMPLETION
 from tallymark.sources import write_eval_samples, write_report
 from tallymark.storage import materialize, shared_folder
-from tallymark.streaming import score_stream
+from tallymark.streaming import advantage_stream, report_stream, running_report, score_stream
 
 # --- payloads ------------------------------------------------------------------
 
@@ -630,3 +630,34 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     running = score_stream(spark, f"{folder}/in", truth, f"{folder}/out", f"{folder}/state", files_per_batch=2)
     running.awaitTermination()
     return spark.read.parquet(f"{folder}/out").drop("batch")
+
+
+@query(
+    "advantage_stream",
+    f"""select idx::varchar as id, gen, case when max(r) over w = min(r) over w then 0.0::double
+        else round((r - avg(r) over w) / (stddev_samp(r) over w + 0.0001::double), 6) end as advantage
+        from (select idx, gen, {TOTAL_SQL} as r from completions) window w as (partition by idx)""",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Generations arrive in files of their own, one of them twice."""
+    folder = shared_folder(spark)
+    scored = apply_rewards(paired(spark, sf_dir).select("idx", "gen", "completion", "ground_truth"))
+    scored = materialize(scored.select(F.col("idx").cast("string").alias("id"), "gen", "total_reward"))
+    for gen in (*range(GENERATIONS), 1):
+        scored.filter(F.col("gen") == gen).write.mode("append").parquet(f"{folder}/in")
+    advantage_stream(spark, f"{folder}/in", f"{folder}/out", f"{folder}/state", files_per_batch=16).awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select("id", "gen", F.round("advantage", 6).alias("advantage"))
+
+
+@query("report_stream", f"select concat('run-', gen) as run, {REPORT_SQL} from ({ALL_GRADED_SQL}) group by gen")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every generation as a run of its own, in files that arrive one after the other."""
+    folder = shared_folder(spark)
+    every = [predictions(spark, sf_dir, gen).withColumn("run", F.lit(f"run-{gen}")) for gen in range(GENERATIONS)]
+    lines = reduce(DataFrame.unionByName, every).repartition(8, "id")
+    lines.select(F.to_json(F.struct("run", "id", "prompt_text", "generated")).alias("value")).write.text(f"{folder}/in")
+    running = report_stream(
+        spark, f"{folder}/in", rl_samples(spark, sf_dir), f"{folder}/ledger", f"{folder}/state", files_per_batch=4
+    )
+    running.awaitTermination()
+    return running_report(spark, f"{folder}/ledger")

@@ -5,9 +5,14 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SCOPE: ContextVar[str | None] = ContextVar("scope", default=None)
+
 
 def shared_folder(spark: SparkSession) -> str:
     """A new folder name below ``spark.checkpoint.dir``, or else the context's checkpoint folder.
@@ -24,14 +29,33 @@ def shared_folder(spark: SparkSession) -> str:
         atexit.register(own.cleanup)
         spark.sparkContext.setCheckpointDir(own.name)
         root = spark.sparkContext.getCheckpointDir()
-    return f"{root.rstrip('/')}/tallymark-{uuid.uuid4().hex}"
+    return f"{(_SCOPE.get() or root).rstrip('/')}/tallymark-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder in any file system that Spark writes to."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Folders and tables that are made within go when it ends, as those of a micro-batch that is done."""
+    folder = shared_folder(spark)
+    token = _SCOPE.set(folder)
+    try:
+        yield folder
+    finally:
+        _SCOPE.reset(token)
+        remove(spark, folder)
 
 
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     What follows no longer depends on the lineage, survives lost executors, and starts from a
-    table whose size Spark knows. The folder is left for the cluster's own clean-up.
+    table whose size Spark knows. The folder is left for the cluster's own clean-up, unless it is made
+    within :func:`scratch`.
     """
     spark = df.sparkSession
     path = shared_folder(spark)

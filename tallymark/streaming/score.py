@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tallymark.functions.rewards import DEFAULT_REWARDS, Reward, score_parts
+from tallymark.functions.rewards import DEFAULT_REWARDS, Reward, completion_parts, score_parts
+from tallymark.functions.text import completion_text
 from tallymark.operators.joins import match_truth
 from tallymark.operators.skew import hot_keys, one_per_key
-from tallymark.plans.grade import reduced_completions, reduced_truths
+from tallymark.plans.grade import reduced_truths
 from tallymark.schemas import COMPLETION
 from tallymark.sources.tables import parse_jsonl, split_bad_lines
-from tallymark.storage import materialize
+from tallymark.storage import materialize, scratch
 
 
 def line_stream(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
@@ -33,9 +34,11 @@ def score_lines(
 
     Every line is in one of the two. ``truths`` are unique, as :func:`score_stream` prepares them.
     """
-    good, bad = split_bad_lines(parse_jsonl(lines, schema, "keep"))
-    reduced = materialize(reduced_completions(good, rewards))
-    matched, unmatched = match_truth(reduced, truths, hot=materialize(hot_keys(reduced, "id")), known_unique=True)
+    # Parsed once: what is written has the parts of good lines and the whole of bad ones.
+    parsed = parse_jsonl(lines, schema, "keep")
+    parts = completion_parts(rewards, completion_text(parsed))
+    good, bad = split_bad_lines(materialize(parsed.select("id", "gen", *parts, "bad_line")))
+    matched, unmatched = match_truth(good, truths, hot=materialize(hot_keys(good, "id")), known_unique=True)
     empty = F.lit(None).cast("string")
     rejects = unmatched.select("id", "gen", F.lit("no_problem").alias("reason"), empty.alias("line")).unionByName(
         bad.select(
@@ -67,9 +70,10 @@ def score_stream(
     rejects = rejects or f"{target.rstrip('/')}_rejects"
 
     def score(lines: DataFrame, number: int) -> None:
-        scored, rejected = score_lines(lines, truths, rewards, schema)
-        scored.write.mode("overwrite").parquet(f"{target}/batch={number}")
-        rejected.write.mode("overwrite").parquet(f"{rejects}/batch={number}")
+        with scratch(spark):
+            scored, rejected = score_lines(lines, truths, rewards, schema)
+            scored.write.mode("overwrite").parquet(f"{target}/batch={number}")
+            rejected.write.mode("overwrite").parquet(f"{rejects}/batch={number}")
 
     arriving = line_stream(spark, source, files_per_batch)
     return arriving.writeStream.foreachBatch(score).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
