@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from itertools import accumulate
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymark.operators.skew import shuffle_partitions
@@ -37,6 +37,13 @@ def running_total(
     return ranged.join(F.broadcast(offsets), _RANGE).withColumn(name, total).drop(_RANGE, _BEFORE)
 
 
+def _unique(keys: DataFrame, order: Sequence[str], copies: str) -> Column:
+    """A condition that is an error where a key has a null or more than one copy."""
+    null = reduce(lambda a, b: a | b, [F.col(key).isNull() for key in order])
+    message = F.concat(F.lit("not a unique key without nulls: "), F.to_json(F.struct(*order)))
+    return F.when(null | (F.col(copies) > 1), F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+
+
 def stable_index(df: DataFrame, order: Sequence[str], name: str = "idx", partitions: int | None = None) -> DataFrame:
     """Add the 0-based position of each row in ``order``, which must be a unique key without nulls.
 
@@ -46,10 +53,7 @@ def stable_index(df: DataFrame, order: Sequence[str], name: str = "idx", partiti
     keys = df.select(*order).withColumn(_ONE, F.lit(1).cast("long"))
     placed = running_total(keys, order, _ONE, name, partitions)
     copies = placed.groupBy(*order).agg(F.count(F.lit(1)).alias(_ONE), F.min(name).alias(name))
-    null = reduce(lambda a, b: a | b, [F.col(key).isNull() for key in order])
-    message = F.concat(F.lit("not a unique key without nulls: "), F.to_json(F.struct(*order)))
-    unique = F.when(null | (F.col(_ONE) > 1), F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
-    positions = copies.filter(unique).drop(_ONE)
+    positions = copies.filter(_unique(copies, order, _ONE)).drop(_ONE)
     same = reduce(lambda a, b: a & b, [df[key].eqNullSafe(positions[key]) for key in order])
     return df.join(positions, same).select(*[df[column] for column in df.columns], positions[name])
 
@@ -57,11 +61,21 @@ def stable_index(df: DataFrame, order: Sequence[str], name: str = "idx", partiti
 def first_rows(df: DataFrame, count: int | None, order: str) -> DataFrame:
     """The first ``count`` rows in ``order``, a unique key without nulls; all rows for 0 or None.
 
-    Rows are cut by position whatever their number, so that no list of them meets in one place.
+    Rows are cut at a boundary key. Only keys are dealt into ranges; of these the driver gets a number of rows each, and one
+    range is sorted to find the key of the last row. No list of rows meets in one place, and none is joined.
     """
     if count is not None and count < 0:
         raise ValueError("the number of rows cannot be negative")
     if not count:
         return df
-    position = "__position"
-    return stable_index(df, [order], position).filter(F.col(position) < count).drop(position)
+    keys = df.select(order).repartitionByRange(shuffle_partitions(df), order).withColumn(_RANGE, F.spark_partition_id())
+    keys = materialize(keys)
+    copies = keys.groupBy(_RANGE, order).agg(F.count(F.lit(1)).alias(_ONE))
+    sizes = copies.filter(_unique(copies, [order], _ONE)).groupBy(_RANGE).agg(F.sum(_ONE).alias(_ONE)).collect()
+    before = 0
+    for size in sorted(sizes):
+        if before + size[_ONE] >= count:
+            last = keys.filter(F.col(_RANGE) == size[_RANGE]).orderBy(order).offset(count - before - 1).limit(1).first()[order]
+            return df.filter(F.col(order) <= F.lit(last))
+        before += size[_ONE]
+    return df

@@ -63,6 +63,7 @@ from tallymark.schemas import RL_SAMPLE
 from tallymark.sources import (
     scan_images,
     scan_jsonl,
+    scan_jsonl_positions,
     scan_problems,
     scan_teacher,
     teacher_successes,
@@ -458,3 +459,15 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
     ]
     return reduce(DataFrame.unionByName, parts)
+
+
+@query("scan_jsonl_positions", "select row_number() over (order by doc_id) - 1 as position, cast(doc_id as varchar) as id, md5(text) as text_md5 from documents", on_fixtures=False)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as JSON Lines in several files, each in the order of ids."""
+    folder = shared_folder(spark)
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.col("doc_id").cast("string").alias("id"), "text")
+    ordered = rows.repartitionByRange(6, "doc_id").sortWithinPartitions("doc_id").drop("doc_id")
+    ordered.write.option("ignoreNullFields", "false").json(folder)
+    schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("text", T.StringType())])
+    found = scan_jsonl_positions(spark, folder, schema)
+    return found.select("position", "id", F.md5("text").alias("text_md5"))

@@ -14,6 +14,7 @@ from tallymark.sources.tables import (
     local_path,
     scan_images,
     scan_jsonl,
+    scan_jsonl_positions,
     scan_problems,
     scan_teacher,
     split_bad_lines,
@@ -28,6 +29,7 @@ __all__ = [
     "report_rows",
     "scan_images",
     "scan_jsonl",
+    "scan_jsonl_positions",
     "scan_problems",
     "scan_teacher",
     "split_bad_lines",

@@ -14,6 +14,8 @@ from tallymark.schemas import PROBLEM, TEACHER
 from tallymark.storage import materialize
 
 _FILE = "__file"
+_BLOCK = "__block"
+_FIRST = "__first"
 _ROW = "__row"
 _ROWS = "__rows"
 _BEFORE = "__before"
@@ -62,25 +64,58 @@ def scan_jsonl(
     return parse_jsonl(spark.read.text(path), schema, bad_lines, required)
 
 
+def scan_jsonl_positions(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    schema: T.StructType,
+    count: int | None = None,
+    name: str = "position",
+    bad_lines: str = "fail",
+    required: Sequence[str] = (),
+) -> DataFrame:
+    """As :func:`scan_jsonl`, with the 0-based position of each line: its place in the file after all files of earlier names.
+
+    ``count`` takes the first lines only. Lines are counted for each block of a file that a task reads, and a block begins
+    after the lines of all blocks before it; nothing is sorted or moved but these counts. A block's lines are read by one task
+    in order, so that their numbers within the task tell their places within the block; both passes see the same blocks.
+    """
+    if count is not None and count < 0:
+        raise ValueError("the number of rows cannot be negative")
+    located = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias(_FILE),
+        F.col("_metadata.file_block_start").alias(_BLOCK),
+        F.monotonically_increasing_id().alias(_ROW),
+    )
+    blocks = located.groupBy(_FILE, _BLOCK).agg(F.count(F.lit(1)).alias(_ROWS), F.min(_ROW).alias(_FIRST))
+    offsets = materialize(running_total(blocks, [_FILE, _BLOCK], _ROWS, _BEFORE).select(_FILE, _BLOCK, _FIRST, _BEFORE))
+    if count:
+        offsets = offsets.filter(F.col(_BEFORE) < count)
+    placed = located.join(offsets, [_FILE, _BLOCK]).withColumn(name, F.col(_BEFORE) + F.col(_ROW) - F.col(_FIRST))
+    if count:
+        placed = placed.filter(F.col(name) < count)
+    return parse_jsonl(placed, schema, bad_lines, required, (name,))
+
+
 def parse_jsonl(
-    lines: DataFrame, schema: T.StructType, bad_lines: str = "fail", required: Sequence[str] = ()
+    lines: DataFrame, schema: T.StructType, bad_lines: str = "fail", required: Sequence[str] = (), kept: Sequence[str] = ()
 ) -> DataFrame:
-    """Rows of JSON lines in the column ``value``, of a table or a stream (see :func:`scan_jsonl`)."""
+    """Rows of JSON lines in the column ``value``, of a table or a stream (see :func:`scan_jsonl`), after ``kept`` columns."""
     if bad_lines not in ("fail", "keep"):
         raise ValueError("bad_lines is fail or keep")
     wider = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    parsed = lines.select("value", F.from_json("value", wider, options).alias("row"))
+    parsed = lines.select(*kept, "value", F.from_json("value", wider, options).alias("row"))
     is_bad = F.col("row").isNull() | F.col(f"row.{_CORRUPT}").isNotNull() | (F.trim("value") == "")
     for field in required:
         is_bad = is_bad | F.col(f"row.{field}").isNull()
     if bad_lines == "keep":
         bad_line = F.when(is_bad, F.col("value"))
         values = [F.when(~is_bad, F.col(f"row.{field}")).alias(field) for field in schema.names]
-        return parsed.select(*values, bad_line.alias("bad_line"))
+        return parsed.select(*kept, *values, bad_line.alias("bad_line"))
     message = F.concat(F.lit("not a JSON object with all that is required: "), F.col("value"))
-    checked = parsed.select(F.when(is_bad, F.raise_error(message)).otherwise(F.col("row")).alias("row"))
-    return checked.select(*[F.col(f"row.{field}").alias(field) for field in schema.names])
+    checked = parsed.select(*kept, F.when(is_bad, F.raise_error(message)).otherwise(F.col("row")).alias("row"))
+    return checked.select(*kept, *[F.col(f"row.{field}").alias(field) for field in schema.names])
 
 
 def split_bad_lines(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
