@@ -2,6 +2,7 @@
 
 from tallymark.functions.closed_form import closed_form, closed_value
 from tallymark.functions.equivalence import answer_key, equals_key, math_equal, same_closed_form
+from tallymark.functions.exact import exact_form
 from tallymark.functions.latex import clean_ground_truth, latex_to_expr, normalize_latex
 from tallymark.functions.rewards import (
     ACCURACY,
@@ -47,6 +48,7 @@ __all__ = [
     "completion_text",
     "compute_reward",
     "equals_key",
+    "exact_form",
     "exact_equal",
     "extract_answer",
     "format_reward",

@@ -27,7 +27,7 @@ from tallymark.functions.latex import normalize_sql
 __all__ = ["applied", "case", "closed_form", "closed_value", "let", "let_sql", "value_sql"]
 
 _BITS = 31  # the highest bit of an integer exponent; 38 digits are exceeded long before, but by 1 and pi
-_INTEGER = "decimal(38,0)"
+INTEGER = "decimal(38,0)"
 # 170! is the largest factorial in a DOUBLE, and 33! the largest in 38 digits.
 _FACTORIALS, _EXACT_FACTORIALS = 170, 33
 # Factors of a binomial coefficient; more than these give no finite value but at the very ends.
@@ -41,19 +41,19 @@ def _double(text: Column) -> Column:
     return text.try_cast("double")
 
 
-def _up_to(n: str, most: int) -> str:
+def up_to_sql(n: str, most: int) -> str:
     """1, 2, .. of at most ``most`` numbers; none for 0."""
     return f"slice(sequence(1, {most}), 1, try_cast({n} AS INT))"
 
 
 def _double_factorial(n: str) -> str:
     whole = f"{n} >= 0 AND {n} <= {_FACTORIALS} AND {n} = floor({n})"
-    return case((whole, f"aggregate({_up_to(n, _FACTORIALS)}, 1D, (f, i) -> f * i)"))
+    return case((whole, f"aggregate({up_to_sql(n, _FACTORIALS)}, 1D, (f, i) -> f * i)"))
 
 
 def _double_binomial(n: str, k: str) -> str:
     whole = f"{k} >= 0 AND {k} <= {n} AND {n} = floor({n}) AND {k} = floor({k}) AND least({k}, {n} - {k}) <= {_CHOSEN}"
-    return case((whole, let_sql("j", f"least({k}, {n} - {k})", f"aggregate({_up_to('j', _CHOSEN)}, 1D, (f, i) -> f * ({n} - j + i) / i)")))
+    return case((whole, let_sql("j", f"least({k}, {n} - {k})", f"aggregate({up_to_sql('j', _CHOSEN)}, 1D, (f, i) -> f * ({n} - j + i) / i)")))
 
 
 def _double_function(name: str, x: str) -> str:
@@ -138,7 +138,7 @@ def closed_value(text: Column) -> Column:
 
 
 def _key(sign: str, num: str, den: str, pi_power: str) -> str:
-    parts = (("sign", sign, "INT"), ("num", num, _INTEGER), ("den", den, _INTEGER), ("pi_power", pi_power, "INT"))
+    parts = (("sign", sign, "INT"), ("num", num, INTEGER), ("den", den, INTEGER), ("pi_power", pi_power, "INT"))
     return "named_struct(" + ", ".join(f"'{name}', try_cast({value} AS {kind})" for name, value, kind in parts) + ")"
 
 
@@ -146,7 +146,7 @@ _UNKNOWN = _key("NULL", "NULL", "NULL", "NULL")
 
 
 def _times(left: str, right: str) -> str:
-    return f"try_cast(try_multiply({left}, {right}) AS {_INTEGER})"
+    return f"try_cast(try_multiply({left}, {right}) AS {INTEGER})"
 
 
 def _product_key(a: str, b: str) -> str:
@@ -155,13 +155,13 @@ def _product_key(a: str, b: str) -> str:
 
 
 def _number_key(t: str) -> str:
-    digits = f"try_cast(replace({t}, '.', '') AS {_INTEGER})"
-    scale = rf"try_cast(concat('1', repeat('0', length(regexp_extract({t}, r'\.(\d++)$', 1)))) AS {_INTEGER})"
+    digits = f"try_cast(replace({t}, '.', '') AS {INTEGER})"
+    scale = rf"try_cast(concat('1', repeat('0', length(regexp_extract({t}, r'\.(\d++)$', 1)))) AS {INTEGER})"
     return let_sql("d", digits, let_sql("e", scale, _key("1", _times("d", "d"), _times("e", "e"), "0")))
 
 
-def _gcd(a: str, b: str) -> str:
-    step = f"CASE WHEN z.y = 0 THEN z ELSE named_struct('x', z.y, 'y', CAST(z.x % z.y AS {_INTEGER})) END"
+def gcd_sql(a: str, b: str) -> str:
+    step = f"CASE WHEN z.y = 0 THEN z ELSE named_struct('x', z.y, 'y', CAST(z.x % z.y AS {INTEGER})) END"
     # Euclid takes at most five divisions for every digit of the smaller number, and one more to get them in order.
     steps = f"sequence(1, 5 * length(CAST(least({a}, {b}) AS STRING)) + 1)"
     return f"aggregate({steps}, named_struct('x', {a}, 'y', {b}), (z, i) -> {step}, z -> z.x)"
@@ -171,28 +171,28 @@ def _reduced(k: str) -> str:
     """A key in lowest terms; NULL if any part of it is."""
 
     def divided(value: str) -> str:
-        return f"CASE WHEN h = 1 THEN {value} ELSE try_cast(try_divide({value}, h) AS {_INTEGER}) END"
+        return f"CASE WHEN h = 1 THEN {value} ELSE try_cast(try_divide({value}, h) AS {INTEGER}) END"
 
     lowest = case(
         (f"{k}.num = 0", _key("0", "0", "1", "0")),
         otherwise=_key(f"{k}.sign", divided(f"{k}.num"), divided(f"{k}.den"), f"{k}.pi_power"),
     )
     known = f"{k}.num IS NOT NULL AND {k}.den > 0 AND {k}.pi_power IS NOT NULL AND {k}.sign IS NOT NULL"
-    return case((known, let_sql("h", _gcd(f"{k}.num", f"{k}.den"), lowest)))
+    return case((known, let_sql("h", gcd_sql(f"{k}.num", f"{k}.den"), lowest)))
 
 
-def _whole_root(square: str) -> str:
+def whole_root_sql(square: str) -> str:
     """The integer whose square it is, else NULL; one step corrects the last digits of the estimate."""
-    guess = f"try_cast(round(sqrt(CAST({square} AS DOUBLE))) AS {_INTEGER})"
-    step = f"try_cast(round(try_divide({square} - {_times('u', 'u')}, 2 * greatest(u, 1))) AS {_INTEGER})"
+    guess = f"try_cast(round(sqrt(CAST({square} AS DOUBLE))) AS {INTEGER})"
+    step = f"try_cast(round(try_divide({square} - {_times('u', 'u')}, 2 * greatest(u, 1))) AS {INTEGER})"
     exact = case((f"{_times('w', 'w')} = {square}", "w"))
-    return let_sql("u", guess, let_sql("w", f"try_cast(u + {step} AS {_INTEGER})", exact))
+    return let_sql("u", guess, let_sql("w", f"try_cast(u + {step} AS {INTEGER})", exact))
 
 
 def _rational(key: str, name: str, body: str) -> str:
     """``body`` with ``name`` as ``top, low`` of the key's value without its sign; NULLs where it isn't rational."""
     lowest = case((f"{key}.pi_power = 0", _reduced(key)))
-    parts = f"named_struct('top', {_whole_root('m.num')}, 'low', {_whole_root('m.den')})"
+    parts = f"named_struct('top', {whole_root_sql('m.num')}, 'low', {whole_root_sql('m.den')})"
     return let_sql(name, let_sql("m", lowest, parts), body)
 
 
@@ -203,7 +203,7 @@ def _power_key(base: str, exponent: str) -> str:
         return f"'{field}', CASE WHEN getbit(abs(CAST(x AS BIGINT)), i) = 1 THEN {_times(f'c.{field}', f'c.{square}')} ELSE c.{field} END"
 
     squares = f"'n', {_times('c.n', 'c.n')}, 'd', {_times('c.d', 'c.d')}"
-    one = f"CAST(1 AS {_INTEGER})"
+    one = f"CAST(1 AS {INTEGER})"
     start = f"named_struct('num', {one}, 'den', {one}, 'n', {base}.num, 'd', {base}.den)"
     raised = (
         f"aggregate(sequence(0, {_BITS}), {start}, "
@@ -235,22 +235,22 @@ def _whole_key(n: str) -> str:
 
 
 def _key_factorial(n: str) -> str:
-    product = f"aggregate({_up_to('w', _EXACT_FACTORIALS)}, CAST(1 AS {_INTEGER}), (f, i) -> {_times('f', f'CAST(i AS {_INTEGER})')})"
+    product = f"aggregate({up_to_sql('w', _EXACT_FACTORIALS)}, CAST(1 AS {INTEGER}), (f, i) -> {_times('f', f'CAST(i AS {INTEGER})')})"
     return _whole_number(n, "w", case((f"w <= {_EXACT_FACTORIALS}", _whole_key(product)), otherwise=_UNKNOWN))
 
 
 def _key_binomial(n: str, k: str) -> str:
-    factor = f"CAST(w - j + i AS {_INTEGER})"
+    factor = f"CAST(w - j + i AS {INTEGER})"
     product = (
-        f"aggregate({_up_to('j', _CHOSEN)}, CAST(1 AS {_INTEGER}), "
-        f"(f, i) -> try_cast(try_divide({_times('f', factor)}, i) AS {_INTEGER}))"
+        f"aggregate({up_to_sql('j', _CHOSEN)}, CAST(1 AS {INTEGER}), "
+        f"(f, i) -> try_cast(try_divide({_times('f', factor)}, i) AS {INTEGER}))"
     )
     known = case((f"z <= w AND least(z, w - z) <= {_CHOSEN}", let_sql("j", "least(z, w - z)", _whole_key(product))), otherwise=_UNKNOWN)
     return _whole_number(n, "w", _whole_number(k, "z", known))
 
 
 _KEYS = Algebra(
-    type=f"struct<sign:int,num:{_INTEGER},den:{_INTEGER},pi_power:int>",
+    type=f"struct<sign:int,num:{INTEGER},den:{INTEGER},pi_power:int>",
     zero=_key("0", "0", "1", "0"),
     one=_key("1", "1", "1", "0"),
     pi=_key("1", "1", "1", "1"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.functions import math_equal
+from tallymark.functions import exact_form, math_equal
 from tallymark.queries.registry import query
 
 _N = "cast(p_size as string)"
@@ -68,3 +68,27 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("math_equal_variables", _COMPARED_SQL, on_fixtures=False)
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _compared(spark, sf_dir, _VARIABLES)
+
+
+# Spellings of p + 2 * sqrt(q), of which the first ones have the same key, for any p and q.
+_SPELLINGS = (
+    rf"concat({_N}, '+\\sqrt{{4\\cdot ', {_DIGIT}, '}}')",
+    rf"concat('2\\sqrt{{', {_DIGIT}, '}}+', {_N})",
+    rf"concat('\\frac{{', {_TWICE}, '+4\\sqrt{{', {_DIGIT}, '}}}}{{2}}')",
+    rf"concat('\\frac{{', {_N}, '\\sqrt{{', {_DIGIT}, '}}+2\\cdot ', {_DIGIT}, '}}{{\\sqrt{{', {_DIGIT}, '}}}}')",
+    rf"concat({_N}, '+\\sqrt{{4\\cdot ', {_DIGIT}, '}}+\\pi')",
+)
+
+
+@query(
+    "exact_form",
+    "select p_partkey as idx, unnest([4, 1]) as spellings, unnest([0, 1]) as pi_terms from part",
+    on_fixtures=False,
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spellings of sums grouped by their exact keys: how many there are, and how many terms have a power of pi."""
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_size")
+    texts = part.select(F.col("p_partkey").alias("idx"), F.explode(F.expr(f"array({', '.join(_SPELLINGS)})")).alias("text"))
+    groups = texts.select("idx", exact_form(F.col("text")).alias("key")).groupBy("idx", "key").agg(F.count(F.lit(1)).alias("n"))
+    pi_terms = F.size(F.filter("key", lambda t: t["pi_power"] != 0))
+    return groups.select("idx", F.col("n").cast("int").alias("spellings"), pi_terms.alias("pi_terms"))

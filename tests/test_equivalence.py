@@ -7,7 +7,7 @@ from fractions import Fraction
 
 from pyspark.sql import functions as F
 
-from tallymark.functions import closed_form, closed_value, math_equal, same_closed_form, variables
+from tallymark.functions import closed_form, closed_value, exact_form, math_equal, same_closed_form, variables
 
 
 class Term:
@@ -176,6 +176,101 @@ def test_long_texts_need_no_deep_stack(spark):
     assert all(row.k is None for row in rows if row.n != 100_003)
 
 
+def square_free(n):
+    out = 1
+    for p in range(2, math.isqrt(n) + 1):
+        while n % (p * p) == 0:
+            n, out = n // (p * p), out * p
+    return n, out
+
+
+class Sum(dict):
+    """A sum of terms by radicand and power of pi, computed in Python."""
+
+    def add(self, key, c):
+        self[key] = self.get(key, Fraction(0)) + c
+        return self
+
+    def __mul__(self, other):
+        made = Sum()
+        for (m, j), a in self.items():
+            for (n, k), b in other.items():
+                left, out = square_free(m * n)
+                made.add((left, j + k), a * b * out)
+        return made
+
+    def __add__(self, other):
+        made = Sum(self)
+        for key, c in other.items():
+            made.add(key, c)
+        return made
+
+    def terms(self):
+        return [(*key, c.numerator, c.denominator) for key, c in sorted(self.items()) if c]
+
+
+def random_sum(rng, depth):
+    if depth == 0:
+        a, b, n = rng.randrange(1, 20), rng.randrange(1, 9), rng.randrange(1, 60)
+        left, out = square_free(n)
+        return rng.choice(
+            [
+                (str(a), Sum({(1, 0): Fraction(a)})),
+                (rf"\frac{{{a}}}{{{b}}}", Sum({(1, 0): Fraction(a, b)})),
+                (rf"{a}\sqrt{{{n}}}", Sum({(left, 0): Fraction(a * out)})),
+                (rf"\frac{{\sqrt{{{n}}}}}{{{b}}}", Sum({(left, 0): Fraction(out, b)})),
+                (rf"{a}\pi", Sum({(1, 1): Fraction(a)})),
+                (rf"{b}.25", Sum({(1, 0): Fraction(4 * b + 1, 4)})),
+            ]
+        )
+    (a, x), (b, y) = random_sum(rng, depth - 1), random_sum(rng, rng.randrange(depth))
+    minus = Sum({(1, 0): Fraction(-1)})
+    return rng.choice([(f"({a})+({b})", x + y), (f"({a})-({b})", x + y * minus), (rf"({a})\cdot({b})", x * y), (f"({a})^2-({b})", x * x + y * minus)])
+
+
+def test_exact_keys_of_sums(spark):
+    rng = random.Random(31)
+    made = [random_sum(rng, rng.randrange(0, 4)) for _ in range(250)]
+    df = spark.createDataFrame([(i, m[0]) for i, m in enumerate(made)], "i int, s string").repartition(8, "i")
+    known = 0
+    for row in df.select("i", exact_form(F.col("s")).alias("k")).collect():
+        text, value = made[row.i]
+        if row.k is not None:
+            known += 1
+            assert [(int(t.radicand), t.pi_power, int(t.num), int(t.den)) for t in row.k] == value.terms(), text
+        else:
+            assert max(len(str(abs(x))) for t in value.terms() for x in t) > 8, text
+    assert known > 230
+
+
+EXACT = {
+    r"1+\sqrt{8}": [(1, 0, 1, 1), (2, 0, 2, 1)],
+    r"\frac{1}{1+\sqrt{2}}": [(1, 0, -1, 1), (2, 0, 1, 1)],
+    r"\frac{1}{\sqrt{2}+\sqrt{3}}": [(2, 0, -1, 1), (3, 0, 1, 1)],
+    r"(1+\sqrt{5})^{2}": [(1, 0, 6, 1), (5, 0, 2, 1)],
+    "1-1": [],
+    r"\sqrt{1018081}": [(1, 0, 1009, 1)],
+    r"\sqrt{\frac{1}{2}}": [(2, 0, 1, 2)],
+    r"\pi^{-2}+3!": [(1, -2, 1, 1), (1, 0, 6, 1)],
+    r"\frac{1}{0}": None,
+    r"\frac{1}{1-1}": None,
+    r"\sqrt{1+\sqrt{2}}": None,
+    r"\frac{1}{1+\pi}": None,
+    r"\sin(0)": None,
+    "9" * 39: None,
+    r"2^{200}": None,
+    r"\pi^{2147483647}\pi": None,
+    "x": None,
+}
+
+
+def test_fixed_exact_keys(spark):
+    df = spark.createDataFrame([(s,) for s in EXACT], "s string").coalesce(2)
+    for row in df.select("s", exact_form(F.col("s")).alias("k")).collect():
+        found = None if row.k is None else [(int(t.radicand), t.pi_power, int(t.num), int(t.den)) for t in row.k]
+        assert found == EXACT[row.s], row.s
+
+
 def test_time_grows_with_the_depth(spark):
     shapes = {
         "braces": lambda n: "(" * n + "1" + ")" * n,
