@@ -17,7 +17,7 @@ from tallymark.functions.rewards import (
     total_reward,
     truth_column,
 )
-from tallymark.functions.sql import register_sql_functions
+from tallymark.functions.sql import register_sql_functions, register_sql_table_functions
 from tallymark.functions.text import (
     completion_text,
     exact_equal,
@@ -58,6 +58,7 @@ __all__ = [
     "math_equal",
     "normalize_latex",
     "register_sql_functions",
+    "register_sql_table_functions",
     "report_name",
     "run_name",
     "same_closed_form",

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from tallymark.fixed import (
+    ACCURACY_WEIGHT,
     ANSWER_BLOCK,
     ANSWER_BLOCK_REWARD,
+    FORMAT_WEIGHT,
     IMAGE_TAG,
     MARKER_REWARD,
     REASONING_MARKER,
@@ -47,6 +49,29 @@ SQL_FUNCTIONS = {
 }
 
 
+_FORMAT = SQL_FUNCTIONS["format_reward"][2]
+
+# Functions that give rows: ``FROM completions c, LATERAL graded_completion(c.completion, c.ground_truth)``.
+SQL_TABLE_FUNCTIONS = {
+    "graded_completion": (
+        "s STRING, truth STRING",
+        "predicted_answer STRING, has_answer BOOLEAN, is_exact BOOLEAN, is_equivalent BOOLEAN, accuracy_reward DOUBLE, "
+        "format_reward DOUBLE, total_reward DOUBLE",
+        f"SELECT found, found IS NOT NULL, coalesce({_strip('found')} = {_strip('wanted')}, false), accuracy > 0D, accuracy, form, "
+        f"{ACCURACY_WEIGHT}D * accuracy + {FORMAT_WEIGHT}D * form "
+        f"FROM (SELECT found, wanted, form, {accuracy_sql('found', 'wanted')} AS accuracy "
+        f"FROM (SELECT {_EXTRACTED} AS found, truth AS wanted, {_FORMAT} AS form))",
+    ),
+}
+
+
+def register_sql_table_functions(spark: SparkSession, prefix: str = "") -> list[str]:
+    """Create the table functions in the session and return their names."""
+    for name, (arguments, columns, body) in SQL_TABLE_FUNCTIONS.items():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {prefix}{name}({arguments}) RETURNS TABLE({columns}) RETURN {body}")
+    return [prefix + name for name in SQL_TABLE_FUNCTIONS]
+
+
 def register_sql_functions(spark: SparkSession, prefix: str = "") -> list[str]:
     """Create the functions in the session and return their names."""
     names = []

@@ -2,6 +2,7 @@
 
 from tallymark.operators.advantage import group_advantage, group_statistics
 from tallymark.operators.chat import chat_rl, chat_rows, chat_sft, chat_user
+from tallymark.operators.distinct import math_equal_distinct
 from tallymark.operators.index import first_rows, running_total, stable_index
 from tallymark.operators.joins import (
     join_predictions,
@@ -71,6 +72,7 @@ __all__ = [
     "join_teacher",
     "join_truth",
     "join_unique",
+    "math_equal_distinct",
     "mock_completion",
     "num_samples",
     "one_per_key",

@@ -34,6 +34,7 @@ from tallymark.functions import (
     math_equal,
     normalize_latex,
     register_sql_functions,
+    register_sql_table_functions,
     report_name,
     run_name,
     same_closed_form,
@@ -53,10 +54,12 @@ from tallymark.operators import (
     group_advantage,
     join_predictions,
     join_truth,
+    math_equal_distinct,
     num_samples,
     predicted_answers,
     rate,
 )
+from tallymark.operators.samples import sample_id
 from tallymark.operators.skew import shuffle_partitions
 from tallymark.plans import evaluate, grade_rollouts, graded_predictions, prepare_rl
 from tallymark.queries.registry import query
@@ -661,3 +664,38 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     running.awaitTermination()
     return running_report(spark, f"{folder}/ledger")
+
+
+@query(
+    "math_equal_distinct",
+    "select p_partkey as idx, nth, which, which <> 'near' as equal from part, range(4) as r(nth), (values ('same'), ('swapped'), ('near')) as w(which)",
+    on_fixtures=False,
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pairs of ``math_equal_sums``, of which few are different, each graded once."""
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_size")
+    cases = [
+        F.struct(F.lit(nth).cast("long").alias("nth"), F.lit(which).alias("which"), _filled(l).alias("l"), _filled(r).alias("r"))
+        for nth, (a, b, c) in enumerate(_SUMS)
+        for which, l, r in (("same", a, b), ("swapped", b, a), ("near", a, c))
+    ]
+    rows = part.select(F.col("p_partkey").alias("idx"), F.explode(F.array(*cases)).alias("t")).select("idx", "t.*")
+    return math_equal_distinct(materialize(rows), "l", "r").select("idx", "nth", "which", "equal")
+
+
+@query(
+    "sql_table_functions",
+    f"select concat('run-', gen) as run, {REPORT_SQL}, round(avg({TOTAL_SQL}), 9) as mean_reward from ({ALL_GRADED_SQL}) group by gen",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report per run from SQL alone."""
+    register_sql_table_functions(spark)
+    known = rl_samples(spark, sf_dir).select("id")
+    rows = paired(spark, sf_dir).withColumn("id", sample_id(F.col("idx"), SPLIT)).filter(F.col("idx") >= SPLIT)
+    rows.join(known, "id").createOrReplaceTempView("tallymark_rollouts")
+    return spark.sql(
+        "SELECT concat('run-', c.gen) AS run, count(*) AS num_samples, avg(CAST(g.has_answer AS DOUBLE)) AS format_rate, "
+        "avg(CAST(g.is_exact AS DOUBLE)) AS exact_match, avg(CAST(g.is_equivalent AS DOUBLE)) AS symbolic_accuracy, "
+        "round(avg(g.total_reward), 9) AS mean_reward "
+        "FROM tallymark_rollouts c, LATERAL graded_completion(c.completion, c.ground_truth) g GROUP BY c.gen"
+    )

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tallymark.functions import math_equal
 from tallymark.operators import (
     exists_join,
     first_rows,
@@ -11,6 +12,7 @@ from tallymark.operators import (
     join_teacher,
     join_truth,
     join_unique,
+    math_equal_distinct,
     rollout_requests,
     running_total,
     stable_index,
@@ -181,3 +183,13 @@ def test_rows_without_a_group_stay(spark):
     out = group_advantage(scored).collect()
     assert len(out) == 4
     assert all((row.advantage is None) == (row.id is None) for row in out)
+
+
+def test_each_distinct_pair_is_graded_once(spark):
+    texts = ["1", r"\frac{2}{2}", "x+1", "1+x", None, "2", ""]
+    made = [(i, texts[i % 7], texts[i // 7 % 7]) for i in range(400)] + [(i, "3!", "6") for i in range(400, 700)]
+    df = spark.createDataFrame(made, "i int, l string, r string").repartition(5)
+    wanted = {r.i: r.equal for r in df.select("i", math_equal(F.col("l"), F.col("r")).alias("equal")).collect()}
+    found = math_equal_distinct(df, "l", "r")
+    assert found.columns == ["i", "l", "r", "equal"]
+    assert {r.i: r.equal for r in found.collect()} == wanted and len(wanted) == 700
