@@ -201,13 +201,14 @@ _SUMS = Algebra(
 )
 
 
-def exact_form(text: Column) -> Column:
+def exact_form(text: Column, spark: SparkSession | None = None) -> Column:
     """Exact key of a text in closed form, sums included (see the module); NULL where there is none. Zero is an empty list.
 
-    The expression is nested so deeply that the active session's limit on rounds of analysis is raised for it.
+    The expression is nested so deeply that the session's limit on rounds of analysis is raised for it: that of ``spark``, by
+    default the one that is active.
     """
-    session = SparkSession.getActiveSession()
-    if session is not None and int(session.conf.get(_ROUNDS[0])) < _ROUNDS[1]:
+    session = spark or SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+    if int(session.conf.get(_ROUNDS[0])) < _ROUNDS[1]:
         session.conf.set(_ROUNDS[0], str(_ROUNDS[1]))
     key = case((f"c RLIKE r'{ALPHABET}'", evaluate_sql("c", _SUMS)))
     return applied("s", let_sql("c", spelled(normalize_sql("s")), key), text)
