@@ -23,6 +23,7 @@ from tallymark.operators.metrics import (
     prep_summary,
     rate,
 )
+from tallymark.operators.pictures import image_intact
 from tallymark.operators.samples import (
     completion_fallback,
     completion_source,
@@ -66,6 +67,7 @@ __all__ = [
     "group_statistics",
     "has_image",
     "hot_keys",
+    "image_intact",
     "image_kind",
     "image_path",
     "join_predictions",

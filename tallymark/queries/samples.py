@@ -20,6 +20,7 @@ from tallymark.operators import (
     completion_source,
     field_defaults,
     first_image,
+    image_intact,
     image_kind,
     image_path,
     join_teacher,
@@ -471,3 +472,28 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("text", T.StringType())])
     found = scan_jsonl_positions(spark, folder, schema)
     return found.select("position", "id", F.md5("text").alias("text_md5"))
+
+
+def _png_chunk(kind: str, data: str) -> str:
+    whole = f"concat(CAST('{kind}' AS BINARY), {data})"
+    return f"concat(unhex(lpad(hex(length({data})), 8, '0')), {whole}, unhex(lpad(hex(crc32({whole})), 8, '0')))"
+
+
+_PNG = (
+    f"concat(unhex('89504E470D0A1A0A'), {_png_chunk('IHDR', "unhex('00000010000000100802000000')")}, "
+    f"{_png_chunk('IDAT', 'CAST(p_name AS BINARY)')}, {_png_chunk('IEND', "unhex('')")})"
+)
+_JPEG = "concat(unhex('FFD8FFE000074A46494600FFDA000401020300'), CAST(p_name AS BINARY), unhex('FFD9'))"
+
+
+@query("image_intact", "select p_partkey as idx, p_partkey % 3 = 0 as intact from part", on_fixtures=False)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A picture per part: whole, without its end, or with a changed byte in its middle, of which a JPEG's is its head's."""
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_name")
+    made = part.withColumn("whole", F.expr(f"CASE WHEN p_partkey % 2 = 0 THEN {_PNG} ELSE {_JPEG} END"))
+    cut = F.expr("substring(whole, 1, length(whole) - 1)")
+    changed = F.expr("concat(substring(whole, 1, 20), unhex('FE'), substring(whole, 22))")
+    broken = F.expr("concat(substring(whole, 1, 2), unhex('00'), substring(whole, 4))")
+    data = F.expr("p_partkey % 3")
+    picture = F.when(data == 0, F.col("whole")).when(data == 1, cut).when(F.col("p_partkey") % 2 == 0, changed).otherwise(broken)
+    return made.select(F.col("p_partkey").alias("idx"), image_intact(picture).alias("intact"))
