@@ -1,6 +1,6 @@
 """Compositions of operators."""
 
-from tallymark.plans.evaluate import Evaluation, evaluate, graded_predictions
+from tallymark.plans.evaluate import Evaluation, RunEvaluations, evaluate, evaluate_by_run, graded_predictions
 from tallymark.plans.grade import (
     Grades,
     grade_all,
@@ -17,9 +17,11 @@ __all__ = [
     "Evaluation",
     "Grades",
     "Prepared",
+    "RunEvaluations",
     "accepted",
     "classify",
     "evaluate",
+    "evaluate_by_run",
     "grade_all",
     "grade_rollouts",
     "graded_predictions",

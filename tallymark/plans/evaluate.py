@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallymark.fixed import EVAL_SAMPLES
 from tallymark.operators.index import first_rows
-from tallymark.operators.joins import join_predictions
+from tallymark.operators.joins import join_predictions, match_truth
 from tallymark.operators.metrics import GRADE_FLAGS, eval_report, gradable, grade, predicted_answers
 from tallymark.operators.samples import sample_number
 from tallymark.operators.skew import one_per_key
@@ -79,3 +79,41 @@ def evaluate(
         samples=kept.join(answers.select("id", "prediction"), "id").select(*EVAL_ROW.names, *GRADE_FLAGS),
         rejects=graded.filter(missing | ~gradable()).select("id", reason.alias("reason")),
     )
+
+
+@dataclass(frozen=True)
+class RunEvaluations:
+    """Of many runs: a summary per run, the graded samples with their flags, and what could not be graded."""
+
+    report: DataFrame
+    samples: DataFrame
+    rejects: DataFrame
+
+    def write(self, folder: str) -> str:
+        """Write the samples of all runs at once, a folder ``run_name=..`` for each, and return the folder above them."""
+        path = f"{folder.rstrip('/')}/samples"
+        self.samples.withColumnRenamed("run", "run_name").write.mode("overwrite").partitionBy("run_name").parquet(path)
+        return path
+
+
+def evaluate_by_run(dataset: DataFrame, predictions: DataFrame) -> RunEvaluations:
+    """Grade the predictions of all runs in one pass: ``predictions`` has ``run, id, prompt_text, generated``.
+
+    A run has one prediction per example at most; two are an error. An example's runs are many rows under one key and are split
+    where they are a large share of all. Predictions without an example and answers without a ground truth are rejects.
+    """
+    named = predictions.withColumn("id", F.struct("run", "id"))
+    answers = predicted_answers(named)
+    unique = one_per_key(answers.select("id", "predicted_answer"), "id", "prediction").select("id.*", "predicted_answer")
+    numbered = unique.withColumn("gen", F.col("run"))
+    matched, unmatched = match_truth(numbered, dataset.select("id", "ground_truth"))
+    # Graded once and written, without the generated texts: those are moved only for the samples.
+    graded = materialize(grade(matched.drop("gen")))
+    kept = graded.filter(gradable())
+    texts = answers.select("id.*", "prediction")
+    lost = unmatched.select("run", "id", F.lit("no_example").alias("reason"))
+    return RunEvaluations(
+        report=eval_report(kept, "run"),
+        samples=kept.join(texts, ["run", "id"]).select("run", *EVAL_ROW.names, *GRADE_FLAGS),
+        rejects=lost.unionByName(graded.filter(~gradable()).select("run", "id", F.lit("no_ground_truth").alias("reason"))),
+    )

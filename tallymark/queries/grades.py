@@ -61,7 +61,7 @@ from tallymark.operators import (
 )
 from tallymark.operators.samples import sample_id
 from tallymark.operators.skew import shuffle_partitions
-from tallymark.plans import evaluate, grade_rollouts, graded_predictions, prepare_rl
+from tallymark.plans import evaluate, evaluate_by_run, grade_rollouts, graded_predictions, prepare_rl
 from tallymark.queries.registry import query
 from tallymark.queries.shared import (
     ALL_GRADED_SQL,
@@ -699,3 +699,30 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
         "round(avg(g.total_reward), 9) AS mean_reward "
         "FROM tallymark_rollouts c, LATERAL graded_completion(c.completion, c.ground_truth) g GROUP BY c.gen"
     )
+
+
+def _by_run(spark: SparkSession, sf_dir: str):
+    every = [predictions(spark, sf_dir, gen).withColumn("run", F.lit(f"run-{gen}")) for gen in range(GENERATIONS)]
+    return evaluate_by_run(rl_samples(spark, sf_dir), reduce(DataFrame.unionByName, every))
+
+
+_RUN_SAMPLES_SQL = (
+    f"select concat('run-', gen) as run, id, completion as prediction, predicted_answer, ground_truth, {HAS_ANSWER} as has_answer, "
+    f"{IS_EXACT} as is_exact, {IS_EQUIVALENT} as is_equivalent from ({ALL_GRADED_SQL})"
+)
+
+
+@query("evaluate_by_run", f"select concat('run-', gen) as run, {REPORT_SQL} from ({ALL_GRADED_SQL}) group by gen")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All generations, each a run, in one pass."""
+    return _by_run(spark, sf_dir).report
+
+
+@query("join_predictions_runs", f"select run, id, prediction, predicted_answer, ground_truth from ({_RUN_SAMPLES_SQL})")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _by_run(spark, sf_dir).samples.select("run", "id", "prediction", "predicted_answer", "ground_truth")
+
+
+@query("write_eval_samples_runs", f"select * exclude (run), run as run_name from ({_RUN_SAMPLES_SQL})")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(_by_run(spark, sf_dir).write(shared_folder(spark)))

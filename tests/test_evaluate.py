@@ -11,7 +11,7 @@ from pyspark.sql.functions import pandas_udf
 
 from tallymark import evaluate, grade_rollouts, register_sql_functions
 from tallymark.functions import DEFAULT_REWARDS, Reward, apply_rewards
-from tallymark.plans import grade_all, score_rollouts, ungraded
+from tallymark.plans import evaluate_by_run, grade_all, score_rollouts, ungraded
 from tallymark.schemas import COMPLETION, PREDICTION
 from tallymark.storage import materialize, shared_folder
 from tallymark.streaming import score_stream
@@ -218,3 +218,20 @@ def test_intermediate_tables_go_to_the_set_folder(spark):
             shared_folder(Session(spark_master=master))
     assert "tallymark-" in shared_folder(Session(spark_master="local[8]"))
     assert materialize(spark.range(3)).count() == 3
+
+
+def test_all_runs_in_one_pass(spark):
+    truths = spark.createDataFrame([(f"t{i}", str(i)) for i in range(12)] + [("none", None)], "id string, ground_truth string")
+    rows = [(f"run{r}", f"t{i}", "q", f"<answer>{i + (i + r) % 3 % 2}</answer>") for r in range(3) for i in range(12)]
+    rows += [("run0", "none", "q", "<answer>1</answer>"), ("run0", "none else", "q", "x"), ("run1", "none", "q", "no answer")]
+    schema = "run string, id string, prompt_text string, generated string"
+    found = evaluate_by_run(truths, spark.createDataFrame(rows, schema))
+    report = {r.run: r for r in found.report.collect()}
+    for run in range(3):
+        right = sum((i + run) % 3 % 2 == 0 for i in range(12))
+        assert report[f"run{run}"].num_samples == 12 + (run == 1)
+        assert round(report[f"run{run}"].symbolic_accuracy * report[f"run{run}"].num_samples) == right
+    assert found.samples.count() == 37
+    assert sorted((r.run, r.id, r.reason) for r in found.rejects.collect()) == [("run0", "none", "no_ground_truth"), ("run0", "none else", "no_example")]
+    with pytest.raises(Exception, match="more than one prediction"):
+        evaluate_by_run(truths, spark.createDataFrame(rows + rows[:1], schema)).report.collect()
