@@ -23,7 +23,6 @@ from __future__ import annotations
 import itertools
 import math
 import re
-from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -45,11 +44,22 @@ _DEVIATIONS = 4.0
 _PRIOR_VOTE = 0.25
 _PIECES = (4, 5)
 _WORD = re.compile(r"[^\W\d_]+")
+# Of the first 256 characters the letters, and spaces for all others.
+_LETTERS = bytes(c if _WORD.fullmatch(chr(c)) else 32 for c in range(256))
 _REMEMBERED = 200_000
 # Words whose terms are put in order at a time.
 _WORDS = 50_000
 
 
+def words_of(text: str | None) -> list[str]:
+    """Runs of letters, in lower case."""
+    lower = (text or "").lower()
+    try:
+        return lower.encode("latin-1").translate(_LETTERS).decode("latin-1").split()
+    except UnicodeEncodeError:
+        return _WORD.findall(lower)
+
+
 def word_terms(word: str) -> list[str]:
     marked = "^" + word
     pieces = {marked[i : i + n] for n in _PIECES for i in range(len(marked) - n + 1)}
@@ -63,7 +73,7 @@ class Terms:
         self._known: dict[str, list] = {}
 
     def counts(self, text: str | None) -> Counter:
-        words = _WORD.findall((text or "").lower())
+        words = words_of(text)
         known = self._known
         if len(known) > _REMEMBERED:
             known.clear()
@@ -72,52 +82,102 @@ class Terms:
         return Counter(itertools.chain.from_iterable(map(known.__getitem__, words)))
 
 
+def _found(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """The place of each key in a sorted table, -1 for those that aren't there."""
+    if not len(table):
+        return np.full(len(keys), -1, np.int64)
+    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+    return np.where(table[at] == keys, at, -1)
+
+
+class Pieces:
+    """Exact lookup of all pieces of many words at once.
+
+    Two letters have a number, two such numbers are a piece of four, and that with a letter is a piece of five.
+    """
+
+    def __init__(self, terms: list[str]):
+        pieces = [(t, i) for i, t in enumerate(terms) if len(t) in _PIECES and not t.endswith("$")]
+        codes = [np.frombuffer("".join(t[:4] for t, _ in pieces).encode("utf-32-le"), "<u4").astype(np.int64).reshape(-1, 4)]
+        first, second = (codes[0][:, i] << 21 | codes[0][:, i + 1] for i in (0, 2))
+        self._twos = np.unique(np.concatenate([first, second]))
+        four = _found(self._twos, first) << 32 | _found(self._twos, second)
+        self._fours = np.unique(four)
+        number = np.array([i for _, i in pieces], np.int64)
+        long = np.array([len(t) for t, _ in pieces], np.int64)
+        place = _found(self._fours, four)
+        self._four_terms = np.full(len(self._fours), -1, np.int64)
+        self._four_terms[place[long == 4]] = number[long == 4]
+        last = np.array([ord(t[4]) for t, _ in pieces if len(t) == 5], np.int64)
+        five = place[long == 5] << 21 | last
+        order = np.argsort(five)
+        self._fives, self._five_terms = five[order], number[long == 5][order]
+
+    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The number of a word and that of a term, for every known piece in ``words``; a piece may come twice."""
+        # Nothing known has the separator in it.
+        codes = np.frombuffer("".join(f"^{w}\0" for w in words).encode("utf-32-le"), "<u4").astype(np.int64)
+        word = np.repeat(np.arange(len(words)), [len(w) + 2 for w in words])
+        two = _found(self._twos, codes[:-1] << 21 | codes[1:])
+        at = np.flatnonzero((two[:-2] >= 0) & (two[2:] >= 0))
+        four = _found(self._fours, two[at] << 32 | two[at + 2])
+        at, four = at[four >= 0], four[four >= 0]
+        longer = at[at + 4 < len(codes)]
+        five = _found(self._fives, four[: len(longer)] << 21 | codes[longer + 4])
+        words_of = np.concatenate([word[at], word[longer[five >= 0]]])
+        terms = np.concatenate([self._four_terms[four], self._five_terms[five[five >= 0]]])
+        return words_of[terms >= 0], terms[terms >= 0]
+
+
 class Numbered:
     """Counts of known terms, as numbers, in many texts at once."""
 
     def __init__(self, terms: pa.Array):
-        self._numbers = {term: i for i, term in enumerate(terms.to_pylist())}
+        listed = terms.to_pylist()
+        self._size = len(listed)
+        self._words = {term[1:-1]: i for i, term in enumerate(listed) if term.endswith("$")}
+        self._pieces = Pieces(listed)
         self._forget()
 
     def _forget(self) -> None:
         #: The place of each word, and where its terms begin and end among all words' terms.
         self._places: dict[str, int] = {}
-        self._starts, self._listed = array("q", [0]), array("q")
-
-    def _learn(self, words: Iterable[str]) -> None:
-        get, known = self._numbers.get, self._places
-        for word in words:
-            marked = "^" + word
-            found = {get(marked + "$"): None}
-            for n in _PIECES:
-                for i in range(len(marked) - n + 1):
-                    found[get(marked[i : i + n])] = None
-            found.pop(None, None)
-            known[word] = len(known)
-            self._listed.extend(found)
-            self._starts.append(len(self._listed))
+        self._starts, self._listed = np.zeros(1, np.int64), np.zeros(0, np.int64)
+
+    def _learn(self, words: list[str]) -> None:
+        if not words:
+            return
+        self._places.update(zip(words, range(len(self._places), len(self._places) + len(words))))
+        word, term = self._pieces.of(words)
+        whole = np.fromiter((self._words.get(w, -1) for w in words), np.int64, len(words))
+        known = np.flatnonzero(whole >= 0)
+        keys = np.sort(np.concatenate([word, known]) * self._size + np.concatenate([term, whole[known]]))
+        word, term = np.divmod(keys[np.diff(keys, prepend=-1) > 0], max(self._size, 1))
+        ends = len(self._listed) + np.cumsum(np.bincount(word, minlength=len(words)))
+        self._listed, self._starts = np.concatenate([self._listed, term]), np.concatenate([self._starts, ends])
 
     def counts(self, texts: list[str | None]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
         """For each run of texts its begin and end, and texts (from the begin on), terms and counts in order of both."""
-        said, long, begin = array("q"), [], 0
+        said, long, begin = [], [], 0
         for i, text in enumerate(texts):
-            words = _WORD.findall((text or "").lower())
-            self._learn(set(words).difference(self._places))
-            said.extend(map(self._places.__getitem__, words))
+            words = words_of(text)
+            said.extend(words)
             long.append(len(words))
             if len(said) >= _WORDS or i + 1 == len(texts):
-                yield begin, i + 1, *self._ordered(np.array(said, np.int64), np.array(long))
-                said, long, begin = array("q"), [], i + 1
+                self._learn(list(set(said).difference(self._places)))
+                places = np.fromiter(map(self._places.__getitem__, said), np.int64, len(said))
+                yield begin, i + 1, *self._ordered(places, np.array(long))
+                said, long, begin = [], [], i + 1
                 if len(self._places) > _REMEMBERED:
                     self._forget()
 
     def _ordered(self, said: np.ndarray, long: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        starts, listed = np.array(self._starts, np.int64), np.array(self._listed, np.int64)
+        starts, listed = self._starts, self._listed
         pairs, times = np.unique(np.repeat(np.arange(len(long)), long) * len(starts) + said, return_counts=True)
         at, word = np.divmod(pairs, len(starts))
         sizes = starts[word + 1] - starts[word]
         places = np.repeat(starts[word] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
-        n = len(self._numbers) + 1
+        n = self._size + 1
         keys = np.repeat(at, sizes) * n + listed[places]
         order = np.argsort(keys)
         keys, times = keys[order], np.repeat(times, sizes)[order]
@@ -262,6 +322,9 @@ class BlockMax:
             found, cosines = self._scores(terms, weights, opened)
             kept = self.order[found] != without
             places, scores = np.concatenate([places, found[kept]]), np.concatenate([scores, cosines[kept]])
+        if len(scores) > k:
+            near = scores >= np.partition(scores, -k)[-k]
+            places, scores = places[near], scores[near]
         best = np.lexsort((places, -scores))[:k]
         return self.order[places[best]], scores[best]
 

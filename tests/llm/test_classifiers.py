@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -117,6 +118,62 @@ def test_lengths_are_those_of_all_terms(spark):
     assert np.allclose([got[i].length for i in (1, 2, 3, 4)], np.array(want) * idf[0])
 
 
+def test_numbered_terms_are_those_of_plain_counts():
+    texts = [prose(i, 40) for i in range(30)] + ["", None, "a", "ab abc abcd", "aaaaaaa aaaaaaa", "Caf\u00e9_\u00df \u00aa\xa0x\x00y \u0130stanbul"]
+    texts += ["\u65e5\u672c\u8a9e\u306e\u30c6\u30ad\u30b9\u30c8 \U00020000\U00020001\U00020002\U00020003\U00020004 word", prose(7, 3000)]
+    plain = toxicity.Terms()
+    assert all(toxicity.words_of(t) == toxicity._WORD.findall((t or "").lower()) for t in texts)
+    for known in (sorted({t for text in texts[::2] for t in plain.counts(text)}), ["^vile", "^a$", "aaaa"], []):
+        numbers = {t: i for i, t in enumerate(known)}
+        got = [{} for _ in texts]
+        for begin, _, at, term, times in toxicity.Numbered(pa.array(known, pa.string())).counts(texts):
+            for a, t, n in zip(at.tolist(), term.tolist(), times.tolist()):
+                got[begin + a][t] = n
+        assert got == [{numbers[t]: n for t, n in plain.counts(text).items() if t in numbers} for text in texts]
+
+
+def test_scores_are_those_of_all_examples_compared(spark):
+    """Every row's score again: counts, cosines with all examples, votes and curve, without lists and bounds."""
+    rows, marks = corpus(400)
+    rows = rows + [r for r in ODD if r[0] != 7]
+    model, _ = toxicity.fit(docs(spark, rows), labels(spark, marks))
+    known = sorted((i, t) for i, _, t in marks if zlib.crc32(str(i).encode()) % 5)
+    plain, by_id = toxicity.Terms(), dict(rows[:400])
+    seen = [plain.counts(text) for _, text in rows]
+    texts = {(by_id[i], t) for i, t in known}
+    every = {t for i, _ in known for t in plain.counts(by_id[i])}
+    idf = {t: np.log1p(len(rows) / n) for t, n in Counter(t for c in seen for t in c if t in every).items()}
+    sizes = {c: len([1 for _, t in texts if t == c]) for c in (0, 1)}
+    having = {c: Counter(term for x, t in texts if t == c for term in plain.counts(x)) for c in (0, 1)}
+
+    def tells(term):
+        share, ratio = sum(having[c][term] for c in (0, 1)) / sum(sizes.values()), 0.0
+        for c in (0, 1):
+            for n, p in ((having[c][term], share), (sizes[c] - having[c][term], 1 - share)):
+                ratio += n * np.log(n / (sizes[c] * p)) if n else 0.0
+        return 2 * ratio >= 16.0
+
+    kept = {t for t in every if tells(t)}
+
+    def vector(counts):
+        whole = {t: (1 + np.log(n)) * idf[t] for t, n in counts.items() if t in every}
+        length = np.sqrt(sum(w * w for w in whole.values()))
+        return {t: w / length for t, w in whole.items() if t in kept}
+
+    examples = [(vector(plain.counts(by_id[i])), t) for i, t in known]
+    outside = [t for v, t in examples if not v]
+    bare = sum(outside) / len(outside) if outside else sum(t for _, t in examples) / len(examples)
+    slope, middle = model.curve
+    got = {r.doc_id: r.score for r in toxicity.scored(docs(spark, rows), labels(spark, marks)).collect()}
+    assert len(got) == len(rows)
+    for (i, _), counts in zip(rows, seen):
+        mine = vector(counts)
+        near = sorted(((sum(w * v.get(t, 0.0) for t, w in mine.items()), t) for v, t in examples), key=lambda x: -x[0])
+        near = [x for x in near[: toxicity.NEIGHBOURS] if x[0] > 0]
+        vote = (sum(c * t for c, t in near) + 0.25 * bare) / (sum(c for c, _ in near) + 0.25)
+        assert np.isclose(got[i], 1 / (1 + np.exp(-(slope * vote + middle))), rtol=1e-6)
+
+
 def test_each_row_is_accepted_by_its_own_text(spark):
     rows, marks = corpus()
     odd = [(None, "vilezorq grimlux vilezorq"), (None, prose(9000, 60) + "."), (1, "vilezorq grimlux vilezorq"), (14, prose(9001, 60) + ".")]
