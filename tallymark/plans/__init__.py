@@ -12,6 +12,7 @@ from tallymark.plans.grade import (
     ungraded,
 )
 from tallymark.plans.prepare import Prepared, accepted, classify, prepare_all, prepare_rl, prepare_sft
+from tallymark.plans.rounds import score_round, store_truths
 
 __all__ = [
     "Evaluation",
@@ -32,5 +33,7 @@ __all__ = [
     "reduced_truths",
     "score_reduced",
     "score_rollouts",
+    "score_round",
+    "store_truths",
     "ungraded",
 ]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,7 +62,7 @@ from tallymark.operators import (
 )
 from tallymark.operators.samples import sample_id
 from tallymark.operators.skew import shuffle_partitions
-from tallymark.plans import evaluate, evaluate_by_run, grade_rollouts, graded_predictions, prepare_rl
+from tallymark.plans import evaluate, evaluate_by_run, grade_rollouts, graded_predictions, prepare_rl, score_round, store_truths
 from tallymark.queries.registry import query
 from tallymark.queries.shared import (
     ALL_GRADED_SQL,
@@ -81,7 +82,7 @@ from tallymark.queries.shared import (
 )
 from tallymark.schemas import COMPLETION
 from tallymark.sources import write_eval_samples, write_report
-from tallymark.storage import materialize, shared_folder
+from tallymark.storage import materialize, remove, shared_folder
 from tallymark.streaming import advantage_stream, report_stream, running_report, score_stream
 
 # --- payloads ------------------------------------------------------------------
@@ -624,6 +625,18 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(folder)
 
 
+@query("grade_rounds", f"select idx, gen, gen % 2 as round, {SCORES_SQL} from completions")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, name = shared_folder(spark), f"tallymark_truths_{uuid4().hex}"
+    stored = store_truths(truths(spark, sf_dir), name, key="idx", path=folder)
+    rounds = [completions(spark, sf_dir).filter(F.col("gen") % 2 == i) for i in (0, 1)]
+    scores = [score_round(rows, stored, key="idx").withColumn("round", F.lit(i).cast("long")) for i, rows in enumerate(rounds)]
+    graded = materialize(reduce(DataFrame.unionByName, scores))
+    spark.sql(f"drop table {name}")
+    remove(spark, folder)
+    return graded
+
+
 @query("score_stream", f"select idx::varchar as id, gen, {SCORES_SQL} from completions")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark)
