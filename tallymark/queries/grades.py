@@ -630,8 +630,9 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, name = shared_folder(spark), f"tallymark_truths_{uuid4().hex}"
     stored = store_truths(truths(spark, sf_dir), name, key="idx", path=folder)
     rounds = [completions(spark, sf_dir).filter(F.col("gen") % 2 == i) for i in (0, 1)]
-    scores = [score_round(rows, stored, key="idx").withColumn("round", F.lit(i).cast("long")) for i, rows in enumerate(rounds)]
-    graded = materialize(reduce(DataFrame.unionByName, scores))
+    # One round after the other, as they come: each is a plan of its own.
+    scores = [materialize(score_round(rows, stored, key="idx").withColumn("round", F.lit(i).cast("long"))) for i, rows in enumerate(rounds)]
+    graded = reduce(DataFrame.unionByName, scores)
     spark.sql(f"drop table {name}")
     remove(spark, folder)
     return graded
