@@ -219,49 +219,89 @@ def chosen_terms(texts: DataFrame, classes: dict[int, int]) -> tuple[pa.Array, i
     return rated.column("term").combine_chunks(), int(np.count_nonzero(rated.column("z").to_numpy()))
 
 
-def frequencies(docs: DataFrame, terms: pa.Array) -> tuple[np.ndarray, int]:
-    """In how many texts of ``docs`` each of ``terms`` occurs, and how many texts there are."""
+def _key(doc_id: str | Column, text: str | Column) -> Column:
+    """What tells rows apart that have one doc_id, or none."""
+    return F.xxhash64(doc_id, text)
+
+
+def _planes(numbers: np.ndarray) -> bytes:
+    """Numbers as bytes, the lowest of all numbers first: the zeros of small ones lie together and take no room in a file."""
+    return np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _numbers(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").reshape(-1).astype(np.int64)
+
+
+def cut(docs: DataFrame, terms: pa.Array) -> DataFrame:
+    """doc_id, doc_key, steps, counts of every text: which of ``terms`` it has, as steps from each to the next, and how often.
+
+    Texts are cut this once; their frequencies, lengths and weights come from what is written here.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(terms)
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = Numbered(shared.value)
+        for batch in batches:
+            for begin, end, at, term, times in found.counts(batch.column("text").to_pylist()):
+                ends = np.searchsorted(at, np.arange(end - begin + 1))
+                steps = np.diff(term, prepend=0)
+                firsts = ends[:-1][np.diff(ends) > 0]
+                steps[firsts] = term[firsts]
+                lists = [pa.array([_planes(x[i:j]) for i, j in itertools.pairwise(ends.tolist())], pa.binary()) for x in (steps, times)]
+                ids = [batch.column(name).slice(begin, end - begin) for name in ("doc_id", "doc_key")]
+                yield pa.RecordBatch.from_arrays([*ids, *lists], ["doc_id", "doc_key", "steps", "counts"])
 
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("doc_key", _key("doc_id", "text"))
+    return materialize(texts.mapInArrow(count, "doc_id long, doc_key long, steps binary, counts binary"))
+
+
+def _tallied(texts: DataFrame, size: int) -> tuple[np.ndarray, int]:
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, texts, n = Numbered(terms), 0, np.zeros(len(terms), np.int64)
+        texts, n = 0, np.zeros(size, np.int64)
         for batch in batches:
             texts += batch.num_rows
-            for _, _, _, term, _ in found.counts(batch.column("text").to_pylist()):
-                n += np.bincount(term, minlength=len(n))
+            for steps in batch.column("steps").to_pylist():
+                # No term comes twice in a text.
+                n[np.cumsum(_numbers(steps))] += 1
         there = np.flatnonzero(n)
         columns = [pa.array(np.append(there, -1), pa.int32()), pa.array(np.append(n[there], texts))]
         yield pa.RecordBatch.from_arrays(columns, ["term", "n"])
 
-    each = docs.select("text").mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(len(terms) + 1, np.int64)
+    each = texts.select("steps").mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(size + 1, np.int64)
     # The number of texts has the number -1, and so the last place.
     out[each.column("term").to_numpy()] = each.column("n").to_numpy()
     return out[:-1], int(out[-1])
 
 
-def _key(doc_id: str | Column, text: str | Column) -> Column:
-    """What tells rows apart that have one doc_id, or none."""
-    return F.xxhash64(doc_id, text)
+def frequencies(docs: DataFrame, terms: pa.Array) -> tuple[np.ndarray, int]:
+    """In how many texts of ``docs`` each of ``terms`` occurs, and how many texts there are."""
+    return _tallied(cut(docs, terms), len(terms))
 
 
-def counted(docs: DataFrame, terms: pa.Array, kept: int, idf: np.ndarray) -> DataFrame:
-    """doc_id, doc_key, terms, counts, length: of every text the first ``kept`` terms, and how long the vector of all its terms is."""
+def _listed(texts: DataFrame, kept: int, idf: np.ndarray) -> DataFrame:
+    shared = texts.sparkSession.sparkContext.broadcast(idf)
 
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = Numbered(terms)
+    def weigh(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        idf = shared.value
         for batch in batches:
-            for begin, end, at, term, times in found.counts(batch.column("text").to_pylist()):
-                length = np.sqrt(np.bincount(at, ((1.0 + np.log(times)) * idf[term]) ** 2, end - begin))
-                listed = term < kept
-                ends = np.searchsorted(at[listed], np.arange(end - begin + 1)).astype(np.int32)
-                lists = [pa.ListArray.from_arrays(ends, pa.array(x[listed], pa.int32())) for x in (term, times)]
-                ids = [batch.column(name).slice(begin, end - begin) for name in ("doc_id", "doc_key")]
-                columns = [*ids, *lists, pa.array(length, pa.float64())]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "doc_key", "terms", "counts", "length"])
+            rows = []
+            for steps, times in zip(batch.column("steps").to_pylist(), batch.column("counts").to_pylist()):
+                term, times = np.cumsum(_numbers(steps)), _numbers(times)
+                weights = (1.0 + np.log(times)) * idf[term]
+                n = int(np.searchsorted(term, kept))
+                rows.append((term[:n], times[:n], math.sqrt(float(weights @ weights))))
+            lists = [pa.array([row[i] for row in rows], pa.list_(pa.int32())) for i in (0, 1)]
+            columns = [batch.column("doc_id"), batch.column("doc_key"), *lists, pa.array([row[2] for row in rows], pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "doc_key", "terms", "counts", "length"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("doc_key", _key("doc_id", "text"))
-    schema = "doc_id long, doc_key long, terms array<int>, counts array<int>, length double"
-    return materialize(texts.mapInArrow(count, schema))
+    return texts.mapInArrow(weigh, "doc_id long, doc_key long, terms array<int>, counts array<int>, length double")
+
+
+def counted(docs: DataFrame, terms: pa.Array, kept: int, idf: np.ndarray) -> DataFrame:
+    """doc_id, doc_key, terms, counts, length: of every text the first ``kept`` terms, and how long the vector of all its terms is."""
+    return _listed(cut(docs, terms), kept, idf)
 
 
 def weighted(terms: list[int], counts: list[int], idf: np.ndarray, length: float | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -397,21 +437,23 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", per_class: in
     texts = materialize(texts.withColumn("hash", F.xxhash64("text")).dropDuplicates(["hash", "target"]).select("text", "target"))
     sizes = dict(map(tuple, texts.groupBy("target").agg(F.count(F.lit(1))).collect()))
     terms, kept = chosen_terms(texts, sizes) if len(sizes) == 2 else (pa.array([], pa.string()), 0)
-    n, every = frequencies(docs, terms)
+    written = cut(docs, terms)
+    n, every = _tallied(written, len(terms))
     idf = np.log1p(every / np.maximum(n, 1))
-    found = counted(docs, terms, kept, idf)
-    examples = found.join(F.broadcast(known), "doc_id").dropDuplicates(["doc_id"])
+    met = _listed(written.join(F.broadcast(known.select("doc_id")), "doc_id", "left_semi"), kept, idf)
+    examples = met.join(F.broadcast(known), "doc_id").dropDuplicates(["doc_id"])
     examples = examples.select("doc_id", "terms", "counts", "length", "target")
-    return Model([tuple(row) for row in examples.collect()], idf[:kept], shares), found
+    return Model([tuple(row) for row in examples.collect()], idf[:kept], shares), _listed(written, kept, idf)
 
 
 def scored(docs: DataFrame, labels: DataFrame, target: str = "toxic", per_class: int = PER_CLASS) -> DataFrame:
     """One row per row of ``docs``: doc_id, doc_key, score, evidence (ids of the nearest examples)."""
     model, found = fit(docs, labels, target, per_class)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [model.score(*row) for row in zip(*(batch.column(name).to_pylist() for name in ("terms", "counts", "length")))]
+            rows = [shared.value.score(*row) for row in zip(*(batch.column(name).to_pylist() for name in ("terms", "counts", "length")))]
             columns = [pa.array([s for s, _ in rows], pa.float64()), pa.array([e for _, e in rows], pa.list_(pa.int64()))]
             ids = [batch.column(name) for name in ("doc_id", "doc_key")]
             yield pa.RecordBatch.from_arrays([*ids, *columns], ["doc_id", "doc_key", "score", "evidence"])

@@ -132,6 +132,18 @@ def test_numbered_terms_are_those_of_plain_counts():
         assert got == [{numbers[t]: n for t, n in plain.counts(text).items() if t in numbers} for text in texts]
 
 
+def test_written_terms_are_those_of_plain_counts(spark):
+    rows = [(i, prose(i, 30)) for i in range(40)] + [(100, None), (101, ""), (102, "vile " * 70_000), (None, "vile"), (5, "vile bane")]
+    plain = toxicity.Terms()
+    known = sorted({t for _, text in rows[::3] for t in plain.counts(text)} | {"^vile$", "vile"})
+    numbers = {t: i for i, t in enumerate(known)}
+    got = sorted(
+        (str(r.doc_id), list(zip(np.cumsum(toxicity._numbers(r.steps)).tolist(), toxicity._numbers(r.counts).tolist())))
+        for r in toxicity.cut(docs(spark, rows), pa.array(known)).collect()
+    )
+    assert got == sorted((str(i), sorted((numbers[t], n) for t, n in plain.counts(text).items() if t in numbers)) for i, text in rows)
+
+
 def test_scores_are_those_of_all_examples_compared(spark):
     """Every row's score again: counts, cosines with all examples, votes and curve, without lists and bounds."""
     rows, marks = corpus(400)
