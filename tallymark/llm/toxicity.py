@@ -225,12 +225,16 @@ def _key(doc_id: str | Column, text: str | Column) -> Column:
 
 
 def _planes(numbers: np.ndarray) -> bytes:
-    """Numbers as bytes, the lowest of all numbers first: the zeros of small ones lie together and take no room in a file."""
-    return np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+    """How many bytes the greatest of ``numbers`` takes, then the lowest bytes of all, the next ones, and so on."""
+    size = 1 + sum(int(numbers.max(initial=0)) > most for most in (0xFF, 0xFFFF, 0xFFFFFF))
+    return bytes([size]) + numbers.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :size].T.tobytes()
 
 
 def _numbers(planes: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").reshape(-1).astype(np.int64)
+    size = planes[0]
+    out = np.zeros(((len(planes) - 1) // size, 4), np.uint8)
+    out[:, :size] = np.frombuffer(planes, np.uint8, offset=1).reshape(size, -1).T
+    return out.view("<u4").reshape(-1).astype(np.int64)
 
 
 def cut(docs: DataFrame, terms: pa.Array) -> DataFrame:
@@ -261,9 +265,9 @@ def _tallied(texts: DataFrame, size: int) -> tuple[np.ndarray, int]:
         texts, n = 0, np.zeros(size, np.int64)
         for batch in batches:
             texts += batch.num_rows
-            for steps in batch.column("steps").to_pylist():
+            for steps in batch.column("steps"):
                 # No term comes twice in a text.
-                n[np.cumsum(_numbers(steps))] += 1
+                n[np.cumsum(_numbers(steps.as_py()))] += 1
         there = np.flatnonzero(n)
         columns = [pa.array(np.append(there, -1), pa.int32()), pa.array(np.append(n[there], texts))]
         yield pa.RecordBatch.from_arrays(columns, ["term", "n"])
@@ -287,8 +291,8 @@ def _listed(texts: DataFrame, kept: int, idf: np.ndarray) -> DataFrame:
         idf = shared.value
         for batch in batches:
             rows = []
-            for steps, times in zip(batch.column("steps").to_pylist(), batch.column("counts").to_pylist()):
-                term, times = np.cumsum(_numbers(steps)), _numbers(times)
+            for steps, times in zip(batch.column("steps"), batch.column("counts")):
+                term, times = np.cumsum(_numbers(steps.as_py())), _numbers(times.as_py())
                 weights = (1.0 + np.log(times)) * idf[term]
                 n = int(np.searchsorted(term, kept))
                 rows.append((term[:n], times[:n], math.sqrt(float(weights @ weights))))
