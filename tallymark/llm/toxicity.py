@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import materialize
+from tallymark.llm.common import materialize, shared_folder
 from tallymark.llm.learning import PER_CLASS, held_out, labelled
 
 NEIGHBOURS = 15
@@ -39,6 +39,8 @@ EVIDENCE = 3
 BLOCK = 64
 # Blocks opened before the others are judged by their bounds.
 _FIRST = 4
+# Where more than one block in so many is left to open, whole lists are added up.
+_WIDE = 4
 # Terms count whose shares differ between the classes by this many deviations (the root of the likelihood ratio).
 _DEVIATIONS = 4.0
 _PRIOR_VOTE = 0.25
@@ -214,8 +216,9 @@ def chosen_terms(texts: DataFrame, classes: dict[int, int]) -> tuple[pa.Array, i
     )
     z = F.sqrt(F.greatest(2 * ratio, F.lit(0.0)))
     # As many as the sample has: in columns, as rows would take many times the room.
-    rated = sums.select("term", F.when(z >= _DEVIATIONS, z).otherwise(0.0).alias("z")).toArrow()
-    rated = rated.sort_by([("z", "descending"), ("term", "ascending")])
+    rated = sums.select("term", F.when(z >= _DEVIATIONS, z).otherwise(0.0).alias("z"), (F.col("n0") + F.col("n1")).alias("n")).toArrow()
+    # The steps between small numbers are short: frequent terms have those.
+    rated = rated.sort_by([("z", "descending"), ("n", "descending"), ("term", "ascending")])
     return rated.column("term").combine_chunks(), int(np.count_nonzero(rated.column("z").to_numpy()))
 
 
@@ -257,7 +260,10 @@ def cut(docs: DataFrame, terms: pa.Array) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*ids, *lists], ["doc_id", "doc_key", "steps", "counts"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("doc_key", _key("doc_id", "text"))
-    return materialize(texts.mapInArrow(count, "doc_id long, doc_key long, steps binary, counts binary"))
+    written = texts.mapInArrow(count, "doc_id long, doc_key long, steps binary, counts binary")
+    folder = shared_folder(docs.sparkSession)
+    written.write.option("compression", "zstd").parquet(folder)
+    return docs.sparkSession.read.schema(written.schema).parquet(folder)
 
 
 def _tallied(texts: DataFrame, size: int) -> tuple[np.ndarray, int]:
@@ -284,18 +290,21 @@ def frequencies(docs: DataFrame, terms: pa.Array) -> tuple[np.ndarray, int]:
     return _tallied(cut(docs, terms), len(terms))
 
 
+def _weighed(batch: pa.RecordBatch, kept: int, idf: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
+    """Of each written text the first ``kept`` terms, their counts, and how long the vector of all its terms is."""
+    for steps, counts in zip(batch.column("steps"), batch.column("counts")):
+        term, times = np.cumsum(_numbers(steps.as_py())), _numbers(counts.as_py())
+        weights = (1.0 + np.log(times)) * idf[term]
+        n = int(np.searchsorted(term, kept))
+        yield term[:n], times[:n], math.sqrt(float(weights @ weights))
+
+
 def _listed(texts: DataFrame, kept: int, idf: np.ndarray) -> DataFrame:
     shared = texts.sparkSession.sparkContext.broadcast(idf)
 
     def weigh(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        idf = shared.value
         for batch in batches:
-            rows = []
-            for steps, times in zip(batch.column("steps"), batch.column("counts")):
-                term, times = np.cumsum(_numbers(steps.as_py())), _numbers(times.as_py())
-                weights = (1.0 + np.log(times)) * idf[term]
-                n = int(np.searchsorted(term, kept))
-                rows.append((term[:n], times[:n], math.sqrt(float(weights @ weights))))
+            rows = list(_weighed(batch, kept, shared.value))
             lists = [pa.array([row[i] for row in rows], pa.list_(pa.int32())) for i in (0, 1)]
             columns = [batch.column("doc_id"), batch.column("doc_key"), *lists, pa.array([row[2] for row in rows], pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "doc_key", "terms", "counts", "length"])
@@ -348,6 +357,15 @@ class BlockMax:
         found = np.flatnonzero(total > 0)
         return found, total[found]
 
+    def _every_score(self, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same of all blocks, from whole lists."""
+        ends = self.starts[np.stack([terms, terms + 1], 1) * self.blocks].tolist()
+        place = np.concatenate([self.place[i:j] for i, j in ends])
+        parts = np.concatenate([self.weight[i:j] * w for (i, j), w in zip(ends, weights.tolist())])
+        total = np.bincount(place, parts, len(self.order))
+        found = np.flatnonzero(total > 0)
+        return found, total[found]
+
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The ``k`` examples of greatest positive cosine, as numbers of ``vectors``, and the cosines.
 
@@ -363,8 +381,12 @@ class BlockMax:
                 opened = opened[bounds[opened] >= np.partition(scores, -k)[-k] - 1e-12]
             if not len(opened):
                 continue
-            found, cosines = self._scores(terms, weights, opened)
+            every = _WIDE * len(opened) > self.blocks
+            found, cosines = self._every_score(terms, weights) if every else self._scores(terms, weights, opened)
             kept = self.order[found] != without
+            if every:
+                places, scores = found[kept], cosines[kept]
+                break
             places, scores = np.concatenate([places, found[kept]]), np.concatenate([scores, cosines[kept]])
         if len(scores) > k:
             near = scores >= np.partition(scores, -k)[-k]
@@ -379,6 +401,8 @@ class Model:
     def __init__(self, examples: list, idf: np.ndarray, shares: dict[int, float], k: int = NEIGHBOURS):
         """``examples``: (doc_id, terms, counts, length, target) rows; ``shares``: the part of each class that they are."""
         self.idf, self.k = idf, k
+        #: Those of the terms that aren't listed too, which a text's length needs.
+        self.every_idf = idf
         examples = sorted(examples, key=lambda e: (e[0], e[4]))
         weight = {target: 1.0 / share for target, share in shares.items()}
         total = sum(weight[e[4]] for e in examples)
@@ -433,7 +457,7 @@ def _logistic(x: np.ndarray, rows: list[tuple[int, float]]) -> tuple[float, floa
 
 
 def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", per_class: int = PER_CLASS) -> tuple[Model, DataFrame]:
-    """The model, and the listed terms of every document."""
+    """The model, and the terms of every document as :func:`cut` wrote them."""
     known = labelled(docs, labels, target, per_class)
     shares = dict(map(tuple, known.groupBy("target").agg(F.first("share")).collect()))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known), "doc_id")
@@ -447,7 +471,9 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", per_class: in
     met = _listed(written.join(F.broadcast(known.select("doc_id")), "doc_id", "left_semi"), kept, idf)
     examples = met.join(F.broadcast(known), "doc_id").dropDuplicates(["doc_id"])
     examples = examples.select("doc_id", "terms", "counts", "length", "target")
-    return Model([tuple(row) for row in examples.collect()], idf[:kept], shares), _listed(written, kept, idf)
+    model = Model([tuple(row) for row in examples.collect()], idf[:kept], shares)
+    model.every_idf = idf
+    return model, written
 
 
 def scored(docs: DataFrame, labels: DataFrame, target: str = "toxic", per_class: int = PER_CLASS) -> DataFrame:
@@ -457,7 +483,8 @@ def scored(docs: DataFrame, labels: DataFrame, target: str = "toxic", per_class:
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [shared.value.score(*row) for row in zip(*(batch.column(name).to_pylist() for name in ("terms", "counts", "length")))]
+            model = shared.value
+            rows = [model.score(*row) for row in _weighed(batch, len(model.idf), model.every_idf)]
             columns = [pa.array([s for s, _ in rows], pa.float64()), pa.array([e for _, e in rows], pa.list_(pa.int64()))]
             ids = [batch.column(name) for name in ("doc_id", "doc_key")]
             yield pa.RecordBatch.from_arrays([*ids, *columns], ["doc_id", "doc_key", "score", "evidence"])

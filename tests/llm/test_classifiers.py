@@ -95,6 +95,20 @@ def test_nearest_neighbours_are_exact():
         assert len(cosines) == min(15, int((every > 0).sum()))
 
 
+def test_neighbours_are_the_same_from_cells_and_from_whole_lists(monkeypatch):
+    pick = np.random.default_rng(6)
+    vectors = []
+    for _ in range(400):
+        terms = np.sort(pick.choice(60, pick.integers(1, 40), replace=False))
+        vectors.append(toxicity.weighted(terms.tolist(), (1 + pick.integers(0, 5, len(terms))).tolist(), np.ones(60)))
+    found = []
+    for wide, block in ((0, 16), (4, 16), (10**9, 16), (4, 50), (0, 50)):
+        monkeypatch.setattr(toxicity, "_WIDE", wide)
+        index = toxicity.BlockMax(vectors, 60, block=block)
+        found.append([index.nearest(*vectors[i], 15, i)[1] for i in range(0, 400, 9)])
+    assert all(len(a) == len(b) and np.allclose(a, b) for one in found[1:] for a, b in zip(found[0], one))
+
+
 def test_every_term_that_tells_the_classes_apart_counts(spark):
     pick = random.Random(4)
     slurs = ["".join(pick.choice("bdfghjkpqvwxyz") + pick.choice("aeiou") for _ in range(5)) for _ in range(150)]
