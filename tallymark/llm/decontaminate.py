@@ -3,8 +3,8 @@
 The index holds postings ``term, document, position`` of the terms that the search can start from. Their frequencies are
 counted over the whole corpus first; then each window of a test item takes its two rarest terms as *points*, and only
 lists of points are stored. A list shifted by the point's place in the item gives the places where the item could begin;
-the lists of a window's two points are intersected on (document, item, beginning). What remains is compared word by word
-with the words stored around the posting, so that every match is exact. Everything is DataFrame expressions.
+the lists of a window's two points are intersected on (document, item, beginning), in one grouping without any words, so that
+long items cost in proportion to their windows. What remains is compared word by word with the words stored around the posting, so that every match is exact. Everything is DataFrame expressions.
 
 Rows are told apart by id *and* text, so that repeated ids with different texts stay apart and repeated rows get the same
 result each. A null or wordless text has no words and no hits; a wordless item has no windows; a null item id is written
@@ -18,14 +18,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import bounded_broadcast, materialize, words
+from tallymark.llm.common import BROADCAST_BYTES, bounded_broadcast, materialize, words
 
 WINDOW = 10
 _LENGTH = ""  # no word is empty: the posting of this term is a document's length
 
 
-def _items(benchmark: DataFrame, window: int) -> DataFrame:
-    """item, item_ids, words and begins: one row per distinct word sequence and the windows in it."""
+def _items(benchmark: DataFrame) -> DataFrame:
+    """item, item_ids, item_words: one row per distinct word sequence."""
     ids = F.coalesce(F.col("item_id").cast("string"), F.lit(""))
     grouped = (
         benchmark.select(ids.alias("id"), words(F.col("text")).alias("item_words"))
@@ -33,14 +33,17 @@ def _items(benchmark: DataFrame, window: int) -> DataFrame:
         .groupBy("item_words")
         .agg(F.collect_set("id").alias("item_ids"))
     )
-    last = F.greatest(F.size("item_words") - window, F.lit(0))
-    return grouped.select(
-        F.sha2(F.concat_ws(" ", "item_words"), 256).alias("item"),
-        "item_ids",
-        "item_words",
-        F.least(F.size("item_words"), F.lit(window)).alias("n"),
-        F.explode(F.sequence(F.lit(0), last)).alias("begin"),
+    return grouped.select(F.sha2(F.concat_ws(" ", "item_words"), 256).alias("item"), "item_ids", "item_words")
+
+
+def _windows(items: DataFrame, window: int) -> DataFrame:
+    """item, begin, n, needed: the windows of each item, each with its own words only."""
+    n = F.least(F.size("item_words"), F.lit(window))
+    each = F.transform(
+        F.sequence(F.lit(0), F.size("item_words") - n),
+        lambda begin: F.struct(begin.alias("begin"), F.slice("item_words", begin + 1, n).alias("needed")),
     )
+    return items.select("item", F.explode(each).alias("w")).select("item", "w.begin", F.size("w.needed").alias("n"), "w.needed")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -55,12 +58,12 @@ def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return each.join(bounded_broadcast(terms, "term"), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("count"))
 
 
-def window_points(items: DataFrame, counts: DataFrame) -> DataFrame:
+def window_points(windows: DataFrame, counts: DataFrame) -> DataFrame:
     """item, begin, n, points: the places in the item of the two rarest terms of each window.
 
     A window with a term that no text has can't occur and is left out. A window of one word has one point.
     """
-    place = items.select("item", "begin", "n", F.posexplode(F.slice("item_words", F.col("begin") + 1, F.col("n"))).alias("at", "term"))
+    place = windows.select("item", "begin", "n", F.posexplode("needed").alias("at", "term"))
     rated = place.join(counts, "term", "left").groupBy("item", "begin", "n").agg(
         F.sort_array(F.collect_list(F.struct("count", (F.col("begin") + F.col("at")).alias("point"), "term"))).alias("rated"),
         F.count("count").alias("known"),
@@ -87,10 +90,11 @@ def postings(docs: DataFrame, terms: DataFrame, radius: int) -> DataFrame:
 
 @dataclass(frozen=True)
 class Index:
-    """Written postings, the windows they can answer, and how many words are stored around a posting."""
+    """Written postings, the windows they can answer, the ids of items, and how many words are stored around a posting."""
 
     postings: DataFrame
     windows: DataFrame
+    items: DataFrame
     radius: int
 
 
@@ -99,51 +103,68 @@ def build_index(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, sla
 
     ``slack`` is how many words more than its own length a window may be spread over in ``near_matches``.
     """
-    items = materialize(_items(benchmark, window))
+    items = materialize(_items(benchmark))
     terms = materialize(items.select(F.explode("item_words").alias("term")).distinct())
     counts = materialize(term_counts(docs, terms))
-    windows = materialize(window_points(items, counts).join(items.drop("n"), ["item", "begin"]))
+    every = materialize(_windows(items, window))
+    windows = materialize(window_points(every, counts).join(every.drop("n"), ["item", "begin"]))
     each = windows.select(F.posexplode("points.term").alias("nth", "term"))
     points = materialize(each.groupBy("term").agg((F.min("nth") == 0).alias("leads")))
     radius = window - 1 + slack
-    return Index(materialize(postings(docs, points, radius)), windows, radius)
+    return Index(materialize(postings(docs, points, radius)), windows, items.select("item", "item_ids"), radius)
+
 
+def _paired(index: Index) -> DataFrame:
+    """The windows with ``lead`` and ``other``, their points, and ``pair``, a hash of item and points."""
+    points = F.col("points")
+    lead, other = points[0], F.get(points, F.lit(1))
+    pair = F.xxhash64("item", lead["point"], F.coalesce(other["point"], F.lit(-1)))
+    return index.windows.select("item", "begin", "n", "needed", lead.alias("lead"), other.alias("other"), pair.alias("pair"))
 
-def _shifted(index: Index) -> DataFrame:
-    """The lists of all points, one row per posting and place of its term in an item, moved to the item's beginning."""
-    each = index.windows.select("item", F.posexplode("points").alias("nth", "p"))
-    points = each.groupBy("item", "p.point", "p.term").agg((F.min("nth") == 0).alias("leads"))
-    placed = index.postings.filter(F.col("term") != _LENGTH).join(bounded_broadcast(points, "term"), "term")
-    around = F.when(F.col("leads"), F.col("around")).alias("around")
-    return placed.select("doc_id", "doc_key", "item", (F.col("pos") - F.col("point")).alias("shift"), "point", around)
+
+def _intersected(index: Index) -> DataFrame:
+    """doc_id, doc_key, pair, shift: where a text has both points of a window at one beginning of the item.
+
+    The lists of all points are moved to the item's beginning; the bits of a group say which points of a pair it has.
+    """
+    first = F.struct(F.col("lead.term").alias("term"), F.col("lead.point").alias("point"), F.when(F.col("other").isNull(), 3).otherwise(1).alias("bit"))
+    second = F.struct(F.col("other.term").alias("term"), F.col("other.point").alias("point"), F.lit(2).alias("bit"))
+    both = F.when(F.col("other").isNull(), F.array(first)).otherwise(F.array(first, second))
+    roles = materialize(_paired(index).select("pair", F.explode(both).alias("r")).select("pair", "r.*").distinct())
+    placed = index.postings.filter(F.col("term") != _LENGTH).join(bounded_broadcast(roles, "term"), "term")
+    shifted = placed.select("doc_id", "doc_key", "pair", (F.col("pos") - F.col("point")).alias("shift"), "bit")
+    return shifted.groupBy("doc_key", "doc_id", "pair", "shift").agg(F.bit_or("bit").alias("bits")).filter("bits = 3").drop("bits")
 
 
 def phrase_matches(index: Index) -> DataFrame:
-    """doc_id, doc_key, item_ids, hits: per document and beginning of an item, the exact windows as words [from, to)."""
-    tests = index.windows.groupBy("item").agg(
-        F.first("item_ids").alias("item_ids"),
-        F.first("item_words").alias("item_words"),
-        F.collect_list(F.struct("begin", "n", F.col("points.point").alias("points"))).alias("windows"),
-    )
-    met = _shifted(index).groupBy("doc_key", "doc_id", "item", "shift").agg(
-        F.map_from_entries(F.collect_set(F.struct("point", "around"))).alias("found")
-    )
-    shift, found = F.col("shift"), F.col("found")
-
-    def holds(w: Column) -> Column:
-        point = w["points"][0]
-        # The window's place in the words around its first point, of which there are fewer at the text's beginning.
-        place = shift + w["begin"] - F.greatest(shift + point - index.radius, F.lit(0))
-        same = F.slice(found[point], F.greatest(place, F.lit(0)) + 1, w["n"])
-        met_all = F.forall(w["points"], lambda p: F.map_contains_key(found, p))
-        return (shift + w["begin"] >= 0) & met_all & (same == F.slice("item_words", w["begin"] + 1, w["n"]))
-
-    hits = F.transform(
-        F.filter("windows", holds),
-        lambda w: F.struct((shift + w["begin"]).alias("from"), (shift + w["begin"] + w["n"]).alias("to")),
+    """doc_id, doc_key, item_ids, hits: per document and beginning of an item, the exact windows as words [from, to).
+
+    Only what the intersection leaves meets the words around its posting.
+    """
+    windows = _paired(index).withColumn("text", F.concat_ws(" ", "needed"))
+    met = _intersected(index).join(bounded_broadcast(windows, "text", BROADCAST_BYTES // 4), "pair")
+    met = met.filter(F.col("shift") + F.col("begin") >= 0).select(
+        "doc_id", "doc_key", "item", "shift", "begin", "n", "needed", F.col("lead.term").alias("term"), (F.col("shift") + F.col("lead.point")).alias("pos")
     )
-    matched = met.join(bounded_broadcast(tests.withColumn("text", F.concat_ws(" ", "item_words")), "text"), "item")
-    return matched.select("doc_id", "doc_key", "item_ids", hits.alias("hits")).filter(F.size("hits") > 0)
+    met = materialize(met)
+    places = materialize(met.select("doc_id", "doc_key", "term", "pos").distinct())
+
+    def same(one: str, two: str) -> Column:
+        equal = [F.col(f"{one}.{name}") == F.col(f"{two}.{name}") for name in ("doc_key", "term", "pos")]
+        return equal[0] & equal[1] & equal[2] & F.col(f"{one}.doc_id").eqNullSafe(F.col(f"{two}.doc_id"))
+
+    # Rows that repeat have the same words around.
+    stored = index.postings.filter(F.col("around").isNotNull()).alias("p").join(bounded_broadcast(places, "term").alias("q"), same("p", "q"), "left_semi")
+    stored = stored.groupBy("doc_id", "doc_key", "term", "pos").agg(F.first("around").alias("around"))
+    begin = F.col("shift") + F.col("begin")
+    # The window's place in the words around its first point, of which there are fewer at the text's beginning.
+    place = begin - F.greatest(F.col("m.pos") - index.radius, F.lit(0))
+    found = met.alias("m").join(stored.alias("s"), same("m", "s")).filter(F.slice("around", F.greatest(place, F.lit(0)) + 1, F.col("n")) == F.col("needed"))
+    hit = F.struct(begin.alias("from"), (begin + F.col("n")).alias("to"))
+    found = found.select("m.doc_id", "m.doc_key", "item", "shift", hit.alias("hit"))
+    hits = found.groupBy("doc_id", "doc_key", "item", "shift").agg(F.sort_array(F.collect_set("hit")).alias("hits"))
+    ids = index.items.withColumn("text", F.concat_ws(" ", "item_ids"))
+    return hits.join(bounded_broadcast(ids, "text"), "item").select("doc_id", "doc_key", "item_ids", "hits")
 
 
 def near_matches(index: Index) -> DataFrame:
@@ -151,9 +172,7 @@ def near_matches(index: Index) -> DataFrame:
 
     Nearby is within the stored radius on either side.
     """
-    tests = index.windows.select(
-        "item_ids", "begin", F.col("points")[0]["term"].alias("term"), F.slice("item_words", F.col("begin") + 1, F.col("n")).alias("needed")
-    )
+    tests = index.windows.join(index.items, "item").select("item_ids", "begin", F.col("points")[0]["term"].alias("term"), "needed")
     met = index.postings.join(bounded_broadcast(tests.withColumn("text", F.concat_ws(" ", "needed")), "text"), "term")
     return met.filter(F.size(F.array_except("needed", "around")) == 0).select("doc_id", "doc_key", "item_ids", "begin", "pos")
 

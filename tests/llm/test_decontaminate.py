@@ -88,3 +88,33 @@ def test_no_python_in_the_plan(spark):
     benchmark = frame(spark, ITEMS, "item_id long, text string")
     plan = decontaminate.contamination(docs(spark, ROWS), benchmark)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
+
+
+def test_long_items_in_proportion_to_their_windows(spark):
+    long = prose(21, 20_000)
+    parts = long.split()
+    rows = [(1, long), (2, "x " + " ".join(parts[7_000:7_500]) + " y"), (2, "x " + " ".join(parts[7_000:7_500]) + " y"), (3, prose(22, 500)), (None, long)]
+    got = found(spark, rows, [(1, long), (2, " ".join(parts[:12]))])
+    windows = {tuple(parts[i : i + 10]) for i in range(len(parts) - 9)}
+
+    def hit(text):
+        words, out = split(text), set()
+        for i in range(len(words) - 9):
+            if tuple(words[i : i + 10]) in windows:
+                out.update(range(i, i + 10))
+        return len(out)
+
+    assert sorted((repr(r[0]), r[1], r[2]) for r in got) == sorted((repr(i), len(split(t)), hit(t)) for i, t in rows)
+    assert [r[3] for r in got if r[0] in (1, None)] == [["1", "2"], ["1", "2"]]
+
+
+def test_same_matches_without_broadcasts(spark, monkeypatch):
+    index = decontaminate.build_index(docs(spark, ROWS), frame(spark, ITEMS, "item_id long, text string"))
+    plain = decontaminate.bounded_broadcast
+
+    def matches():
+        return sorted(repr((r.doc_id, r.doc_key, sorted(r.item_ids), r.hits)) for r in decontaminate.phrase_matches(index).collect())
+
+    sent = matches()
+    monkeypatch.setattr(decontaminate, "bounded_broadcast", lambda df, text=None, limit=0: plain(df, text, 0))
+    assert sent and matches() == sent
