@@ -27,6 +27,15 @@ def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt out over as many tasks as there are shuffle partitions, by a hash of ``keys``.
+
+    For work that costs far more than its rows' bytes suggest: by their bytes a small file is read in one task, and the
+    partitions of a small shuffle are put together. A number that is asked for stays. Deal narrow rows, before texts are made.
+    """
+    return df.repartition(shuffle_partitions(df), *keys)
+
+
 def hot_keys(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
     """Keys with more than one shuffle partition's worth of rows, and how many parts to split each into.
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.functions import exact_form, math_equal
+from tallymark.operators.skew import dealt
 from tallymark.queries.registry import query
 
 _N = "cast(p_size as string)"
@@ -88,7 +89,7 @@ _SPELLINGS = (
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spellings of sums grouped by their exact keys: how many there are, and how many terms have a power of pi."""
     part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_size")
-    texts = part.select(F.col("p_partkey").alias("idx"), F.explode(F.expr(f"array({', '.join(_SPELLINGS)})")).alias("text"))
+    texts = dealt(part, *part.columns).select(F.col("p_partkey").alias("idx"), F.explode(F.expr(f"array({', '.join(_SPELLINGS)})")).alias("text"))
     groups = texts.select("idx", exact_form(F.col("text"), spark).alias("key")).groupBy("idx", "key").agg(F.count(F.lit(1)).alias("n"))
     pi_terms = F.size(F.filter("key", lambda t: t["pi_power"] != 0))
     return groups.select("idx", F.col("n").cast("int").alias("spellings"), pi_terms.alias("pi_terms"))
