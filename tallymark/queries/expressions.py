@@ -49,7 +49,7 @@ def _compared(spark: SparkSession, sf_dir: str, forms: tuple) -> DataFrame:
     sides = "CASE p_partkey % 8 " + " ".join(
         f"WHEN {k} THEN array({', '.join(form)})" for k, form in enumerate(forms)
     ) + " END"
-    pairs = part.select(F.col("p_partkey").alias("idx"), F.expr(sides).alias("s"))
+    pairs = dealt(part, *part.columns).select(F.col("p_partkey").alias("idx"), F.expr(sides).alias("s"))
     a, b, c = (F.get("s", F.lit(i)) for i in range(3))
     sides = [F.struct(F.lit(which).alias("which"), l.alias("l"), r.alias("r")) for which, l, r in (("same", a, b), ("swapped", b, a), ("near", a, c))]
     each = pairs.select("idx", F.explode(F.array(*sides)).alias("p"))
