@@ -61,7 +61,7 @@ from tallymark.operators import (
     rate,
 )
 from tallymark.operators.samples import sample_id
-from tallymark.operators.skew import shuffle_partitions
+from tallymark.operators.skew import dealt
 from tallymark.plans import evaluate, evaluate_by_run, grade_rollouts, graded_predictions, prepare_rl, score_round, store_truths
 from tallymark.queries.registry import query
 from tallymark.queries.shared import (
@@ -317,8 +317,8 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
             parts += [F.col("p_size").cast("string"), piece]
         return F.round(closed_value(F.concat(*parts)), 6).alias(name)
 
-    part = spark.read.parquet(f"{sf_dir}/part.parquet")
-    return part.select(
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_size")
+    return dealt(part, *part.columns).select(
         F.col("p_partkey").alias("idx"),
         value(r"\frac{SIZE+\sqrt{5}}{2}", "golden"),
         value(r"$\frac{SIZE\pi}{3} - \sqrt{ SIZE }$", "arc"),
@@ -361,7 +361,7 @@ def _agreements(spark: SparkSession, sf_dir: str, cases) -> DataFrame:
         F.posexplode(F.array(*[F.struct(*[_filled(t).alias(n) for t, n in zip(case, "abc")]) for case in cases])).alias("nth", "t"),
     )
     # A row costs far more to grade than its bytes suggest: rows are dealt out before that.
-    rows = rows.repartition(shuffle_partitions(rows), "idx", "nth")
+    rows = dealt(rows, "idx", "nth")
     a, b, c = (F.col(f"t.{name}") for name in "abc")
     same, swapped = math_equal(a, b).alias("same"), math_equal(b, a).alias("swapped")
     return rows.select("idx", F.col("nth").cast("long").alias("nth"), same, swapped, math_equal(a, c).alias("near"))
