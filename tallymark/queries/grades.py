@@ -287,7 +287,7 @@ _SIZE_SQL = "(select p_partkey, p_size::bigint as s, p_partkey % 8 as k from par
     on_fixtures=False,
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keys = problems(spark, sf_dir).select("idx", closed_form(F.col("answer")).alias("key"))
+    keys = dealt(problems(spark, sf_dir), "idx").select("idx", closed_form(F.col("answer")).alias("key"))
     return keys.select(
         "idx",
         F.col("key.sign").alias("sign"),
@@ -300,7 +300,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("same_closed_form", "select idx, idx % 8 < 6 as same from problems")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     same = same_closed_form(F.col("answer"), F.col("alt_answer"))
-    return problems(spark, sf_dir).select("idx", same.alias("same"))
+    return dealt(problems(spark, sf_dir), "idx").select("idx", same.alias("same"))
 
 
 @query(
