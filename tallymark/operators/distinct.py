@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions.equivalence import math_equal
-from tallymark.operators.skew import join_unique, shuffle_partitions
+from tallymark.operators.skew import dealt, join_unique
 from tallymark.storage import materialize
 
 _PAIR = "__pair"
@@ -24,10 +24,11 @@ def math_equal_distinct(df: DataFrame, left: str, right: str, name: str = "equal
     """
     text = F.concat(F.octet_length(left).cast("string"), F.lit(":"), F.col(left), F.col(right))
     keyed = df.withColumn(_PAIR, F.sha2(text.cast("binary"), 256))
-    found = keyed.filter(F.col(_PAIR).isNotNull()).groupBy(_PAIR).agg(F.first(left).alias("l"), F.first(right).alias("r"))
-    # A pair costs far more to grade than its bytes suggest.
-    dealt = found.repartition(shuffle_partitions(df), _PAIR)
-    graded = materialize(dealt.select(_PAIR, math_equal(F.col("l"), F.col("r")).alias(name)))
-    others = [c for c in df.columns if c not in (left, right)] or [left]
-    joined = join_unique(keyed, graded, _PAIR, spread=list(spread or others), how="left", known_unique=True)
+    others = list(spread or [c for c in df.columns if c not in (left, right)] or [left])
+    texts = keyed.filter(F.col(_PAIR).isNotNull())
+    # Texts that repeat take little room in a file, which one task then reads: rows are dealt out before they are combined. As
+    # keys they are combined in hash tables; as first values all rows of a task would be sorted.
+    found = dealt(texts, *others).groupBy(_PAIR, left, right).agg(F.count(F.lit(1)).alias("n"))
+    graded = materialize(dealt(found, _PAIR).select(_PAIR, math_equal(F.col(left), F.col(right)).alias(name)))
+    joined = join_unique(keyed, graded, _PAIR, spread=others, how="left", known_unique=True)
     return joined.select(*df.columns, name)

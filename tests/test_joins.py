@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tallymark.functions import math_equal
 from tallymark.operators import (
+    distinct,
     exists_join,
     first_rows,
     group_advantage,
@@ -17,8 +18,9 @@ from tallymark.operators import (
     running_total,
     stable_index,
 )
+from tallymark.queries import QUERIES
 from tallymark.sources import scan_problems, with_positions
-from tallymark.storage import shared_folder
+from tallymark.storage import materialize, shared_folder
 
 
 @pytest.fixture(scope="module")
@@ -185,6 +187,27 @@ def test_rows_without_a_group_stay(spark):
     assert all((row.advantage is None) == (row.id is None) for row in out)
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["exact_form", "math_equal_variables", "closed_value", "math_equal_functions", "same_closed_form", "sql_functions"])
+def test_costly_rows_of_a_small_file_are_dealt_out(spark, tmp_path, name):
+    made = [(i if i % 10 else None, i % 50 + 1, "STANDARD TIN", "blue tin") for i in range(1, 200)] * 2
+    rows = spark.createDataFrame(made, "p_partkey long, p_size int, p_type string, p_name string")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    # A number of partitions that was asked for is not made smaller at run time.
+    assert "REPARTITION_BY_NUM" in _plan(QUERIES[name](spark, str(tmp_path)))
+
+
+def test_pairs_are_combined_without_sorting_all_rows(spark, tmp_path, monkeypatch):
+    written = []
+    monkeypatch.setattr(distinct, "materialize", lambda df: written.append(df) or materialize(df))
+    df = spark.createDataFrame([(i, "1", str(i % 3)) for i in range(60)], "i int, l string, r string")
+    assert math_equal_distinct(materialize(df.coalesce(1)), "l", "r").filter("equal").count() == 20
+    assert "SortAggregate" not in _plan(written[0]) and "HashAggregate" in _plan(written[0])
+
+
 def test_each_distinct_pair_is_graded_once(spark):
     texts = ["1", r"\frac{2}{2}", "x+1", "1+x", None, "2", ""]
     made = [(i, texts[i % 7], texts[i // 7 % 7]) for i in range(400)] + [(i, "3!", "6") for i in range(400, 700)]
