@@ -10,6 +10,7 @@ from tallymark.fixtures import COMPLETION, TRUTH, illustrated, problems
 from tallymark.functions.latex import clean_ground_truth
 from tallymark.operators.joins import rollout_requests
 from tallymark.operators.samples import sample_id, split_rl
+from tallymark.operators.skew import dealt
 from tallymark.plans.prepare import classify, prepare_rl, prepare_sft
 
 DATA_DIR = "data"
@@ -67,7 +68,7 @@ def truths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def paired(spark: SparkSession, sf_dir: str, generations: int = GENERATIONS) -> DataFrame:
     """Completions next to their problem's columns, made row by row without a join."""
-    requests = rollout_requests(problems(spark, sf_dir), generations)
+    requests = rollout_requests(dealt(problems(spark, sf_dir), "idx"), generations)
     return requests.select(
         "*", F.expr(COMPLETION).alias("completion"), clean_ground_truth(F.col("answer")).alias("ground_truth")
     )
