@@ -38,8 +38,8 @@ def _value(r: str, twice: str = "NULL") -> str:
 
 
 def _to_the(base: str, exponent: str) -> str:
-    """A residue to a power from 0."""
-    bits = "sequence(0, 31)"
+    """A residue to a power from 0, in as many steps as the exponent has bits."""
+    bits = f"slice(sequence(0, 31), 1, coalesce(length(bin({exponent})), 32))"
     square = "'b', (s.b * s.b) % l.p"
     product = f"'y', CASE WHEN getbit({exponent}, i) = 1 THEN (s.y * s.b) % l.p ELSE s.y END"
     return f"aggregate({bits}, named_struct('y', 1L, 'b', {base}), (s, i) -> named_struct({product}, {square}), s -> s.y)"
@@ -52,7 +52,9 @@ def _hashed(*parts: str) -> str:
 def _number(t: str) -> str:
     digits = f"try_cast(replace({t}, '.', '') AS DECIMAL(38,0))"
     scale = rf"length(regexp_extract({t}, r'\.(\d++)$', 1))"
-    residue = f"(CAST({digits} % l.p AS BIGINT) * {_to_the('l.tenth', scale)}) % l.p"
+    whole = f"CAST({digits} % l.p AS BIGINT)"
+    # Most numbers have no point, and no power of a tenth to be computed at every one of the points.
+    residue = case((f"NOT contains({t}, '.')", whole), otherwise=f"({whole} * {_to_the('l.tenth', scale)}) % l.p")
     twice = f"try_cast({t} AS DECIMAL(12,1)) * 2"
     exact = f"CASE WHEN try_cast({t} AS DECIMAL(38,18)) = try_cast({t} AS DECIMAL(12,1)) AND {twice} = floor({twice}) THEN try_cast({twice} AS BIGINT) END"
     return _value(residue, exact)

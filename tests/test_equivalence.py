@@ -473,3 +473,14 @@ def test_nulls(spark):
     df = spark.createDataFrame([(None, "1"), ("1", None), (None, None)], "a string, b string")
     assert [row[0] for row in df.select(math_equal(F.col("a"), F.col("b"))).collect()] == [None] * 3
     assert not any(row[0] for row in df.select(same_closed_form(F.col("a"), F.col("b"))).collect())
+
+
+def test_powers_of_residues_end_with_the_bits_of_the_exponent(spark):
+    p = variables._PRIMES[0]
+    exponents = [0, 1, 2, 3, 31, 2**16, 2**30 + 1, p - 2, p - 1]
+    rows = spark.createDataFrame([(i, 123_456_789 + i, e) for i, e in enumerate(exponents)], "i int, b long, e long")
+    power = F.expr(f"get(transform(array(named_struct('p', {p}L)), l -> {variables._to_the('b', 'e')}), 0)")
+    steps = F.expr(f"size({variables._to_the('b', 'e').removeprefix('aggregate(').split(', named_struct')[0]})")
+    for row in rows.select("b", "e", power.alias("y"), steps.alias("n")).collect():
+        assert row.y == pow(row.b, row.e, p)
+        assert row.n == max(row.e.bit_length(), 1)
