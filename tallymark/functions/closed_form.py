@@ -97,6 +97,7 @@ _VALUES = Algebra(
     factorial=_double_factorial,
     binomial=_double_binomial,
     function=_double_function,
+    simple=True,
 )
 
 

@@ -27,7 +27,10 @@ _FUNCTIONS = rf"(?:arcsin|arccos|arctan|sinh|cosh|tanh|{_TRIGONOMETRIC}|ln|log|l
 # A function is one token with its base, its power and the bracket of its argument.
 _BASE, _POWER = r"(?:_\{[\d.]++\})?+", r"(?:\^\{\d++\})?+"
 _FUNCTION = rf"\\{_FUNCTIONS}{_BASE}{_POWER}[({{]"
-_TOKEN = rf"{_NUMBER}|\\frac|\\sqrt|\\pi|\\binom|{_FUNCTION}|[+\-*/^(){{}}\[\]|!]"
+# So is a construct or a power with the brace after it.
+_TOKEN = rf"{_NUMBER}|\\(?:frac|sqrt|binom)\{{?+|\\pi|{_FUNCTION}|\^[({{]?+|[+\-*/(){{}}\[\]|!]"
+# A ratio or a root of numbers, which some algebras take as one token.
+_SIMPLE = rf"\\frac\{{{_NUMBER}\}}\{{{_NUMBER}\}}|\\sqrt\{{{_NUMBER}\}}"
 GREEK = (
     "alpha|beta|gamma|delta|varepsilon|epsilon|zeta|eta|vartheta|theta|iota|kappa|lambda|mu|nu|xi|rho|sigma|tau|upsilon|"
     "varphi|phi|chi|psi|omega|Gamma|Delta|Theta|Lambda|Xi|Sigma|Upsilon|Phi|Psi|Omega"
@@ -59,11 +62,15 @@ def applied(name: str, sql: str, value: Column) -> Column:
 
 
 def case(*branches: tuple[str, str], otherwise: str = "NULL") -> str:
-    return "CASE " + " ".join(f"WHEN {found} THEN {then}" for found, then in branches) + f" ELSE {otherwise} END"
+    """The first branch that is found. Where it is not compiled, CASE counts its branches anew at each of them; IF doesn't."""
+    for found, then in reversed(branches):
+        otherwise = f"if({found}, {then}, {otherwise})"
+    return otherwise
 
 
 def let_sql(name: str, value: str, body: str) -> str:
-    return f"get(transform(array({value}), {name} -> {body}), 0)"
+    # A transformation copies what it returns, with all texts in it; the end of an aggregation over nothing does not.
+    return f"aggregate(array(), {value}, (z, i) -> z, {name} -> {body})"
 
 
 def _rewritten(text: str, *rules: tuple[str, str]) -> str:
@@ -139,11 +146,15 @@ class Algebra:
     # Whether a function's value is still to be raised to the power in its token.
     raises: bool = True
     variable: Callable[[str], str] | None = None
+    # Whether a number is the same after it was added to zero and multiplied with one, so that no group need be opened for it.
+    simple: bool = False
 
 
 # What a group is in the middle of, besides a plain sum.
 _PLAIN, _RAISED, _DONE, _EXPONENT, _MINUS = "''", "'p'", "'!'", "'^'", "'-'"
-_TOP, _LOW, _CHOOSE, _CHOSEN, _ROOT, _RADICAND = "'n'", "'d'", "'m'", "'w'", "'s'", "'r'"
+_LOW, _CHOSEN, _ROOT, _RADICAND = "'d'", "'w'", "'s'", "'r'"
+# What a group is after that may go on in any way; it contains the empty text of a plain sum too.
+_SETTLED = "'p!'"
 # The group around a whole text, which nothing but the text's value gets into.
 _BASE_GROUP = "'base'"
 _FIELDS = ("kind", "total", "product", "factor", "has", "minus", "divides", "amid", "held")
@@ -160,7 +171,7 @@ def _with(group: str, **changes: str) -> str:
 
 
 def _settled(g: str) -> str:
-    return f"({g}.amid IN ({_PLAIN}, {_RAISED}, {_DONE}))"
+    return f"contains({_SETTLED}, {g}.amid)"
 
 
 def _complete(g: str) -> str:
@@ -194,47 +205,61 @@ def _to_power(g: str, exponent: str, algebra: Algebra) -> str:
     return _with(g, factor=algebra.power(f"{g}.factor", exponent), amid=_RAISED)
 
 
+def _ended(algebra: Algebra) -> str:
+    """The complete group ``g`` with the product ``p`` after a sign or an operator ``t``."""
+    fresh = {"factor": algebra.one, "has": "false", "amid": _PLAIN}
+    summed = _with("g", total=_sum("g", algebra), product=algebra.one, minus="(t = '-')", divides="false", **fresh)
+    linked = _with("g", product="p", divides="(t = '/')", **fresh)
+    return case(("contains('+-', t)", summed), otherwise=linked)
+
+
 def _inside(algebra: Algebra) -> str:
-    """The group ``g`` with the product ``p`` after a sign, an operator or the start of a construct ``t``.
+    """The group ``g`` after a power, a factorial, the start of a root with a degree, or a sign before a factor, ``t``.
 
     NULL if it can't stand there.
     """
-    fresh = {"factor": algebra.one, "has": "false", "amid": _PLAIN}
-    ended = _with("g", total=_sum("g", algebra), product=algebra.one, minus="(t = '-')", divides="false", **fresh)
     sign = case(
         (f"g.amid = {_EXPONENT} AND t = '-'", _with("g", amid=_MINUS)),
-        (_complete("g"), ended),
         (_settled("g"), _with("g", minus="(g.minus <> (t = '-'))")),
     )
-    linked = _with("g", product="p", divides="(t = '/')", **fresh)
     counted = _with("g", factor=algebra.factorial("g.factor"), amid=_DONE)
-    begun = case((r"t = r'\frac'", _TOP), (r"t = r'\binom'", _CHOOSE), otherwise=_ROOT)
     return case(
-        ("t IN ('+', '-')", sign),
-        ("t IN ('*', '/')", case((_complete("g"), linked))),
+        ("contains('+-', t)", sign),
+        ("contains('*/', t)", "NULL"),
         ("t = '^'", case((f"g.has AND g.amid = {_PLAIN}", _with("g", amid=_EXPONENT)))),
-        ("t = '!'", case((f"g.has AND g.amid IN ({_PLAIN}, {_RAISED})", counted))),
-        otherwise=case((_settled("g"), _with("g", amid=begun))),
+        ("t = '!'", case((f"g.has AND (g.amid = {_PLAIN} OR g.amid = {_RAISED})", counted))),
+        (r"t = r'\sqrt'", case((_settled("g"), _with("g", amid=_ROOT)))),
     )
 
 
+def _is_number(t: str) -> str:
+    return f"(({t} >= '0' AND {t} < ':') OR startswith({t}, '.'))"
+
+
 def _atom(algebra: Algebra) -> str:
     """The value of a number, of pi or of a variable ``t``."""
     other = algebra.variable("t") if algebra.variable else algebra.pi
-    return case(
-        ("(t >= '0' AND t < ':') OR startswith(t, '.')", algebra.number("t")), (r"t = r'\pi'", algebra.pi), otherwise=other
-    )
+    return case((_is_number("t"), algebra.number("t")), (r"t = r'\pi'", algebra.pi), otherwise=other)
+
+
+def _simple(algebra: Algebra) -> str:
+    """The value of a ratio or a root of numbers ``t``."""
+    inner = "substring(t, 7, length(t) - 7)"
+    root = let_sql("x", algebra.number(inner), algebra.root("x"))
+    top, low = (algebra.number(f"substring_index({inner}, '}}{{', {part})") for part in (1, -1))
+    ratio = let_sql("x", top, let_sql("y", low, algebra.over("x", "y")))
+    return case((r"startswith(t, r'\sqrt')", root), otherwise=ratio)
 
 
 def _opened() -> str:
     """The kind of group that a bracket ``t`` opens in ``g``; NULL if it can't stand there. It ends with the bracket."""
+    begun = case((r"t = r'\frac{'", "'n{'"), (r"t = r'\sqrt{'", "'r{'"), (r"t = r'\binom{'", "'m{'"), otherwise="t")
     return case(
         (f"g.kind = {_BASE_GROUP}", "CAST(NULL AS STRING)"),
+        ("startswith(t, '^')", case((f"g.has AND g.amid = {_PLAIN}", "t"))),
         ("t = '['", case((f"g.amid = {_ROOT}", "'['"))),
-        (f"g.amid = {_EXPONENT}", case(("t IN ('(', '{')", "concat('^', t)"))),
-        (_settled("g"), "t"),
-        (f"t = '{{' AND g.amid IN ({_TOP}, {_LOW}, {_CHOOSE}, {_CHOSEN})", "concat(g.amid, t)"),
-        (f"t = '{{' AND g.amid IN ({_ROOT}, {_RADICAND})", "'r{'"),
+        (_settled("g"), begun),
+        (f"t = '{{' AND (g.amid = {_LOW} OR g.amid = {_CHOSEN} OR g.amid = {_RADICAND})", "concat(g.amid, t)"),
     )
 
 
@@ -251,7 +276,7 @@ def _delivered(algebra: Algebra) -> str:
     """The group ``d.group`` after it got the value of an atom or, by ``d.kind``, of a group inside of it."""
     group = "d.group"
     value = case(
-        ("d.kind IN ('', '(', '{')", "d.value"),
+        ("contains('({', d.kind)", "d.value"),
         ("d.kind = 'd{'", algebra.over("d.group.held", "d.value")),
         (
             "d.kind = 'r{'",
@@ -264,9 +289,12 @@ def _delivered(algebra: Algebra) -> str:
     next_ = case(("d.kind = 'n{'", _LOW), ("d.kind = 'm{'", _CHOSEN), otherwise=_RADICAND)
     exponent = case((f"d.group.amid = {_MINUS}", algebra.negative("d.value")), otherwise="d.value")
     return case(
-        (f"startswith(d.kind, '^') OR d.group.amid IN ({_EXPONENT}, {_MINUS})", let_sql("w", exponent, _to_power(group, "w", algebra))),
-        ("d.kind IN ('n{', 'm{', '[')", _with(group, held="d.value", amid=next_)),
-        (f"d.kind <> '' OR {_settled(group)}", let_sql("w", value, _operand(group, "w", algebra))),
+        (
+            f"startswith(d.kind, '^') OR d.group.amid = {_EXPONENT} OR d.group.amid = {_MINUS}",
+            let_sql("w", exponent, _to_power(group, "w", algebra)),
+        ),
+        ("d.kind = 'n{' OR d.kind = 'm{' OR d.kind = '['", _with(group, held="d.value", amid=next_)),
+        (f"d.kind <> '' OR {_settled(group)}", _operand(group, value, algebra)),
     )
 
 
@@ -278,7 +306,7 @@ def _pass(algebra: Algebra) -> tuple[str, str, str]:
     """Start, step and end of the aggregation over tokens.
 
     The state is the innermost group, the nearest groups around it, and all others as lines of JSON, a line for ``_PIECE``
-    groups. An aggregation copies its state with every token, but not what is binary in it: so the far groups, however many,
+    groups. A state without an innermost group stays as it is. An aggregation copies its state with every token, but not what is binary in it: so the far groups, however many,
     cost nothing until a line is added or taken, which is once in several brackets.
     """
     kind = algebra.type
@@ -291,14 +319,14 @@ def _pass(algebra: Algebra) -> tuple[str, str, str]:
     def delivery(group: str, value: str, inner: str, near: str, far: str) -> str:
         return f"named_struct('group', {group}, 'value', {value}, 'kind', {inner}, 'near', {near}, 'far', {far})"
 
-    def popped(far: str) -> str:
-        return delivery("element_at(b, -1)", "v", "g.kind", "slice(b, 1, size(b) - 1)", far)
+    def popped(near: str, far: str) -> str:
+        return delivery(f"element_at({near}, -1)", "v", "g.kind", f"slice({near}, 1, size({near}) - 1)", far)
 
     after = case(
-        ("size(a.near) > 0", let_sql("b", "a.near", popped("a.far"))),
-        ("length(a.far) > 0", let_sql("l", line, let_sql("b", f"from_json(l, '{schema}')", popped(less)))),
+        ("size(a.near) > 0", popped("a.near", "a.far")),
+        ("length(a.far) > 0", let_sql("l", line, let_sql("b", f"from_json(l, '{schema}')", popped("b", less)))),
     )
-    closing = case((f"right(g.kind, 1) = {ends} AND {_complete('g')}", let_sql("v", _sum("g", algebra), after)))
+    closing = case((f"endswith(g.kind, {ends}) AND {_complete('g')}", let_sql("p", _product("g", algebra), let_sql("v", _sum("g", algebra), after))))
     new = _group("k", algebra)
     written = f"concat(a.far, CAST(concat(CASE WHEN length(a.far) > 0 THEN chr(10) ELSE '' END, to_json(slice(a.near, 1, {_PIECE}))) AS BINARY))"
     pushed = case(
@@ -306,25 +334,34 @@ def _pass(algebra: Algebra) -> tuple[str, str, str]:
         otherwise=_state(new, "array_append(a.near, g)", "a.far"),
     )
     opening = let_sql("k", _opened(), case(("k IS NOT NULL", pushed)))
-    staying = let_sql("n", _inside(algebra), case(("n IS NOT NULL", _state("n", "a.near", "a.far"))))
-    closes = f"t IN (')', '}}', ']') OR (t = '|' AND g.kind = '|' AND {_complete('g')})"
-    opens = r"t IN ('(', '{', '[', '|') OR (startswith(t, r'\') AND right(t, 1) IN ('(', '{'))"
-    stays = r"t IN ('+', '-', '*', '/', '^', '!', r'\frac', r'\sqrt', r'\binom')"
-    brought = case((closes, closing), otherwise=let_sql("v", _atom(algebra), delivery("g", "v", "''", "a.near", "a.far")))
-    given = let_sql("n", _delivered(algebra), case(("n IS NOT NULL", _state("n", "d.near", "d.far"))))
+    ended = let_sql("p", _product("g", algebra), _state(_ended(algebra), "a.near", "a.far"))
+    inside = _state(_inside(algebra), "a.near", "a.far")
+    staying = case((f"contains('+-*/', t) AND {_complete('g')}", ended), otherwise=inside)
+    closes = f"contains(')}}]', t) OR (t = '|' AND g.kind = '|' AND {_complete('g')})"
+    opens = f"contains('([{{', t) OR (t = '|' AND NOT (g.kind = '|' AND {_complete('g')}))"
+    command = r"(startswith(t, r'\') OR startswith(t, '^'))"
+    atom = let_sql("v", _atom(algebra), delivery("g", "v", "''", "a.near", "a.far"))
+    if algebra.simple:
+        # It stands where a construct may begin, which is not in an exponent, and is a factor as a group is.
+        found = let_sql("v", _simple(algebra), delivery("g", "v", "'('", "a.near", "a.far"))
+        atom = case((r"startswith(t, r'\') AND endswith(t, '}')", case((_settled("g"), found))), otherwise=atom)
+    brought = case((closes, closing), otherwise=atom)
+    given = _state(_delivered(algebra), "d.near", "d.far")
     taken = let_sql("d", brought, case(("d IS NOT NULL", given)))
-    move = case((stays, staying), (f"({opens}) AND NOT ({closes})", opening), otherwise=taken)
-    ending = f"t IN ('+', '-', '*', '/', ')', '}}', ']', '|') AND {_complete('g')}"
-    moved = let_sql("p", case((ending, _product("g", algebra))), move)
+    moved = case(
+        (r"contains('+-*/^!', t) OR t = r'\frac' OR t = r'\sqrt' OR t = r'\binom'", staying),
+        (f"{opens} OR ({command} AND (endswith(t, '{{') OR endswith(t, '(')))", opening),
+        otherwise=taken,
+    )
     step = case(("a.top IS NULL", "NULL"), otherwise=let_sql("g", "a.top", moved))
     start = _state(_group("'('", algebra), f"array({_group(_BASE_GROUP, algebra)})", "CAST('' AS BINARY)")
     end = case((f"a.top.kind = {_BASE_GROUP} AND a.top.has", "a.top.factor"))
     return start, f"(a, t) -> {step}", f"a -> {end}"
 
 
-def tokens_sql(text: str, variables: bool = False) -> str:
+def tokens_sql(text: str, variables: bool = False, simple: bool = False) -> str:
     """The tokens of a spelled text; NULL if something is left over or its brackets are not as many as they should be."""
-    pattern = f"{_TOKEN}|{_VARIABLE}" if variables else _TOKEN
+    pattern = "|".join([_SIMPLE] * simple + [_TOKEN] + [_VARIABLE] * variables)
     # Texts that can't be balanced are told apart before a stack of their brackets is built.
     opened, closed = (rf"length(regexp_replace({text}, r'[^{kind}]++', ''))" for kind in (r"(\[{", r")\]}"))
     whole = let_sql("x", f"regexp_extract_all({text}, r'{pattern}', 0)", case((f"array_join(x, '') = {text}", "x")))
@@ -339,4 +376,4 @@ def fold_sql(tokens: str, algebra: Algebra) -> str:
 
 def evaluate_sql(text: str, algebra: Algebra) -> str:
     """The result of a spelled text, NULL outside the grammar."""
-    return let_sql("xs", tokens_sql(text), case(("xs IS NOT NULL", fold_sql("xs", algebra))))
+    return let_sql("xs", tokens_sql(text, simple=algebra.simple), case(("xs IS NOT NULL", fold_sql("xs", algebra))))
