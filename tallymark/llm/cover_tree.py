@@ -5,11 +5,13 @@ inequality holds. The top nodes are *blocks*: a bounded, documented sample of al
 far apart, every vector goes to its nearest one, and a block's covering radius is measured over all its members (large
 blocks are split by hash). Within a block a cover tree has nested levels whose radii halve. Two trees are traversed
 together: a pair of nodes is dropped where the centers are further apart than both covering radii and the chord, taken as
-linked whole where even the furthest members are near enough, and else opened; what remains are single pairs, whose cosine
-decides in double precision.
+linked whole where even the furthest members are near enough, and else opened, or compared member by member where few are
+left; what remains are single pairs, whose cosine decides in double precision. A node meets all nodes of the other tree that
+it is left with at once, as one product of matrices.
 
-Equal vectors of a label are one point with a count. A task holds the two trees of one pair of blocks and returns a number
-of links and one tie per vector, never the pairs.
+Equal vectors of a label are one point with a count. The blocks of a label are dealt into groups, and two groups meet in one
+task, so that a block is sent once per group and not once per block that is near it. A task holds the trees of two groups and
+returns a number of links and one tie per vector and pair of blocks, never the pairs.
 
 Vectors that are null, of zero length, or hold a null or non-finite component link with nothing, nor do those with a null
 label or null id, nor those of different lengths with each other. Rows with the same id are one vector to its component.
@@ -19,7 +21,6 @@ Other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -33,10 +34,17 @@ LEAST = 0.93
 # Vectors from which centers are chosen, over all labels; and members that a block should have.
 SAMPLE = 8_192
 BLOCK = 1_024
+# Blocks of a group, on average: two groups meet in a task, which holds their trees.
+GROUP = 16
 # Chords are known to about 1e-8: single pairs are decided by their cosine alone.
 _SLACK = 1e-6
 _SAME = 1e-7
-_MATRIX = 1 << 22
+_ROUNDING = 1e-12
+_MATRIX = 1 << 18
+# Pairs of members that take as long as one step of the traversal.
+_FEW = 1 << 14
+# Points whose distances to all others are taken at once when a node's children are chosen.
+_SEEDS = 64
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -68,21 +76,14 @@ class CoverTree:
                 while reach > max(nodes[at][3], _SAME):
                     reach /= 2
                 nodes[at][4] = len(nodes)
-                # The node's own center is its first child's: levels are nested.
-                left, placed, first = members, [], center
-                while len(left):
-                    # Points that can't be told apart become single children at once.
-                    near = left == first
-                    if nodes[at][3] > _SAME:
-                        near |= _chords(points[first][None], points[left])[0] <= reach
-                    group = left[near]
-                    nodes.append([begin + sum(map(len, placed)), 0, int(first), 0.0, 0, 0])
-                    nodes[-1][1] = nodes[-1][0] + len(group)
+                # The node's own center is its first member, and its first child's center: levels are nested.
+                # Points that can't be told apart become single children at once.
+                placed = self._groups(members, reach) if nodes[at][3] > _SAME else [members[k : k + 1] for k in range(len(members))]
+                for group in placed:
+                    nodes.append([begin, begin + len(group), int(group[0]), 0.0, 0, 0])
                     spread.append(reach)
-                    placed.append(group)
-                    left = left[~near]
-                    first = left[0] if len(left) else 0
-                order[begin:end] = np.concatenate(placed)
+                    begin += len(group)
+                order[end - len(members) : end] = np.concatenate(placed)
                 nodes[at][5] = len(placed)
             at += 1
         self.order = order
@@ -91,6 +92,23 @@ class CoverTree:
         self.radius = np.array(table[3])
         self.child, self.children = (np.array(c, np.int64) for c in table[4:])
 
+    def _groups(self, left: np.ndarray, reach: float) -> list[np.ndarray]:
+        """Each first point that is left, with all those left within ``reach`` of it."""
+        placed = []
+        while len(left):
+            near = _chords(self.points[left[:_SEEDS]], self.points[left]) <= reach
+            open_ = np.ones(len(left), bool)
+            for k, row in enumerate(near):
+                if open_[k]:
+                    row &= open_
+                    row[k] = True
+                    placed.append(left[row])
+                    open_ ^= row
+            left = left[open_]
+        return placed
+
+    def members(self, node: int) -> np.ndarray:
+        return self.order[self.begin[node] : self.end[node]]
 
     def stored(self) -> tuple[bytes, bytes]:
         """The nodes' numbers and the order of the members; the nodes' radii."""
@@ -136,51 +154,94 @@ def dual_traversal(one: CoverTree, two: CoverTree, weights: tuple[np.ndarray, np
     """
     chord = float(np.sqrt(2.0 - 2.0 * least))
     found = Links((len(one.points), len(two.points)))
-    stack = [(0, 0)]
+    stack = [(0, np.zeros(1, np.int64))]
     while stack:
-        a, b = stack.pop()
-        # The larger node is opened; nodes without children stay as they are.
-        left = _opened(one, a, one.radius[a] >= two.radius[b] / 2)
-        right = _opened(two, b, two.radius[b] >= one.radius[a] / 2)
-        step = max(1, _MATRIX // max(1, len(right)))
+        a, many = stack.pop()
+        # The larger nodes are opened; nodes without children stay as they are.
+        left = _opened(one, np.array([a]), one.radius[a] >= two.radius[many].max() / 2)
+        right = _opened(two, many, two.radius[many] >= one.radius[a] / 2)
+        step = max(1, _MATRIX // len(right))
         for begin in range(0, len(left), step):
-            part = left[begin : begin + step]
-            _meet(one, two, part, right, weights, least, chord, found, stack)
+            _meet(one, two, left[begin : begin + step], right, weights, least, chord, found, stack)
     return found
 
 
-def _opened(tree: CoverTree, node: int, wide: bool) -> np.ndarray:
-    if tree.children[node] and wide:
-        return np.arange(tree.child[node], tree.child[node] + tree.children[node])
-    return np.array([node])
+def _opened(tree: CoverTree, nodes: np.ndarray, wide: np.ndarray | bool) -> np.ndarray:
+    """The children of those nodes that have some and are ``wide``, and the other nodes."""
+    open_ = (tree.children[nodes] > 0) & wide
+    return np.concatenate([_ranges(tree.child[nodes[open_]], tree.children[nodes[open_]]), nodes[~open_]])
 
 
 def _meet(one, two, left, right, weights, least, chord, found, stack) -> None:
     cosines = one.points[one.center[left]] @ two.points[two.center[right]].T
+    # Most pairs are too far apart even with the other side's greatest radius.
+    most = one.radius[left] + two.radius[right].max() + (chord + _SLACK)
+    rows, columns = np.nonzero(cosines >= np.minimum(1.0 - most * most / 2.0, least)[:, None] - _ROUNDING)
+    if not len(rows):
+        return
+    cosines, a, b = cosines[rows, columns], left[rows], right[columns]
     away = np.sqrt(np.maximum(2.0 - 2.0 * cosines, 0.0))
-    reach = one.radius[left][:, None] + two.radius[right]
-    single = (one.children[left] == 0)[:, None] & (two.children[right] == 0)
-    linked = single & (cosines >= least)
-    # Where the rounding of the product could matter, the cosine is taken again by itself.
-    for i, j in zip(*np.nonzero(single & (np.abs(cosines - least) < 1e-12))):
-        x, y = one.points[one.center[left[i]]], two.points[two.center[right[j]]]
-        linked[i, j] = float((x * y).sum()) >= least
-    if linked.any():
-        rows, columns = np.nonzero(linked)
-        p, q = one.center[left[rows]], two.center[right[columns]]
-        np.add.at(found.counts[0], p, weights[1][q])
-        np.add.at(found.counts[1], q, weights[0][p])
-        _tie_few(found, p, q)
+    reach = one.radius[a] + two.radius[b]
+    single = (one.children[a] == 0) & (two.children[b] == 0)
+    _link(one, two, one.center[a[single]], two.center[b[single]], cosines[single], weights, least, found)
     inside = ~single & (away + reach <= chord - _SLACK)
-    for i, j in zip(*np.nonzero(inside)):
-        p = one.order[one.begin[left[i]] : one.end[left[i]]]
-        q = two.order[two.begin[right[j]] : two.end[right[j]]]
+    for i, j in zip(a[inside], b[inside]):
+        p, q = one.members(i), two.members(j)
         found.counts[0][p] += weights[1][q].sum()
         found.counts[1][q] += weights[0][p].sum()
         found.tie(p, np.full(len(p), q[0]))
         found.tie(np.full(len(q), p[0]), q)
     more = ~single & ~inside & (away <= reach + chord + _SLACK)
-    stack.extend(zip(left[np.nonzero(more)[0]].tolist(), right[np.nonzero(more)[1]].tolist()))
+    if more.any():
+        _go_on(one, two, a[more], b[more], weights, least, found, stack)
+
+
+def _go_on(one, two, a, b, weights, least, found, stack) -> None:
+    """Pairs of nodes that are neither dropped nor linked: on the stack, or member by member if that is less work."""
+    lefts, row = np.unique(a, return_inverse=True)
+    rights, column = np.unique(b, return_inverse=True)
+    heights, widths = one.end[lefts] - one.begin[lefts], two.end[rights] - two.begin[rights]
+    if heights.sum() * widths.sum() > _FEW * len(lefts):
+        order = np.argsort(row, kind="stable")
+        for node, nodes in zip(lefts.tolist(), np.split(b[order], np.flatnonzero(np.diff(row[order])) + 1)):
+            stack.append((node, nodes))
+        return
+    met = np.zeros((len(lefts), len(rights)), bool)
+    met[row, column] = True
+    q, right = _members(two, rights)
+    step = max(1, _MATRIX // len(q))
+    every, left = _members(one, lefts)
+    for begin in range(0, len(every), step):
+        p = every[begin : begin + step]
+        cosines = one.points[p] @ two.points[q].T
+        i, j = np.nonzero(cosines >= least - _ROUNDING)
+        kept = met[left[begin + i], right[j]]
+        i, j = i[kept], j[kept]
+        _link(one, two, p[i], q[j], cosines[i, j], weights, least, found)
+
+
+def _members(tree: CoverTree, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The members of some nodes, and to which of the nodes each belongs."""
+    sizes = tree.end[nodes] - tree.begin[nodes]
+    return tree.order[_ranges(tree.begin[nodes], sizes)], np.repeat(np.arange(len(nodes)), sizes)
+
+
+def _ranges(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Numbers from each of ``first`` on, as many as ``sizes`` says."""
+    return np.arange(sizes.sum()) + np.repeat(first - (np.cumsum(sizes) - sizes), sizes)
+
+
+def _link(one, two, p, q, cosines, weights, least, found) -> None:
+    """Links those of the pairs of points ``p``, ``q`` whose cosine is large enough."""
+    linked = cosines >= least
+    # Where the rounding of the product could matter, the cosine is taken again by itself.
+    for k in np.flatnonzero(np.abs(cosines - least) < _ROUNDING):
+        linked[k] = float((one.points[p[k]] * two.points[q[k]]).sum()) >= least
+    if linked.any():
+        p, q = p[linked], q[linked]
+        np.add.at(found.counts[0], p, weights[1][q])
+        np.add.at(found.counts[1], q, weights[0][p])
+        _tie_few(found, p, q)
 
 
 def _tie_few(found: Links, p: np.ndarray, q: np.ndarray) -> None:
@@ -191,15 +252,17 @@ def _tie_few(found: Links, p: np.ndarray, q: np.ndarray) -> None:
     found.tie(p[keep], q[keep])
     rest = np.flatnonzero(~keep)
     if len(rest):
-        roots = np.array([found.root(i) for i in range(len(found.tied))])
-        found.tied[:] = roots
-        open_ = rest[roots[p[rest]] != roots[q[rest] + found._shift]]
+        ends, where = np.unique(np.concatenate([p[rest], q[rest] + found._shift]), return_inverse=True)
+        roots = np.array([found.root(i) for i in ends.tolist()])[where]
+        open_ = rest[roots[: len(rest)] != roots[len(rest) :]]
         found.tie(p[open_], q[open_])
 
 
 def _valid(embeddings: DataFrame) -> DataFrame:
-    """vec_id, label and vector (doubles) of the rows that can link."""
-    vector = F.col("embedding").cast("array<double>")
+    """vec_id, label and vector (floats if given as such, else doubles) of the rows that can link."""
+    vector = F.col("embedding")
+    if dict(embeddings.dtypes)["embedding"] != "array<float>":
+        vector = vector.cast("array<double>")
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").alias("label"), vector.alias("vector"))
     fine = F.forall("vector", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)))
     return rows.filter(
@@ -238,14 +301,16 @@ def _assigned(points: DataFrame, centers: dict) -> DataFrame:
     def assign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.zeros(batch.num_rows, np.int64)
-            labels = batch.column("label").to_pylist()
-            vectors = batch.column("vector").to_pylist()
+            lengths = batch.column("vector").value_lengths().to_numpy()
+            numbers = batch.column("vector").flatten().to_numpy()
+            begin = np.cumsum(lengths) - lengths
             groups: dict = {}
-            for i, (label, vector) in enumerate(zip(labels, vectors)):
-                groups.setdefault((label, len(vector)), []).append(i)
+            for i, key in enumerate(zip(batch.column("label").to_pylist(), lengths.tolist())):
+                groups.setdefault(key, []).append(i)
             for key, rows in groups.items():
                 if key in centers:
-                    found[rows] = (_unit(np.array([vectors[i] for i in rows])) @ centers[key].T).argmax(1)
+                    vectors = numbers[begin[rows][:, None] + np.arange(key[1])].astype(np.float64)
+                    found[rows] = (_unit(vectors) @ centers[key].T).argmax(1)
             yield batch.append_column("center", pa.array(found))
 
     kinds = dict(points.dtypes)
@@ -256,7 +321,8 @@ def _assigned(points: DataFrame, centers: dict) -> DataFrame:
 def _tree_row(table: pa.Table) -> pa.Table:
     """The block of a group of points: its head, and the cover tree of its points in order of id."""
     table = table.sort_by("vec_id")
-    points = _unit(np.array(table.column("vector").to_pylist(), np.float64))
+    vectors = table.column("vector").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
+    points = _unit(vectors.astype(np.float64))
     center = points.mean(0)
     size = float(np.sqrt((center * center).sum()))
     center = center / size if size > 1e-9 else points[0]
@@ -271,7 +337,7 @@ def _tree_row(table: pa.Table) -> pa.Table:
             "radius": pa.array([float(away.max())], pa.float64()),
             "ids": pa.array([table.column("vec_id").to_numpy().astype("<i8").tobytes()], pa.binary()),
             "times": pa.array([table.column("n").to_numpy().astype("<i8").tobytes()], pa.binary()),
-            "points": pa.array([points.tobytes()], pa.binary()),
+            "points": pa.array([vectors.tobytes()], pa.binary()),
             "nodes": pa.array([nodes], pa.binary()),
             "radii": pa.array([radii], pa.binary()),
         }
@@ -282,30 +348,34 @@ _TREE = ("ids", "times", "points", "nodes", "radii")
 _BLOCKS = "label string, dims int, block long, middle array<double>, radius double, " + ", ".join(f"{c} binary" for c in _TREE)
 
 
-def _compare(batches: Iterable[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
-    """Links of pairs of blocks: per vector its number of links, and a vector that it is connected with."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            row = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
-            trees, ids, times = [], [], []
-            for side in ("1", "2"):
-                ids.append(np.frombuffer(row["ids" + side], "<i8"))
-                times.append(np.frombuffer(row["times" + side], "<i8"))
-                points = np.frombuffer(row["points" + side]).reshape(len(ids[-1]), -1)
-                trees.append(CoverTree.loaded(points, row["nodes" + side], row["radii" + side]))
-            same = row["block1"] == row["block2"]
-            found = dual_traversal(trees[0], trees[1], tuple(times), least)
-            every = np.concatenate(ids)
-            if same:
+def _loaded(row: dict) -> tuple[CoverTree, np.ndarray, np.ndarray]:
+    """Tree, ids and counts of a block; its vectors are kept as they were given, in four or eight bytes a number."""
+    ids, times = (np.frombuffer(row[c], "<i8") for c in ("ids", "times"))
+    size = len(row["points"]) // (len(ids) * row["dims"])
+    vectors = np.frombuffer(row["points"], f"<f{size}").reshape(len(ids), -1)
+    return CoverTree.loaded(_unit(vectors.astype(np.float64)), row["nodes"], row["radii"]), ids, times
+
+
+def _compare(table: pa.Table, least: float) -> pa.Table:
+    """Links of blocks with their partners: per vector its number of links, and a vector that it is connected with."""
+    rows = table.to_pylist()
+    blocks = {row["block"]: _loaded(row) for row in rows}
+    out = [[np.zeros(0, np.int64)] * 3]
+    for row in rows:
+        for partner in row["partners"]:
+            (one, ids1, times1), (two, ids2, times2) = blocks[row["block"]], blocks[partner]
+            found = dual_traversal(one, two, (times1, times2), least)
+            if not found.counts[0].any():
+                continue
+            every, counts = np.concatenate([ids1, ids2]), np.concatenate(found.counts)
+            if row["block"] == partner:
                 # Both sides are the same points, and a point's links don't include itself.
-                found.tie(np.arange(len(ids[0])), np.arange(len(ids[0])))
-                every, counts = ids[0], found.counts[0] - 1
-            else:
-                counts = np.concatenate(found.counts)
+                found.tie(np.arange(len(ids1)), np.arange(len(ids1)))
+                every, counts = ids1, found.counts[0] - 1
             others = every[[found.root(k) for k in range(len(every))]]
             kept = (counts != 0) | (every != others)
-            columns = [pa.array(x[kept]) for x in (every, counts, others)]
-            yield pa.RecordBatch.from_arrays(columns, ["vec_id", "links", "other"])
+            out.append([every[kept], counts[kept], others[kept]])
+    return pa.table({name: np.concatenate(x) for name, x in zip(("vec_id", "links", "other"), zip(*out))})
 
 
 def similar_vectors(embeddings: DataFrame, least: float = LEAST, sample: int = SAMPLE, block: int = BLOCK) -> DataFrame:
@@ -324,19 +394,25 @@ def similar_vectors(embeddings: DataFrame, least: float = LEAST, sample: int = S
     blocks = materialize(placed.groupBy("block").applyInArrow(_tree_row, _BLOCKS))
 
     heads = blocks.select("label", "dims", "block", "middle", "radius")
+    groups = heads.groupBy("label", "dims").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("groups"))
+    heads = heads.join(groups, ["label", "dims"]).withColumn("group", F.pmod(F.xxhash64("block"), F.col("groups")))
     one, two = heads.alias("one"), heads.alias("two")
     apart = F.aggregate(F.zip_with("one.middle", "two.middle", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda a, x: a + x)
     chord = float(np.sqrt(2.0 - 2.0 * least))
     near = F.sqrt(apart) <= F.col("one.radius") + F.col("two.radius") + chord + _SLACK
     kind = (F.col("one.label") == F.col("two.label")) & (F.col("one.dims") == F.col("two.dims"))
     pairs = one.join(two, kind & (F.col("one.block") <= F.col("two.block")) & near)
-    pairs = materialize(pairs.select(F.col("one.block").alias("block1"), F.col("two.block").alias("block2")))
-    for side in ("1", "2"):
-        data = blocks.select(*[F.col(c).alias(c + side) for c in ("block", *_TREE)])
-        pairs = pairs.join(data, "block" + side)
-    partitions = int(embeddings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = pairs.repartition(partitions, "block1", "block2")
-    found = materialize(spread.mapInArrow(partial(_compare, least=least), "vec_id long, links long, other long"))
+    meeting = F.xxhash64("one.label", "one.dims", F.least("one.group", "two.group"), F.greatest("one.group", "two.group"))
+    pairs = materialize(pairs.select(meeting.alias("meeting"), F.col("one.block").alias("one"), F.col("two.block").alias("two")))
+    # Each block once per meeting, with those that it is compared with there.
+    as_one = pairs.select("meeting", F.col("one").alias("block"), F.col("two").alias("partner"))
+    as_two = pairs.select("meeting", F.col("two").alias("block"), F.lit(None).cast("long").alias("partner"))
+    sides = materialize(as_one.union(as_two).groupBy("meeting", "block").agg(F.collect_list("partner").alias("partners")))
+    sent = sides.join(blocks.select("block", "dims", *_TREE), "block")
+    # More parts than cores: meetings differ in size.
+    partitions = 4 * int(embeddings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = sent.repartition(partitions, "meeting").groupBy("meeting")
+    found = materialize(met.applyInArrow(lambda table: _compare(table, least), "vec_id long, links long, other long"))
 
     counts = found.groupBy("vec_id").agg(F.sum("links").alias("links"))
     parts = components(found, "vec_id", "other").withColumnRenamed("node", "vec_id")

@@ -100,3 +100,45 @@ def test_tree_is_nested_and_covers():
             below = range(tree.child[node], tree.child[node] + tree.children[node])
             assert sum(tree.end[c] - tree.begin[c] for c in below) == tree.end[node] - tree.begin[node]
             assert tree.center[tree.child[node]] == tree.center[node]
+
+
+@pytest.mark.parametrize("few", [0, 1 << 14])
+@pytest.mark.parametrize("dims, noise", [(3, 1.0), (12, 0.12), (12, 0.3)])
+def test_traversal_same_as_all_pairs_in_few_steps(monkeypatch, few, dims, noise):
+    monkeypatch.setattr(cover_tree, "_FEW", few, raising=False)
+    steps = []
+    monkeypatch.setattr(cover_tree, "_meet", lambda *given, f=cover_tree._meet: (steps.append(1), f(*given)))
+    points = [cover_tree._unit(np.array([v for _, v, _ in clusters(seed, 300, dims, 30, noise)])) for seed in (5, 5, 6)]
+    pick = np.random.default_rng(7)
+    weights = [pick.integers(1, 4, len(p)) for p in points]
+    for i, j in ((0, 1), (0, 2)):
+        steps.clear()
+        links = cover_tree.dual_traversal(cover_tree.CoverTree(points[i]), cover_tree.CoverTree(points[j]), (weights[i], weights[j]), 0.93)
+        near = points[i] @ points[j].T >= 0.93
+        assert (links.counts[0] == near @ weights[j]).all() and (links.counts[1] == weights[i] @ near).all()
+        parent = list(range(600))
+        for a, b in zip(*np.nonzero(near)):
+            x, y = a, b + 300
+            while parent[x] != x:
+                x = parent[x]
+            while parent[y] != y:
+                y = parent[y]
+            parent[max(x, y)] = min(x, y)
+        for k in range(600):
+            root = k
+            while parent[root] != root:
+                root = parent[root]
+            assert links.root(k) == root
+        assert not few or len(steps) < 40
+
+
+def test_blocks_are_sent_once_per_group(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(cover_tree, "materialize", lambda df, f=cover_tree.materialize: (written.append(f(df)), written[-1])[1])
+    monkeypatch.setattr(cover_tree, "GROUP", 4, raising=False)
+    rows = [(i, v, 0) for i, v, _ in clusters(4, 300, 8, 30, 1.0)]
+    assert found(spark, rows, block=16, sample=300) == expected(rows)
+    blocks = next(df for df in written if "radii" in df.columns).count()
+    sent = next(df for df in written if "partners" in df.columns).count()
+    groups = -(-blocks // 4)
+    assert groups > 2 and sent <= groups * blocks
