@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallymark.operators import eval_report, grade, group_advantage
 from tallymark.operators.metrics import predicted_answers
-from tallymark.streaming import advantage_stream, report_stream, running_rejects, running_report
+from tallymark.streaming import advantage, advantage_stream, report_stream, running_rejects, running_report
 
 START = datetime(2024, 1, 1)
 SCHEMA = "id string, gen long, total_reward double, at timestamp"
@@ -57,6 +57,26 @@ def test_incomplete_late_and_lost_groups(spark, tmp_path):
     assert len(third) == len(second) + 3 and not any(r[0] == "later" for r in third)
 
 
+def test_groups_of_one_bucket(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(advantage, "BUCKETS", 1, raising=False)
+    test_incomplete_late_and_lost_groups(spark, tmp_path)
+
+
+def test_python_is_called_by_the_bucket(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(advantage, "BUCKETS", 3, raising=False)
+    rows = [(f"p{i}", (1 << 60) + g if g else None, [0.0, 1.0, None, 1.01][(i * g) % 4], i % 50) for i in range(200) for g in range(3)]
+    arrive(spark, tmp_path / "in", rows + [(None, None, 0.5, 0)] + rows[:100])
+    query = advantage_stream(
+        spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/state", time="at", schema=SCHEMA, generations=3
+    )
+    query.awaitTermination()
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress) <= 3
+    found = spark.read.parquet(f"{tmp_path}/out").collect()
+    assert [(r.gen, r.total_reward, r.advantage, r.reason) for r in found if r.id is None] == [(None, 0.5, None, "no_group")]
+    known = [(r.id, r.gen, r.total_reward, None if r.advantage is None else round(r.advantage, 9)) for r in found if r.id is not None]
+    assert sorted(known, key=repr) == batch(spark, rows)
+
+
 def lines(spark, folder, rows):
     df = spark.createDataFrame(rows, "run string, id string, prompt_text string, generated string")
     df.select(F.to_json(F.struct("*")).alias("value")).coalesce(1).write.mode("append").text(str(folder))
